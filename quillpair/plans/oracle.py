@@ -7,6 +7,7 @@ fixed word lists are shared.
 
 from __future__ import annotations
 
+from .. import resources as R
 from . import sqltext as Q
 
 ORACLE: dict[str, str] = {}
@@ -72,3 +73,38 @@ FROM documents WHERE text IS NOT NULL GROUP BY 1""")
 oracle("question_length_hist", f"""
 SELECT {Q.word_count('text')} AS n_words, count(*) AS n_texts
 FROM conversations WHERE role = 'user' AND text IS NOT NULL GROUP BY 1""")
+
+# ---------------------------------------------------------------- cleaning (M1)
+
+oracle("clean_pages", f"SELECT page_id, {Q.normalise_text('html')} AS clean FROM pages")
+
+oracle("expand_contractions", f"""
+SELECT doc_id, {Q.expand_contractions(
+    "replace(replace(replace(text, ' the ', ' it''s '), ' and ', ' Don''t '), ' ''', '''')")}
+    AS expanded FROM documents""")
+
+_NA = ", ".join(Q.q(t) for t in R.NA_TOKENS)
+
+oracle("na_and_dedup", f"""
+WITH t AS (SELECT doc_id AS row_id,
+                  CASE WHEN text IN ({_NA}) THEN NULL ELSE text END AS context,
+                  CASE WHEN lang IN ({_NA}) THEN NULL ELSE lang END AS question
+           FROM documents)
+SELECT min(row_id) AS row_id, context, question FROM t
+WHERE context IS NOT NULL AND question IS NOT NULL GROUP BY context, question""")
+
+PAIRS_SQL = """
+SELECT q.conv_id * 1000000 + q.turn AS pair_id, q.text AS question, a.text AS context
+FROM conversations q JOIN conversations a
+  ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
+WHERE q.role = 'user' AND a.role = 'assistant'"""
+
+oracle("clean_pairs", f"""
+WITH t AS (SELECT pair_id AS row_id,
+                  CASE WHEN context IN ({_NA}) THEN NULL ELSE context END AS context,
+                  CASE WHEN question IN ({_NA}) THEN NULL ELSE question END AS question
+           FROM ({PAIRS_SQL})),
+d AS (SELECT min(row_id) AS row_id, context, question FROM t
+      WHERE context IS NOT NULL AND question IS NOT NULL GROUP BY context, question)
+SELECT row_id, {Q.normalise_text('context')} AS context, {Q.normalise_text('question')} AS question
+FROM d""")

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import profile as P
+from ..operators import textprep as TP
 from ..sources import tables as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +81,37 @@ def q_context_length_hist(spark, sf):
 def q_question_length_hist(spark, sf):
     conv = S.conversations(spark, sf).filter(F.col("role") == "user")
     return P.length_histogram(conv, "text")
+
+
+# ---------------------------------------------------------------- cleaning (M1)
+
+@query("clean_pages")
+def q_clean_pages(spark, sf):
+    return S.pages(spark, sf).select("page_id", T.normalise_text("html").alias("clean"))
+
+
+def _with_contractions(text):
+    """Derived input: put contractions into the documents text."""
+    x = F.replace(text, F.lit(" the "), F.lit(" it's "))
+    return F.replace(x, F.lit(" and "), F.lit(" Don't "))
+
+
+@query("expand_contractions")
+def q_expand_contractions(spark, sf):
+    d = S.documents(spark, sf)
+    src = F.replace(_with_contractions(F.col("text")), F.lit(" '"), F.lit("'"))
+    return d.select("doc_id", T.expand_contractions(src).alias("expanded"))
+
+
+@query("na_and_dedup")
+def q_na_and_dedup(spark, sf):
+    d = S.documents(spark, sf).select(F.col("doc_id").alias("row_id"),
+                                      F.col("text").alias("context"),
+                                      F.col("lang").alias("question"))
+    return TP.dedup_first(TP.drop_null_pairs(TP.null_na_tokens(d)), "row_id")
+
+
+@query("clean_pairs")
+def q_clean_pairs(spark, sf):
+    p = S.pairs(spark, sf).withColumnRenamed("pair_id", "row_id")
+    return TP.preprocess(p, "row_id")
