@@ -108,3 +108,205 @@ d AS (SELECT min(row_id) AS row_id, context, question FROM t
       WHERE context IS NOT NULL AND question IS NOT NULL GROUP BY context, question)
 SELECT row_id, {Q.normalise_text('context')} AS context, {Q.normalise_text('question')} AS question
 FROM d""")
+
+# ---------------------------------------------------------------- generation, ensemble (M6)
+
+
+def _with(ctes: list[tuple[str, str]], final: str) -> str:
+    return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes) + "\n" + final
+
+
+_FIRST_TOKS = (f"coalesce(list_slice({Q.ws_tokens(Q.sentences('context') + '[1]')}, 1, "
+               f"{R.MAX_GEN_TOKENS}), []::VARCHAR[])")
+
+
+def _as_question(toks: str) -> str:
+    body = f"regexp_replace(array_to_string({toks}, ' '), '[.!?]+$', '')"
+    return f"CASE WHEN {body} = '' THEN '' ELSE {body} || '?' END"
+
+
+_CLOZE_TOKS = ("list_transform(toks, lambda x, i: CASE WHEN i = "
+               "list_position(list_transform(toks, lambda y: length(y)), "
+               "list_max(list_transform(toks, lambda y: length(y)))) THEN 'what' ELSE x END)")
+
+GEN_CTES = [
+    ("p", PAIRS_SQL),
+    ("ft", f"SELECT pair_id, {_FIRST_TOKS} AS toks FROM p"),
+    ("cands", f"SELECT pair_id, 'lead' AS variant, {_as_question('toks')} AS generated FROM ft "
+              f"UNION ALL SELECT pair_id, 'cloze' AS variant, {_as_question(_CLOZE_TOKS)} "
+              f"AS generated FROM ft"),
+]
+
+_SPECIALS = " UNION ALL ".join(f"SELECT {Q.q(t)} AS token, {i} AS id"
+                               for i, t in enumerate(R.SPECIAL_TOKENS))
+VOCAB_CTES = [
+    ("vt", f"SELECT unnest({Q.ws_tokens('text')}) AS token FROM documents"),
+    ("vc", f"SELECT token, count(*) AS n FROM vt WHERE token NOT IN "
+           f"({', '.join(Q.q(t) for t in R.SPECIAL_TOKENS)}) GROUP BY token "
+           f"ORDER BY n DESC, token LIMIT 32000"),
+    ("v0", f"SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + "
+           f"{len(R.SPECIAL_TOKENS) - 1} AS INTEGER) AS id FROM vc UNION ALL "
+           f"SELECT token, CAST(id AS INTEGER) FROM ({_SPECIALS})"),
+    ("vocab", f"SELECT token, id FROM v0 UNION ALL SELECT {Q.q(R.SEP_TOKEN)}, "
+              f"CAST((SELECT max(id) + 1 FROM v0) AS INTEGER) WHERE NOT EXISTS "
+              f"(SELECT 1 FROM v0 WHERE token = {Q.q(R.SEP_TOKEN)})"),
+]
+
+RATED_CTES = GEN_CTES + VOCAB_CTES + [
+    ("cw", f"SELECT pair_id, variant, unnest({Q.ws_tokens('generated')}) AS token FROM cands"),
+    ("rc", "SELECT pair_id, variant, count(*) AS rare FROM cw "
+           "WHERE token NOT IN (SELECT token FROM vocab) GROUP BY pair_id, variant"),
+    ("rated", "SELECT c.pair_id, c.variant, c.generated, coalesce(rc.rare, 0) AS rare_words "
+              "FROM cands c LEFT JOIN rc ON rc.pair_id = c.pair_id AND rc.variant = c.variant"),
+    ("ens", "SELECT pair_id, 'combined' AS variant, "
+            "arg_min(generated, (rare_words, length(generated), "
+            "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS generated, "
+            "arg_min(variant, (rare_words, length(generated), "
+            "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS chosen FROM rated GROUP BY pair_id"),
+]
+
+oracle("pairs", PAIRS_SQL)
+oracle("generate_lead", _with(GEN_CTES, "SELECT * FROM cands WHERE variant = 'lead'"))
+oracle("generate_cloze", _with(GEN_CTES, "SELECT * FROM cands WHERE variant = 'cloze'"))
+oracle("vocab", _with(VOCAB_CTES, "SELECT * FROM vocab"))
+oracle("rare_words", _with(RATED_CTES, "SELECT * FROM rated"))
+oracle("ensemble_select", _with(RATED_CTES, "SELECT * FROM ens"))
+
+_SENTS = f"list_transform({Q.sentences('text')}, lambda s: array_to_string({Q.ws_tokens('s')}, ' '))"
+oracle("n_distinct_candidates", _with([
+    ("s", f"SELECT doc_id, unnest({_SENTS}) AS candidate, "
+          f"unnest(range(1, len({_SENTS}) + 1)) AS pos FROM documents"),
+    ("f", "SELECT doc_id, candidate, min(pos) AS first_pos FROM s GROUP BY doc_id, candidate"),
+    ("r", "SELECT doc_id, candidate, row_number() OVER (PARTITION BY doc_id ORDER BY first_pos) "
+          "AS rank FROM f"),
+], "SELECT doc_id, CAST(rank AS BIGINT) AS rank, candidate FROM r WHERE rank <= 5"))
+
+# ---------------------------------------------------------------- metrics (M4)
+
+
+def _lcs(h: str, r: str) -> str:
+    """LCS length by the row DP: cur[j] = max(prev[j], max over k<=j of
+    (r[k] = t ? prev[k-1] + 1 : 0))."""
+    step = (f"lambda prev, t: list_transform(range(0, len({r}) + 1), lambda j: CASE WHEN j = 0 "
+            f"THEN 0 ELSE greatest(prev[j + 1], list_max(list_transform(range(1, j + 1), "
+            f"lambda k: CASE WHEN {r}[k] = t THEN prev[k] + 1 ELSE 0 END))) END)")
+    init = f"list_transform(range(0, len({r}) + 1), lambda j: 0)"
+    return f"list_reduce({h}, {step}, {init})[len({r}) + 1]"
+
+
+def _metric_ctes(cands: str) -> list[tuple[str, str]]:
+    """Per (pair_id, variant): rouge_p/r/f, matches/chunks/meteor, bleu1..4."""
+    tb_h, tb_r = Q.treebank_tokens("generated"), Q.treebank_tokens("question")
+    ctes = [
+        ("sc", f"SELECT c.pair_id, c.variant, c.generated, p.question FROM {cands} c "
+               f"JOIN p ON p.pair_id = c.pair_id"),
+        ("tk", f"SELECT pair_id, variant, {Q.rouge_tokens('generated')} AS hr, "
+               f"{Q.rouge_tokens('question')} AS rr, {tb_h} AS ht, {tb_r} AS rt, "
+               f"{Q.ws_tokens('lower(generated)')} AS hw, {Q.ws_tokens('lower(question)')} AS rw "
+               f"FROM sc"),
+        # ROUGE-L
+        ("rl", f"SELECT pair_id, variant, len(hr) AS nh, len(rr) AS nr, {_lcs('hr', 'rr')} AS lcs "
+               f"FROM tk"),
+        ("rouge", "SELECT pair_id, variant, "
+                  "CASE WHEN nh > 0 THEN lcs / nh ELSE 0.0 END AS rouge_p, "
+                  "CASE WHEN nr > 0 THEN lcs / nr ELSE 0.0 END AS rouge_r FROM rl"),
+        ("rouge2", "SELECT *, CASE WHEN rouge_p + rouge_r > 0 THEN 2 * rouge_p * rouge_r / "
+                   "(rouge_p + rouge_r) ELSE 0.0 END AS rouge_f FROM rouge"),
+        # METEOR, exact stage: rank from the end, equi-join, chunks by lag
+        ("mh", "SELECT pair_id, variant, unnest(hw) AS t, unnest(range(1, len(hw) + 1)) AS pos FROM tk"),
+        ("mr", "SELECT pair_id, variant, unnest(rw) AS t, unnest(range(1, len(rw) + 1)) AS pos FROM tk"),
+        ("mhk", "SELECT *, row_number() OVER (PARTITION BY pair_id, variant, t ORDER BY pos DESC) "
+                "AS k FROM mh"),
+        ("mrk", "SELECT *, row_number() OVER (PARTITION BY pair_id, variant, t ORDER BY pos DESC) "
+                "AS k FROM mr"),
+        ("mm", "SELECT a.pair_id, a.variant, a.pos AS i, b.pos AS j FROM mhk a JOIN mrk b "
+               "ON a.pair_id = b.pair_id AND a.variant = b.variant AND a.t = b.t AND a.k = b.k"),
+        ("ml", "SELECT *, lag(i) OVER w AS pi, lag(j) OVER w AS pj FROM mm "
+               "WINDOW w AS (PARTITION BY pair_id, variant ORDER BY i)"),
+        ("mc", "SELECT pair_id, variant, count(*) AS matches, "
+               "sum(CASE WHEN pi IS NOT NULL AND i = pi + 1 AND j = pj + 1 THEN 0 ELSE 1 END) "
+               "AS chunks FROM ml GROUP BY pair_id, variant"),
+        ("met", f"SELECT t.pair_id, t.variant, coalesce(mc.matches, 0) AS matches, "
+                f"coalesce(mc.chunks, 0) AS chunks, len(t.hw) AS nh, len(t.rw) AS nr "
+                f"FROM tk t LEFT JOIN mc ON mc.pair_id = t.pair_id AND mc.variant = t.variant"),
+        ("met2", f"SELECT pair_id, variant, CAST(matches AS BIGINT) AS matches, "
+                 f"CAST(chunks AS BIGINT) AS chunks, CASE WHEN matches = 0 THEN 0.0 ELSE "
+                 f"(1 - {R.METEOR_GAMMA} * pow(chunks / matches, {R.METEOR_BETA})) * "
+                 f"((matches / nh) * (matches / nr) / ({R.METEOR_ALPHA} * (matches / nh) + "
+                 f"{1 - R.METEOR_ALPHA} * (matches / nr))) END AS meteor FROM met"),
+        # BLEU: n-gram counts on both sides, clipped by a left join
+        ("orders", "SELECT unnest(range(1, 5)) AS n"),
+        ("bh", "SELECT pair_id, variant, n, unnest(list_transform(range(1, len(ht) - n + 2), "
+               "lambda i: array_to_string(ht[i:i + n - 1], ' '))) AS g FROM tk, orders"),
+        ("br", "SELECT pair_id, variant, n, unnest(list_transform(range(1, len(rt) - n + 2), "
+               "lambda i: array_to_string(rt[i:i + n - 1], ' '))) AS g FROM tk, orders"),
+        ("bhc", "SELECT pair_id, variant, n, g, count(*) AS c FROM bh GROUP BY ALL"),
+        ("brc", "SELECT pair_id, variant, n, g, count(*) AS c FROM br GROUP BY ALL"),
+        ("bclip", "SELECT a.pair_id, a.variant, a.n, sum(least(a.c, coalesce(b.c, 0))) AS num "
+                  "FROM bhc a LEFT JOIN brc b ON a.pair_id = b.pair_id AND a.variant = b.variant "
+                  "AND a.n = b.n AND a.g = b.g GROUP BY ALL"),
+        ("bn", "SELECT t.pair_id, t.variant, len(t.ht)::DOUBLE AS nh, len(t.rt)::DOUBLE AS nr, "
+               + ", ".join(f"coalesce(sum(CASE WHEN c.n = {n} THEN c.num END), 0) AS num{n}"
+                           for n in range(1, 5))
+               + " FROM tk t LEFT JOIN bclip c ON c.pair_id = t.pair_id AND c.variant = t.variant "
+                 "GROUP BY ALL"),
+    ]
+    z = {n: f"(CASE WHEN num{n} = 0 AND nh > 1 THEN 1 ELSE 0 END)" for n in range(1, 5)}
+    ps = []
+    for n in range(1, 5):
+        k = " + ".join(["1"] + [z[j] for j in range(1, n)])
+        den = f"greatest(nh - {n} + 1, 1.0)"
+        ps.append(f"CASE WHEN num{n} > 0 THEN num{n} / {den} WHEN nh > 1 THEN "
+                  f"(ln(nh) / (pow(2.0, {k}) * {R.BLEU_METHOD4_K})) / {den} ELSE 0.0 END AS p{n}")
+    ctes.append(("bp", "SELECT *, " + ", ".join(ps) + ", CASE WHEN nh > nr THEN 1.0 WHEN nh = 0 "
+                       "THEN 0.0 ELSE exp(1 - nr / nh) END AS bpen FROM bn"))
+    bl = []
+    for big in range(1, 5):
+        s = " + ".join(f"CASE WHEN p{i} > 0 THEN ln(p{i}) / {big} ELSE 0.0 END" for i in range(1, big + 1))
+        bl.append(f"CASE WHEN num1 = 0 THEN 0.0 ELSE bpen * exp({s}) END AS bleu{big}")
+    ctes.append(("bleu", "SELECT pair_id, variant, " + ", ".join(bl) + " FROM bp"))
+    ctes.append(("scored", "SELECT r.pair_id, r.variant, r.rouge_p, r.rouge_r, r.rouge_f, "
+                           "m.matches, m.chunks, m.meteor, b.bleu1, b.bleu2, b.bleu3, b.bleu4 "
+                           "FROM rouge2 r JOIN met2 m USING (pair_id, variant) "
+                           "JOIN bleu b USING (pair_id, variant)"))
+    return ctes
+
+
+METRIC_CTES = GEN_CTES + _metric_ctes("cands")
+
+oracle("rouge_l", _with(METRIC_CTES, "SELECT pair_id, variant, round(rouge_p, 6) AS precision, "
+                                     "round(rouge_r, 6) AS recall, round(rouge_f, 6) AS fmeasure "
+                                     "FROM scored"))
+oracle("bleu", _with(METRIC_CTES, "SELECT pair_id, variant, " + ", ".join(
+    f"round(bleu{n}, 6) AS bleu{n}" for n in range(1, 5)) + " FROM scored"))
+oracle("meteor_exact", _with(METRIC_CTES, "SELECT pair_id, variant, matches, chunks, "
+                                          "round(meteor, 6) AS meteor FROM scored"))
+
+
+def _poisson_weight(u: str) -> str:
+    import math
+    acc, terms = 0.0, []
+    for k in range(17):
+        acc += math.exp(-1.0) / math.factorial(k)
+        terms.append(f"CASE WHEN {u} >= {acc!r} THEN 1 ELSE 0 END")
+    return "(" + " + ".join(terms) + ")"
+
+
+_U = ("(('0x' || substr(md5('0:' || CAST(pair_id AS VARCHAR) || ':' || CAST(rep AS VARCHAR)), "
+      "1, 8))::BIGINT / 4294967296.0)")
+oracle("bootstrap_rouge", _with(METRIC_CTES + [
+    ("bx", "SELECT pair_id, 100 * rouge_f AS x FROM scored WHERE variant = 'lead'"),
+    ("reps", f"SELECT unnest(range(1, {R.BOOTSTRAP_REPLICATES} + 1)) AS rep"),
+    ("bw", f"SELECT rep, x, {_poisson_weight(_U)} AS w FROM bx, reps"),
+    ("bm", "SELECT rep, sum(w * x) / sum(w) AS mean FROM bw GROUP BY rep"),
+], "SELECT round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.5), 6) AS mid, "
+   "round(quantile_cont(mean, 0.975), 6) AS high FROM bm"))
+
+LB_CTES = RATED_CTES + [("allc", "SELECT pair_id, variant, generated FROM cands UNION ALL "
+                                 "SELECT pair_id, variant, generated FROM ens")] + _metric_ctes("allc")
+oracle("leaderboard", _with(LB_CTES + [
+    ("lb", "SELECT variant, count(*) AS n, round(100 * avg(rouge_f), 6) AS rouge_l, "
+           "round(100 * avg(meteor), 6) AS meteor, " + ", ".join(
+               f"round(100 * avg(bleu{n}), 6) AS bleu{n}" for n in range(1, 5))
+           + " FROM scored GROUP BY variant"),
+], "SELECT *, CAST(rank() OVER (ORDER BY meteor DESC, variant) AS BIGINT) AS rank FROM lb"))

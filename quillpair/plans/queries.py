@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import ensemble as EN
+from ..operators import generate as G
+from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import textprep as TP
 from ..sources import tables as S
@@ -115,3 +118,106 @@ def q_na_and_dedup(spark, sf):
 def q_clean_pairs(spark, sf):
     p = S.pairs(spark, sf).withColumnRenamed("pair_id", "row_id")
     return TP.preprocess(p, "row_id")
+
+
+# ---------------------------------------------------------------- generation, ensemble (M6)
+
+PRIORITY = {"lead": 0, "cloze": 1}  # tie -> first variant, like BART in the original
+
+
+def _pairs(spark, sf):
+    return S.pairs(spark, sf)
+
+
+def _candidates(spark, sf):
+    return G.predictions(_pairs(spark, sf), "pair_id", "context")
+
+
+def _vocab(spark, sf):
+    return EN.add_token(EN.learn_vocab(S.documents(spark, sf), "text"))
+
+
+def _with_combined(spark, sf):
+    cands = _candidates(spark, sf)
+    combined = EN.ensemble(cands, _vocab(spark, sf), PRIORITY).drop("chosen")
+    return cands.unionByName(combined)
+
+
+@query("pairs")
+def q_pairs(spark, sf):
+    return _pairs(spark, sf)
+
+
+@query("generate_lead")
+def q_generate_lead(spark, sf):
+    return G.predictions(_pairs(spark, sf), "pair_id", "context", {"lead": G.lead_question})
+
+
+@query("generate_cloze")
+def q_generate_cloze(spark, sf):
+    return G.predictions(_pairs(spark, sf), "pair_id", "context", {"cloze": G.cloze_question})
+
+
+@query("vocab")
+def q_vocab(spark, sf):
+    return _vocab(spark, sf)
+
+
+@query("rare_words")
+def q_rare_words(spark, sf):
+    vv = EN.variant_vocab(_vocab(spark, sf), list(PRIORITY))
+    return EN.rare_word_counts(_candidates(spark, sf), vv)
+
+
+@query("ensemble_select")
+def q_ensemble_select(spark, sf):
+    return EN.ensemble(_candidates(spark, sf), _vocab(spark, sf), PRIORITY)
+
+
+@query("n_distinct_candidates")
+def q_n_distinct_candidates(spark, sf):
+    d = S.documents(spark, sf)
+    picked = G.first_n_distinct(G.sentence_candidates("text"), 5)
+    return d.select("doc_id", F.posexplode(picked).alias("rank", "candidate")).select(
+        "doc_id", (F.col("rank") + 1).cast("bigint").alias("rank"), "candidate")
+
+
+# ---------------------------------------------------------------- metrics (M4)
+
+def _scored_pairs(spark, sf, cands):
+    truth = _pairs(spark, sf).select("pair_id", "question")
+    return M.score_rows(cands.join(truth, "pair_id"))
+
+
+@query("rouge_l")
+def q_rouge_l(spark, sf):
+    s = _scored_pairs(spark, sf, _candidates(spark, sf))
+    return s.select("pair_id", "variant", *[F.round(f"rouge_{c[0]}", 6).alias(c)
+                                            for c in ("precision", "recall", "fmeasure")])
+
+
+@query("bleu")
+def q_bleu(spark, sf):
+    s = _scored_pairs(spark, sf, _candidates(spark, sf))
+    return s.select("pair_id", "variant", *[F.round(f"bleu{n}", 6).alias(f"bleu{n}")
+                                            for n in range(1, 5)])
+
+
+@query("meteor_exact")
+def q_meteor_exact(spark, sf):
+    s = _scored_pairs(spark, sf, _candidates(spark, sf))
+    return s.select("pair_id", "variant", "matches", "chunks",
+                    F.round("meteor", 6).alias("meteor"))
+
+
+@query("bootstrap_rouge")
+def q_bootstrap_rouge(spark, sf):
+    lead = G.predictions(_pairs(spark, sf), "pair_id", "context", {"lead": G.lead_question})
+    s = _scored_pairs(spark, sf, lead).select("pair_id", (100 * F.col("rouge_f")).alias("f"))
+    out = M.bootstrap_mean(s, "pair_id", "f")
+    return out.select(*[F.round(c, 6).alias(c) for c in ("low", "mid", "high")])
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf):
+    return M.leaderboard(_scored_pairs(spark, sf, _with_combined(spark, sf)))
