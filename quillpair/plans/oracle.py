@@ -310,3 +310,52 @@ oracle("leaderboard", _with(LB_CTES + [
                f"round(100 * avg(bleu{n}), 6) AS bleu{n}" for n in range(1, 5))
            + " FROM scored GROUP BY variant"),
 ], "SELECT *, CAST(rank() OVER (ORDER BY meteor DESC, variant) AS BIGINT) AS rank FROM lb"))
+
+# ---------------------------------------------------------------- features (M3)
+
+_PROMPT_CTES = [
+    ("p", PAIRS_SQL),
+    ("cfg", "SELECT * FROM (VALUES ('BART', '', ' '), ('T5', 'ask question: ', '<sep>')) "
+            "AS t(variant, prefix, joiner)"),
+    ("pr", "SELECT p.pair_id, cfg.variant, cfg.prefix || p.context || ' </s>' AS prompt, "
+           "replace(p.question, '{sep_token}', '<sep>') || ' </s>' AS target FROM p, cfg"),
+]
+oracle("prompts", _with(_PROMPT_CTES, "SELECT * FROM pr"))
+
+
+def _fixed(ids: str, max_len: int) -> str:
+    body = f"list_concat(list_slice({ids}, 1, {max_len - 1}), [{R.EOS_ID}])"
+    return (f"list_concat({body}, list_transform(range({max_len} - len({body})), "
+            f"lambda x: {R.PAD_ID}))")
+
+
+def _mask(ids: str, max_len: int) -> str:
+    n = f"least(len({ids}), {max_len - 1}) + 1"
+    return (f"list_concat(list_transform(range({n}), lambda x: 1), "
+            f"list_transform(range({max_len} - ({n})), lambda x: 0))")
+
+
+_FEAT_CTES = _PROMPT_CTES + VOCAB_CTES + [
+    ("et", "SELECT pair_id, variant, side, unnest(toks) AS token, unnest(range(len(toks))) AS pos "
+           "FROM (SELECT pair_id, variant, 0 AS side, " + Q.ws_tokens("prompt") + " AS toks FROM pr "
+           "UNION ALL SELECT pair_id, variant, 1 AS side, " + Q.ws_tokens("target") + " AS toks "
+           "FROM pr)"),
+    ("el", f"SELECT et.pair_id, et.variant, et.side, et.pos, coalesce(v.id, {R.UNK_ID}) AS id "
+           f"FROM et LEFT JOIN vocab v ON v.token = et.token"),
+    ("ids", "SELECT pr.pair_id, pr.variant, "
+            "coalesce(list(el.id ORDER BY el.pos) FILTER (WHERE el.side = 0), []) AS src, "
+            "coalesce(list(el.id ORDER BY el.pos) FILTER (WHERE el.side = 1), []) AS tgt "
+            "FROM pr LEFT JOIN el ON el.pair_id = pr.pair_id AND el.variant = pr.variant "
+            "GROUP BY pr.pair_id, pr.variant"),
+    ("feat", f"SELECT pair_id, variant, {_fixed('src', R.MAX_INPUT_LEN)} AS input_ids, "
+             f"{_mask('src', R.MAX_INPUT_LEN)} AS attention_mask, "
+             f"{_fixed('tgt', R.MAX_TARGET_LEN)} AS decoder_input_ids, "
+             f"{_mask('tgt', R.MAX_TARGET_LEN)} AS decoder_attention_mask FROM ids"),
+]
+oracle("encode_features", _with(_FEAT_CTES, "SELECT pair_id, variant, " + ", ".join(
+    f"array_to_string({c}, ',') AS {c}" for c in
+    ("input_ids", "attention_mask", "decoder_input_ids", "decoder_attention_mask")) + " FROM feat"))
+oracle("labels_masked", _with(_FEAT_CTES, "SELECT pair_id, variant, array_to_string("
+                              f"list_transform(decoder_input_ids, lambda x: CASE WHEN x = {R.PAD_ID} "
+                              f"THEN {R.LABEL_IGNORE} ELSE x END), ',') AS labels, "
+                              "CAST(list_sum(attention_mask) AS BIGINT) AS n_input FROM feat"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import ensemble as EN
+from ..operators import features as FE
 from ..operators import generate as G
 from ..operators import metrics as M
 from ..operators import profile as P
@@ -221,3 +222,34 @@ def q_bootstrap_rouge(spark, sf):
 @query("leaderboard")
 def q_leaderboard(spark, sf):
     return M.leaderboard(_scored_pairs(spark, sf, _with_combined(spark, sf)))
+
+
+# ---------------------------------------------------------------- features (M3)
+
+def _ids_text(c):
+    """Id arrays serialised as text for the order-insensitive hash compare."""
+    return F.array_join(F.col(c).cast("array<string>"), ",")
+
+
+@query("prompts")
+def q_prompts(spark, sf):
+    return FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
+
+
+@query("encode_features")
+def q_encode_features(spark, sf):
+    p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
+    f = FE.features(p, _vocab(spark, sf))
+    return f.select("pair_id", "variant", *[_ids_text(c).alias(c) for c in
+                                            ("input_ids", "attention_mask", "decoder_input_ids",
+                                             "decoder_attention_mask")])
+
+
+@query("labels_masked")
+def q_labels_masked(spark, sf):
+    p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
+    f = FE.features(p, _vocab(spark, sf))
+    lab = FE.masked_labels(F.col("decoder_input_ids"))
+    return f.select("pair_id", "variant", F.array_join(lab.cast("array<string>"), ",").alias("labels"),
+                    F.aggregate("attention_mask", F.lit(0).cast("bigint"),
+                                lambda a, x: a + x).alias("n_input"))
