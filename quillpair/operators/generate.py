@@ -37,11 +37,17 @@ def lead_question(context: Column | str) -> Column:
 
 def cloze_question(context: Column | str) -> Column:
     """Extractive generator: the first sentence with its longest word
-    (first on ties) replaced by ``what``."""
+    (first on ties) replaced by ``what``.
+
+    Written with slices, not a lambda over the token array: lambda bodies
+    are evaluated per element and would recompute the sentence split.
+    """
     toks = _first_sentence_tokens(context)
     lens = F.transform(toks, lambda x: F.length(x))
     best = F.array_position(lens, F.array_max(lens))  # 1-based, 0 when empty
-    swapped = F.transform(toks, lambda x, i: F.when(i + 1 == best, F.lit("what")).otherwise(x))
+    swapped = F.when(best > 0, F.concat(
+        F.slice(toks, 1, F.greatest(best - 1, F.lit(0))), F.array(F.lit("what")),
+        F.slice(toks, best + 1, F.size(toks)))).otherwise(toks)
     return _as_question(swapped)
 
 

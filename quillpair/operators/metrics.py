@@ -98,8 +98,12 @@ def bleu_columns(df: DataFrame, h: str, r: str, max_n: int = R.BLEU_MAX_N,
     Built as staged projections so each array is computed once per row.
     """
     hc, rc = F.col(h), F.col(r)
-    x = df.withColumns({f"_num{n}": clipped_matches(ngrams(hc, n), ngrams(rc, n))
-                        for n in range(1, max_n + 1)})
+    # n-gram arrays as columns: lambdas below must only see column references
+    x = df.withColumns({**{f"_hg{n}": ngrams(hc, n) for n in range(1, max_n + 1)},
+                        **{f"_rg{n}": ngrams(rc, n) for n in range(1, max_n + 1)}})
+    x = x.withColumns({f"_num{n}": clipped_matches(F.col(f"_hg{n}"), F.col(f"_rg{n}"))
+                       for n in range(1, max_n + 1)})
+    x = x.drop(*[f"_{s}g{n}" for s in "hr" for n in range(1, max_n + 1)])
     x = x.withColumns({"_nh": F.size(hc).cast("double"), "_nr": F.size(rc).cast("double")})
     nh, nr = F.col("_nh"), F.col("_nr")
     ps = {}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from .. import resources as R
 from . import sqltext as Q
+from ..functions import text as T
 
 ORACLE: dict[str, str] = {}
 
@@ -359,3 +360,39 @@ oracle("labels_masked", _with(_FEAT_CTES, "SELECT pair_id, variant, array_to_str
                               f"list_transform(decoder_input_ids, lambda x: CASE WHEN x = {R.PAD_ID} "
                               f"THEN {R.LABEL_IGNORE} ELSE x END), ',') AS labels, "
                               "CAST(list_sum(attention_mask) AS BIGINT) AS n_input FROM feat"))
+
+# ---------------------------------------------------------------- keywords (M5)
+
+_CONTENT = (lambda v: f"(regexp_full_match({v}, '\\p{{L}}{{2,}}') AND {v} NOT IN "
+                      f"({Q.stop_words_list()}))")
+TR_EDGE_CTES = [
+    ("ew", f"SELECT doc_id, regexp_extract_all(lower(text), {Q.q(T.WORD_RUN)}) AS w FROM documents"),
+    ("adj", "SELECT doc_id, unnest(list_transform(range(1, len(w)), "
+            "lambda i: {'a': w[i], 'b': w[i + 1]})) AS p FROM ew"),
+    ("und", f"SELECT DISTINCT doc_id, least(p.a, p.b) AS a, greatest(p.a, p.b) AS b FROM adj "
+            f"WHERE {_CONTENT('p.a')} AND {_CONTENT('p.b')} AND p.a <> p.b"),
+    ("edges", "SELECT doc_id, a AS src, b AS dst FROM und UNION ALL "
+              "SELECT doc_id, b AS src, a AS dst FROM und"),
+]
+
+
+def _textrank_ctes(iterations: int = 10, d: float = R.TEXTRANK_DAMPING) -> list[tuple[str, str]]:
+    ctes = TR_EDGE_CTES + [
+        ("deg", "SELECT doc_id, src, count(*) AS deg FROM edges GROUP BY doc_id, src"),
+        ("we", "SELECT e.doc_id, e.src, e.dst, 1.0 / deg.deg AS w FROM edges e "
+               "JOIN deg ON deg.doc_id = e.doc_id AND deg.src = e.src"),
+        ("r0", "SELECT doc_id, src AS word, 1.0 AS score FROM deg"),
+    ]
+    for t in range(1, iterations + 1):
+        ctes.append((f"r{t}", f"SELECT we.doc_id, we.dst AS word, {1 - d} + {d} * sum(we.w * r.score) "
+                              f"AS score FROM we JOIN r{t - 1} r ON r.doc_id = we.doc_id AND "
+                              f"r.word = we.src GROUP BY we.doc_id, we.dst"))
+    ctes.append(("ranked", f"SELECT doc_id, word, round(score, 6) AS score, row_number() OVER "
+                           f"(PARTITION BY doc_id ORDER BY round(score, 6) DESC, word) AS rank, "
+                           f"count(*) OVER (PARTITION BY doc_id) AS n FROM r{iterations}"))
+    return ctes
+
+
+oracle("textrank_edges", _with(TR_EDGE_CTES, "SELECT * FROM edges"))
+oracle("textrank_keywords", _with(_textrank_ctes(), "SELECT doc_id, CAST(rank AS BIGINT) AS rank, "
+                                  "word, score FROM ranked WHERE rank <= floor(0.2 * n)"))

@@ -16,6 +16,7 @@ from ..functions import text as T
 from ..operators import ensemble as EN
 from ..operators import features as FE
 from ..operators import generate as G
+from ..operators import keywords as KW
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import textprep as TP
@@ -253,3 +254,28 @@ def q_labels_masked(spark, sf):
     return f.select("pair_id", "variant", F.array_join(lab.cast("array<string>"), ",").alias("labels"),
                     F.aggregate("attention_mask", F.lit(0).cast("bigint"),
                                 lambda a, x: a + x).alias("n_input"))
+
+
+# ---------------------------------------------------------------- keywords (M5)
+
+@query("textrank_edges")
+def q_textrank_edges(spark, sf):
+    return KW.textrank_edges(S.documents(spark, sf), "doc_id", "text")
+
+
+@query("textrank_keywords")
+def q_textrank_keywords(spark, sf):
+    edges = KW.textrank_edges(S.documents(spark, sf), "doc_id", "text")
+    return KW.top_keywords(KW.textrank_scores(edges, "doc_id"), "doc_id")
+
+
+@query("keywords_text")
+def q_keywords_text(spark, sf):
+    return KW.keywords(S.documents(spark, sf), "doc_id", "text")
+
+
+@query("prompts_keywords")
+def q_prompts_keywords(spark, sf):
+    p = _pairs(spark, sf)
+    kw = KW.keywords(p, "pair_id", "context")
+    return FE.prompts(FE.with_keywords(p, kw), names=["BART with keywords", "T5 with keywords"])
