@@ -396,3 +396,37 @@ def _textrank_ctes(iterations: int = 10, d: float = R.TEXTRANK_DAMPING) -> list[
 oracle("textrank_edges", _with(TR_EDGE_CTES, "SELECT * FROM edges"))
 oracle("textrank_keywords", _with(_textrank_ctes(), "SELECT doc_id, CAST(rank AS BIGINT) AS rank, "
                                   "word, score FROM ranked WHERE rank <= floor(0.2 * n)"))
+
+# ---------------------------------------------------------------- grid, requests (M6, M7)
+
+_GRID_POINTS = [(200.0, 0.02), (200.0, 0.1), (1000.0, 0.02), (1000.0, 0.1)]
+_GRID_X = ("SELECT d.n_chars, l.quality, CASE WHEN length(d.text) = 0 THEN NULL ELSE "
+           "length(regexp_replace(d.text, '[\\x00-\\x7f]', '', 'g')) / length(d.text) END "
+           "AS non_ascii FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
+_GRID_RUNS = " UNION ALL ".join(
+    f"SELECT CAST({i + 1} AS BIGINT) AS ordinal, {a} AS min_chars, {b} AS max_non_ascii, "
+    f"avg(CASE WHEN (CASE WHEN n_chars >= {a} AND coalesce(non_ascii, 0.0) <= {b} THEN 1 ELSE 0 END)"
+    f" <> quality THEN 1.0 ELSE 0.0 END) AS loss FROM x"
+    for i, (a, b) in enumerate(_GRID_POINTS))
+oracle("grid_runs", _with([("x", _GRID_X), ("runs", _GRID_RUNS)],
+                          "SELECT ordinal, min_chars, max_non_ascii, round(loss, 6) AS loss FROM runs"))
+oracle("grid_best", _with([("x", _GRID_X), ("runs", _GRID_RUNS)],
+                          "SELECT ordinal, min_chars, max_non_ascii, round(loss, 6) AS loss FROM runs "
+                          "WHERE NOT isnan(loss) ORDER BY loss, ordinal LIMIT 1"))
+
+_MODELS = ", ".join(Q.q(m) for m in R.MODEL_NAMES + [R.COMBINED, "unknown"])
+_REQ = (f"SELECT conv_id * 1000000 + turn AS request_id, "
+        f"CASE WHEN role = 'system' THEN '' ELSE text END AS context, "
+        f"CASE WHEN turn = 0 THEN '' WHEN turn = 7 THEN 'seven' ELSE CAST(turn AS VARCHAR) END AS n, "
+        f"([{_MODELS}])[CAST(((conv_id + turn) % 6 + 6) % 6 + 1 AS INTEGER)] AS model "
+        f"FROM conversations")
+_NAMES = ", ".join(Q.q(m) for m in R.MODEL_NAMES)
+oracle("validate_requests", _with([("req", _REQ)], f"""
+SELECT request_id,
+       CASE WHEN model IN ({_NAMES}) THEN model ELSE 'combined' END AS variant,
+       TRY_CAST(n AS INTEGER) AS n_int,
+       CASE WHEN coalesce(context, '') = '' THEN {Q.q(R.MSG_EMPTY_CONTEXT)}
+            WHEN coalesce(n, '') = '' THEN {Q.q(R.MSG_EMPTY_N)}
+            WHEN TRY_CAST(n AS INTEGER) IS NULL THEN {Q.q(R.MSG_BAD_N)} END AS error,
+       TRY_CAST(n AS INTEGER) BETWEEN 1 AND 5 AS n_in_range
+FROM req"""))

@@ -16,6 +16,8 @@ from ..functions import text as T
 from ..operators import ensemble as EN
 from ..operators import features as FE
 from ..operators import generate as G
+from ..operators import grid as GR
+from ..operators import requests as RQ
 from ..operators import keywords as KW
 from ..operators import metrics as M
 from ..operators import profile as P
@@ -279,3 +281,56 @@ def q_prompts_keywords(spark, sf):
     p = _pairs(spark, sf)
     kw = KW.keywords(p, "pair_id", "context")
     return FE.prompts(FE.with_keywords(p, kw), names=["BART with keywords", "T5 with keywords"])
+
+
+# ---------------------------------------------------------------- grid, requests (M6, M7)
+
+GRID = {"min_chars": [200.0, 1000.0], "max_non_ascii": [0.02, 0.1]}
+
+
+def _grid_runs(spark, sf):
+    d = S.documents(spark, sf).select("doc_id", "n_chars", "text")
+    x = d.join(S.labels(spark, sf).select("doc_id", "quality"), "doc_id").select(
+        "n_chars", "quality",
+        F.try_divide(F.length(F.regexp_replace("text", r"[\x00-\x7f]", "")),
+                     F.length("text")).alias("non_ascii"))
+
+    def loss(p):
+        pred = ((F.col("n_chars") >= p["min_chars"])
+                & (F.coalesce(F.col("non_ascii"), F.lit(0.0)) <= p["max_non_ascii"])).cast("int")
+        return F.avg((pred != F.col("quality")).cast("double"))
+
+    return GR.score_grid(x, GRID, loss)
+
+
+@query("grid_runs")
+def q_grid_runs(spark, sf):
+    return _grid_runs(spark, sf).withColumn("loss", F.round("loss", 6))
+
+
+@query("grid_best")
+def q_grid_best(spark, sf):
+    b = GR.best_run(_grid_runs(spark, sf), list(GRID))
+    return b.withColumn("loss", F.round("loss", 6))
+
+
+def _requests(spark, sf):
+    return RQ.requests_from_conversations(S.conversations(spark, sf))
+
+
+@query("validate_requests")
+def q_validate_requests(spark, sf):
+    return RQ.validate(_requests(spark, sf)).select(
+        "request_id", "variant", "n_int", "error", "n_in_range")
+
+
+@query("answer_requests")
+def q_answer_requests(spark, sf):
+    return RQ.answer(_requests(spark, sf), _vocab(spark, sf))
+
+
+@query("request_stream")
+def q_request_stream(spark, sf):
+    from ..streaming.requests import run_requests_once
+    out = run_requests_once(spark, _requests(spark, sf), _vocab(spark, sf))
+    return out.drop("batch_id")
