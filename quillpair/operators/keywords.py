@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,38 +48,47 @@ def text_words(text: Column | str) -> Column:
 def textrank_edges(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Directed edge table (id, src, dst), both directions, no duplicates.
 
-    The word array is materialised as a column first: a lambda that
-    referenced the regex expression itself would re-run it per element.
+    Adjacent word pairs come from zipping each text's word array with itself
+    shifted by one (no lambdas: the explode and filters are code-generated).
+    Duplicate pairs are removed by an aggregate keyed by (id, pair), which
+    partial-aggregates per task and spreads one long text over many tasks.
     """
     words = df.select(F.col(id_col), text_words(text_col).alias("_w"))
-    w = F.col("_w")
-    adj = F.when(F.size(w) >= 2, F.transform(
-        F.sequence(F.lit(1), F.size(w) - 1),
-        lambda i: F.struct(F.get(w, i - 1).alias("a"), F.get(w, i).alias("b")))
-    ).otherwise(F.array().cast("array<struct<a:string,b:string>>"))
-    keep = F.filter(adj, lambda p: _is_content(p["a"]) & _is_content(p["b"]) & (p["a"] != p["b"]))
-    und = F.array_distinct(F.transform(keep, lambda p: F.struct(
-        F.least(p["a"], p["b"]).alias("a"), F.greatest(p["a"], p["b"]).alias("b"))))
-    e = words.select(id_col, F.explode(und).alias("e"))
-    both = F.array(F.struct(F.col("e.a").alias("src"), F.col("e.b").alias("dst")),
-                   F.struct(F.col("e.b").alias("src"), F.col("e.a").alias("dst")))
-    return e.select(id_col, F.inline(both))
+    n = F.size("_w")
+    zipped = F.when(n >= 2, F.arrays_zip(F.slice("_w", 1, n - 1).alias("a"),
+                                         F.slice("_w", 2, n - 1).alias("b")))
+    pairs = words.select(id_col, F.explode(zipped).alias("p")).select(id_col, "p.a", "p.b")
+    pairs = pairs.filter(_is_content(F.col("a")) & _is_content(F.col("b")) & (F.col("a") != F.col("b")))
+    und = pairs.select(id_col, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
+                   F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
+    return und.select(id_col, F.inline(both))
 
 
 def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
                     damping: float = R.TEXTRANK_DAMPING,
                     checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
-    """(id, word, score) after ``iterations`` PageRank steps from r = 1."""
-    deg = edges.groupBy(id_col, "src").agg(F.count(F.lit(1)).alias("deg"))
-    wedges = (edges.join(deg, [id_col, "src"])
-              .select(id_col, "src", "dst", (1.0 / F.col("deg")).alias("w")))
-    wedges = cut_lineage(wedges)  # reused by every iteration
-    ranks = deg.select(id_col, F.col("src").alias("word"), F.lit(1.0).alias("score"))
-    for t in range(1, iterations + 1):
-        msg = (wedges.join(ranks.withColumnRenamed("word", "src"), [id_col, "src"])
+    """(id, word, score) after ``iterations`` PageRank steps from r = 1.
+
+    The weighted edge table (w = 1 / out-degree, from a window keyed by
+    (id, src)) is built once and read by every iteration; since all ranks
+    start at 1, the first step needs no join.
+    """
+    deg = F.count(F.lit(1)).over(Window.partitionBy(id_col, "src"))
+    wedges = edges.select(id_col, "src", "dst", (1.0 / deg).alias("w"))
+    # Hash-partitioned on the join key and persisted (a checkpoint would drop
+    # the partitioning), so each iteration shuffles only the messages. Its
+    # lineage is short (scan -> edges -> window) if an executor is lost; the
+    # growing rank lineage is what gets checkpointed.
+    wedges = wedges.repartition(id_col, "src").persist(StorageLevel.MEMORY_AND_DISK)
+    step = lambda c: ((1 - damping) + damping * F.sum(c)).alias("score")
+    ranks = wedges.groupBy(id_col, F.col("dst").alias("word")).agg(step(F.col("w")))
+    for t in range(2, iterations + 1):
+        # never broadcast: both sides grow with the data; ranks build the hash table
+        msg = (wedges.join(ranks.withColumnRenamed("word", "src").hint("shuffle_hash"),
+                           [id_col, "src"])
                .select(id_col, F.col("dst").alias("word"), (F.col("w") * F.col("score")).alias("c")))
-        ranks = msg.groupBy(id_col, "word").agg(
-            ((1 - damping) + damping * F.sum("c")).alias("score"))
+        ranks = msg.groupBy(id_col, "word").agg(step(F.col("c")))
         if t % checkpoint_every == 0 and t < iterations:
             ranks = cut_lineage(ranks)
     return ranks
