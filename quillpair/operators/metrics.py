@@ -25,6 +25,7 @@ from pyspark.sql.types import LongType
 
 from .. import resources as R
 from ..functions import text as T
+from ..functions.stem import stem_tokens
 
 
 def _empty() -> Column:
@@ -137,20 +138,47 @@ def _rank_keys(t: Column) -> Column:
         F.size(F.filter(F.slice(t, i + 2, F.size(t) + 1), lambda y: y == x)).cast("string")))
 
 
-def meteor_columns(df: DataFrame, h: str, r: str) -> DataFrame:
-    """Add ``matches``, ``chunks``, ``meteor``: METEOR with the exact-match
-    stage (J7). ``h``/``r`` name lower-cased token-array columns.
+def _greedy_pairs(hk: str, rk: str) -> Column:
+    """0-based (i, j) pairs of equal rank keys, in hypothesis order."""
+    pairs = F.transform(F.col(hk), lambda k, i: F.struct(
+        i.alias("i"), (F.array_position(F.col(rk), k) - 1).cast("int").alias("j")))
+    return F.filter(pairs, lambda s: s["j"] >= 0)
+
+
+def _unmatched(stems: str, taken: Column) -> Column:
+    """(position, stem) of the tokens the exact stage left unmatched."""
+    tagged = F.transform(F.col(stems), lambda s, i: F.struct(i.alias("p"), s.alias("s")))
+    return F.filter(tagged, lambda x: ~F.array_contains(taken, x["p"]))
+
+
+def meteor_columns(df: DataFrame, h: str, r: str,
+                   h_stems: str | None = None, r_stems: str | None = None) -> DataFrame:
+    """Add ``matches``, ``chunks``, ``meteor``: METEOR's exact stage and,
+    when stem columns are given, its Porter-stem stage (J7). ``h``/``r``
+    name lower-cased token-array columns; ``h_stems``/``r_stems`` the
+    aligned stem arrays.
 
     The greedy alignment from the end pairs the k-th last occurrence of a
     word in the hypothesis with its k-th last occurrence in the reference,
-    so it is a lookup on (token, rank from end) (C8, E4). Chunks are runs of
-    matches adjacent on both sides (E5).
+    so it is a lookup on (token, rank from end) (C8, E4). The stem stage
+    does the same over the tokens still unmatched, and the union is ordered
+    by hypothesis position. Chunks are runs of matches adjacent on both
+    sides (E5).
     """
     hc, rc = F.col(h), F.col(r)
     x = df.withColumns({"_hk": _rank_keys(hc), "_rk": _rank_keys(rc)})
-    pairs = F.transform(F.col("_hk"), lambda k, i: F.struct(
-        i.alias("i"), F.array_position(F.col("_rk"), k).alias("j")))
-    x = x.withColumn("_m", F.filter(pairs, lambda s: s["j"] > 0)).drop("_hk", "_rk")
+    x = x.withColumn("_m", _greedy_pairs("_hk", "_rk")).drop("_hk", "_rk")
+    if h_stems is not None and r_stems is not None:
+        x = x.withColumns({
+            "_hu": _unmatched(h_stems, F.transform(F.col("_m"), lambda s: s["i"])),
+            "_ru": _unmatched(r_stems, F.transform(F.col("_m"), lambda s: s["j"]))})
+        x = x.withColumns({"_hk": _rank_keys(F.transform(F.col("_hu"), lambda u: u["s"])),
+                           "_rk": _rank_keys(F.transform(F.col("_ru"), lambda u: u["s"]))})
+        stem_pairs = F.transform(_greedy_pairs("_hk", "_rk"), lambda s: F.struct(
+            F.element_at(F.col("_hu"), s["i"] + 1)["p"].alias("i"),
+            F.element_at(F.col("_ru"), s["j"] + 1)["p"].alias("j")))
+        x = (x.withColumn("_m", F.array_sort(F.concat(F.col("_m"), stem_pairs)))
+             .drop("_hu", "_ru", "_hk", "_rk"))
     m_arr = F.col("_m")
     m = F.size(m_arr)
     breaks = F.when(m > 1, F.size(F.filter(
@@ -171,11 +199,13 @@ def meteor_columns(df: DataFrame, h: str, r: str) -> DataFrame:
 
 # ------------------------------------------------------------------ corpus level
 
-def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "question") -> DataFrame:
-    """Sentence ROUGE-L, METEOR (exact) and BLEU-1..4 next to the input columns.
+def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "question",
+               stems: bool = False) -> DataFrame:
+    """Sentence ROUGE-L, METEOR and BLEU-1..4 next to the input columns.
 
-    Token arrays are computed once in their own projection and reused by
-    every score.
+    METEOR uses the exact stage, plus the Porter-stem stage when ``stems``
+    is set. Token arrays are computed once in their own projection and
+    reused by every score.
     """
     toks = df.withColumns({
         "_hr": T.rouge_tokens(hyp_col), "_rr": T.rouge_tokens(ref_col),
@@ -183,7 +213,11 @@ def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "questi
         "_hw": T.ws_tokens(F.lower(F.col(hyp_col))), "_rw": T.ws_tokens(F.lower(F.col(ref_col))),
     })
     x = rouge_columns(toks, "_hr", "_rr")
-    x = meteor_columns(x, "_hw", "_rw")
+    if stems:
+        x = x.withColumns({"_hs": stem_tokens("_hw"), "_rs": stem_tokens("_rw")})
+        x = meteor_columns(x, "_hw", "_rw", "_hs", "_rs").drop("_hs", "_rs")
+    else:
+        x = meteor_columns(x, "_hw", "_rw")
     x = bleu_columns(x, "_ht", "_rt")
     return x.drop("_hr", "_rr", "_ht", "_rt", "_hw", "_rw")
 

@@ -193,6 +193,7 @@ def _scored_pairs(spark, sf, cands):
     return M.score_rows(cands.join(truth, "pair_id"))
 
 
+
 @query("rouge_l")
 def q_rouge_l(spark, sf):
     s = _scored_pairs(spark, sf, _candidates(spark, sf))
@@ -214,6 +215,14 @@ def q_meteor_exact(spark, sf):
                     F.round("meteor", 6).alias("meteor"))
 
 
+@query("meteor_stem")
+def q_meteor_stem(spark, sf):
+    truth = _pairs(spark, sf).select("pair_id", "question")
+    s = M.score_rows(_candidates(spark, sf).join(truth, "pair_id"), stems=True)
+    return s.select("pair_id", "variant", "matches", "chunks",
+                    F.round("meteor", 6).alias("meteor"))
+
+
 @query("bootstrap_rouge")
 def q_bootstrap_rouge(spark, sf):
     lead = G.predictions(_pairs(spark, sf), "pair_id", "context", {"lead": G.lead_question})
