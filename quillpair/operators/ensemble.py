@@ -49,24 +49,31 @@ def variant_vocab(vocab: DataFrame, variants: Sequence[str]) -> DataFrame:
                         "token")
 
 
-def rare_word_counts(cands: DataFrame, vocab_by_variant: DataFrame, id_col: str = "pair_id",
+def _keys(id_col: str | Sequence[str]) -> list[str]:
+    return [id_col] if isinstance(id_col, str) else list(id_col)
+
+
+def rare_word_counts(cands: DataFrame, vocab_by_variant: DataFrame,
+                     id_col: str | Sequence[str] = "pair_id",
                      text_col: str = "generated") -> DataFrame:
     """Candidates with the number of their whitespace words absent from that
     variant's vocabulary, duplicates counted, 0 when none (C4, D14).
+    ``id_col`` may be several key columns (e.g. id and rank).
 
     The vocabulary is bounded (see ``learn_vocab``) and broadcast, so hot
     tokens never meet in one task. Grouping on (id, variant, text) keeps
     the text, so no join back to the candidates is needed.
     """
-    words = cands.select(id_col, "variant", text_col,
+    keys = _keys(id_col)
+    words = cands.select(*keys, "variant", text_col,
                          F.explode_outer(T.ws_tokens(text_col)).alias("token"))
     hit = F.broadcast(vocab_by_variant.select("variant", "token", F.lit(True).alias("_in")))
     flagged = words.join(hit, ["variant", "token"], "left")
-    return flagged.groupBy(id_col, "variant", text_col).agg(
+    return flagged.groupBy(*keys, "variant", text_col).agg(
         F.count_if(F.col("token").isNotNull() & F.col("_in").isNull()).alias("rare_words"))
 
 
-def select_best(rated: DataFrame, priority: dict[str, int], id_col: str = "pair_id",
+def select_best(rated: DataFrame, priority: dict[str, int], id_col: str | Sequence[str] = "pair_id",
                 text_col: str = "generated", out_variant: str = R.COMBINED) -> DataFrame:
     """Per id, the candidate with the fewest rare words, then the fewest
     characters, then the first variant (E1, J4). ``rated`` carries
@@ -74,18 +81,30 @@ def select_best(rated: DataFrame, priority: dict[str, int], id_col: str = "pair_
     prio = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
     key = F.struct(F.col("rare_words"), F.length(text_col).alias("len"),
                    F.element_at(prio, F.col("variant")).alias("prio"))
-    best = rated.groupBy(id_col).agg(F.min_by(F.struct("variant", text_col), key).alias("b"))
-    return best.select(id_col, F.lit(out_variant).alias("variant"),
+    keys = _keys(id_col)
+    best = rated.groupBy(*keys).agg(F.min_by(F.struct("variant", text_col), key).alias("b"))
+    return best.select(*keys, F.lit(out_variant).alias("variant"),
                        F.col(f"b.{text_col}").alias(text_col),
                        F.col("b.variant").alias("chosen"))
 
 
 def ensemble(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
-             id_col: str = "pair_id", text_col: str = "generated") -> DataFrame:
+             id_col: str | Sequence[str] = "pair_id", text_col: str = "generated") -> DataFrame:
     """Rare-word ensemble of several generators' candidates.
 
     One shuffle on the id serves both aggregates (per candidate, then per id).
     """
-    cands = cands.repartition(id_col)
+    cands = cands.repartition(_keys(id_col)[0])
     rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col)
     return select_best(rated, priority, id_col, text_col)
+
+
+def ensemble_ranked(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
+                    id_col: str = "pair_id", rank_col: str = "rank",
+                    text_col: str = "generated") -> DataFrame:
+    """Pair the models' candidates by rank and pick per (id, rank).
+
+    A rank that only one model reached keeps that model's candidate. The
+    shuffle is on the id alone, so one exchange serves both aggregates.
+    """
+    return ensemble(cands, vocab, priority, [id_col, rank_col], text_col)

@@ -25,6 +25,10 @@ def _first_sentence_tokens(context: Column | str) -> Column:
     return F.slice(toks, 1, R.MAX_GEN_TOKENS)  # generator output limit (max_length)
 
 
+def _capped_tokens(sentence: Column) -> Column:
+    return F.slice(T.ws_tokens(sentence), 1, R.MAX_GEN_TOKENS)
+
+
 def _as_question(tokens: Column) -> Column:
     body = F.regexp_replace(F.array_join(tokens, " "), "[.!?]+$", "")
     return F.when(body == "", F.lit("")).otherwise(F.concat(body, F.lit("?")))
@@ -42,7 +46,10 @@ def cloze_question(context: Column | str) -> Column:
     Written with slices, not a lambda over the token array: lambda bodies
     are evaluated per element and would recompute the sentence split.
     """
-    toks = _first_sentence_tokens(context)
+    return _cloze_from_tokens(_first_sentence_tokens(context))
+
+
+def _cloze_from_tokens(toks: Column) -> Column:
     lens = F.transform(toks, lambda x: F.length(x))
     best = F.array_position(lens, F.array_max(lens))  # 1-based, 0 when empty
     swapped = F.when(best > 0, F.concat(
@@ -53,6 +60,9 @@ def cloze_question(context: Column | str) -> Column:
 
 EXTRACTIVE = {"lead": lead_question, "cloze": cloze_question}
 
+# Per-sentence forms, for generators that return n ranked sequences.
+RANKED = {"lead": _as_question, "cloze": _cloze_from_tokens}
+
 
 def predictions(df: DataFrame, id_col: str, context_col: str,
                 generators: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
@@ -99,3 +109,25 @@ def sentence_candidates(text: Column | str) -> Column:
     """Stand-in for ``num_return_sequences``: the sentences of a text in
     order, whitespace-normalised, as ranked candidates."""
     return F.transform(T.sentences(text), lambda s: F.array_join(T.ws_tokens(s), " "))
+
+
+def _per_sentence(fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda s: fn(_capped_tokens(s))
+
+
+def ranked_predictions(df: DataFrame, id_col: str, context_col: str, n: Column | int,
+                       generators: dict[str, Callable[[Column], Column]] | None = None
+                       ) -> DataFrame:
+    """One row per (id, variant, rank): each generator's first ``n``
+    distinct questions, one per sentence of the context in order (J3, F2,
+    E2). Row-local: the per-variant arrays are built and unpivoted in one
+    projection, with no shuffle."""
+    gens = generators or RANKED
+    sents = T.sentences(F.col(context_col))
+    rows = F.array(*[F.struct(
+        F.lit(name).alias("variant"),
+        first_n_distinct(F.transform(sents, _per_sentence(fn)), n).alias("qs"))
+        for name, fn in gens.items()])
+    per_variant = df.select(id_col, F.inline(rows))
+    return per_variant.select(id_col, "variant", F.posexplode("qs").alias("rank", "generated")
+                              ).withColumn("rank", (F.col("rank") + 1).cast("bigint"))

@@ -173,6 +173,37 @@ oracle("vocab", _with(VOCAB_CTES, "SELECT * FROM vocab"))
 oracle("rare_words", _with(RATED_CTES, "SELECT * FROM rated"))
 oracle("ensemble_select", _with(RATED_CTES, "SELECT * FROM ens"))
 
+_SENT_TOKS = (f"list_transform({Q.sentences('context')}, lambda s: "
+              f"list_slice({Q.ws_tokens('s')}, 1, {R.MAX_GEN_TOKENS}))")
+RANKED_CTES = [
+    ("p", PAIRS_SQL),
+    ("st", f"SELECT pair_id, {_SENT_TOKS} AS sl FROM p"),
+    ("qs", f"SELECT pair_id, 'lead' AS variant, "
+           f"list_transform(sl, lambda toks: {_as_question('toks')}) AS q FROM st UNION ALL "
+           f"SELECT pair_id, 'cloze' AS variant, "
+           f"list_transform(sl, lambda toks: {_as_question(_CLOZE_TOKS)}) AS q FROM st"),
+    ("qe", "SELECT pair_id, variant, unnest(q) AS generated, unnest(range(1, len(q) + 1)) AS pos "
+           "FROM qs"),
+    ("qf", "SELECT pair_id, variant, generated, min(pos) AS first_pos FROM qe "
+           "GROUP BY pair_id, variant, generated"),
+    ("cands", "SELECT pair_id, variant, generated, row_number() OVER "
+              "(PARTITION BY pair_id, variant ORDER BY first_pos) AS rank FROM qf"),
+] + VOCAB_CTES + [
+    ("rc", "SELECT pair_id, variant, rank, generated, unnest(" + Q.ws_tokens("generated") +
+           ") AS token FROM cands WHERE rank <= 5"),
+    ("rated", "SELECT c.pair_id, c.variant, c.rank, c.generated, "
+              "count(*) FILTER (WHERE r.token IS NOT NULL AND r.token NOT IN "
+              "(SELECT token FROM vocab)) AS rare_words FROM cands c LEFT JOIN rc r "
+              "ON r.pair_id = c.pair_id AND r.variant = c.variant AND r.rank = c.rank "
+              "WHERE c.rank <= 5 GROUP BY c.pair_id, c.variant, c.rank, c.generated"),
+]
+oracle("ensemble_ranked", _with(RANKED_CTES, (
+    "SELECT pair_id, CAST(rank AS BIGINT) AS rank, 'combined' AS variant, "
+    "arg_min(generated, (rare_words, length(generated), "
+    "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS generated, "
+    "arg_min(variant, (rare_words, length(generated), "
+    "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS chosen FROM rated GROUP BY pair_id, rank")))
+
 _SENTS = f"list_transform({Q.sentences('text')}, lambda s: array_to_string({Q.ws_tokens('s')}, ' '))"
 oracle("n_distinct_candidates", _with([
     ("s", f"SELECT doc_id, unnest({_SENTS}) AS candidate, "

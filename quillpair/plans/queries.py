@@ -178,6 +178,12 @@ def q_ensemble_select(spark, sf):
     return EN.ensemble(_candidates(spark, sf), _vocab(spark, sf), PRIORITY)
 
 
+@query("ensemble_ranked")
+def q_ensemble_ranked(spark, sf):
+    cands = G.ranked_predictions(_pairs(spark, sf), "pair_id", "context", 5)
+    return EN.ensemble_ranked(cands, _vocab(spark, sf), PRIORITY)
+
+
 @query("n_distinct_candidates")
 def q_n_distinct_candidates(spark, sf):
     d = S.documents(spark, sf)
