@@ -10,6 +10,11 @@
   ranks and one aggregate on (doc, dst): message passing keyed by
   (doc, word), so even one enormous document spreads over many tasks.
   Lineage is cut with reliable checkpoints in the shared folder.
+* Two physical paths, same numbers: a text below ``LOCAL_MAX_CHARS`` is
+  one row whose whole graph fits a task, so its PageRank runs inside that
+  row (an Arrow-batched NumPy helper, one ``bincount`` per iteration) and
+  its ranking is a row-local ``array_sort``: no shuffle at all. Longer
+  texts take the relational path above.
 * Selection: the top ``floor(ratio * nodes)`` words per document by score
   (rounded to 6 digits), ties by word.
 * Phrases: kept words that follow each other in the text are merged; each
@@ -22,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +40,7 @@ from ..session import cut_lineage
 CONTENT_WORD = r"^\p{L}{2,}$"
 ITERATIONS = 10
 CHECKPOINT_EVERY = 5
+LOCAL_MAX_CHARS = 1_000_000  # texts up to this size rank inside their own row
 
 
 def _is_content(x: Column) -> Column:
@@ -94,6 +101,77 @@ def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
     return ranks
 
 
+def _row_pagerank(words, content, iterations: int, damping: float) -> list[dict]:
+    """PageRank of one text's adjacency graph (same graph and update as the
+    relational path): distinct undirected edges between adjacent content
+    words, r = (1 - d) + d * sum(r_src / deg_src), from r = 1."""
+    if words is None or len(words) < 2:
+        return []
+    w = np.asarray(words, dtype=object)
+    c = np.asarray(content, dtype=bool)
+    ok = c[:-1] & c[1:] & (w[:-1] != w[1:])
+    if not ok.any():
+        return []
+    a, b = w[:-1][ok], w[1:][ok]
+    nodes, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
+    v = len(nodes)
+    ia, ib = inv[:len(a)], inv[len(a):]
+    key = np.unique(np.minimum(ia, ib).astype(np.int64) * v + np.maximum(ia, ib))
+    lo, hi = key // v, key % v
+    src, dst = np.concatenate([lo, hi]), np.concatenate([hi, lo])
+    wt = 1.0 / np.bincount(src, minlength=v)[src]
+    r = np.ones(v)
+    for _ in range(iterations):
+        r = (1 - damping) + damping * np.bincount(dst, weights=wt * r[src], minlength=v)
+    return [{"word": nodes[i], "score": float(r[i])} for i in range(v)]
+
+
+def _row_scores_udf(iterations: int, damping: float):
+    @F.pandas_udf("array<struct<word:string,score:double>>")
+    def scores(words: pd.Series, content: pd.Series) -> pd.Series:
+        return pd.Series([_row_pagerank(w, c, iterations, damping)
+                          for w, c in zip(words, content)])
+    return scores
+
+
+def _is_local(text: Column) -> Column:
+    return F.coalesce(F.length(text), F.lit(0)) <= LOCAL_MAX_CHARS
+
+
+def _local_kept(words: Column, iterations: int, damping: float, ratio: float) -> Column:
+    """Row-local scores, rounded, ordered by (score desc, word) and cut to
+    the top ``floor(ratio * nodes)``: array<struct<word, score>>."""
+    content = F.transform(words, _is_content)
+    sc = _row_scores_udf(iterations, damping)(words, content)
+    keyed = F.array_sort(F.transform(sc, lambda x: F.struct(
+        (-F.round(x["score"], 6)).alias("k"), x["word"].alias("word"),
+        F.round(x["score"], 6).alias("score"))))
+    keep = F.floor(F.lit(ratio) * F.size(sc)).cast("int")
+    return F.transform(F.slice(keyed, 1, keep), lambda x: F.struct(x["word"].alias("word"),
+                                                                    x["score"].alias("score")))
+
+
+def textrank_top(df: DataFrame, id_col: str, text_col: str, ratio: float = R.KEYWORD_RATIO,
+                 iterations: int = ITERATIONS, damping: float = R.TEXTRANK_DAMPING) -> DataFrame:
+    """(id, rank, word, score): TextRank's kept words per text.
+
+    Texts up to ``LOCAL_MAX_CHARS`` rank inside their row; longer ones go
+    through the relational PageRank, so no text is ever too big.
+    """
+    local = df.filter(_is_local(F.col(text_col))).select(F.col(id_col),
+                                                         text_words(text_col).alias("_w"))
+    local = local.select(id_col, _local_kept(F.col("_w"), iterations, damping, ratio).alias("_k"))
+    # posexplode_outer: a plain posexplode makes Catalyst infer a size(_k) > 0
+    # filter and push it (with the Python scoring) below the repartition
+    local = (local.select(id_col, F.posexplode_outer("_k").alias("rank", "k"))
+             .filter(F.col("k").isNotNull())
+             .select(id_col, (F.col("rank") + 1).cast("bigint").alias("rank"), "k.word", "k.score"))
+    big = df.filter(~_is_local(F.col(text_col)))
+    dist = top_keywords(textrank_scores(textrank_edges(big, id_col, text_col), id_col,
+                                        iterations, damping), id_col, ratio)
+    return local.unionByName(dist)
+
+
 def top_keywords(scores: DataFrame, id_col: str, ratio: float = R.KEYWORD_RATIO) -> DataFrame:
     """(id, rank, word, score): the best ``floor(ratio * nodes)`` words.
 
@@ -150,14 +228,28 @@ def _merge_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def keywords(df: DataFrame, id_col: str, text_col: str, ratio: float = R.KEYWORD_RATIO,
-             iterations: int = ITERATIONS) -> DataFrame:
+             iterations: int = ITERATIONS, damping: float = R.TEXTRANK_DAMPING) -> DataFrame:
     """(id, keywords): TextRank keyword string per text, phrases joined by a
-    space (J1, H19); empty when the text has no edges."""
-    kept = top_keywords(textrank_scores(textrank_edges(df, id_col, text_col), id_col, iterations),
-                        id_col, ratio)
-    per_doc = kept.groupBy(id_col).agg(F.collect_list(F.struct("word", "score")).alias("_kept"))
-    rows = (df.select(F.col(id_col), text_words(text_col).alias("_tokens"))
+    space (J1, H19); empty when the text has no edges.
+
+    Short texts carry their kept words in the same row as their tokens, so
+    the phrase merge needs no join; long texts join their relational
+    result back by id.
+    """
+    words = text_words(text_col)
+    local = df.filter(_is_local(F.col(text_col))).select(
+        F.col(id_col).cast("bigint").alias("_id"), words.alias("_tokens")).withColumn(
+        "_kept", _local_kept(F.col("_tokens"), iterations, damping, ratio))
+    big = df.filter(~_is_local(F.col(text_col)))
+    kept = top_keywords(textrank_scores(textrank_edges(big, id_col, text_col), id_col,
+                                        iterations, damping), id_col, ratio)
+    per_doc = kept.groupBy(id_col).agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("k"), "word", "score")))
+        .alias("_kept"))
+    dist = (big.select(F.col(id_col), words.alias("_tokens"))
             .join(per_doc, id_col, "left")
-            .select(F.col(id_col).cast("bigint").alias("_id"), "_tokens", "_kept"))
-    out = rows.mapInPandas(_merge_batches, "_id bigint, keywords string")
+            .select(F.col(id_col).cast("bigint").alias("_id"), "_tokens",
+                    F.transform("_kept", lambda x: F.struct(x["word"].alias("word"),
+                                                            x["score"].alias("score"))).alias("_kept")))
+    out = local.unionByName(dist).mapInPandas(_merge_batches, "_id bigint, keywords string")
     return out.withColumnRenamed("_id", id_col)

@@ -282,8 +282,7 @@ def q_textrank_edges(spark, sf):
 
 @query("textrank_keywords")
 def q_textrank_keywords(spark, sf):
-    edges = KW.textrank_edges(S.documents(spark, sf), "doc_id", "text")
-    return KW.top_keywords(KW.textrank_scores(edges, "doc_id"), "doc_id")
+    return KW.textrank_top(S.documents(spark, sf), "doc_id", "text")
 
 
 @query("keywords_text")
