@@ -55,7 +55,7 @@ def _keys(id_col: str | Sequence[str]) -> list[str]:
 
 def rare_word_counts(cands: DataFrame, vocab_by_variant: DataFrame,
                      id_col: str | Sequence[str] = "pair_id",
-                     text_col: str = "generated") -> DataFrame:
+                     text_col: str = "generated", carry: Sequence[str] = ()) -> DataFrame:
     """Candidates with the number of their whitespace words absent from that
     variant's vocabulary, duplicates counted, 0 when none (C4, D14).
     ``id_col`` may be several key columns (e.g. id and rank).
@@ -65,16 +65,18 @@ def rare_word_counts(cands: DataFrame, vocab_by_variant: DataFrame,
     the text, so no join back to the candidates is needed.
     """
     keys = _keys(id_col)
-    words = cands.select(*keys, "variant", text_col,
+    words = cands.select(*keys, "variant", text_col, *carry,
                          F.explode_outer(T.ws_tokens(text_col)).alias("token"))
     hit = F.broadcast(vocab_by_variant.select("variant", "token", F.lit(True).alias("_in")))
     flagged = words.join(hit, ["variant", "token"], "left")
     return flagged.groupBy(*keys, "variant", text_col).agg(
-        F.count_if(F.col("token").isNotNull() & F.col("_in").isNull()).alias("rare_words"))
+        F.count_if(F.col("token").isNotNull() & F.col("_in").isNull()).alias("rare_words"),
+        *[F.first(c).alias(c) for c in carry])  # carried columns depend on the id only
 
 
 def select_best(rated: DataFrame, priority: dict[str, int], id_col: str | Sequence[str] = "pair_id",
-                text_col: str = "generated", out_variant: str = R.COMBINED) -> DataFrame:
+                text_col: str = "generated", out_variant: str = R.COMBINED,
+                carry: Sequence[str] = ()) -> DataFrame:
     """Per id, the candidate with the fewest rare words, then the fewest
     characters, then the first variant (E1, J4). ``rated`` carries
     ``rare_words`` (see :func:`rare_word_counts`)."""
@@ -82,21 +84,23 @@ def select_best(rated: DataFrame, priority: dict[str, int], id_col: str | Sequen
     key = F.struct(F.col("rare_words"), F.length(text_col).alias("len"),
                    F.element_at(prio, F.col("variant")).alias("prio"))
     keys = _keys(id_col)
-    best = rated.groupBy(*keys).agg(F.min_by(F.struct("variant", text_col), key).alias("b"))
-    return best.select(*keys, F.lit(out_variant).alias("variant"),
+    best = rated.groupBy(*keys).agg(F.min_by(F.struct("variant", text_col, *carry), key).alias("b"))
+    return best.select(*keys, *[F.col(f"b.{c}").alias(c) for c in carry],
+                       F.lit(out_variant).alias("variant"),
                        F.col(f"b.{text_col}").alias(text_col),
                        F.col("b.variant").alias("chosen"))
 
 
 def ensemble(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
-             id_col: str | Sequence[str] = "pair_id", text_col: str = "generated") -> DataFrame:
+             id_col: str | Sequence[str] = "pair_id", text_col: str = "generated",
+             carry: Sequence[str] = ()) -> DataFrame:
     """Rare-word ensemble of several generators' candidates.
 
     One shuffle on the id serves both aggregates (per candidate, then per id).
     """
     cands = cands.repartition(_keys(id_col)[0])
-    rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col)
-    return select_best(rated, priority, id_col, text_col)
+    rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col, carry)
+    return select_best(rated, priority, id_col, text_col, carry=carry)
 
 
 def ensemble_ranked(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],

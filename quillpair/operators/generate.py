@@ -9,7 +9,7 @@ end without model weights.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -65,16 +65,18 @@ RANKED = {"lead": _as_question, "cloze": _cloze_from_tokens}
 
 
 def predictions(df: DataFrame, id_col: str, context_col: str,
-                generators: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+                generators: dict[str, Callable[[Column], Column]] | None = None,
+                carry: Sequence[str] = ()) -> DataFrame:
     """One row per (id, variant) with the generated question.
 
     The variants are a short fixed list, so they are unpivoted with
-    ``inline`` on each row (no join, no shuffle).
+    ``inline`` on each row (no join, no shuffle). ``carry`` columns (e.g.
+    the reference question) ride along, so scoring needs no join back.
     """
     gens = generators or EXTRACTIVE
     rows = F.array(*[F.struct(F.lit(name).alias("variant"), fn(F.col(context_col)).alias("generated"))
                      for name, fn in gens.items()])
-    return df.select(id_col, F.inline(rows))
+    return df.select(id_col, *carry, F.inline(rows))
 
 
 def generate_with(df: DataFrame, prompt_col: str, factory: Callable[[], Callable[[list[str]], list]],

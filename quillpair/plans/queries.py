@@ -141,9 +141,14 @@ def _vocab(spark, sf):
     return EN.add_token(EN.learn_vocab(S.documents(spark, sf), "text"))
 
 
+def _scored_candidates(spark, sf, generators=None):
+    """Candidates with their reference question carried along (no join back)."""
+    return G.predictions(_pairs(spark, sf), "pair_id", "context", generators, carry=["question"])
+
+
 def _with_combined(spark, sf):
-    cands = _candidates(spark, sf)
-    combined = EN.ensemble(cands, _vocab(spark, sf), PRIORITY).drop("chosen")
+    cands = _scored_candidates(spark, sf)
+    combined = EN.ensemble(cands, _vocab(spark, sf), PRIORITY, carry=["question"]).drop("chosen")
     return cands.unionByName(combined)
 
 
@@ -194,52 +199,50 @@ def q_n_distinct_candidates(spark, sf):
 
 # ---------------------------------------------------------------- metrics (M4)
 
-def _scored_pairs(spark, sf, cands):
-    truth = _pairs(spark, sf).select("pair_id", "question")
-    return M.score_rows(cands.join(truth, "pair_id"))
+def _scored_pairs(spark, sf, generators=None, stems=False):
+    return M.score_rows(_scored_candidates(spark, sf, generators), stems=stems)
 
 
 
 @query("rouge_l")
 def q_rouge_l(spark, sf):
-    s = _scored_pairs(spark, sf, _candidates(spark, sf))
+    s = _scored_pairs(spark, sf)
     return s.select("pair_id", "variant", *[F.round(f"rouge_{c[0]}", 6).alias(c)
                                             for c in ("precision", "recall", "fmeasure")])
 
 
 @query("bleu")
 def q_bleu(spark, sf):
-    s = _scored_pairs(spark, sf, _candidates(spark, sf))
+    s = _scored_pairs(spark, sf)
     return s.select("pair_id", "variant", *[F.round(f"bleu{n}", 6).alias(f"bleu{n}")
                                             for n in range(1, 5)])
 
 
 @query("meteor_exact")
 def q_meteor_exact(spark, sf):
-    s = _scored_pairs(spark, sf, _candidates(spark, sf))
+    s = _scored_pairs(spark, sf)
     return s.select("pair_id", "variant", "matches", "chunks",
                     F.round("meteor", 6).alias("meteor"))
 
 
 @query("meteor_stem")
 def q_meteor_stem(spark, sf):
-    truth = _pairs(spark, sf).select("pair_id", "question")
-    s = M.score_rows(_candidates(spark, sf).join(truth, "pair_id"), stems=True)
+    s = _scored_pairs(spark, sf, stems=True)
     return s.select("pair_id", "variant", "matches", "chunks",
                     F.round("meteor", 6).alias("meteor"))
 
 
 @query("bootstrap_rouge")
 def q_bootstrap_rouge(spark, sf):
-    lead = G.predictions(_pairs(spark, sf), "pair_id", "context", {"lead": G.lead_question})
-    s = _scored_pairs(spark, sf, lead).select("pair_id", (100 * F.col("rouge_f")).alias("f"))
+    s = _scored_pairs(spark, sf, {"lead": G.lead_question}).select(
+        "pair_id", (100 * F.col("rouge_f")).alias("f"))
     out = M.bootstrap_mean(s, "pair_id", "f")
     return out.select(*[F.round(c, 6).alias(c) for c in ("low", "mid", "high")])
 
 
 @query("leaderboard")
 def q_leaderboard(spark, sf):
-    return M.leaderboard(_scored_pairs(spark, sf, _with_combined(spark, sf)))
+    return M.leaderboard(M.score_rows(_with_combined(spark, sf)))
 
 
 # ---------------------------------------------------------------- features (M3)
