@@ -53,9 +53,11 @@ def prompts(pairs: DataFrame, names: Sequence[str] | None = None,
 
 
 def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: DataFrame,
-           unk_id: int = R.UNK_ID) -> DataFrame:
+           unk_id: int = R.UNK_ID, limits: dict[str, int] | None = None) -> DataFrame:
     """Whitespace tokens -> ids in order for several text columns at once;
-    unknown tokens -> ``unk_id`` (C9). ``columns`` maps output -> text column.
+    unknown tokens -> ``unk_id`` (C9). ``columns`` maps output -> text column;
+    ``limits`` (output -> n) keeps only the first n tokens, cut before the
+    explode so a long text never ships more than n rows to the shuffle.
 
     All texts of a row are exploded in one pass (tagged by side), looked up
     in the broadcast vocabulary, and re-collected in order by one shuffle on
@@ -67,7 +69,13 @@ def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: D
     def tag(side: int):
         return lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), t.alias("token"))
 
-    tagged = [F.transform(T.ws_tokens(columns[o]), tag(side)) for side, o in enumerate(outs)]
+    limits = limits or {}
+
+    def tokens(o: str) -> Column:
+        t = T.ws_tokens(columns[o])
+        return F.slice(t, 1, limits[o]) if o in limits else t
+
+    tagged = [F.transform(tokens(o), tag(side)) for side, o in enumerate(outs)]
     toks = df.select(*keys, F.explode_outer(F.concat(*tagged)).alias("_t"))
     toks = toks.select(*keys, "_t.side", "_t.pos", "_t.token")
     looked = toks.join(F.broadcast(vocab.select("token", "id")), "token", "left")
@@ -99,7 +107,8 @@ def features(prompts_df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("pa
              max_input: int = R.MAX_INPUT_LEN, max_target: int = R.MAX_TARGET_LEN) -> DataFrame:
     """The four feature arrays per prompt."""
     keys = list(keys)
-    both = encode(prompts_df, keys, {"_src": "prompt", "_tgt": "target"}, vocab)
+    both = encode(prompts_df, keys, {"_src": "prompt", "_tgt": "target"}, vocab,
+                  limits={"_src": max_input - 1, "_tgt": max_target - 1})  # the rest is cut anyway
     in_ids, in_mask = fixed_length(F.col("_src"), max_input)
     out_ids, out_mask = fixed_length(F.col("_tgt"), max_target)
     return both.select(*keys, in_ids.alias("input_ids"), in_mask.alias("attention_mask"),
