@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import resources as R
 from ..functions import text as T
+from .joins import join_bounded
 
 VOCAB_SIZE = 32_000
 
@@ -20,7 +21,7 @@ def learn_vocab(df: DataFrame, text_col: str, size: int = VOCAB_SIZE,
 
     The count is a partial aggregate; the top ``size`` comes from a
     distributed ``TakeOrderedAndProject``, so only ``size`` rows reach the
-    final numbering. The result size is bounded by ``size + len(specials)``,
+    final numbering. The result has at most ``vocab_bound(size)`` rows,
     which is what makes broadcasting it safe.
     """
     tok = df.select(F.explode(T.ws_tokens(text_col)).alias("token"))
@@ -34,6 +35,12 @@ def learn_vocab(df: DataFrame, text_col: str, size: int = VOCAB_SIZE,
     return spec.unionByName(words)
 
 
+def vocab_bound(size: int = VOCAB_SIZE, specials: Sequence[str] = tuple(R.SPECIAL_TOKENS),
+                added: int = 1) -> int:
+    """Proven row bound of ``learn_vocab(size)`` plus ``added`` tokens."""
+    return size + len(specials) + added
+
+
 def add_token(vocab: DataFrame, token: str = R.SEP_TOKEN) -> DataFrame:
     """Extend the vocabulary with ``token`` (id = max + 1) when absent."""
     extra = (vocab.agg(F.max("id").alias("m"), F.count_if(F.col("token") == token).alias("has"))
@@ -55,20 +62,22 @@ def _keys(id_col: str | Sequence[str]) -> list[str]:
 
 def rare_word_counts(cands: DataFrame, vocab_by_variant: DataFrame,
                      id_col: str | Sequence[str] = "pair_id",
-                     text_col: str = "generated", carry: Sequence[str] = ()) -> DataFrame:
+                     text_col: str = "generated", carry: Sequence[str] = (),
+                     vocab_max_rows: int | None = None) -> DataFrame:
     """Candidates with the number of their whitespace words absent from that
     variant's vocabulary, duplicates counted, 0 when none (C4, D14).
     ``id_col`` may be several key columns (e.g. id and rank).
 
-    The vocabulary is bounded (see ``learn_vocab``) and broadcast, so hot
-    tokens never meet in one task. Grouping on (id, variant, text) keeps
+    With a stated row bound (``vocab_max_rows``, e.g. from ``learn_vocab``)
+    the vocabulary is broadcast, so hot tokens never meet in one task;
+    without one the planner picks a shuffle join. Grouping on (id, variant, text) keeps
     the text, so no join back to the candidates is needed.
     """
     keys = _keys(id_col)
     words = cands.select(*keys, "variant", text_col, *carry,
                          F.explode_outer(T.ws_tokens(text_col)).alias("token"))
-    hit = F.broadcast(vocab_by_variant.select("variant", "token", F.lit(True).alias("_in")))
-    flagged = words.join(hit, ["variant", "token"], "left")
+    hit = vocab_by_variant.select("variant", "token", F.lit(True).alias("_in"))
+    flagged = join_bounded(words, hit, ["variant", "token"], "left", vocab_max_rows)
     return flagged.groupBy(*keys, "variant", text_col).agg(
         F.count_if(F.col("token").isNotNull() & F.col("_in").isNull()).alias("rare_words"),
         *[F.first(c).alias(c) for c in carry])  # carried columns depend on the id only
@@ -93,22 +102,25 @@ def select_best(rated: DataFrame, priority: dict[str, int], id_col: str | Sequen
 
 def ensemble(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
              id_col: str | Sequence[str] = "pair_id", text_col: str = "generated",
-             carry: Sequence[str] = ()) -> DataFrame:
+             carry: Sequence[str] = (), vocab_max_rows: int | None = None) -> DataFrame:
     """Rare-word ensemble of several generators' candidates.
 
     One shuffle on the id serves both aggregates (per candidate, then per id).
     """
     cands = cands.repartition(_keys(id_col)[0])
-    rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col, carry)
+    vv_rows = None if vocab_max_rows is None else vocab_max_rows * len(priority)
+    rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col, carry,
+                             vv_rows)
     return select_best(rated, priority, id_col, text_col, carry=carry)
 
 
 def ensemble_ranked(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
                     id_col: str = "pair_id", rank_col: str = "rank",
-                    text_col: str = "generated") -> DataFrame:
+                    text_col: str = "generated", vocab_max_rows: int | None = None) -> DataFrame:
     """Pair the models' candidates by rank and pick per (id, rank).
 
     A rank that only one model reached keeps that model's candidate. The
     shuffle is on the id alone, so one exchange serves both aggregates.
     """
-    return ensemble(cands, vocab, priority, [id_col, rank_col], text_col)
+    return ensemble(cands, vocab, priority, [id_col, rank_col], text_col,
+                    vocab_max_rows=vocab_max_rows)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import resources as R
 from ..functions import text as T
+from .joins import join_bounded
 
 
 def variants_config(names: Sequence[str] | None = None) -> Column:
@@ -53,16 +54,17 @@ def prompts(pairs: DataFrame, names: Sequence[str] | None = None,
 
 
 def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: DataFrame,
-           unk_id: int = R.UNK_ID, limits: dict[str, int] | None = None) -> DataFrame:
+           unk_id: int = R.UNK_ID, limits: dict[str, int] | None = None,
+           vocab_max_rows: int | None = None) -> DataFrame:
     """Whitespace tokens -> ids in order for several text columns at once;
     unknown tokens -> ``unk_id`` (C9). ``columns`` maps output -> text column;
     ``limits`` (output -> n) keeps only the first n tokens, cut before the
     explode so a long text never ships more than n rows to the shuffle.
 
     All texts of a row are exploded in one pass (tagged by side), looked up
-    in the broadcast vocabulary, and re-collected in order by one shuffle on
-    the keys. The vocabulary is bounded (``learn_vocab(size=...)``), so
-    broadcasting it is safe and frequent tokens never gather in one task.
+    in the vocabulary, and re-collected in order by one shuffle on the keys.
+    With a stated bound (``vocab_max_rows``) the vocabulary is broadcast,
+    so frequent tokens never gather in one task.
     """
     keys = list(keys)
     outs = list(columns)
@@ -78,7 +80,7 @@ def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: D
     tagged = [F.transform(tokens(o), tag(side)) for side, o in enumerate(outs)]
     toks = df.select(*keys, F.explode_outer(F.concat(*tagged)).alias("_t"))
     toks = toks.select(*keys, "_t.side", "_t.pos", "_t.token")
-    looked = toks.join(F.broadcast(vocab.select("token", "id")), "token", "left")
+    looked = join_bounded(toks, vocab.select("token", "id"), "token", "left", vocab_max_rows)
     item = F.struct(F.col("pos"), F.coalesce(F.col("id"), F.lit(unk_id)).alias("id"))
     agg = looked.groupBy(*keys).agg(*[
         F.array_sort(F.collect_list(F.when(F.col("side") == side, item))).alias(f"_p{side}")
@@ -104,11 +106,13 @@ def masked_labels(ids: Column, pad_id: int = R.PAD_ID) -> Column:
 
 
 def features(prompts_df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("pair_id", "variant"),
-             max_input: int = R.MAX_INPUT_LEN, max_target: int = R.MAX_TARGET_LEN) -> DataFrame:
+             max_input: int = R.MAX_INPUT_LEN, max_target: int = R.MAX_TARGET_LEN,
+             vocab_max_rows: int | None = None) -> DataFrame:
     """The four feature arrays per prompt."""
     keys = list(keys)
     both = encode(prompts_df, keys, {"_src": "prompt", "_tgt": "target"}, vocab,
-                  limits={"_src": max_input - 1, "_tgt": max_target - 1})  # the rest is cut anyway
+                  limits={"_src": max_input - 1, "_tgt": max_target - 1},  # the rest is cut anyway
+                  vocab_max_rows=vocab_max_rows)
     in_ids, in_mask = fixed_length(F.col("_src"), max_input)
     out_ids, out_mask = fixed_length(F.col("_tgt"), max_target)
     return both.select(*keys, in_ids.alias("input_ids"), in_mask.alias("attention_mask"),

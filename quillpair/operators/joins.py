@@ -1,0 +1,24 @@
+"""Joins against a side whose size is bounded by construction.
+
+A side is broadcast only when the caller states a proven row bound (e.g. a
+vocabulary built with ``limit(size)``) and that bound is under
+``BROADCAST_MAX_ROWS``. Without a bound, or above it, the join is left to
+the planner: a shuffle join, with AQE's skew handling and its own runtime
+size check.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_bounded(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
+                 small_max_rows: int | None = None) -> DataFrame:
+    if small_max_rows is not None and small_max_rows <= BROADCAST_MAX_ROWS:
+        small = F.broadcast(small)
+    return big.join(small, on, how)

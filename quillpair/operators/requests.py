@@ -36,7 +36,7 @@ def validate(req: DataFrame) -> DataFrame:
                       n_int.between(1, 5).alias("n_in_range"))
 
 
-def answer(req: DataFrame, vocab: DataFrame) -> DataFrame:
+def answer(req: DataFrame, vocab: DataFrame, vocab_max_rows: int | None = None) -> DataFrame:
     """(request_id, variant, rank, question, error) for every request.
 
     Generators stand in for the models: sentence candidates of the context
@@ -64,7 +64,8 @@ def answer(req: DataFrame, vocab: DataFrame) -> DataFrame:
                  G.first_n_distinct(F.col("_cloze"), F.col("_n")).alias("qs")))))
     cands = cands.select("request_id", "variant", F.posexplode("qs").alias("pos", "generated"))
     cands = cands.select(F.struct("request_id", "pos").alias("key"), "variant", "generated")
-    chosen = EN.ensemble(cands, vocab, {"lead": 0, "cloze": 1}, id_col="key")
+    chosen = EN.ensemble(cands, vocab, {"lead": 0, "cloze": 1}, id_col="key",
+                         vocab_max_rows=vocab_max_rows)
     combined = chosen.select(F.col("key.request_id").alias("request_id"),
                              F.lit(R.COMBINED).alias("variant"),
                              F.col("key.pos").alias("rank"), F.col("generated").alias("question"))

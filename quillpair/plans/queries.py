@@ -137,6 +137,9 @@ def _candidates(spark, sf):
     return G.predictions(_pairs(spark, sf), "pair_id", "context")
 
 
+VOCAB_ROWS = EN.vocab_bound()  # proven row bound of _vocab (learn_vocab limit + specials + <sep>)
+
+
 def _vocab(spark, sf):
     return EN.add_token(EN.learn_vocab(S.documents(spark, sf), "text"))
 
@@ -148,7 +151,8 @@ def _scored_candidates(spark, sf, generators=None):
 
 def _with_combined(spark, sf):
     cands = _scored_candidates(spark, sf)
-    combined = EN.ensemble(cands, _vocab(spark, sf), PRIORITY, carry=["question"]).drop("chosen")
+    combined = EN.ensemble(cands, _vocab(spark, sf), PRIORITY, carry=["question"],
+                           vocab_max_rows=VOCAB_ROWS).drop("chosen")
     return cands.unionByName(combined)
 
 
@@ -175,18 +179,20 @@ def q_vocab(spark, sf):
 @query("rare_words")
 def q_rare_words(spark, sf):
     vv = EN.variant_vocab(_vocab(spark, sf), list(PRIORITY))
-    return EN.rare_word_counts(_candidates(spark, sf), vv)
+    return EN.rare_word_counts(_candidates(spark, sf), vv,
+                               vocab_max_rows=VOCAB_ROWS * len(PRIORITY))
 
 
 @query("ensemble_select")
 def q_ensemble_select(spark, sf):
-    return EN.ensemble(_candidates(spark, sf), _vocab(spark, sf), PRIORITY)
+    return EN.ensemble(_candidates(spark, sf), _vocab(spark, sf), PRIORITY,
+                       vocab_max_rows=VOCAB_ROWS)
 
 
 @query("ensemble_ranked")
 def q_ensemble_ranked(spark, sf):
     cands = G.ranked_predictions(_pairs(spark, sf), "pair_id", "context", 5)
-    return EN.ensemble_ranked(cands, _vocab(spark, sf), PRIORITY)
+    return EN.ensemble_ranked(cands, _vocab(spark, sf), PRIORITY, vocab_max_rows=VOCAB_ROWS)
 
 
 @query("n_distinct_candidates")
@@ -260,7 +266,7 @@ def q_prompts(spark, sf):
 @query("encode_features")
 def q_encode_features(spark, sf):
     p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
-    f = FE.features(p, _vocab(spark, sf))
+    f = FE.features(p, _vocab(spark, sf), vocab_max_rows=VOCAB_ROWS)
     return f.select("pair_id", "variant", *[_ids_text(c).alias(c) for c in
                                             ("input_ids", "attention_mask", "decoder_input_ids",
                                              "decoder_attention_mask")])
@@ -269,7 +275,7 @@ def q_encode_features(spark, sf):
 @query("labels_masked")
 def q_labels_masked(spark, sf):
     p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
-    f = FE.features(p, _vocab(spark, sf))
+    f = FE.features(p, _vocab(spark, sf), vocab_max_rows=VOCAB_ROWS)
     lab = FE.masked_labels(F.col("decoder_input_ids"))
     return f.select("pair_id", "variant", F.array_join(lab.cast("array<string>"), ",").alias("labels"),
                     F.aggregate("attention_mask", F.lit(0).cast("bigint"),
@@ -343,11 +349,12 @@ def q_validate_requests(spark, sf):
 
 @query("answer_requests")
 def q_answer_requests(spark, sf):
-    return RQ.answer(_requests(spark, sf), _vocab(spark, sf))
+    return RQ.answer(_requests(spark, sf), _vocab(spark, sf), VOCAB_ROWS)
 
 
 @query("request_stream")
 def q_request_stream(spark, sf):
     from ..streaming.requests import run_requests_once
-    out = run_requests_once(spark, _requests(spark, sf), _vocab(spark, sf))
+    out = run_requests_once(spark, _requests(spark, sf), _vocab(spark, sf),
+                            vocab_max_rows=VOCAB_ROWS)
     return out.drop("batch_id")

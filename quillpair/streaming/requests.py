@@ -25,7 +25,8 @@ from ..session import cut_lineage, ensure_checkpoint_dir
 
 def start_request_stream(spark: SparkSession, source_dir: str, out_dir: str, vocab: DataFrame,
                          checkpoint_location: str, available_now: bool = True,
-                         max_files_per_trigger: int | None = None):
+                         max_files_per_trigger: int | None = None,
+                         vocab_max_rows: int | None = None):
     """Start the stream; returns the ``StreamingQuery``."""
     vocab = cut_lineage(vocab)
     reader = spark.readStream.schema(RQ.REQUEST_SCHEMA)
@@ -34,7 +35,7 @@ def start_request_stream(spark: SparkSession, source_dir: str, out_dir: str, voc
     stream = reader.parquet(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        (RQ.answer(batch, vocab).write.mode("overwrite")
+        (RQ.answer(batch, vocab, vocab_max_rows).write.mode("overwrite")
          .parquet(os.path.join(out_dir, f"batch_id={batch_id}")))
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
@@ -43,13 +44,14 @@ def start_request_stream(spark: SparkSession, source_dir: str, out_dir: str, voc
 
 
 def run_requests_once(spark: SparkSession, requests: DataFrame, vocab: DataFrame,
-                      n_files: int = 4) -> DataFrame:
+                      n_files: int = 4, vocab_max_rows: int | None = None) -> DataFrame:
     """Write ``requests`` as files, answer them with an ``availableNow`` stream
     (one file per micro-batch) and return the answers."""
     root = os.path.join(ensure_checkpoint_dir(spark), f"requests-{uuid.uuid4().hex}")
     src, out, ckpt = (os.path.join(root, p) for p in ("in", "out", "_checkpoint"))
     requests.repartition(n_files).write.parquet(src)
-    q = start_request_stream(spark, src, out, vocab, ckpt, max_files_per_trigger=1)
+    q = start_request_stream(spark, src, out, vocab, ckpt, max_files_per_trigger=1,
+                             vocab_max_rows=vocab_max_rows)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
