@@ -461,3 +461,63 @@ SELECT request_id,
             WHEN TRY_CAST(n AS INTEGER) IS NULL THEN {Q.q(R.MSG_BAD_N)} END AS error,
        TRY_CAST(n AS INTEGER) BETWEEN 1 AND 5 AS n_in_range
 FROM req"""))
+
+
+def _first_n_distinct(arr: str, n: str) -> str:
+    """Order-preserving distinct, first ``n`` (DuckDB's list_distinct does not keep order)."""
+    return f"list_slice(list_filter({arr}, lambda x, i: list_position({arr}, x) = i), 1, {n})"
+
+
+def _lead_of_sentence(s: str) -> str:
+    return (f"coalesce(list_slice({Q.ws_tokens(Q.sentences(s) + '[1]')}, 1, "
+            f"{R.MAX_GEN_TOKENS}), []::VARCHAR[])")
+
+
+_REQ_SENTS = (f"list_transform({Q.sentences('context')}, "
+              f"lambda s: array_to_string({Q.ws_tokens('s')}, ' '))")
+_ANSWER_CTES = [
+    ("req", _REQ),
+    ("v", f"""SELECT request_id, context,
+       CASE WHEN model IN ({_NAMES}) THEN model ELSE 'combined' END AS variant,
+       greatest(TRY_CAST(n AS INTEGER), 0) AS nn,
+       CASE WHEN coalesce(context, '') = '' THEN {Q.q(R.MSG_EMPTY_CONTEXT)}
+            WHEN coalesce(n, '') = '' THEN {Q.q(R.MSG_EMPTY_N)}
+            WHEN TRY_CAST(n AS INTEGER) IS NULL THEN {Q.q(R.MSG_BAD_N)} END AS error
+       FROM req"""),
+    ("st", f"SELECT request_id, variant, nn, list_transform({_REQ_SENTS}, "
+           f"lambda s: {_lead_of_sentence('s')}) AS sl FROM v WHERE error IS NULL"),
+    ("fam", f"SELECT request_id, variant, nn, "
+            f"list_transform(sl, lambda toks: {_as_question('toks')}) AS lq, "
+            f"list_transform(sl, lambda toks: {_as_question(_CLOZE_TOKS)}) AS cq FROM st"),
+    ("sq", f"SELECT request_id, variant, {_first_n_distinct('CASE WHEN variant LIKE ' + Q.q('T5%') + ' THEN cq ELSE lq END', 'nn')} AS q "
+           f"FROM fam WHERE variant <> 'combined'"),
+    ("single", "SELECT request_id, variant, unnest(q) AS question, "
+               "unnest(range(1, len(q) + 1)) AS rank FROM sq"),
+    ("cq2", f"SELECT request_id, {_first_n_distinct('lq', 'nn')} AS l, "
+            f"{_first_n_distinct('cq', 'nn')} AS c FROM fam WHERE variant = 'combined'"),
+    ("cc", "SELECT request_id, 'lead' AS cv, unnest(l) AS generated, "
+           "unnest(range(1, len(l) + 1)) AS rank FROM cq2 UNION ALL "
+           "SELECT request_id, 'cloze' AS cv, unnest(c) AS generated, "
+           "unnest(range(1, len(c) + 1)) AS rank FROM cq2"),
+] + VOCAB_CTES + [
+    ("rw", f"SELECT request_id, rank, cv, unnest({Q.ws_tokens('generated')}) AS token FROM cc"),
+    ("rated", "SELECT c.request_id, c.rank, c.cv, c.generated, "
+              "count(*) FILTER (WHERE r.token IS NOT NULL AND r.token NOT IN "
+              "(SELECT token FROM vocab)) AS rare_words FROM cc c LEFT JOIN rw r "
+              "ON r.request_id = c.request_id AND r.rank = c.rank AND r.cv = c.cv "
+              "GROUP BY c.request_id, c.rank, c.cv, c.generated"),
+]
+oracle("answer_requests", _with(_ANSWER_CTES, """
+SELECT request_id, variant, CAST(rank AS BIGINT) AS rank, question, CAST(NULL AS VARCHAR) AS error
+FROM single
+UNION ALL
+SELECT request_id, 'combined' AS variant, CAST(rank AS BIGINT) AS rank,
+       arg_min(generated, (rare_words, length(generated),
+               CASE cv WHEN 'lead' THEN 0 ELSE 1 END)) AS question,
+       CAST(NULL AS VARCHAR) AS error
+FROM rated GROUP BY request_id, rank
+UNION ALL
+SELECT request_id, variant, CAST(NULL AS BIGINT) AS rank, CAST(NULL AS VARCHAR) AS question, error
+FROM v WHERE error IS NOT NULL"""))
+# the streaming path answers the same requests micro-batch by micro-batch
+oracle("request_stream", ORACLE["answer_requests"])
