@@ -42,11 +42,21 @@ def vocab_bound(size: int = VOCAB_SIZE, specials: Sequence[str] = tuple(R.SPECIA
 
 
 def add_token(vocab: DataFrame, token: str = R.SEP_TOKEN) -> DataFrame:
-    """Extend the vocabulary with ``token`` (id = max + 1) when absent."""
-    extra = (vocab.agg(F.max("id").alias("m"), F.count_if(F.col("token") == token).alias("has"))
-             .filter(F.col("has") == 0)
-             .select(F.lit(token).alias("token"), (F.col("m") + 1).cast("int").alias("id")))
-    return vocab.unionByName(extra)
+    """Extend the vocabulary with ``token`` (id = max + 1) when absent.
+
+    The candidate row joins the vocabulary and one window over the whole
+    table gives the max id and whether the token is already there, so the
+    vocabulary (and the corpus scan behind it) is evaluated once. The window
+    holds the whole vocabulary in one task: it is bounded by
+    :func:`vocab_bound`, like the top-k that produced it.
+    """
+    cand = vocab.select("token", "id", F.lit(False).alias("_new")).unionByName(
+        vocab.sparkSession.createDataFrame([(token, None, True)], "token string, id int, _new boolean"))
+    everything = Window.partitionBy()
+    x = cand.select("*", F.max("id").over(everything).alias("_max"),
+                    F.max((F.col("token") == token) & ~F.col("_new")).over(everything).alias("_has"))
+    return x.filter(~F.col("_new") | ~F.coalesce(F.col("_has"), F.lit(False))).select(
+        "token", F.coalesce(F.col("id"), F.coalesce(F.col("_max"), F.lit(-1)) + 1).cast("int").alias("id"))
 
 
 def variant_vocab(vocab: DataFrame, variants: Sequence[str]) -> DataFrame:
