@@ -124,6 +124,32 @@ def ensemble(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
     return select_best(rated, priority, id_col, text_col, carry=carry)
 
 
+def with_ensemble(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
+                  id_col: str | Sequence[str] = "pair_id", text_col: str = "generated",
+                  carry: Sequence[str] = (), out_variant: str = R.COMBINED,
+                  vocab_max_rows: int | None = None) -> DataFrame:
+    """The candidates plus the ensemble's pick as ``out_variant``, in one pass.
+
+    Same choice as :func:`ensemble`, but the rated candidates are read once:
+    a window over the id (already the shuffle key, so no extra exchange)
+    finds each id's smallest (rare words, length, priority) and that row is
+    emitted twice, under its own variant and under ``out_variant``.
+    """
+    keys = _keys(id_col)
+    cands = cands.repartition(keys[0])
+    vv_rows = None if vocab_max_rows is None else vocab_max_rows * len(priority)
+    rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col, carry,
+                             vv_rows)
+    prio = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
+    key = F.struct(F.col("rare_words"), F.length(text_col).alias("len"),
+                   F.element_at(prio, F.col("variant")).alias("prio"))
+    marked = rated.select(*keys, *carry, text_col, "variant",
+                          (key == F.min(key).over(Window.partitionBy(*keys))).alias("_best"))
+    names = F.when(F.col("_best"), F.array(F.col("variant"), F.lit(out_variant))).otherwise(
+        F.array(F.col("variant")))
+    return marked.select(*keys, *carry, text_col, F.explode(names).alias("variant"))
+
+
 def ensemble_ranked(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
                     id_col: str = "pair_id", rank_col: str = "rank",
                     text_col: str = "generated", vocab_max_rows: int | None = None) -> DataFrame:

@@ -150,10 +150,9 @@ def _scored_candidates(spark, sf, generators=None):
 
 
 def _with_combined(spark, sf):
-    cands = _scored_candidates(spark, sf)
-    combined = EN.ensemble(cands, _vocab(spark, sf), PRIORITY, carry=["question"],
-                           vocab_max_rows=VOCAB_ROWS).drop("chosen")
-    return cands.unionByName(combined)
+    """Every generator's candidate plus the ensemble's pick, from one pass."""
+    return EN.with_ensemble(_scored_candidates(spark, sf), _vocab(spark, sf), PRIORITY,
+                            carry=["question"], vocab_max_rows=VOCAB_ROWS)
 
 
 @query("pairs")

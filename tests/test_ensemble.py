@@ -32,3 +32,20 @@ def test_ensemble_rules(spark):
     out = {r["pair_id"]: (r["generated"], r["chosen"])
            for r in EN.ensemble(cands, vocab, {"lead": 0, "cloze": 1}).collect()}
     assert out == {1: ("a b x", "cloze"), 2: ("a x", "cloze"), 3: ("a x", "lead")}
+
+
+def test_with_ensemble_matches_ensemble(spark):
+    vocab = _vocab(spark, [("a", 0), ("b", 1), ("c", 2)])
+    cands = spark.createDataFrame([
+        (1, "lead", "a x y", "q1"), (1, "cloze", "a b x", "q1"),
+        (2, "lead", "a b c x", "q2"), (2, "cloze", "a x", "q2"),
+        (3, "lead", "a x", "q3"), (3, "cloze", "b y", "q3"), (4, "lead", "", "q4"),
+    ], "pair_id int, variant string, generated string, question string")
+    prio = {"lead": 0, "cloze": 1}
+    both = EN.with_ensemble(cands, vocab, prio, carry=["question"])
+    picked = EN.ensemble(cands, vocab, prio, carry=["question"]).drop("chosen")
+    cols = ["pair_id", "question", "generated", "variant"]
+    assert (sorted(both.filter("variant = 'combined'").select(cols).collect())
+            == sorted(picked.select(cols).collect()))
+    assert (sorted(both.filter("variant <> 'combined'").select(cols).collect())
+            == sorted(cands.select(cols).collect()))
