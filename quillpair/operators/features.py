@@ -62,9 +62,12 @@ def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: D
     explode so a long text never ships more than n rows to the shuffle.
 
     All texts of a row are exploded in one pass (tagged by side), looked up
-    in the vocabulary, and re-collected in order by one shuffle on the keys.
-    With a stated bound (``vocab_max_rows``) the vocabulary is broadcast,
-    so frequent tokens never gather in one task.
+    in the vocabulary, and re-collected in order. The one shuffle is on the
+    keys and happens before the explode: the rows cross the network as
+    text, not as one (keys, side, pos, token) row per token, and the
+    re-collect finds its keys already co-located (explode and broadcast
+    join keep the partitioning). With a stated bound (``vocab_max_rows``)
+    the vocabulary is broadcast, so frequent tokens never gather in one task.
     """
     keys = list(keys)
     outs = list(columns)
@@ -78,7 +81,7 @@ def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: D
         return F.slice(t, 1, limits[o]) if o in limits else t
 
     tagged = [F.transform(tokens(o), tag(side)) for side, o in enumerate(outs)]
-    toks = df.select(*keys, F.explode_outer(F.concat(*tagged)).alias("_t"))
+    toks = df.repartition(*keys).select(*keys, F.explode_outer(F.concat(*tagged)).alias("_t"))
     toks = toks.select(*keys, "_t.side", "_t.pos", "_t.token")
     looked = join_bounded(toks, vocab.select("token", "id"), "token", "left", vocab_max_rows)
     item = F.struct(F.col("pos"), F.coalesce(F.col("id"), F.lit(unk_id)).alias("id"))
