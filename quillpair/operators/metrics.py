@@ -17,6 +17,8 @@ differences from those libraries in the third decimal are possible.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +28,7 @@ from pyspark.sql.types import LongType
 from .. import resources as R
 from ..functions import text as T
 from ..functions.stem import stem_tokens
+from .joins import join_bounded
 
 
 def _empty() -> Column:
@@ -151,12 +154,67 @@ def _unmatched(stems: str, taken: Column) -> Column:
     return F.filter(tagged, lambda x: ~F.array_contains(taken, x["p"]))
 
 
+def _with_synonyms(x: DataFrame, keys: Sequence[str], synonyms: DataFrame,
+                   synonyms_max_rows: int | None) -> DataFrame:
+    """Attach ``_syn`` = array<struct<word, synonym>>: the synonym-table rows
+    of each row's unmatched hypothesis stems.
+
+    The rows are shuffled once on ``keys`` (unique per row) before the
+    explode; the explode and the synonym join keep that partitioning, so
+    the regroup on ``keys`` needs no second exchange. The synonym table is
+    broadcast only under a stated row bound.
+    """
+    keys = list(keys)
+    others = [c for c in x.columns if c not in keys]
+    words = F.array_distinct(F.transform(F.col("_hl"), lambda u: u["s"]))
+    ex = x.repartition(*keys).select(*keys, F.struct(*others).alias("_row"),
+                                     F.explode_outer(words).alias("_word"))
+    syn = synonyms.select(F.col("word").alias("_word"), F.col("synonym").alias("_sy"))
+    hit = join_bounded(ex, syn, "_word", "left", synonyms_max_rows)
+    g = hit.groupBy(*keys).agg(
+        F.first("_row").alias("_row"),
+        F.collect_list(F.when(F.col("_sy").isNotNull(), F.struct(
+            F.col("_word").alias("word"), F.col("_sy").alias("synonym")))).alias("_syn"))
+    return g.select(*keys, "_row.*", "_syn")
+
+
+def _synonym_pairs() -> Column:
+    """Greedy synonym stage over the stem-stage leftovers ``_hl``/``_rl``:
+    each unmatched hypothesis stem, from the end, takes the last unmatched
+    reference stem in its synonym set (the stem itself plus its ``_syn``
+    entries); both leave the pool."""
+    empty = F.array().cast("array<struct<i:int,j:int>>")
+
+    def step(acc, h):
+        syns = F.concat(F.array(h["s"]), F.transform(
+            F.filter(F.col("_syn"), lambda e: e["word"] == h["s"]), lambda e: e["synonym"]))
+        idx = F.coalesce(F.array_max(F.transform(
+            acc["rem"], lambda rr, k: F.when(F.array_contains(syns, rr["s"]), k).otherwise(-1))),
+            F.lit(-1))
+        hit = idx >= 0
+        return F.struct(
+            F.when(hit, F.filter(acc["rem"], lambda rr, k: k != idx)).otherwise(acc["rem"])
+            .alias("rem"),
+            F.when(hit, F.concat(acc["m"], F.array(F.struct(
+                h["p"].alias("i"), F.get(acc["rem"], idx)["p"].alias("j"))))).otherwise(acc["m"])
+            .alias("m"))
+
+    init = F.struct(F.col("_rl").alias("rem"), empty.alias("m"))
+    return F.aggregate(F.reverse(F.col("_hl")), init, step, lambda acc: acc["m"])
+
+
 def meteor_columns(df: DataFrame, h: str, r: str,
-                   h_stems: str | None = None, r_stems: str | None = None) -> DataFrame:
+                   h_stems: str | None = None, r_stems: str | None = None,
+                   synonyms: DataFrame | None = None, keys: Sequence[str] | None = None,
+                   synonyms_max_rows: int | None = None) -> DataFrame:
     """Add ``matches``, ``chunks``, ``meteor``: METEOR's exact stage and,
     when stem columns are given, its Porter-stem stage (J7). ``h``/``r``
     name lower-cased token-array columns; ``h_stems``/``r_stems`` the
-    aligned stem arrays.
+    aligned stem arrays. With a ``synonyms`` table (word, synonym: the
+    synonym is in the word's synonym set, e.g. WordNet lemma names of its
+    synsets) a third, synonym stage runs on what the stem stage left; as in
+    the original metric it looks up the leftover *stems*. It needs ``keys``,
+    columns unique per row.
 
     The greedy alignment from the end pairs the k-th last occurrence of a
     word in the hypothesis with its k-th last occurrence in the reference,
@@ -179,6 +237,17 @@ def meteor_columns(df: DataFrame, h: str, r: str,
             F.element_at(F.col("_ru"), s["j"] + 1)["p"].alias("j")))
         x = (x.withColumn("_m", F.array_sort(F.concat(F.col("_m"), stem_pairs)))
              .drop("_hu", "_ru", "_hk", "_rk"))
+        if synonyms is not None:
+            if not keys:
+                raise ValueError("the synonym stage needs row keys")
+            x = x.withColumns({
+                "_hl": _unmatched(h_stems, F.transform(F.col("_m"), lambda s: s["i"])),
+                "_rl": _unmatched(r_stems, F.transform(F.col("_m"), lambda s: s["j"]))})
+            x = _with_synonyms(x, keys, synonyms, synonyms_max_rows)
+            x = (x.withColumn("_m", F.array_sort(F.concat(F.col("_m"), _synonym_pairs())))
+                 .drop("_hl", "_rl", "_syn"))
+    elif synonyms is not None:
+        raise ValueError("the synonym stage runs after the stem stage: pass stem columns")
     m_arr = F.col("_m")
     m = F.size(m_arr)
     breaks = F.when(m > 1, F.size(F.filter(
@@ -200,12 +269,15 @@ def meteor_columns(df: DataFrame, h: str, r: str,
 # ------------------------------------------------------------------ corpus level
 
 def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "question",
-               stems: bool = False) -> DataFrame:
+               stems: bool = False, synonyms: DataFrame | None = None,
+               keys: Sequence[str] | None = None,
+               synonyms_max_rows: int | None = None) -> DataFrame:
     """Sentence ROUGE-L, METEOR and BLEU-1..4 next to the input columns.
 
     METEOR uses the exact stage, plus the Porter-stem stage when ``stems``
-    is set. Token arrays are computed once in their own projection and
-    reused by every score.
+    is set, plus the synonym stage when a ``synonyms`` table is given (it
+    implies ``stems`` and needs ``keys`` unique per row). Token arrays are
+    computed once in their own projection and reused by every score.
     """
     toks = df.withColumns({
         "_hr": T.rouge_tokens(hyp_col), "_rr": T.rouge_tokens(ref_col),
@@ -213,9 +285,10 @@ def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "questi
         "_hw": T.ws_tokens(F.lower(F.col(hyp_col))), "_rw": T.ws_tokens(F.lower(F.col(ref_col))),
     })
     x = rouge_columns(toks, "_hr", "_rr")
-    if stems:
+    if stems or synonyms is not None:
         x = x.withColumns({"_hs": stem_tokens("_hw"), "_rs": stem_tokens("_rw")})
-        x = meteor_columns(x, "_hw", "_rw", "_hs", "_rs").drop("_hs", "_rs")
+        x = meteor_columns(x, "_hw", "_rw", "_hs", "_rs", synonyms, keys,
+                           synonyms_max_rows).drop("_hs", "_rs")
     else:
         x = meteor_columns(x, "_hw", "_rw")
     x = bleu_columns(x, "_ht", "_rt")
