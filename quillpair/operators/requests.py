@@ -46,17 +46,22 @@ def answer(req: DataFrame, vocab: DataFrame, vocab_max_rows: int | None = None)
     lead one (E1, J4).
     """
     v = validate(req)
-    ok = v.filter(F.col("error").isNull())
     sents = G.sentence_candidates(F.col("context"))
     n = F.greatest(F.col("n_int"), F.lit(0))
-    base = ok.select("request_id", "variant", n.alias("_n"),
-                     F.transform(sents, lambda s: G.lead_question(s)).alias("_lead"),
-                     F.transform(sents, lambda s: G.cloze_question(s)).alias("_cloze"))
+    ok = F.col("error").isNull()
+    base = v.select("request_id", "variant", "error", n.alias("_n"),
+                    F.when(ok, F.transform(sents, lambda s: G.lead_question(s))).alias("_lead"),
+                    F.when(ok, F.transform(sents, lambda s: G.cloze_question(s))).alias("_cloze"))
+    # single-model requests and invalid ones in one pass: n ranked rows, or one error row
     fam = F.when(F.col("variant").startswith("T5"), F.col("_cloze")).otherwise(F.col("_lead"))
-    single = (base.filter(F.col("variant") != R.COMBINED)
-              .select("request_id", "variant",
-                      F.posexplode(G.first_n_distinct(fam, F.col("_n"))).alias("rank", "question")))
-    both = base.filter(F.col("variant") == R.COMBINED)
+    ranked = F.transform(G.first_n_distinct(fam, F.col("_n")), lambda q, i: F.struct(
+        (i + 1).cast("bigint").alias("rank"), q.alias("question"),
+        F.lit(None).cast("string").alias("error")))
+    failed = F.array(F.struct(F.lit(None).cast("bigint").alias("rank"),
+                              F.lit(None).cast("string").alias("question"), F.col("error")))
+    direct = (base.filter(~ok | (F.col("variant") != R.COMBINED))
+              .select("request_id", "variant", F.inline(F.when(ok, ranked).otherwise(failed))))
+    both = base.filter(ok & (F.col("variant") == R.COMBINED))
     cands = both.select("request_id", F.inline(F.array(
         F.struct(F.lit("lead").alias("variant"),
                  G.first_n_distinct(F.col("_lead"), F.col("_n")).alias("qs")),
@@ -68,14 +73,10 @@ def answer(req: DataFrame, vocab: DataFrame, vocab_max_rows: int | None = None)
                          vocab_max_rows=vocab_max_rows)
     combined = chosen.select(F.col("key.request_id").alias("request_id"),
                              F.lit(R.COMBINED).alias("variant"),
-                             F.col("key.pos").alias("rank"), F.col("generated").alias("question"))
-    good = single.unionByName(combined).select(
-        "request_id", "variant", (F.col("rank") + 1).cast("bigint").alias("rank"), "question",
-        F.lit(None).cast("string").alias("error"))
-    bad = v.filter(F.col("error").isNotNull()).select(
-        "request_id", "variant", F.lit(None).cast("bigint").alias("rank"),
-        F.lit(None).cast("string").alias("question"), "error")
-    return good.unionByName(bad)
+                             (F.col("key.pos") + 1).cast("bigint").alias("rank"),
+                             F.col("generated").alias("question"),
+                             F.lit(None).cast("string").alias("error"))
+    return direct.unionByName(combined)
 
 
 def requests_from_conversations(conv: DataFrame) -> DataFrame:
