@@ -12,6 +12,8 @@ Python behaviour of the original scripts:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,7 +108,17 @@ def expand_contractions(c: Column | str) -> Column:
         return F.coalesce(cased, x)
 
     pieces = F.regexp_extract_all(_c(c), F.lit(CONTRACTION_PIECE), F.lit(1))
-    return F.array_join(F.transform(pieces, fix), "")
+    # The pieces cover the whole text, so a text holding no key is returned
+    # as it is; the guard skips the per-piece map lookups for such texts.
+    return F.when(_c(c).rlike(_contraction_guard()), F.array_join(F.transform(pieces, fix), "")
+                  ).otherwise(_c(c))
+
+
+def _contraction_guard() -> str:
+    """A pattern every text holding a contraction key matches: an apostrophe
+    (straight or curly), or one of the keys written without one."""
+    bare = sorted(k for k in R.CONTRACTIONS if "'" not in k and "’" not in k)
+    return "(?i)['’]" + "".join(f"|{re.escape(k)}" for k in bare)
 
 
 def normalise_text(c: Column | str) -> Column:

@@ -85,3 +85,11 @@ def test_treebank_tokens(spark):
 def test_rouge_tokens(spark):
     got = _col(spark, ["Hello, World-2 ÉTÉ"], T.rouge_tokens("t"))
     assert list(got[0]) == ["hello", "world", "2", "t"]
+
+
+def test_contraction_guard_keeps_slang_and_plain_text(spark):
+    # rows without an apostrophe take the guarded fast path
+    texts = ["I'm gonna go", "GONNA win", "Kinda odd", "plain text here", None, "it’ll rain"]
+    got = _col(spark, texts, T.expand_contractions("t"))
+    assert got == ["I am going to go", "GOING TO win", "Kind of odd", "plain text here", None,
+                   "it will rain"]
