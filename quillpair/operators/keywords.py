@@ -90,6 +90,8 @@ def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
     wedges = wedges.repartition(id_col, "src").persist(StorageLevel.MEMORY_AND_DISK)
     step = lambda c: ((1 - damping) + damping * F.sum(c)).alias("score")
     ranks = wedges.groupBy(id_col, F.col("dst").alias("word")).agg(step(F.col("w")))
+    if wedges.isEmpty():  # e.g. no text above the row-local bound: no graph to iterate
+        return ranks
     for t in range(2, iterations + 1):
         # never broadcast: both sides grow with the data; ranks build the hash table
         msg = (wedges.join(ranks.withColumnRenamed("word", "src").hint("shuffle_hash"),
