@@ -135,13 +135,22 @@ def top_phrases(df: DataFrame, row_id: str, text_col: str, anchors=("what",),
                 k: int = R.TOP_K) -> DataFrame:
     """Most common anchor + 3 word phrases, per anchor.
 
-    Each anchor gets its own distributed top-k; the anchors are a short
-    fixed list, so the union has at most ``len(anchors) * k`` rows.
+    One scan serves every anchor: each row's matches are tagged with their
+    anchor and counted per (anchor, phrase) with partial aggregation. The
+    per-anchor top-k is a ``row_number() <= k`` filter, which Spark plans
+    as a partial ``WindowGroupLimit`` before the shuffle, so each task
+    sends at most k rows per anchor however hot an anchor is.
     """
-    lowered = df.select(row_id, T.lower_collapse(text_col).alias("_t"))
-    parts = [top_terms(lowered, row_id, T.anchored_phrases("_t", a), k, term_name="phrase")
-             .select(F.lit(a).alias("anchor"), "*") for a in anchors]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    lowered = df.select(F.col(row_id).alias("_row"), T.lower_collapse(text_col).alias("_t"))
+    tagged = F.array(*[F.struct(F.lit(a).alias("anchor"), T.anchored_phrases("_t", a).alias("_ts"))
+                       for a in anchors])
+    e = (lowered.select("_row", F.inline(tagged))
+         .select("anchor", "_row", F.posexplode("_ts").alias("_pos", "phrase")))
+    counts = e.groupBy("anchor", "phrase").agg(F.count(F.lit(1)).alias("n"),
+                                                F.min(F.struct("_row", "_pos")).alias("_first"))
+    w = Window.partitionBy("anchor").orderBy(F.desc("n"), F.asc("_first"))
+    top = counts.select("*", F.row_number().over(w).alias("_rank")).filter(F.col("_rank") <= k)
+    return top.select(
+        "anchor", F.col("_rank").cast("bigint").alias("rank"), "phrase", "n",
+        F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("anchor")), 6)
+        .alias("share_pct"))
