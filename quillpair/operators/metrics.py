@@ -17,6 +17,7 @@ differences from those libraries in the third decimal are possible.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
@@ -90,17 +91,28 @@ def clipped_matches(hg: Column, rg: Column) -> Column:
                                      F.size(F.filter(rg, lambda x: x == g))).cast("bigint"))
 
 
+SMOOTHING = ("method0", "method1", "method4")
+
+
 def bleu_columns(df: DataFrame, h: str, r: str, max_n: int = R.BLEU_MAX_N,
-                 prefix: str = "bleu") -> DataFrame:
-    """Add ``bleu1..bleuN``: sentence BLEU with uniform weights 1/N and
-    smoothing method 4, single reference (J6, H24, D15). ``h``/``r`` name
-    token-array columns.
-
-    n-gram matches are counted once and all N scores derived from them.
-    Method 4: an order with no match gets numerator ln|h| / (2^k * 5),
-    k = 1 + number of lower orders already smoothed (only when |h| > 1).
+                 prefix: str = "bleu", smoothing: str = "method4") -> DataFrame:
+    """Add ``bleu1..bleuN``: sentence BLEU with uniform weights 1/N, single
+    reference (J6, H24, D15), smoothing chosen by name (L4). ``h``/``r``
+    name token-array columns.
+
+    n-gram matches are counted once and all N scores derived from them. An
+    order with no match gets, by ``smoothing``:
+
+    * ``method0`` (none): precision = the smallest positive double, so the
+      score collapses towards 0 instead of failing on log(0);
+    * ``method1``: numerator 0.1 (epsilon) instead of 0;
+    * ``method4`` (default, as the original): numerator ln|h| / (2^k * 5),
+      k = 1 + number of lower orders already smoothed (only when |h| > 1).
+
     Built as staged projections so each array is computed once per row.
     """
+    if smoothing not in SMOOTHING:
+        raise ValueError(f"smoothing must be one of {SMOOTHING}")
     hc, rc = F.col(h), F.col(r)
     # n-gram arrays as columns: lambdas below must only see column references
     x = df.withColumns({**{f"_hg{n}": ngrams(hc, n) for n in range(1, max_n + 1)},
@@ -116,9 +128,15 @@ def bleu_columns(df: DataFrame, h: str, r: str, max_n: int = R.BLEU_MAX_N,
         num = F.col(f"_num{n}")
         den = F.greatest(nh - n + 1, F.lit(1.0))
         zero = num == 0
-        smooth = F.log(nh) / (F.pow(F.lit(2.0), smoothed_before + 1) * R.BLEU_METHOD4_K)
-        ps[f"_p{n}"] = (F.when(~zero, num.cast("double") / den)
-                        .when(nh > 1, smooth / den).otherwise(F.lit(0.0)))
+        if smoothing == "method4":
+            smoothed = (F.when(nh > 1, F.log(nh) / (F.pow(F.lit(2.0), smoothed_before + 1)
+                                                     * R.BLEU_METHOD4_K) / den)
+                        .otherwise(F.lit(0.0)))
+        elif smoothing == "method1":
+            smoothed = F.lit(R.BLEU_METHOD1_EPSILON) / den
+        else:
+            smoothed = F.lit(sys.float_info.min)
+        ps[f"_p{n}"] = F.when(~zero, num.cast("double") / den).otherwise(smoothed)
         smoothed_before = smoothed_before + F.when(zero & (nh > 1), 1).otherwise(0)
     ps["_bp"] = F.when(nh > nr, 1.0).when(nh == 0, 0.0).otherwise(F.exp(1 - F.try_divide(nr, nh)))
     x = x.withColumns(ps)
@@ -271,13 +289,15 @@ def meteor_columns(df: DataFrame, h: str, r: str,
 def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "question",
                stems: bool = False, synonyms: DataFrame | None = None,
                keys: Sequence[str] | None = None,
-               synonyms_max_rows: int | None = None) -> DataFrame:
+               synonyms_max_rows: int | None = None,
+               smoothing: str = "method4") -> DataFrame:
     """Sentence ROUGE-L, METEOR and BLEU-1..4 next to the input columns.
 
     METEOR uses the exact stage, plus the Porter-stem stage when ``stems``
     is set, plus the synonym stage when a ``synonyms`` table is given (it
     implies ``stems`` and needs ``keys`` unique per row). Token arrays are
     computed once in their own projection and reused by every score.
+    ``smoothing`` names the BLEU smoothing (see :func:`bleu_columns`).
     """
     toks = df.withColumns({
         "_hr": T.rouge_tokens(hyp_col), "_rr": T.rouge_tokens(ref_col),
@@ -291,7 +311,7 @@ def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "questi
                            synonyms_max_rows).drop("_hs", "_rs")
     else:
         x = meteor_columns(x, "_hw", "_rw")
-    x = bleu_columns(x, "_ht", "_rt")
+    x = bleu_columns(x, "_ht", "_rt", smoothing=smoothing)
     return x.drop("_hr", "_rr", "_ht", "_rt", "_hw", "_rw")
 
 

@@ -108,6 +108,7 @@ PAD_ID, EOS_ID, UNK_ID = 0, 1, 2
 METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA = 0.9, 3.0, 0.5
 BLEU_MAX_N = 4
 BLEU_METHOD4_K = 5.0
+BLEU_METHOD1_EPSILON = 0.1
 TEXTRANK_DAMPING = 0.85
 BOOTSTRAP_REPLICATES = 1000
 BOOTSTRAP_PERCENTILES = (0.025, 0.5, 0.975)

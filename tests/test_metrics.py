@@ -1,6 +1,8 @@
 """Metrics: pure-Python twins and properties."""
 
 import math
+
+import pytest
 import random
 
 from pyspark.sql import functions as F
@@ -97,3 +99,19 @@ def test_bootstrap_is_seeded_and_brackets_mean(spark):
     b = M.bootstrap_mean(df, "id", "x", replicates=200).collect()[0]
     assert a == b
     assert a.low < 4.5 < a.high and a.low <= a.mid <= a.high
+
+
+def test_bleu_smoothing_methods_0_and_1(spark):
+    import sys
+    df = spark.createDataFrame([(["a", "b", "c"], ["c", "b", "a"])], "h array<string>, r array<string>")
+    m1 = M.bleu_columns(df, "h", "r", smoothing="method1").first()
+    # unigrams all match; orders 2..4 have no match: 0.1 / (number of hypothesis n-grams)
+    p = [1.0, 0.1 / 2, 0.1 / 1, 0.1 / 1]
+    for n in range(1, 5):
+        want = math.exp(sum(math.log(x) for x in p[:n]) / n)
+        assert abs(getattr(m1, f"bleu{n}") - want) < 1e-12
+    m0 = M.bleu_columns(df, "h", "r", smoothing="method0").first()
+    assert m0.bleu1 == 1.0
+    assert abs(m0.bleu2 - math.exp(math.log(sys.float_info.min) / 2)) < 1e-160
+    with pytest.raises(ValueError):
+        M.bleu_columns(df, "h", "r", smoothing="method9")
