@@ -115,7 +115,7 @@ def _row_pagerank(words, content, iterations: int, damping: float) -> list[dict]
     if not ok.any():
         return []
     a, b = w[:-1][ok], w[1:][ok]
-    nodes, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
+    inv, nodes = pd.factorize(np.concatenate([a, b]))  # hash-based node ids
     v = len(nodes)
     ia, ib = inv[:len(a)], inv[len(a):]
     key = np.unique(np.minimum(ia, ib).astype(np.int64) * v + np.maximum(ia, ib))
