@@ -12,6 +12,7 @@ from ..functions import text as T
 from .joins import join_bounded
 
 VOCAB_SIZE = 32_000
+TOPK_MERGE_ROWS = 4_000_000  # rows the single-task top-k merge may receive
 
 
 def learn_vocab(df: DataFrame, text_col: str, size: int = VOCAB_SIZE,
@@ -20,14 +21,22 @@ def learn_vocab(df: DataFrame, text_col: str, size: int = VOCAB_SIZE,
     most frequent whitespace tokens (count desc, token asc).
 
     The count is a partial aggregate; the top ``size`` comes from a
-    distributed ``TakeOrderedAndProject``, so only ``size`` rows reach the
-    final numbering. The result has at most ``vocab_bound(size)`` rows,
+    distributed ``TakeOrderedAndProject`` over a bounded number of lanes,
+    so only ``size`` rows reach the final numbering. The result has at most ``vocab_bound(size)`` rows,
     which is what makes broadcasting it safe.
     """
     tok = df.select(F.explode(T.ws_tokens(text_col)).alias("token"))
     tok = tok.filter(~F.col("token").isin(list(specials)))
-    top = (tok.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.desc("n"), F.asc("token")).limit(size))
+    counts = tok.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # The top-k keeps `size` rows per input partition and merges them in one
+    # task. Hash-spreading the counts (one row per token: no skew) over a
+    # fixed number of lanes bounds that merge at about TOPK_MERGE_ROWS rows,
+    # however wide the aggregate's shuffle is on a large cluster.
+    # With no more shuffle partitions than lanes the merge is already bounded.
+    lanes = max(1, TOPK_MERGE_ROWS // max(size, 1))
+    if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > lanes:
+        counts = counts.repartition(lanes, "token")
+    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)
     w = Window.orderBy(F.desc("n"), F.asc("token"))  # at most `size` rows
     spark = df.sparkSession
     spec = spark.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, id int")

@@ -49,3 +49,16 @@ def test_with_ensemble_matches_ensemble(spark):
             == sorted(picked.select(cols).collect()))
     assert (sorted(both.filter("variant <> 'combined'").select(cols).collect())
             == sorted(cands.select(cols).collect()))
+
+
+def test_learn_vocab_same_with_spread_top_k(spark):
+    from quillpair.sources import tables as S
+    docs = S.documents(spark, "/root/testdata/sf0.001")
+    narrow = sorted(EN.learn_vocab(docs, "text", size=500).collect())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "20000")  # > lanes: counts are spread
+        wide = sorted(EN.learn_vocab(docs, "text", size=500).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(narrow) == 503 and narrow == wide
