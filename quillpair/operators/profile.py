@@ -100,6 +100,15 @@ def length_histogram(df: DataFrame, text_col: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_texts")))
 
 
+def first_seen(row: str, pos: str) -> Column:
+    """(row, position) as one number with the same order: a position is an
+    int in [0, 2^31), so row * 2^31 + position orders like the pair. A
+    decimal minimum is hash-aggregated; a struct minimum would force a
+    sort-based aggregate over every matched word."""
+    d = "decimal(38,0)"
+    return F.col(row).cast(d) * F.lit(2 ** 31).cast(d) + F.col(pos).cast(d)
+
+
 def top_terms(df: DataFrame, row_id: str, terms: Column, k: int = R.TOP_K,
               exclude: list[str] | None = None, term_name: str = "term") -> DataFrame:
     """Top-k terms by count; ties keep first-seen order.
@@ -112,7 +121,7 @@ def top_terms(df: DataFrame, row_id: str, terms: Column, k: int = R.TOP_K,
     if exclude:
         e = e.filter(~F.col(term_name).isin(exclude))  # planned as a hash InSet
     counts = e.groupBy(term_name).agg(F.count(F.lit(1)).alias("n"),
-                                       F.min(F.struct("_row", "_pos")).alias("_first"))
+                                       F.min(first_seen("_row", "_pos")).alias("_first"))
     top = counts.orderBy(F.desc("n"), F.asc("_first")).limit(k)
     w = Window.orderBy(F.desc("n"), F.asc("_first"))  # at most k rows
     return top.select(
@@ -147,7 +156,7 @@ def top_phrases(df: DataFrame, row_id: str, text_col: str, anchors=("what",),
     e = (lowered.select("_row", F.inline(tagged))
          .select("anchor", "_row", F.posexplode("_ts").alias("_pos", "phrase")))
     counts = e.groupBy("anchor", "phrase").agg(F.count(F.lit(1)).alias("n"),
-                                                F.min(F.struct("_row", "_pos")).alias("_first"))
+                                                F.min(first_seen("_row", "_pos")).alias("_first"))
     w = Window.partitionBy("anchor").orderBy(F.desc("n"), F.asc("_first"))
     top = counts.select("*", F.row_number().over(w).alias("_rank")).filter(F.col("_rank") <= k)
     return top.select(
