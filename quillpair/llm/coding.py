@@ -10,9 +10,31 @@ import struct
 
 import numpy as np
 
+#: Values packed at a time, a multiple of eight; bounds the bit matrix.
+_PART = 1 << 16
 _HEAD = "<IBQ"  # values, k, bytes of the unary stream
 
 
+def pack_bits(values: np.ndarray, k: int) -> bytes:
+    """The k low bits of each uint64 value, one after another, low bits first."""
+    width, out = (k + 7) // 8, []
+    for a in range(0, len(values) if k else 0, _PART):
+        raw = np.ascontiguousarray(values[a:a + _PART].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
+        out.append(np.packbits(np.unpackbits(raw, axis=1, bitorder="little")[:, :k].ravel(), bitorder="little").tobytes())
+    return b"".join(out)
+
+
+def unpack_bits(raw: np.ndarray, n: int, k: int) -> np.ndarray:
+    """n values of k bits each from packed bytes."""
+    out = np.zeros((n, 8), np.uint8)
+    for a in range(0, n if k else 0, _PART):
+        m = min(_PART, n - a)
+        bits = np.unpackbits(raw[a * k // 8:], count=m * k, bitorder="little").reshape(m, k)
+        low = np.packbits(bits, axis=1, bitorder="little")
+        out[a:a + m, :low.shape[1]] = low
+    return out.view("<u8").ravel()
+
+
 def rice_encode(values: np.ndarray) -> bytes:
     """Encode sorted distinct uint64 values."""
     v = np.asarray(values, np.uint64)
@@ -25,12 +47,7 @@ def rice_encode(values: np.ndarray) -> bytes:
     unary = np.zeros(int(q.sum()) + len(v), np.uint8)
     unary[np.cumsum(q + 1) - 1] = 1
     head = np.packbits(unary).tobytes()
-    if not k:
-        return struct.pack(_HEAD, len(v), 0, len(head)) + head
-    width = (k + 7) // 8
-    low = np.ascontiguousarray((d & np.uint64((1 << k) - 1)).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
-    bits = np.unpackbits(low, axis=1, bitorder="little")[:, :k]
-    return struct.pack(_HEAD, len(v), k, len(head)) + head + np.packbits(bits.ravel()).tobytes()
+    return struct.pack(_HEAD, len(v), k, len(head)) + head + pack_bits(d, k)
 
 
 def rice_decode(data: bytes) -> np.ndarray:
@@ -42,9 +59,5 @@ def rice_decode(data: bytes) -> np.ndarray:
     ones = np.flatnonzero(np.unpackbits(raw[:size]))[:n]
     d = (np.diff(ones, prepend=-1) - 1).astype(np.uint64) << np.uint64(k)
     if k:
-        bits = np.unpackbits(raw[size:], count=n * k).reshape(n, k)
-        low = np.zeros((n, 8), np.uint8)
-        packed = np.packbits(bits, axis=1, bitorder="little")
-        low[:, :packed.shape[1]] = packed
-        d |= low.view("<u8").ravel().astype(np.uint64)
+        d |= unpack_bits(raw[size:], n, k)
     return np.cumsum(d, dtype=np.uint64)

@@ -21,8 +21,8 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text) with null text as the empty text."""
-    return df.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    """(doc_id, text): null text is the empty text, a null id counts as -1."""
+    return df.select(F.coalesce(F.col(key).cast("bigint"), F.lit(-1)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:

@@ -9,7 +9,7 @@
 4. Only suspects' texts are shuffled: grouped by the whole text, which compares bytes, with a partial aggregate that
    collapses hot copies in each task first. A fingerprint collision ends here as two groups.
 
-Of equal texts the row with the largest id stays. A null text counts as empty; the empty text is a text like any
+Of equal texts the row with the largest id stays. A null id counts as -1, null text as empty; the empty text is a text like any
 other. Repeated ids are kept as rows: each is reported, and group_size counts them. An empty table gives no rows.
 """
 

@@ -6,7 +6,7 @@ they are applied to the whole text and to each fixed chunk of it. A text is reje
 band, or when over a quarter of its chunks leave theirs: a long document whose parts are each fine but which repeats
 itself fails the first test, one with long stretches of noise in good prose fails the second.
 
-Null counts as a text without words; an empty text has no ratio and fails the base rule (under 50 words).
+A null id counts as -1, null text as one without words; an empty text has no ratio and fails the base rule (under 50 words).
 """
 
 from __future__ import annotations

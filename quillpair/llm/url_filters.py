@@ -30,7 +30,9 @@ _END = "\U0010ffff"
 
 
 def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    """A short list of (host, path, verdict) as a table."""
+    return spark.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in rules])))
 
 
 def _lower_ascii(c: Column) -> Column:
