@@ -8,12 +8,14 @@
    text stops at the first j that no slot exceeds: mostly after one or two steps.
 4. Banding: classes that agree in all BAND_ROWS slots of a band share a bucket. At a similarity of 0.85 a pair shares
    none of the 24 bands with probability (1 - 0.85**5)**24 < 1e-6.
-5. Candidates: in each bucket the smallest member is compared with the others; then members that are not yet in one
-   component are compared further, all of them in small buckets, one leader at a time in large ones, until every
-   pair of a bucket is compared or connected. A group of thousands of near copies thus costs a pair per member, not
-   per two members, and no link that joins components is passed over.
-6. A pair needs fitting set sizes and enough agreeing slots (an estimate under MIN_AGREE for a pair over the
-   threshold has probability < 1e-9); what passes is verified on the full sets, recomputed from the whole texts.
+5. Candidates: in each bucket the smallest member is compared with the others. Buckets that then still hold several
+   components compare the members of different components by their signatures, in blocks of bounded size: members
+   are classed by set size, since only equal or neighbouring classes can be similar enough, and large classes are
+   dealt to several blocks, so that one bucket is the work of many tasks. A group of thousands of near copies costs
+   a pair per member, no pair inside a component is formed, and no link that joins components is passed over.
+6. A pair needs fitting set sizes and enough agreeing slots (a pair over the threshold has under MIN_AGREE, five
+   standard deviations below it, with probability < 1e-6); what passes is verified on the full sets, recomputed from
+   the whole texts.
 7. Links go through partition-local union-find and alternating stars.
 
 A null id counts as -1, null text as empty. Repeated ids are rows of one document. An empty table gives no rows.
@@ -21,6 +23,8 @@ A null id counts as -1, null text as empty. Repeated ids are rows of one documen
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +42,9 @@ PERCENT = 85
 BANDS = 24
 BAND_ROWS = 5
 SLOTS = BANDS * BAND_ROWS
-MIN_AGREE = 0.62
-#: Buckets up to this size compare their open members in one round; larger ones take a leader a round.
-SMALL_BUCKET = 32
+MIN_AGREE = 0.69
+#: Members of one block; a pair of blocks is compared at a time.
+BLOCK = 1024
 #: Shingles signed at a time; bounds the permutation state.
 CHUNK = 200_000
 
@@ -131,12 +135,58 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS)
-                    for c in ("slots_a", "slots_b"))
+            x, y = (_slots(batch.column(c)) for c in ("slots_a", "slots_b"))
             keep = pa.array((x == y).mean(axis=1) >= MIN_AGREE)
             yield batch.select(["a", "b"]).filter(keep)
 
 
+def _slots(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SLOTS)
+
+
+def _likely_pairs(percent: int):
+    """Pairs of two blocks (or inside one) with fitting sizes, enough agreeing slots and different components."""
+    def of_group(side: np.ndarray, rep: np.ndarray, n: np.ndarray, comp: np.ndarray, slots: np.ndarray):
+        first, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        inside = not len(other)
+        if inside:
+            other = first
+        for a in range(0, len(first), 64):
+            f = first[a:a + 64]
+            small, large = np.minimum(n[f][:, None], n[other]), np.maximum(n[f][:, None], n[other])
+            fit = (100 * small >= percent * large) & (comp[f][:, None] != comp[other])
+            if inside:
+                fit &= f[:, None] < other
+            i, j = np.nonzero(fit)
+            for c in range(0, len(i), 1 << 16):
+                x, y = f[i[c:c + (1 << 16)]], other[j[c:c + (1 << 16)]]
+                ok = (slots[x] == slots[y]).mean(axis=1) >= MIN_AGREE
+                if ok.any():
+                    yield np.minimum(rep[x[ok]], rep[y[ok]]), np.maximum(rep[x[ok]], rep[y[ok]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                part = pa.Table.from_batches([batch])
+                held = part if held is None else pa.concat_tables([held, part])
+            if held is None or not held.num_rows:
+                continue
+            task = held.column("task").to_numpy()
+            cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist()]
+            if batch is None:
+                cuts.append(len(task))
+            side, rep, n, comp = (held.column(c).to_numpy() for c in ("side", "rep", "n", "component"))
+            slots = _slots(held.column("slots").combine_chunks())
+            out = [p for a, b in zip(cuts, cuts[1:]) if b - a > 1
+                   for p in of_group(side[a:b], rep[a:b], n[a:b], comp[a:b], slots[a:b])]
+            if out:
+                a, b = (np.concatenate(c) for c in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            held = held.slice(cuts[-1])  # the last group may go on in the next batch
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, x = None, np.empty(0, np.uint64)
@@ -160,54 +210,54 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     classes = sketch.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
     reps = sketch.filter("n > 0").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     member = (reps.select(F.col("doc_id").alias("rep"), "n", F.posexplode("bands").alias("band", "hash"))
-              .select(F.xxhash64("band", "hash").alias("bucket"), "rep", "n").distinct())
-    shared = (member.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("lead"))
+              .select(F.xxhash64("band", "hash").alias("bucket"), "rep", "n"))
+    shared = (member.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("lead"))
               .filter("size > 1"))
     open_ = written(member.join(shared, "bucket"), "near-buckets")
 
-    def fits(x: str, y: str):
-        return F.expr(f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})")
+    slots = sketch.select("doc_id", "slots", "n")
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        """Verified links among distinct candidate pairs (a, b) of fitting sizes."""
-        slots = sketch.select("doc_id", "slots")
-        likely = (pairs.distinct()
-                  .join(slots.select(F.col("doc_id").alias("a"), F.col("slots").alias("slots_a")), "a")
-                  .join(slots.select(F.col("doc_id").alias("b"), F.col("slots").alias("slots_b")), "b")
-                  .mapInArrow(_agree, "a bigint, b bigint"))
+    def verified(likely: DataFrame) -> DataFrame:
+        """Links among likely pairs (a, b), confirmed on the full sets."""
         likely = written(likely.distinct(), "near-pairs")
         ids = likely.select(F.explode(F.array("a", "b")).alias("id"))
         body = maybe_in(docs, F.col("doc_id"), ids, "id")
         both = (likely.join(body.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
                 .join(body.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
-        return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(percent), "a bigint, b bigint")
-
-    def leads(rows: DataFrame) -> DataFrame:
-        return (rows.filter("rep > lead.rep").filter(fits("n", "lead.n"))
-                .select(F.col("lead.rep").alias("a"), F.col("rep").alias("b")))
-
-    links = written(compare(leads(open_)), "near-links")
-    while True:
-        grouped = written(connected_components(links), "near-components")
-        # Members still to compare: without the leaders so far, in buckets that hold more than one component.
-        rest = (open_.filter("size > 2 AND rep > lead.rep").select("bucket", "rep", "n")
-                .join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
-                .withColumn("component", F.coalesce("component", "rep")))
-        buckets = (rest.groupBy("bucket")
-                   .agg(F.count("*").alias("size"), F.min(F.struct("rep", "n", "component")).alias("lead"),
-                        F.min("component").alias("low"), F.max("component").alias("high"))
-                   .filter("low <> high").drop("low", "high"))
-        open_ = written(rest.join(buckets, "bucket"), "near-buckets")
-        if open_.isEmpty():
-            break
-        small, large = open_.filter(F.col("size") <= SMALL_BUCKET), open_.filter(F.col("size") > SMALL_BUCKET)
-        other = small.select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c"))
-        found = (small.join(other, "bucket").filter("rep > a AND component <> c").filter(fits("n", "n_a"))
-                 .select("a", F.col("rep").alias("b"))
-                 .unionByName(leads(large.filter("component <> lead.component"))))
-        links = written(links.unionByName(compare(found)), "near-links")
-        # Small buckets are done; in large ones the leader is.
-        open_ = large.withColumn("lead", F.struct(F.col("lead.rep").alias("rep"), F.col("lead.n").alias("n")))
+        return written(both.select("a", "b", "text_a", "text_b")
+                       .mapInArrow(_verify(percent), "a bigint, b bigint"), "near-links")
+
+    def signed(side: str) -> DataFrame:
+        return slots.select(F.col("doc_id").alias(side), F.col("slots").alias(f"slots_{side}"), F.col("n").alias(f"n_{side}"))
+
+    stars = open_.filter("rep > lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    likely = (stars.join(signed("a"), "a").join(signed("b"), "b")
+              .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+              .select("a", "b", "slots_a", "slots_b").mapInArrow(_agree, "a bigint, b bigint"))
+    links = verified(likely)
+    grouped = written(connected_components(links), "near-components")
+    # Members but the leader, in buckets that hold more than one component.
+    rest = (open_.filter("size > 2 AND rep > lead").select("bucket", "rep", "n")
+            .join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
+            .withColumn("component", F.coalesce("component", "rep"))
+            .withColumn("cls", F.floor(F.log("n") / F.lit(math.log(100 / percent) * 1.001 + 1e-9)).cast("bigint")))
+    mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rest = written(rest.join(mixed.filter("low <> high").select("bucket"), "bucket"), "near-rest")
+    blocks = rest.groupBy("bucket", "cls").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    # A member stands in a task with every block of its own class and of the two neighbouring ones.
+    near = (rest.join(blocks.withColumnRenamed("blocks", "own"), ["bucket", "cls"])
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("own")).cast("int"))
+            .withColumn("step", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+            .withColumn("to", F.col("cls") + F.col("step"))
+            .join(blocks.select("bucket", F.col("cls").alias("to"), F.col("blocks").alias("others")), ["bucket", "to"])
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))))
+    mine, theirs = F.struct("cls", "block"), F.struct(F.col("to").alias("cls"), F.col("other").alias("block"))
+    tasks = near.select(F.xxhash64("bucket", F.least(mine, theirs), F.greatest(mine, theirs)).alias("task"),
+                        (mine > theirs).cast("int").alias("side"), "rep", "n", "component")
+    tasks = tasks.join(slots.select(F.col("doc_id").alias("rep"), "slots"), "rep")
+    found = (tasks.select("task", "side", "rep", "n", "component", "slots").repartition("task")
+             .sortWithinPartitions("task").mapInArrow(_likely_pairs(percent), "a bigint, b bigint"))
+    grouped = written(connected_components(links.unionByName(verified(found))), "near-components")
     rows = sketch.select("doc_id", "n", *same).join(classes, same, "left")
     return (rows.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
