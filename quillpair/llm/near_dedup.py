@@ -9,10 +9,11 @@
 4. Banding: classes that agree in all BAND_ROWS slots of a band share a bucket. At a similarity of 0.85 a pair shares
    none of the 24 bands with probability (1 - 0.85**5)**24 < 1e-6.
 5. Candidates: in each bucket the smallest member is compared with the others. Buckets that then still hold several
-   components compare the members of different components by their signatures, in blocks of bounded size: members
-   are classed by set size, since only equal or neighbouring classes can be similar enough, and large classes are
-   dealt to several blocks, so that one bucket is the work of many tasks. A group of thousands of near copies costs
-   a pair per member, no pair inside a component is formed, and no link that joins components is passed over.
+   components compare members of different components in blocks: members are classed by set size, since only equal
+   or neighbouring classes can be similar enough, and a large class is dealt to several blocks, so one bucket is the
+   work of many tasks. Signatures first tell which members have a likely partner at all; their texts go to the same
+   blocks, and a block answers with the links that join its components, at most one per member. So a group of
+   thousands of near copies sends rows in proportion to its members, and no link that joins components is lost.
 6. A pair needs fitting set sizes and enough agreeing slots (a pair over the threshold has under MIN_AGREE, five
    standard deviations below it, with probability < 1e-6); what passes is verified on the full sets, recomputed from
    the whole texts.
@@ -43,10 +44,10 @@ BANDS = 24
 BAND_ROWS = 5
 SLOTS = BANDS * BAND_ROWS
 MIN_AGREE = 0.69
-#: Members of one block; a pair of blocks is compared at a time.
-BLOCK = 1024
+#: Shingles in one block, about; a pair of blocks is compared at a time.
+BLOCK_SHINGLES = 300_000
 #: Shingles signed at a time; bounds the permutation state.
-CHUNK = 200_000
+CHUNK = 100_000
 
 _MIX = np.random.default_rng(3).integers(1, 1 << 62, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 _SKETCH = "doc_id bigint, n bigint, set_hi bigint, set_lo bigint, bands array<bigint>, slots binary"
@@ -144,46 +145,92 @@ def _slots(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SLOTS)
 
 
-def _likely_pairs(percent: int):
-    """Pairs of two blocks (or inside one) with fitting sizes, enough agreeing slots and different components."""
-    def of_group(side: np.ndarray, rep: np.ndarray, n: np.ndarray, comp: np.ndarray, slots: np.ndarray):
-        first, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        inside = not len(other)
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of each task, from batches sorted by task."""
+    held: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+        if held is None or not held.num_rows:
+            continue
+        task = held.column("task").to_numpy()
+        cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist()]
+        if batch is None:
+            cuts.append(len(task))
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a > 1:
+                yield held.slice(a, b - a)
+        held = held.slice(cuts[-1])  # the last task may go on in the next batch
+
+
+def _likely(rows: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs between the two blocks of a task (or inside its one block) that have fitting sizes, enough agreeing
+    slots and different components."""
+    side, n, comp = (rows.column(c).to_numpy() for c in ("side", "n", "component"))
+    slots = _slots(rows.column("slots"))
+    first, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    inside = not len(other)
+    if inside:
+        other = first
+    for a in range(0, len(first), 64):
+        f = first[a:a + 64]
+        small, large = np.minimum(n[f][:, None], n[other]), np.maximum(n[f][:, None], n[other])
+        fit = (100 * small >= percent * large) & (comp[f][:, None] != comp[other])
         if inside:
-            other = first
-        for a in range(0, len(first), 64):
-            f = first[a:a + 64]
-            small, large = np.minimum(n[f][:, None], n[other]), np.maximum(n[f][:, None], n[other])
-            fit = (100 * small >= percent * large) & (comp[f][:, None] != comp[other])
-            if inside:
-                fit &= f[:, None] < other
-            i, j = np.nonzero(fit)
-            for c in range(0, len(i), 1 << 16):
-                x, y = f[i[c:c + (1 << 16)]], other[j[c:c + (1 << 16)]]
-                ok = (slots[x] == slots[y]).mean(axis=1) >= MIN_AGREE
-                if ok.any():
-                    yield np.minimum(rep[x[ok]], rep[y[ok]]), np.maximum(rep[x[ok]], rep[y[ok]])
+            fit &= f[:, None] < other
+        i, j = np.nonzero(fit)
+        for c in range(0, len(i), 1 << 15):
+            x, y = f[i[c:c + (1 << 15)]], other[j[c:c + (1 << 15)]]
+            ok = (slots[x] == slots[y]).mean(axis=1) >= MIN_AGREE
+            if ok.any():
+                yield x[ok], y[ok]
 
+
+def _with_partner(percent: int):
+    """(task, rep) of members that have a likely partner in the task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is not None:
-                part = pa.Table.from_batches([batch])
-                held = part if held is None else pa.concat_tables([held, part])
-            if held is None or not held.num_rows:
-                continue
-            task = held.column("task").to_numpy()
-            cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist()]
-            if batch is None:
-                cuts.append(len(task))
-            side, rep, n, comp = (held.column(c).to_numpy() for c in ("side", "rep", "n", "component"))
-            slots = _slots(held.column("slots").combine_chunks())
-            out = [p for a, b in zip(cuts, cuts[1:]) if b - a > 1
-                   for p in of_group(side[a:b], rep[a:b], n[a:b], comp[a:b], slots[a:b])]
-            if out:
-                a, b = (np.concatenate(c) for c in zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            held = held.slice(cuts[-1])  # the last group may go on in the next batch
+        for rows in _groups(batches):
+            hit = np.zeros(rows.num_rows, bool)
+            for x, y in _likely(rows, percent):
+                hit[x] = hit[y] = True
+            if hit.any():
+                yield rows.select(["task", "rep"]).filter(pa.array(hit)).combine_chunks().to_batches()[0]
+    return run
+
+
+def _joining_links(percent: int):
+    """Verified links of each task that join components, by union-find inside the task."""
+    def of_task(rows: pa.Table) -> list[tuple[int, int]]:
+        rep, comp = (rows.column(c).to_pylist() for c in ("rep", "component"))
+        texts_, sets, up, out = rows.column("text"), {}, {}, []
+
+        def root(c: int) -> int:
+            while (p := up.setdefault(c, c)) != c:
+                up[c] = c = up.setdefault(p, p)
+            return c
+
+        def shingled(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(texts_[i].as_buffer().to_pybytes())
+            return sets[i]
+
+        for xs, ys in _likely(rows, percent):
+            for x, y in zip(xs.tolist(), ys.tolist()):
+                a, b = root(comp[x]), root(comp[y])
+                if a != b:
+                    s, t = shingled(x), shingled(y)
+                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    if 100 * both >= percent * (len(s) + len(t) - both):
+                        up[max(a, b)] = min(a, b)
+                        out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            if links := of_task(rows):
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
@@ -217,16 +264,6 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
 
     slots = sketch.select("doc_id", "slots", "n")
 
-    def verified(likely: DataFrame) -> DataFrame:
-        """Links among likely pairs (a, b), confirmed on the full sets."""
-        likely = written(likely.distinct(), "near-pairs")
-        ids = likely.select(F.explode(F.array("a", "b")).alias("id"))
-        body = maybe_in(docs, F.col("doc_id"), ids, "id")
-        both = (likely.join(body.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-                .join(body.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
-        return written(both.select("a", "b", "text_a", "text_b")
-                       .mapInArrow(_verify(percent), "a bigint, b bigint"), "near-links")
-
     def signed(side: str) -> DataFrame:
         return slots.select(F.col("doc_id").alias(side), F.col("slots").alias(f"slots_{side}"), F.col("n").alias(f"n_{side}"))
 
@@ -234,7 +271,12 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     likely = (stars.join(signed("a"), "a").join(signed("b"), "b")
               .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
               .select("a", "b", "slots_a", "slots_b").mapInArrow(_agree, "a bigint, b bigint"))
-    links = verified(likely)
+    likely = written(likely, "near-pairs")
+    body = maybe_in(docs, F.col("doc_id"), likely.select(F.explode(F.array("a", "b")).alias("id")), "id")
+    both = (likely.join(body.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+            .join(body.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
+    links = written(both.select("a", "b", "text_a", "text_b")
+                    .mapInArrow(_verify(percent), "a bigint, b bigint"), "near-links")
     grouped = written(connected_components(links), "near-components")
     # Members but the leader, in buckets that hold more than one component.
     rest = (open_.filter("size > 2 AND rep > lead").select("bucket", "rep", "n")
@@ -243,7 +285,7 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
             .withColumn("cls", F.floor(F.log("n") / F.lit(math.log(100 / percent) * 1.001 + 1e-9)).cast("bigint")))
     mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rest = written(rest.join(mixed.filter("low <> high").select("bucket"), "bucket"), "near-rest")
-    blocks = rest.groupBy("bucket", "cls").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    blocks = rest.groupBy("bucket", "cls").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
     # A member stands in a task with every block of its own class and of the two neighbouring ones.
     near = (rest.join(blocks.withColumnRenamed("blocks", "own"), ["bucket", "cls"])
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("own")).cast("int"))
@@ -254,10 +296,16 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     mine, theirs = F.struct("cls", "block"), F.struct(F.col("to").alias("cls"), F.col("other").alias("block"))
     tasks = near.select(F.xxhash64("bucket", F.least(mine, theirs), F.greatest(mine, theirs)).alias("task"),
                         (mine > theirs).cast("int").alias("side"), "rep", "n", "component")
-    tasks = tasks.join(slots.select(F.col("doc_id").alias("rep"), "slots"), "rep")
-    found = (tasks.select("task", "side", "rep", "n", "component", "slots").repartition("task")
-             .sortWithinPartitions("task").mapInArrow(_likely_pairs(percent), "a bigint, b bigint"))
-    grouped = written(connected_components(links.unionByName(verified(found))), "near-components")
+    tasks = written(tasks.join(slots.select(F.col("doc_id").alias("rep"), "slots"), "rep"), "near-tasks")
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("task").sortWithinPartitions("task")
+
+    asked = written(dealt(tasks).mapInArrow(_with_partner(percent), "task bigint, rep bigint"), "near-asked")
+    body = maybe_in(docs, F.col("doc_id"), asked, "rep").select(F.col("doc_id").alias("rep"), "text")
+    rest = dealt(tasks.join(asked, ["task", "rep"], "left_semi").join(body, "rep"))
+    links = links.unionByName(rest.mapInArrow(_joining_links(percent), "a bigint, b bigint"))
+    grouped = written(connected_components(links), "near-components")
     rows = sketch.select("doc_id", "n", *same).join(classes, same, "left")
     return (rows.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),

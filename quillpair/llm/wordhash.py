@@ -8,7 +8,7 @@ import xxhash
 from .worker import kept
 
 #: Words kept per worker; when full, the store starts anew. Bounds memory and changes no result.
-KEEP = 1 << 19
+KEEP = 1 << 18
 
 
 def word_hashes(raw: bytes) -> np.ndarray:

@@ -53,9 +53,9 @@ def _rows():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("block", [1024, 3])
+@pytest.mark.parametrize("block", [300_000, 600])
 def test_against_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", block)
     rows = _rows()
     df = spark.createDataFrame([(i, t, 0, "r") for i, t in rows], "doc_id long, text string, n int, rep string")
     assert sorted(tuple(r) for r in N.near_dedup(df).collect()) == _brute(rows)
