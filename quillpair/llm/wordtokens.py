@@ -1,7 +1,9 @@
 """Token ids of whole texts by a tokenizer that drops white space: words are encoded once and kept.
 
 For such a tokenizer (its pre-tokenizer keeps no white space and looks at none) the ids of a text are the ids of its
-words one after another, so a text costs one look-up per word and the library is called for new words only.
+words one after another, so a text costs one look-up per word and the library is called for new words only. Two
+more facts of its pre-tokenizer keep the store small: it lowers case, and it always cuts between a letter or digit
+and ASCII punctuation, so "word", "Word" and "word," share one entry for their letters.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ import numpy as np
 from .worker import kept
 
 #: Words kept per worker; when full, the store starts anew. Bounds memory and changes no result.
-KEEP = 1 << 19
+KEEP = 1 << 20
+_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 class WordTokens:
@@ -35,18 +39,32 @@ class WordTokens:
         return kept(("word-tokens", path), lambda: cls(path))
 
     def encode(self, raw: bytes) -> bytes:
+        if b"<|" not in raw:  # special tokens are matched as they are written
+            raw = raw.lower()
         words = raw.split()
-        known = self.known
         try:
-            return b"".join(map(known.__getitem__, words))
+            return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            new = list(set(words).difference(known))
-            if len(known) + len(new) > KEEP:
-                known.clear()
-                new = list(set(words))
-            for a in range(0, len(new), 1000):
-                part = new[a:a + 1000]
-                coded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part],
-                                                    add_special_tokens=False)
-                known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, coded))
-            return b"".join(map(known.__getitem__, words))
+            self._learn(words)
+            return b"".join(map(self.known.__getitem__, words))
+
+    def _learn(self, words: list[bytes]) -> None:
+        known = self.known
+        new = set(words).difference(known)
+        if len(known) + 2 * len(new) > KEEP:
+            known.clear()
+            new = set(words)
+        cut: dict[bytes, tuple[bytes, bytes]] = {}
+        for w in new:
+            stem = w.rstrip(_PUNCTUATION)
+            if len(stem) < len(w) and stem and stem[-1] in _ALNUM and b"<|" not in w:
+                cut[w] = stem, w[len(stem):]
+        parts = new.difference(cut)
+        parts.update(p for pair in cut.values() for p in pair if p not in known)
+        ask = list(parts)
+        for a in range(0, len(ask), 1000):
+            part = ask[a:a + 1000]
+            coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
+                                                     add_special_tokens=False)
+            known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, coded))
+        known.update((w, known[a] + known[b]) for w, (a, b) in cut.items())

@@ -18,7 +18,7 @@ def _ids(text):
 
 
 TEXTS = [None, "", " ", "it's DON'T we'll 123 45é  x y", "ábc ́d İstanbul ΣΑΣ", "日本語 テキスト",
-         "<|endoftext|> x<|startoftext|>y <b>!!</b>", "x\x1cy\x85z", "🙂🙂 ok", "A" * 3000]
+         "<|endoftext|> x<|startoftext|>y <b>!!</b>", "<|ENDOFTEXT|> A.", "Don't!? I'd,'s 's. it's's, 42nd.. É, =\u0338 a.\u0338", "x\x1cy\x85z", "🙂🙂 ok", "A" * 3000]
 
 
 def test_word_tokens_equal_whole_texts():
