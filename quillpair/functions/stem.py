@@ -1,171 +1,148 @@
-"""Porter stemmer (Porter 1980, with the common NLTK extensions) for METEOR's
-stem stage (J7).
+"""Porter stems (Porter 1980, with the usual extensions) as SQL expressions, for METEOR's stem stage.
 
-This is a small per-token helper: ``stem_tokens`` runs it as an
-Arrow-batched ``pandas_udf`` over token arrays, with a per-worker cache, so
-each distinct word is stemmed once per Python worker.
+``with_stems`` works on a table of distinct tokens. A word's shape writes each letter as a consonant (1) or a vowel
+(0), so the conditions of the algorithm are patterns on the shape of what stands before a suffix: the measure is the
+number of "01" in it. Each step is one projection over the columns of the step before.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Callable, Sequence
 
-import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
-# Irregular forms stemmed by lookup (NLTK extension mode).
+from ..session import materialise
+
+# --- FIXED VALUES: irregular words and their stems ---
 IRREGULAR = {
-    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie",
-    "news": "news", "innings": "inning", "inning": "inning", "outings": "outing",
-    "outing": "outing", "cannings": "canning", "canning": "canning", "howe": "howe",
-    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing", "cannings": "canning",
+    "canning": "canning", "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
+# --- FIXED VALUES: suffix tables of the published algorithm, in its order: suffix -> replacement ---
+STEP_2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "bli": "ble", "alli": "al",
+    "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al",
+    "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble",
+    "fulli": "ful", "lessli": "less", "logi": "log",
 }
+STEP_3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+STEP_4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate",
+          "iti", "ous", "ive", "ize"]
+
+_MARK = "\x01"
+ONCE, TWICE = "01", "01.*01"  # measure above 0, above 1
+
+
+def shape(w: Column) -> Column:
+    """Consonants as 1, vowels as 0; y is a consonant at the start and after a vowel."""
+    plain = F.regexp_replace(F.regexp_replace(w, "[^aeiouy]", "1"), "[aeiou]", "0")
+    single = F.replace(F.regexp_replace(plain, "(^|0)y", "$11"), F.lit("y"), F.lit("0"))
+    # y after y depends on the one before: only such words are walked letter by letter
+    walked = F.aggregate(F.split(plain, ""), F.lit(""), lambda done, c: F.concat(done, F.when(
+        c == "y", F.when((done == "") | done.endswith("0"), "1").otherwise("0")).otherwise(c)))
+    return F.when(F.contains(w, F.lit("yy")), walked).otherwise(single)
+
+
+
+def _first(w: Column, f: Column, rules: Sequence[tuple[str, str, Callable[[Column, Column], Column] | None]]) -> Column:
+    """The first rule whose suffix the word has decides: (suffix, replacement, condition on stem and its shape)."""
+    out = None
+    for suffix, new, cond in rules:
+        stem = F.left(w, F.length(w) - len(suffix))
+        done = F.concat(stem, F.lit(new))
+        if cond is not None:
+            done = F.when(cond(stem, F.left(f, F.length(w) - len(suffix))), done).otherwise(w)
+        test = w.endswith(suffix)
+        out = F.when(test, done) if out is None else out.when(test, done)
+    return out.otherwise(w)
+
+
+def _measure(pattern: str) -> Callable[[Column, Column], Column]:
+    return lambda stem, f: f.rlike(pattern)
+
+
+def _short_end(w: Column, f: Column) -> Column:
+    """Consonant, vowel, consonant other than w, x, y; or a word of vowel and consonant."""
+    return (f.rlike("101$") & ~w.rlike("[wxy]$")) | (f == "01")
+
+
+def _plurals(w: Column, f: Column) -> Column:
+    return F.when(w.endswith("ies") & (F.length(w) == 4), F.concat(F.left(w, F.length(w) - 3), F.lit("ie"))).otherwise(
+        _first(w, f, [("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)]))
+
+
+def _past(w: Column, f: Column) -> Column:
+    """Takes -ed and -ing off; the bare stem is marked for the repair that follows."""
+    vowel = _measure("0")
+    ied = F.concat(F.left(w, F.length(w) - 3), F.when(F.length(w) == 4, "ie").otherwise("i"))
+    return (F.when(w.endswith("ied"), ied)
+            .when(w.endswith("eed"), _first(w, f, [("eed", "ee", _measure(ONCE))]))
+            .when(w.endswith("ed") & vowel(w, F.left(f, F.length(w) - 2)), F.concat(F.left(w, F.length(w) - 2), F.lit(_MARK)))
+            .when(w.endswith("ing") & vowel(w, F.left(f, F.length(w) - 3)), F.concat(F.left(w, F.length(w) - 3), F.lit(_MARK)))
+            .otherwise(w))
+
+
+def _repair(w: Column, f: Column) -> Column:
+    bare = F.left(w, F.length(w) - 1)
+    fb = F.left(f, F.length(w) - 1)
+    fixed = (F.when(bare.rlike("(at|bl|iz)$"), F.concat(bare, F.lit("e")))
+             .when(bare.rlike(r"(.)\1$") & fb.endswith("1"),
+                   F.when(bare.rlike("[lsz]$"), bare).otherwise(F.left(bare, F.length(bare) - 1)))
+             .when(fb.rlike(ONCE) & ~fb.rlike(TWICE) & _short_end(bare, fb), F.concat(bare, F.lit("e")))
+             .otherwise(bare))
+    return F.when(w.endswith(_MARK), fixed).otherwise(w)
+
+
+def _final_y(w: Column, f: Column) -> Column:
+    return _first(w, f, [("y", "i", lambda stem, fs: (F.length(stem) > 1) & fs.endswith("1"))])
+
+
+def _step_2(w: Column, f: Column) -> Column:
+    def cond(suffix: str):
+        if suffix == "logi":  # measured with the l
+            return lambda stem, fs: F.left(f, F.length(w) - 3).rlike(ONCE)
+        return _measure(ONCE)
+    return _first(w, f, [(s, r, cond(s)) for s, r in STEP_2.items()])
+
+
+def _step_2_alli(w: Column, f: Column) -> Column:
+    """-alli becomes -al before the table is read."""
+    return _first(w, f, [("alli", "al", _measure(ONCE))])
+
+
+def _step_3(w: Column, f: Column) -> Column:
+    return _first(w, f, [(s, r, _measure(ONCE)) for s, r in STEP_3.items()])
+
 
-_VOWELS = "aeiou"
+def _step_4(w: Column, f: Column) -> Column:
+    ion = lambda stem, fs: fs.rlike(TWICE) & stem.rlike("[st]$")
+    return _first(w, f, [(s, "", ion if s == "ion" else _measure(TWICE)) for s in STEP_4])
 
 
-def _cons(w: str, i: int) -> bool:
-    ch = w[i]
-    if ch in _VOWELS:
-        return False
-    if ch == "y":
-        return i == 0 or not _cons(w, i - 1)
-    return True
+def _final_e(w: Column, f: Column) -> Column:
+    drop = lambda stem, fs: fs.rlike(TWICE) | (fs.rlike(ONCE) & ~_short_end(stem, fs))
+    return _first(w, f, [("e", "", drop)])
 
 
-def _m(s: str) -> int:
-    """Number of vowel-consonant sequences."""
-    n, prev_v = 0, False
-    for i in range(len(s)):
-        c = _cons(s, i)
-        if c and prev_v:
-            n += 1
-        prev_v = not c
-    return n
+def _final_l(w: Column, f: Column) -> Column:
+    return F.when(w.endswith("ll") & F.left(f, F.length(w) - 1).rlike(TWICE), F.left(w, F.length(w) - 1)).otherwise(w)
 
 
-def _has_vowel(s: str) -> bool:
-    return any(not _cons(s, i) for i in range(len(s)))
+STEPS = (_plurals, _past, _repair, _final_y, _step_2_alli, _step_2, _step_3, _step_4, _final_e, _final_l)
 
 
-def _double_cons(w: str) -> bool:
-    return len(w) >= 2 and w[-1] == w[-2] and _cons(w, len(w) - 1)
-
+def with_stems(tokens: DataFrame, col: str, out: str = "stem") -> DataFrame:
+    """Add the stem of each token in ``col`` (words of one or two letters are their own stems).
 
-def _cvc(w: str) -> bool:
-    if len(w) >= 3:
-        return (_cons(w, len(w) - 3) and not _cons(w, len(w) - 2) and _cons(w, len(w) - 1)
-                and w[-1] not in "wxy")
-    return len(w) == 2 and not _cons(w, 0) and _cons(w, 1)
-
-
-def _rules(w: str, rules) -> str:
-    """First rule whose suffix matches decides: replace if its condition
-    holds, else keep the word."""
-    for suf, rep, cond in rules:
-        if suf == "*d":
-            if _double_cons(w):
-                stem = w[:-2]
-                return stem + rep if cond is None or cond(stem) else w
-            continue
-        if w.endswith(suf):
-            stem = w[:len(w) - len(suf)]
-            return stem + rep if cond is None or cond(stem) else w
-    return w
-
-
-def _pos(s: str) -> bool:
-    return _m(s) > 0
-
-
-def _gt1(s: str) -> bool:
-    return _m(s) > 1
-
-
-def _step1a(w: str) -> str:
-    if w.endswith("ies") and len(w) == 4:
-        return w[:-3] + "ie"
-    return _rules(w, [("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)])
-
-
-def _step1b(w: str) -> str:
-    if w.endswith("ied"):
-        return w[:-3] + ("ie" if len(w) == 4 else "i")
-    if w.endswith("eed"):
-        stem = w[:-3]
-        return stem + "ee" if _m(stem) > 0 else w
-    for suf in ("ed", "ing"):
-        if w.endswith(suf) and _has_vowel(w[:-len(suf)]):
-            s = w[:-len(suf)]
-            return _rules(s, [
-                ("at", "ate", None), ("bl", "ble", None), ("iz", "ize", None),
-                ("*d", s[-1], lambda stem: s[-1] not in "lsz"),
-                ("", "e", lambda stem: _m(stem) == 1 and _cvc(stem)),
-            ])
-    return w
-
-
-def _step1c(w: str) -> str:
-    return _rules(w, [("y", "i", lambda s: len(s) > 1 and _cons(s, len(s) - 1))])
-
-
-def _step2(w: str) -> str:
-    if w.endswith("alli") and _pos(w[:-4]):
-        return _step2(w[:-4] + "al")
-    return _rules(w, [
-        ("ational", "ate", _pos), ("tional", "tion", _pos), ("enci", "ence", _pos),
-        ("anci", "ance", _pos), ("izer", "ize", _pos), ("bli", "ble", _pos),
-        ("alli", "al", _pos), ("entli", "ent", _pos), ("eli", "e", _pos),
-        ("ousli", "ous", _pos), ("ization", "ize", _pos), ("ation", "ate", _pos),
-        ("ator", "ate", _pos), ("alism", "al", _pos), ("iveness", "ive", _pos),
-        ("fulness", "ful", _pos), ("ousness", "ous", _pos), ("aliti", "al", _pos),
-        ("iviti", "ive", _pos), ("biliti", "ble", _pos), ("fulli", "ful", _pos),
-        ("lessli", "less", _pos), ("logi", "log", lambda s: _pos(w[:-3])),
-    ])
-
-
-def _step3(w: str) -> str:
-    return _rules(w, [
-        ("icate", "ic", _pos), ("ative", "", _pos), ("alize", "al", _pos),
-        ("iciti", "ic", _pos), ("ical", "ic", _pos), ("ful", "", _pos), ("ness", "", _pos),
-    ])
-
-
-def _step4(w: str) -> str:
-    return _rules(w, [
-        ("al", "", _gt1), ("ance", "", _gt1), ("ence", "", _gt1), ("er", "", _gt1),
-        ("ic", "", _gt1), ("able", "", _gt1), ("ible", "", _gt1), ("ant", "", _gt1),
-        ("ement", "", _gt1), ("ment", "", _gt1), ("ent", "", _gt1),
-        ("ion", "", lambda s: _gt1(s) and s[-1:] in ("s", "t")),
-        ("ou", "", _gt1), ("ism", "", _gt1), ("ate", "", _gt1), ("iti", "", _gt1),
-        ("ous", "", _gt1), ("ive", "", _gt1), ("ize", "", _gt1),
-    ])
-
-
-def _step5(w: str) -> str:
-    if w.endswith("e"):
-        s = w[:-1]
-        if _m(s) > 1 or (_m(s) == 1 and not _cvc(s)):
-            w = s
-    if w.endswith("ll") and _m(w[:-1]) > 1:
-        w = w[:-1]
-    return w
-
-
-@lru_cache(maxsize=1 << 16)
-def porter_stem(word: str) -> str:
-    w = word.lower()
-    if w in IRREGULAR:
-        return IRREGULAR[w]
-    if len(w) <= 2:
-        return w
-    for step in (_step1a, _step1b, _step1c, _step2, _step3, _step4, _step5):
-        w = step(w)
-    return w
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def stem_tokens(tokens: pd.Series) -> pd.Series:
-    """Porter stem of every token in an array column (null stays null)."""
-    return pd.Series([None if t is None else [porter_stem(x) for x in t] for t in tokens])
+    The table is written once: a filter on the stem, inferred from a join,
+    must not be pushed through the steps, where it would grow with each.
+    """
+    x = tokens.withColumn("_w", F.lower(col))
+    for step in STEPS:
+        x = x.withColumn("_f", shape(F.col("_w"))).withColumn("_w", step(F.col("_w"), F.col("_f")))
+    irregular = F.create_map(*[F.lit(v) for kv in IRREGULAR.items() for v in kv])
+    word = F.lower(F.col(col))
+    stem = F.coalesce(F.try_element_at(irregular, word), F.when(F.length(word) <= 2, word), F.col("_w"))
+    return materialise(x.withColumn(out, stem).drop("_w", "_f"), "stems")

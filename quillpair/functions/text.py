@@ -29,7 +29,7 @@ ASCII_WS = r"\x09-\x0d\x1c-\x20"
 NON_ASCII = r"[^\x00-\x7f]"
 URL = rf"https?://[^{ASCII_WS}]+|www\.[^{ASCII_WS}]+"
 HTML = r"<[^\n]*?>|&([a-z0-9]+|#[0-9]{1,6}|#x[0-9a-f]{1,6});"
-CONTRACTION_PIECE = r"([A-Za-z]+(?:['’][A-Za-z]+)*|[^A-Za-z]+)"
+CONTRACTION_PIECE = r"(['’]?[A-Za-z]+(?:['’][A-Za-z]+)*|[^A-Za-z'’]+|['’])"
 SENTENCE = r"[^ .!?\n][^.!?\n]*[.!?]*"
 ROUGE_SPLIT = r"[^a-z0-9]+"
 
@@ -88,24 +88,28 @@ def _contraction_map() -> Column:
 def expand_contractions(c: Column | str) -> Column:
     """Dictionary expansion of English contractions, case-preserving (H2).
 
-    The text is cut into letter words (with inner apostrophes) and the
-    rest; each word is looked up lower-cased (curly apostrophe folded).
-    An upper-case word gets an upper-case expansion, a capitalised word a
-    capitalised one.
+    The text is cut into letter words (with apostrophes) and the rest; each
+    word is looked up lower-cased (curly apostrophe folded). A word with a
+    leading apostrophe that is no key itself keeps the apostrophe and is
+    looked up without it. An upper-case word gets an upper-case expansion, a
+    capitalised word a capitalised one.
     """
     cmap = _contraction_map()
 
-    def fix(x: Column) -> Column:
-        key = F.lower(F.replace(x, F.lit("’"), F.lit("'")))
-        e = F.try_element_at(cmap, key)
-        first = F.substring(x, 1, 1)
-        cased = (
+    def expansion(x: Column) -> Column:
+        e = F.try_element_at(cmap, F.lower(F.replace(x, F.lit("’"), F.lit("'"))))
+        first = F.regexp_extract(x, "[A-Za-z]", 0)
+        return (
             F.when((x == F.upper(x)) & (F.length(x) > 1) & (x != F.lower(x)), F.upper(e))
             .when(first != F.lower(first),
                   F.concat(F.upper(F.substring(e, 1, 1)), F.substr(e, F.lit(2))))
             .otherwise(e)
         )
-        return F.coalesce(cased, x)
+
+    def fix(x: Column) -> Column:
+        inner = F.substr(x, F.lit(2))
+        bare = F.when(x.rlike("^['’]."), F.concat(F.substring(x, 1, 1), F.coalesce(expansion(inner), inner)))
+        return F.coalesce(expansion(x), bare, x)
 
     pieces = F.regexp_extract_all(_c(c), F.lit(CONTRACTION_PIECE), F.lit(1))
     # The pieces cover the whole text, so a text holding no key is returned
@@ -146,11 +150,12 @@ def rouge_tokens(c: Column | str) -> Column:
 # --- FIXED VALUES: Treebank-style word tokenizer rules (Java replacement syntax) ---
 # Applied in order to lower-cased text; the result is split on whitespace.
 TREEBANK_RULES = [
+    (r"([«“‘„]|`+)", " $1 "),
     (r'^"', "``"),
     (r"(``)", " $1 "),
     (r'([ (\[{<])("|\'\')', "$1 `` "),
     (r"\.\.\.", " ... "),
-    (r"([^.])\.([\])}>\"']*)([\x09-\x0d ]|$)", "$1 .$2 "),
+    (r"([^.])\.([\])}>\"'»”’]*)([\x09-\x0d ]|$)", "$1 .$2 "),
     (r"([:,])([^\d])", " $1 $2"),
     (r"([:,])$", " $1 "),
     (r"[;@#$%&]", " $0 "),
@@ -158,16 +163,24 @@ TREEBANK_RULES = [
     (r"([^'])' ", "$1 ' "),
     (r"[\]\[(){}<>]", " $0 "),
     (r"--", " -- "),
+]
+# Ending quotes and contractions, on the text with a space at both ends.
+TREEBANK_PADDED_RULES = [
+    (r"([»”’])", " $1 "),
     (r'"', " '' "),
     (r"([^\x09-\x0d ])('')", "$1 $2 "),
     (r"([^' ])('[sSmMdD]|') ", "$1 $2 "),
     (r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 "),
     (r"(^|[^\p{L}\p{N}_])(can)(not)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
+    (r"(^|[^\p{L}\p{N}_])(d)('ye)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
+    (r"(^|[^\p{L}\p{N}_])(gim)(me)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
     (r"(^|[^\p{L}\p{N}_])(gon)(na)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
     (r"(^|[^\p{L}\p{N}_])(got)(ta)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
-    (r"(^|[^\p{L}\p{N}_])(wan)(na)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
-    (r"(^|[^\p{L}\p{N}_])(gim)(me)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
     (r"(^|[^\p{L}\p{N}_])(lem)(me)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
+    (r"(^|[^\p{L}\p{N}_])(more)('n)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
+    (r"(^|[^\p{L}\p{N}_])(wan)(na)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
+    (r"(^| )('t)(is)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
+    (r"(^| )('t)(was)($|[^\p{L}\p{N}_])", "$1$2 $3$4"),
 ]
 
 
@@ -178,8 +191,9 @@ def treebank_tokens(c: Column | str) -> Column:
     whitespace or the end (abbreviation lists are not modelled).
     """
     x = F.lower(_c(c))
-    for i, (pat, rep) in enumerate(TREEBANK_RULES):
-        if i == 12:  # ending quotes work on a space-padded string
-            x = F.concat(F.lit(" "), x, F.lit(" "))
+    for pat, rep in TREEBANK_RULES:
+        x = F.regexp_replace(x, pat, rep)
+    x = F.concat(F.lit(" "), x, F.lit(" "))
+    for pat, rep in TREEBANK_PADDED_RULES:
         x = F.regexp_replace(x, pat, rep)
     return ws_tokens(x)

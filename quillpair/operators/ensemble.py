@@ -9,163 +9,97 @@ from pyspark.sql import functions as F
 
 from .. import resources as R
 from ..functions import text as T
-from .joins import join_bounded
+from ..session import materialise
+from .numbering import numbered
 
-VOCAB_SIZE = 32_000
-TOPK_MERGE_ROWS = 4_000_000  # rows the single-task top-k merge may receive
 
+def learn_vocab(df: DataFrame, text_col: str, specials: Sequence[str] = tuple(R.SPECIAL_TOKENS)) -> DataFrame:
+    """Word-level vocabulary (token, id): specials first, then every
+    whitespace token of the corpus (count desc, token asc).
 
-def learn_vocab(df: DataFrame, text_col: str, size: int = VOCAB_SIZE,
-                specials: Sequence[str] = tuple(R.SPECIAL_TOKENS)) -> DataFrame:
-    """Word-level vocabulary (token, id): specials first, then the ``size``
-    most frequent whitespace tokens (count desc, token asc).
-
-    The count is a partial aggregate; the top ``size`` comes from a
-    distributed ``TakeOrderedAndProject`` over a bounded number of lanes,
-    so only ``size`` rows reach the final numbering. The result has at most ``vocab_bound(size)`` rows,
-    which is what makes broadcasting it safe.
+    The counts are partial aggregates; the numbering is a range-partitioned
+    sort with per-partition offsets. The table is written once, so joins know
+    its size and the planner picks a broadcast or a shuffle join.
     """
     tok = df.select(F.explode(T.ws_tokens(text_col)).alias("token"))
     tok = tok.filter(~F.col("token").isin(list(specials)))
     counts = tok.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    # The top-k keeps `size` rows per input partition and merges them in one
-    # task. Hash-spreading the counts (one row per token: no skew) over a
-    # fixed number of lanes bounds that merge at about TOPK_MERGE_ROWS rows,
-    # however wide the aggregate's shuffle is on a large cluster.
-    # With no more shuffle partitions than lanes the merge is already bounded.
-    lanes = max(1, TOPK_MERGE_ROWS // max(size, 1))
-    if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > lanes:
-        counts = counts.repartition(lanes, "token")
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)
-    w = Window.orderBy(F.desc("n"), F.asc("token"))  # at most `size` rows
-    spark = df.sparkSession
-    spec = spark.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, id int")
-    words = top.select("token", (F.row_number().over(w) + len(specials) - 1).cast("int").alias("id"))
-    return spec.unionByName(words)
-
-
-def vocab_bound(size: int = VOCAB_SIZE, specials: Sequence[str] = tuple(R.SPECIAL_TOKENS),
-                added: int = 1) -> int:
-    """Proven row bound of ``learn_vocab(size)`` plus ``added`` tokens."""
-    return size + len(specials) + added
+    words = numbered(counts, [F.desc("n"), F.asc("token")], "id", len(specials)).select("token", "id")
+    spec = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(t).alias("token"), F.lit(i).cast("bigint").alias("id")) for i, t in enumerate(specials)])))
+    return materialise(spec.unionByName(words), "vocab")
 
 
 def add_token(vocab: DataFrame, token: str = R.SEP_TOKEN) -> DataFrame:
-    """Extend the vocabulary with ``token`` (id = max + 1) when absent.
-
-    The candidate row joins the vocabulary and one window over the whole
-    table gives the max id and whether the token is already there, so the
-    vocabulary (and the corpus scan behind it) is evaluated once. The window
-    holds the whole vocabulary in one task: it is bounded by
-    :func:`vocab_bound`, like the top-k that produced it.
-    """
-    cand = vocab.select("token", "id", F.lit(False).alias("_new")).unionByName(
-        vocab.sparkSession.createDataFrame([(token, None, True)], "token string, id int, _new boolean"))
-    everything = Window.partitionBy()
-    x = cand.select("*", F.max("id").over(everything).alias("_max"),
-                    F.max((F.col("token") == token) & ~F.col("_new")).over(everything).alias("_has"))
-    return x.filter(~F.col("_new") | ~F.coalesce(F.col("_has"), F.lit(False))).select(
-        "token", F.coalesce(F.col("id"), F.coalesce(F.col("_max"), F.lit(-1)) + 1).cast("int").alias("id"))
+    """Extend the vocabulary with ``token`` (id = max + 1) when absent."""
+    kind = dict(vocab.dtypes)["id"]
+    new = vocab.agg((F.coalesce(F.max("id"), F.lit(-1)) + 1).cast(kind).alias("id"),
+                    F.coalesce(F.bool_or(F.col("token") == token), F.lit(False)).alias("has"))
+    return vocab.select("token", "id").unionByName(
+        new.filter("NOT has").select(F.lit(token).alias("token"), "id"))
 
 
-def variant_vocab(vocab: DataFrame, variants: Sequence[str]) -> DataFrame:
-    """(variant, token): each variant's own vocabulary; here every listed
-    variant shares one learned vocabulary."""
-    return vocab.select(F.inline(F.array(*[F.struct(F.lit(v).alias("variant")) for v in variants])),
-                        "token")
+def variant_vocab(vocabs: dict[str, DataFrame]) -> DataFrame:
+    """(variant, token) from each variant's own vocabulary."""
+    out = None
+    for variant, vocab in vocabs.items():
+        part = vocab.select(F.lit(variant).alias("variant"), "token")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _keys(id_col: str | Sequence[str]) -> list[str]:
     return [id_col] if isinstance(id_col, str) else list(id_col)
 
 
-def rare_word_counts(cands: DataFrame, vocab_by_variant: DataFrame,
-                     id_col: str | Sequence[str] = "pair_id",
-                     text_col: str = "generated", carry: Sequence[str] = (),
-                     vocab_max_rows: int | None = None) -> DataFrame:
+def rare_word_counts(cands: DataFrame, vocab_by_variant: DataFrame, id_col: str | Sequence[str] = "pair_id",
+                     text_col: str = "generated") -> DataFrame:
     """Candidates with the number of their whitespace words absent from that
     variant's vocabulary, duplicates counted, 0 when none (C4, D14).
-    ``id_col`` may be several key columns (e.g. id and rank).
 
-    With a stated row bound (``vocab_max_rows``, e.g. from ``learn_vocab``)
-    the vocabulary is broadcast, so hot tokens never meet in one task;
-    without one the planner picks a shuffle join. Grouping on (id, variant, text) keeps
-    the text, so no join back to the candidates is needed.
+    Only (key, variant, token) is exploded and joined; the counts go back to
+    the candidates by key, so no text is in a shuffled word row or grouping
+    key. The anti join is the planner's choice; in a shuffle join, adaptive
+    skew handling splits a frequent token.
     """
-    keys = _keys(id_col)
-    words = cands.select(*keys, "variant", text_col, *carry,
-                         F.explode_outer(T.ws_tokens(text_col)).alias("token"))
-    hit = vocab_by_variant.select("variant", "token", F.lit(True).alias("_in"))
-    flagged = join_bounded(words, hit, ["variant", "token"], "left", vocab_max_rows)
-    return flagged.groupBy(*keys, "variant", text_col).agg(
-        F.count_if(F.col("token").isNotNull() & F.col("_in").isNull()).alias("rare_words"),
-        *[F.first(c).alias(c) for c in carry])  # carried columns depend on the id only
-
-
-def select_best(rated: DataFrame, priority: dict[str, int], id_col: str | Sequence[str] = "pair_id",
-                text_col: str = "generated", out_variant: str = R.COMBINED,
-                carry: Sequence[str] = ()) -> DataFrame:
-    """Per id, the candidate with the fewest rare words, then the fewest
-    characters, then the first variant (E1, J4). ``rated`` carries
-    ``rare_words`` (see :func:`rare_word_counts`)."""
+    keys = [*_keys(id_col), "variant"]
+    words = cands.select(*keys, F.explode(T.ws_tokens(text_col)).alias("token"))
+    rare = (words.join(vocab_by_variant, ["variant", "token"], "left_anti")
+            .groupBy(*keys).agg(F.count(F.lit(1)).alias("rare_words")))
+    return cands.join(rare, keys, "left").withColumn("rare_words", F.coalesce("rare_words", F.lit(0)))
+
+
+def _preference(priority: dict[str, int], text_col: str) -> Column:
     prio = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
-    key = F.struct(F.col("rare_words"), F.length(text_col).alias("len"),
-                   F.element_at(prio, F.col("variant")).alias("prio"))
-    keys = _keys(id_col)
-    best = rated.groupBy(*keys).agg(F.min_by(F.struct("variant", text_col, *carry), key).alias("b"))
-    return best.select(*keys, *[F.col(f"b.{c}").alias(c) for c in carry],
-                       F.lit(out_variant).alias("variant"),
-                       F.col(f"b.{text_col}").alias(text_col),
-                       F.col("b.variant").alias("chosen"))
+    return F.struct(F.col("rare_words"), F.length(text_col).alias("len"),
+                    F.element_at(prio, F.col("variant")).alias("prio"))
 
 
-def ensemble(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
-             id_col: str | Sequence[str] = "pair_id", text_col: str = "generated",
-             carry: Sequence[str] = (), vocab_max_rows: int | None = None) -> DataFrame:
-    """Rare-word ensemble of several generators' candidates.
+def _marked(cands: DataFrame, vocab_by_variant: DataFrame, priority: dict[str, int],
+            id_col: str | Sequence[str], text_col: str) -> DataFrame:
+    """Rated candidates with ``_best``: fewest rare words, then fewest
+    characters, then the first variant (E1, J4)."""
+    rated = rare_word_counts(cands, vocab_by_variant, id_col, text_col)
+    best = Window.partitionBy(*_keys(id_col)).orderBy(_preference(priority, text_col))
+    return rated.withColumn("_best", F.row_number().over(best) == 1)
 
-    One shuffle on the id serves both aggregates (per candidate, then per id).
-    """
-    cands = cands.repartition(_keys(id_col)[0])
-    vv_rows = None if vocab_max_rows is None else vocab_max_rows * len(priority)
-    rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col, carry,
-                             vv_rows)
-    return select_best(rated, priority, id_col, text_col, carry=carry)
+
+def ensemble(cands: DataFrame, vocab_by_variant: DataFrame, priority: dict[str, int],
+             id_col: str | Sequence[str] = "pair_id", text_col: str = "generated",
+             out_variant: str = R.COMBINED) -> DataFrame:
+    """Rare-word ensemble of several generators' candidates (J4): per id, the
+    best candidate under ``out_variant`` and, in ``chosen``, whose it is."""
+    marked = _marked(cands, vocab_by_variant, priority, id_col, text_col)
+    return marked.filter("_best").select(
+        *_keys(id_col), F.lit(out_variant).alias("variant"), text_col, F.col("variant").alias("chosen"))
 
 
-def with_ensemble(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
+def with_ensemble(cands: DataFrame, vocab_by_variant: DataFrame, priority: dict[str, int],
                   id_col: str | Sequence[str] = "pair_id", text_col: str = "generated",
-                  carry: Sequence[str] = (), out_variant: str = R.COMBINED,
-                  vocab_max_rows: int | None = None) -> DataFrame:
-    """The candidates plus the ensemble's pick as ``out_variant``, in one pass.
-
-    Same choice as :func:`ensemble`, but the rated candidates are read once:
-    a window over the id (already the shuffle key, so no extra exchange)
-    finds each id's smallest (rare words, length, priority) and that row is
-    emitted twice, under its own variant and under ``out_variant``.
-    """
-    keys = _keys(id_col)
-    cands = cands.repartition(keys[0])
-    vv_rows = None if vocab_max_rows is None else vocab_max_rows * len(priority)
-    rated = rare_word_counts(cands, variant_vocab(vocab, list(priority)), id_col, text_col, carry,
-                             vv_rows)
-    prio = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
-    key = F.struct(F.col("rare_words"), F.length(text_col).alias("len"),
-                   F.element_at(prio, F.col("variant")).alias("prio"))
-    marked = rated.select(*keys, *carry, text_col, "variant",
-                          (key == F.min(key).over(Window.partitionBy(*keys))).alias("_best"))
-    names = F.when(F.col("_best"), F.array(F.col("variant"), F.lit(out_variant))).otherwise(
-        F.array(F.col("variant")))
-    return marked.select(*keys, *carry, text_col, F.explode(names).alias("variant"))
-
-
-def ensemble_ranked(cands: DataFrame, vocab: DataFrame, priority: dict[str, int],
-                    id_col: str = "pair_id", rank_col: str = "rank",
-                    text_col: str = "generated", vocab_max_rows: int | None = None) -> DataFrame:
-    """Pair the models' candidates by rank and pick per (id, rank).
-
-    A rank that only one model reached keeps that model's candidate. The
-    shuffle is on the id alone, so one exchange serves both aggregates.
-    """
-    return ensemble(cands, vocab, priority, [id_col, rank_col], text_col,
-                    vocab_max_rows=vocab_max_rows)
+                  out_variant: str = R.COMBINED) -> DataFrame:
+    """The candidates plus the ensemble's pick as ``out_variant``: the rated
+    candidates are read once, and the best row of each id is emitted twice."""
+    marked = _marked(cands, vocab_by_variant, priority, id_col, text_col)
+    names = F.when(F.col("_best"), F.array("variant", F.lit(out_variant))).otherwise(F.array("variant"))
+    rest = [c for c in cands.columns if c != "variant"]
+    return marked.select(*rest, F.explode(names).alias("variant"))

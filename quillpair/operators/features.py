@@ -2,8 +2,8 @@
 
 The variants differ only in data (prefix, keywords, joiner), so they are
 rows of a config literal unpivoted onto each pair with ``inline``: no join
-and no shuffle. Token ids come from a bounded word-level vocabulary that is
-broadcast; the only shuffle re-collects each text's ids in order.
+and no shuffle. Token ids come from a word-level vocabulary table; the only
+other shuffle re-collects each text's ids in order.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import resources as R
 from ..functions import text as T
-from .joins import join_bounded
 
 
 def variants_config(names: Sequence[str] | None = None) -> Column:
@@ -33,7 +32,7 @@ def with_keywords(pairs: DataFrame, keywords: DataFrame, id_col: str = "pair_id"
 
 
 def prompts(pairs: DataFrame, names: Sequence[str] | None = None,
-            id_col: str = "pair_id") -> DataFrame:
+            id_col: str = "pair_id", carry: Sequence[str] = ()) -> DataFrame:
     """(id, variant, prompt, target) for each pair and variant.
 
     prompt = prefix + context [+ joiner + keywords] + " </s>";
@@ -50,24 +49,22 @@ def prompts(pairs: DataFrame, names: Sequence[str] | None = None,
                       F.lit(R.EOS_TEXT))
     target = F.concat(F.replace(F.col("question"), F.lit(R.SEP_PLACEHOLDER), F.lit(R.SEP_TOKEN)),
                       F.lit(R.EOS_TEXT))
-    return x.select(id_col, "variant", prompt.alias("prompt"), target.alias("target"))
+    return x.select(id_col, *carry, "variant", prompt.alias("prompt"), target.alias("target"))
 
 
 def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: DataFrame,
-           unk_id: int = R.UNK_ID, limits: dict[str, int] | None = None,
-           vocab_max_rows: int | None = None) -> DataFrame:
+           unk_id: int = R.UNK_ID, limits: dict[str, int] | None = None) -> DataFrame:
     """Whitespace tokens -> ids in order for several text columns at once;
     unknown tokens -> ``unk_id`` (C9). ``columns`` maps output -> text column;
     ``limits`` (output -> n) keeps only the first n tokens, cut before the
     explode so a long text never ships more than n rows to the shuffle.
 
     All texts of a row are exploded in one pass (tagged by side), looked up
-    in the vocabulary, and re-collected in order. The one shuffle is on the
-    keys and happens before the explode: the rows cross the network as
-    text, not as one (keys, side, pos, token) row per token, and the
-    re-collect finds its keys already co-located (explode and broadcast
-    join keep the partitioning). With a stated bound (``vocab_max_rows``)
-    the vocabulary is broadcast, so frequent tokens never gather in one task.
+    in the vocabulary, and re-collected in order. The rows are shuffled on
+    the keys before the explode, so they cross the network as text; where
+    the planner broadcasts the vocabulary, the re-collect finds its keys
+    co-located. Where the vocabulary is too large for that, the lookup is a
+    shuffle join with adaptive skew handling.
     """
     keys = list(keys)
     outs = list(columns)
@@ -83,8 +80,8 @@ def encode(df: DataFrame, keys: Sequence[str], columns: dict[str, str], vocab: D
     tagged = [F.transform(tokens(o), tag(side)) for side, o in enumerate(outs)]
     toks = df.repartition(*keys).select(*keys, F.explode_outer(F.concat(*tagged)).alias("_t"))
     toks = toks.select(*keys, "_t.side", "_t.pos", "_t.token")
-    looked = join_bounded(toks, vocab.select("token", "id"), "token", "left", vocab_max_rows)
-    item = F.struct(F.col("pos"), F.coalesce(F.col("id"), F.lit(unk_id)).alias("id"))
+    looked = toks.join(vocab.select("token", "id"), "token", "left")
+    item = F.struct(F.col("pos"), F.coalesce(F.col("id"), F.lit(unk_id)).cast("int").alias("id"))
     agg = looked.groupBy(*keys).agg(*[
         F.array_sort(F.collect_list(F.when(F.col("side") == side, item))).alias(f"_p{side}")
         for side in range(len(outs))])
@@ -109,13 +106,11 @@ def masked_labels(ids: Column, pad_id: int = R.PAD_ID) -> Column:
 
 
 def features(prompts_df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("pair_id", "variant"),
-             max_input: int = R.MAX_INPUT_LEN, max_target: int = R.MAX_TARGET_LEN,
-             vocab_max_rows: int | None = None) -> DataFrame:
+             max_input: int = R.MAX_INPUT_LEN, max_target: int = R.MAX_TARGET_LEN) -> DataFrame:
     """The four feature arrays per prompt."""
     keys = list(keys)
     both = encode(prompts_df, keys, {"_src": "prompt", "_tgt": "target"}, vocab,
-                  limits={"_src": max_input - 1, "_tgt": max_target - 1},  # the rest is cut anyway
-                  vocab_max_rows=vocab_max_rows)
+                  limits={"_src": max_input - 1, "_tgt": max_target - 1})  # the rest is cut anyway
     in_ids, in_mask = fixed_length(F.col("_src"), max_input)
     out_ids, out_mask = fixed_length(F.col("_tgt"), max_target)
     return both.select(*keys, in_ids.alias("input_ids"), in_mask.alias("attention_mask"),

@@ -3,8 +3,8 @@
 A user model plugs in through :func:`generate_with`, an iterator-of-Series
 ``pandas_udf``: the factory runs once per Python worker task, then whole
 Arrow batches are generated at a time (the original ran one row per call).
-The shipped generators are column expressions, so the pipeline runs end to
-end without model weights.
+The shipped generators are column expressions over one sentence, so the
+pipeline runs end to end without model weights.
 """
 
 from __future__ import annotations
@@ -12,71 +12,75 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import resources as R
 from ..functions import text as T
 
 
-def _first_sentence_tokens(context: Column | str) -> Column:
-    first = F.get(T.sentences(context), 0)
-    toks = F.coalesce(T.ws_tokens(first), F.array().cast("array<string>"))
-    return F.slice(toks, 1, R.MAX_GEN_TOKENS)  # generator output limit (max_length)
-
-
-def _capped_tokens(sentence: Column) -> Column:
-    return F.slice(T.ws_tokens(sentence), 1, R.MAX_GEN_TOKENS)
-
-
 def _as_question(tokens: Column) -> Column:
     body = F.regexp_replace(F.array_join(tokens, " "), "[.!?]+$", "")
     return F.when(body == "", F.lit("")).otherwise(F.concat(body, F.lit("?")))
 
 
-def lead_question(context: Column | str) -> Column:
-    """Extractive generator: the first sentence of the context as a question."""
-    return _as_question(_first_sentence_tokens(context))
-
+def lead_question(tokens: Column) -> Column:
+    """Extractive generator: a sentence's tokens as a question."""
+    return _as_question(tokens)
 
-def cloze_question(context: Column | str) -> Column:
-    """Extractive generator: the first sentence with its longest word
-    (first on ties) replaced by ``what``.
 
-    Written with slices, not a lambda over the token array: lambda bodies
-    are evaluated per element and would recompute the sentence split.
-    """
-    return _cloze_from_tokens(_first_sentence_tokens(context))
-
-
-def _cloze_from_tokens(toks: Column) -> Column:
-    lens = F.transform(toks, lambda x: F.length(x))
+def cloze_question(tokens: Column) -> Column:
+    """Extractive generator: the sentence with its longest word (first on
+    ties) replaced by ``what``."""
+    lens = F.transform(tokens, lambda x: F.length(x))
     best = F.array_position(lens, F.array_max(lens))  # 1-based, 0 when empty
     swapped = F.when(best > 0, F.concat(
-        F.slice(toks, 1, F.greatest(best - 1, F.lit(0))), F.array(F.lit("what")),
-        F.slice(toks, best + 1, F.size(toks)))).otherwise(toks)
+        F.slice(tokens, 1, F.greatest(best - 1, F.lit(0))), F.array(F.lit("what")),
+        F.slice(tokens, best + 1, F.size(tokens)))).otherwise(tokens)
     return _as_question(swapped)
 
 
+#: Forms over the token array of one sentence.
 EXTRACTIVE = {"lead": lead_question, "cloze": cloze_question}
 
-# Per-sentence forms, for generators that return n ranked sequences.
-RANKED = {"lead": _as_question, "cloze": _cloze_from_tokens}
 
+def sentences(df: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(id, carry, pos, tokens): one row per sentence. The split runs once,
+    under the explode; what follows reads the sentence as a column."""
+    rows = df.select(id_col, *carry, F.posexplode(T.sentences(text_col)).alias("pos", "_sentence"))
+    return rows.select(id_col, *carry, "pos", T.ws_tokens("_sentence").alias("tokens"))
 
-def predictions(df: DataFrame, id_col: str, context_col: str,
-                generators: dict[str, Callable[[Column], Column]] | None = None,
-                carry: Sequence[str] = ()) -> DataFrame:
-    """One row per (id, variant) with the generated question.
 
-    The variants are a short fixed list, so they are unpivoted with
-    ``inline`` on each row (no join, no shuffle). ``carry`` columns (e.g.
-    the reference question) ride along, so scoring needs no join back.
-    """
+def ranked_predictions(df: DataFrame, id_col: str, context_col: str, n: int | None = None,
+                       generators: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """(id, variant, rank, generated): each generator's first ``n`` distinct
+    questions (all with None), one per sentence of the context in order (J2,
+    J3, F2, E2). Repeats and ranks are settled on the id's partition."""
     gens = generators or EXTRACTIVE
-    rows = F.array(*[F.struct(F.lit(name).alias("variant"), fn(F.col(context_col)).alias("generated"))
+    rows = F.array(*[F.struct(F.lit(name).alias("variant"), fn(F.col("tokens")).alias("generated"))
                      for name, fn in gens.items()])
-    return df.select(id_col, *carry, F.inline(rows))
+    all_ = sentences(df, id_col, context_col).select(id_col, "pos", F.inline(rows)).repartition(id_col)
+    return first_distinct(all_, [id_col, "variant"], "pos", "generated", n)
+
+
+def first_distinct(df: DataFrame, keys: Sequence[str], pos: str, value: str, n: int | Column | None = None) -> DataFrame:
+    """The first ``n`` distinct values per key in ``pos`` order, as ``rank`` 1..n.
+
+    Equal values meet by their digest, so no text is a sort key. Fewer than ``n`` distinct values return what exists (the original could
+    loop forever).
+    """
+    first = df.withColumn("_again", F.row_number().over(Window.partitionBy(*keys, F.md5(value)).orderBy(pos)))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(pos)).cast("bigint")
+    out = first.filter("_again = 1").withColumn("rank", rank).drop("_again", pos)
+    return out if n is None else out.filter(F.col("rank") <= n)
+
+
+def lead_of_context(df: DataFrame, id_col: str, context_col: str) -> DataFrame:
+    """(id, variant, generated): the first sentence as a question, "" where
+    there is none. One sequence is asked for, so one sentence is the whole
+    result (F3)."""
+    toks = F.coalesce(T.ws_tokens(F.get(T.sentences(context_col), 0)), F.array().cast("array<string>"))
+    return df.select(id_col, toks.alias("tokens")).select(
+        id_col, F.lit("lead").alias("variant"), lead_question(F.col("tokens")).alias("generated"))
 
 
 def generate_with(df: DataFrame, prompt_col: str, factory: Callable[[], Callable[[list[str]], list]],
@@ -94,42 +98,3 @@ def generate_with(df: DataFrame, prompt_col: str, factory: Callable[[], Callable
             yield pd.Series(model(b.tolist()))
 
     return df.withColumn(out_col, _gen(F.col(prompt_col)))
-
-
-def first_n_distinct(candidates: Column, n: Column | int) -> Column:
-    """First ``n`` distinct candidates in generation order.
-
-    ``array_distinct`` keeps first occurrences in order, so this is
-    row-local: no explode, no shuffle. Fewer than ``n`` distinct candidates
-    return what exists (the original could loop forever).
-    """
-    n_col = n if isinstance(n, Column) else F.lit(n)
-    return F.slice(F.array_distinct(candidates), 1, F.greatest(n_col, F.lit(0)))
-
-
-def sentence_candidates(text: Column | str) -> Column:
-    """Stand-in for ``num_return_sequences``: the sentences of a text in
-    order, whitespace-normalised, as ranked candidates."""
-    return F.transform(T.sentences(text), lambda s: F.array_join(T.ws_tokens(s), " "))
-
-
-def _per_sentence(fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda s: fn(_capped_tokens(s))
-
-
-def ranked_predictions(df: DataFrame, id_col: str, context_col: str, n: Column | int,
-                       generators: dict[str, Callable[[Column], Column]] | None = None
-                       ) -> DataFrame:
-    """One row per (id, variant, rank): each generator's first ``n``
-    distinct questions, one per sentence of the context in order (J3, F2,
-    E2). Row-local: the per-variant arrays are built and unpivoted in one
-    projection, with no shuffle."""
-    gens = generators or RANKED
-    sents = T.sentences(F.col(context_col))
-    rows = F.array(*[F.struct(
-        F.lit(name).alias("variant"),
-        first_n_distinct(F.transform(sents, _per_sentence(fn)), n).alias("qs"))
-        for name, fn in gens.items()])
-    per_variant = df.select(id_col, F.inline(rows))
-    return per_variant.select(id_col, "variant", F.posexplode("qs").alias("rank", "generated")
-                              ).withColumn("rank", (F.col("rank") + 1).cast("bigint"))

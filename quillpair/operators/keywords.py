@@ -1,46 +1,37 @@
 """TextRank keywords (E6, E7, H19, J1), after Mihalcea & Tarau (2004).
 
 * Graph: nodes are content words (letters only, 2+, not a stop word) of the
-  lower-cased text; an undirected, unweighted edge joins two different
-  words that are adjacent in the text (window 2; a stop word or number in
-  between breaks adjacency). Built row-locally from each text's word array.
+  lower-cased text, or their stems; an undirected, unweighted edge joins two
+  different nodes whose words are adjacent in the text (window 2; a stop
+  word or number in between breaks adjacency).
 * Scores: PageRank with damping 0.85 in the original TextRank form
   ``r = (1 - d) + d * sum(r_j / deg_j)``, a fixed number of iterations.
-  Each iteration is one join of the (doc, src)-keyed edge table with the
-  ranks and one aggregate on (doc, dst): message passing keyed by
-  (doc, word), so even one enormous document spreads over many tasks.
-  Lineage is cut with reliable checkpoints in the shared folder.
-* Two physical paths, same numbers: a text below ``LOCAL_MAX_CHARS`` is
-  one row whose whole graph fits a task, so its PageRank runs inside that
-  row (an Arrow-batched NumPy helper, one ``bincount`` per iteration) and
-  its ranking is a row-local ``array_sort``: no shuffle at all. Longer
-  texts take the relational path above.
+  Each iteration is one join of the (doc, source)-keyed edges with the ranks
+  and one aggregate on (doc, target), so one enormous text spreads over many
+  tasks. Nodes travel as 64-bit hashes; within a segment the edges are
+  shuffled once (their exchange is reused), and after each segment the ranks
+  are written to the shared folder, which cuts the lineage.
 * Selection: the top ``floor(ratio * nodes)`` words per document by score
   (rounded to 6 digits), ties by word.
-* Phrases: kept words that follow each other in the text are merged; each
-  word is used once; phrases ordered by average score. This scan is
-  sequential per text, so it runs as a small Arrow ``mapInPandas`` helper on
-  rows that already hold one text each (no grouping).
+* Phrases: a kept word counts where it first stands in the text. First
+  places that follow each other form one phrase, so each word is used once;
+  of a phrase that reaches the end of the text only its last word is taken,
+  as in the original. Phrases are ordered by mean score, then place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import resources as R
 from ..functions import text as T
-from ..session import cut_lineage
+from ..functions.stem import with_stems
+from ..session import materialise
 
 CONTENT_WORD = r"^\p{L}{2,}$"
-ITERATIONS = 10
-CHECKPOINT_EVERY = 5
-LOCAL_MAX_CHARS = 1_000_000  # texts up to this size rank inside their own row
+ITERATIONS = 20
+SEGMENT = 5  # iterations between written ranks
 
 
 def _is_content(x: Column) -> Column:
@@ -52,126 +43,56 @@ def text_words(text: Column | str) -> Column:
     return T.word_runs(F.lower(text if isinstance(text, Column) else F.col(text)))
 
 
-def textrank_edges(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def textrank_edges(df: DataFrame, id_col: str, text_col: str, stems: bool = False) -> DataFrame:
     """Directed edge table (id, src, dst), both directions, no duplicates.
 
     Adjacent word pairs come from zipping each text's word array with itself
     shifted by one (no lambdas: the explode and filters are code-generated).
     Duplicate pairs are removed by an aggregate keyed by (id, pair), which
     partial-aggregates per task and spreads one long text over many tasks.
+    With ``stems`` the nodes are Porter stems, made once per distinct word.
     """
     words = df.select(F.col(id_col), text_words(text_col).alias("_w"))
     n = F.size("_w")
     zipped = F.when(n >= 2, F.arrays_zip(F.slice("_w", 1, n - 1).alias("a"),
                                          F.slice("_w", 2, n - 1).alias("b")))
     pairs = words.select(id_col, F.explode(zipped).alias("p")).select(id_col, "p.a", "p.b")
-    pairs = pairs.filter(_is_content(F.col("a")) & _is_content(F.col("b")) & (F.col("a") != F.col("b")))
+    pairs = pairs.filter(_is_content(F.col("a")) & _is_content(F.col("b")))
+    if stems:
+        table = _stem_table(df, text_col)
+        for c in ("a", "b"):
+            pairs = pairs.join(table.select(F.col("word").alias(c), F.col("stem").alias(f"_{c}")), c)
+        pairs = pairs.select(id_col, F.col("_a").alias("a"), F.col("_b").alias("b"))
+    pairs = pairs.filter("a <> b")
     und = pairs.select(id_col, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
                    F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
     return und.select(id_col, F.inline(both))
 
 
-def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
-                    damping: float = R.TEXTRANK_DAMPING,
-                    checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
-    """(id, word, score) after ``iterations`` PageRank steps from r = 1.
-
-    The weighted edge table (w = 1 / out-degree, from a window keyed by
-    (id, src)) is built once and read by every iteration; since all ranks
-    start at 1, the first step needs no join.
-    """
-    deg = F.count(F.lit(1)).over(Window.partitionBy(id_col, "src"))
-    wedges = edges.select(id_col, "src", "dst", (1.0 / deg).alias("w"))
-    # Hash-partitioned on the join key and persisted (a checkpoint would drop
-    # the partitioning), so each iteration shuffles only the messages. Its
-    # lineage is short (scan -> edges -> window) if an executor is lost; the
-    # growing rank lineage is what gets checkpointed.
-    wedges = wedges.repartition(id_col, "src").persist(StorageLevel.MEMORY_AND_DISK)
-    step = lambda c: ((1 - damping) + damping * F.sum(c)).alias("score")
-    ranks = wedges.groupBy(id_col, F.col("dst").alias("word")).agg(step(F.col("w")))
-    if wedges.isEmpty():  # e.g. no text above the row-local bound: no graph to iterate
-        return ranks
-    for t in range(2, iterations + 1):
-        # never broadcast: both sides grow with the data; ranks build the hash table
-        msg = (wedges.join(ranks.withColumnRenamed("word", "src").hint("shuffle_hash"),
-                           [id_col, "src"])
-               .select(id_col, F.col("dst").alias("word"), (F.col("w") * F.col("score")).alias("c")))
-        ranks = msg.groupBy(id_col, "word").agg(step(F.col("c")))
-        if t % checkpoint_every == 0 and t < iterations:
-            ranks = cut_lineage(ranks)
-    return ranks
-
-
-def _row_pagerank(words, content, iterations: int, damping: float) -> list[dict]:
-    """PageRank of one text's adjacency graph (same graph and update as the
-    relational path): distinct undirected edges between adjacent content
-    words, r = (1 - d) + d * sum(r_src / deg_src), from r = 1."""
-    if words is None or len(words) < 2:
-        return []
-    w = np.asarray(words, dtype=object)
-    c = np.asarray(content, dtype=bool)
-    ok = c[:-1] & c[1:] & (w[:-1] != w[1:])
-    if not ok.any():
-        return []
-    a, b = w[:-1][ok], w[1:][ok]
-    inv, nodes = pd.factorize(np.concatenate([a, b]))  # hash-based node ids
-    v = len(nodes)
-    ia, ib = inv[:len(a)], inv[len(a):]
-    key = np.unique(np.minimum(ia, ib).astype(np.int64) * v + np.maximum(ia, ib))
-    lo, hi = key // v, key % v
-    src, dst = np.concatenate([lo, hi]), np.concatenate([hi, lo])
-    wt = 1.0 / np.bincount(src, minlength=v)[src]
-    r = np.ones(v)
-    for _ in range(iterations):
-        r = (1 - damping) + damping * np.bincount(dst, weights=wt * r[src], minlength=v)
-    return [{"word": nodes[i], "score": float(r[i])} for i in range(v)]
-
-
-def _row_scores_udf(iterations: int, damping: float):
-    @F.pandas_udf("array<struct<word:string,score:double>>")
-    def scores(words: pd.Series, content: pd.Series) -> pd.Series:
-        return pd.Series([_row_pagerank(w, c, iterations, damping)
-                          for w, c in zip(words, content)])
-    return scores
-
-
-def _is_local(text: Column) -> Column:
-    return F.coalesce(F.length(text), F.lit(0)) <= LOCAL_MAX_CHARS
-
-
-def _local_kept(words: Column, iterations: int, damping: float, ratio: float) -> Column:
-    """Row-local scores, rounded, ordered by (score desc, word) and cut to
-    the top ``floor(ratio * nodes)``: array<struct<word, score>>."""
-    content = F.transform(words, _is_content)
-    sc = _row_scores_udf(iterations, damping)(words, content)
-    keyed = F.array_sort(F.transform(sc, lambda x: F.struct(
-        (-F.round(x["score"], 6)).alias("k"), x["word"].alias("word"),
-        F.round(x["score"], 6).alias("score"))))
-    keep = F.floor(F.lit(ratio) * F.size(sc)).cast("int")
-    return F.transform(F.slice(keyed, 1, keep), lambda x: F.struct(x["word"].alias("word"),
-                                                                    x["score"].alias("score")))
+def _stem_table(df: DataFrame, text_col: str) -> DataFrame:
+    words = df.select(F.explode(text_words(text_col)).alias("word")).filter(_is_content(F.col("word"))).distinct()
+    return with_stems(words, "word")
 
 
-def textrank_top(df: DataFrame, id_col: str, text_col: str, ratio: float = R.KEYWORD_RATIO,
-                 iterations: int = ITERATIONS, damping: float = R.TEXTRANK_DAMPING) -> DataFrame:
-    """(id, rank, word, score): TextRank's kept words per text.
-
-    Texts up to ``LOCAL_MAX_CHARS`` rank inside their row; longer ones go
-    through the relational PageRank, so no text is ever too big.
-    """
-    local = df.filter(_is_local(F.col(text_col))).select(F.col(id_col),
-                                                         text_words(text_col).alias("_w"))
-    local = local.select(id_col, _local_kept(F.col("_w"), iterations, damping, ratio).alias("_k"))
-    # posexplode_outer: a plain posexplode makes Catalyst infer a size(_k) > 0
-    # filter and push it (with the Python scoring) below the repartition
-    local = (local.select(id_col, F.posexplode_outer("_k").alias("rank", "k"))
-             .filter(F.col("k").isNotNull())
-             .select(id_col, (F.col("rank") + 1).cast("bigint").alias("rank"), "k.word", "k.score"))
-    big = df.filter(~_is_local(F.col(text_col)))
-    dist = top_keywords(textrank_scores(textrank_edges(big, id_col, text_col), id_col,
-                                        iterations, damping), id_col, ratio)
-    return local.unionByName(dist)
+def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
+                    damping: float = R.TEXTRANK_DAMPING, segment: int = SEGMENT) -> DataFrame:
+    """(id, word, score) after ``iterations`` PageRank steps from r = 1."""
+    edges = materialise(edges, "textrank-edges")
+    hashed = edges.select(id_col, F.xxhash64("src").alias("s"), F.xxhash64("dst").alias("d"))
+    degree = hashed.groupBy(id_col, "s").agg((1.0 / F.count(F.lit(1))).alias("w"))
+    weighted = hashed.join(degree, [id_col, "s"])
+    step = ((1 - damping) + damping * F.sum("c")).alias("r")
+    ranks = weighted.select(id_col, F.col("d").alias("s"), F.col("w").alias("c")).groupBy(id_col, "s").agg(step)
+    for t in range(2, iterations + 1):
+        # weighted is the same subplan each time: its exchanges are reused within a segment
+        ranks = (weighted.join(ranks, [id_col, "s"])
+                 .select(id_col, F.col("d").alias("s"), (F.col("w") * F.col("r")).alias("c"))
+                 .groupBy(id_col, "s").agg(step))
+        if t % segment == 0:
+            ranks = materialise(ranks, "textrank-ranks")
+    words = edges.select(id_col, F.col("src").alias("word"), F.xxhash64("src").alias("s")).distinct()
+    return words.join(ranks, [id_col, "s"]).select(id_col, "word", F.col("r").alias("score"))
 
 
 def top_keywords(scores: DataFrame, id_col: str, ratio: float = R.KEYWORD_RATIO) -> DataFrame:
@@ -187,71 +108,39 @@ def top_keywords(scores: DataFrame, id_col: str, ratio: float = R.KEYWORD_RATIO)
             .select(id_col, F.col("rank").cast("bigint").alias("rank"), "word", "score"))
 
 
-def merge_phrases(tokens, scores: dict) -> list[str]:
-    """Merge kept words that follow each other in the text into phrases.
-
-    A word starts a phrase when still unused; the phrase grows while the
-    next word is kept, unused and not already in it; its words are then
-    used up. A phrase still open at the end of the text is dropped, except
-    that a kept last word stands alone. Phrases are ordered by the mean
-    score of their words (stable).
-    """
-    avail = dict(scores)
-    out: list[str] = []
-    n = len(tokens)
-    for i, w in enumerate(tokens):
-        if w not in avail:
-            continue
-        phrase = [w]
-        if i + 1 == n:
-            out.append(w)
-        for j in range(i + 1, n):
-            o = tokens[j]
-            if o in avail and o not in phrase:
-                phrase.append(o)
-            else:
-                for k in phrase:
-                    avail.pop(k, None)
-                out.append(" ".join(phrase))
-                break
-    return sorted(out, key=lambda p: -sum(scores[x] for x in p.split()) / len(p.split()))
-
-
-def _merge_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        kws = []
-        for toks, kept in zip(b["_tokens"], b["_kept"]):
-            if kept is None or len(kept) == 0 or toks is None:
-                kws.append("")
-                continue
-            scores = {k["word"]: k["score"] for k in kept}
-            kws.append(" ".join(merge_phrases(list(toks), scores)))
-        yield pd.DataFrame({"_id": b["_id"], "keywords": kws})
+def textrank_top(df: DataFrame, id_col: str, text_col: str, ratio: float = R.KEYWORD_RATIO,
+                 iterations: int = ITERATIONS, damping: float = R.TEXTRANK_DAMPING,
+                 stems: bool = False) -> DataFrame:
+    """(id, rank, word, score): TextRank's kept words (or stems) per text."""
+    edges = textrank_edges(df, id_col, text_col, stems)
+    return top_keywords(textrank_scores(edges, id_col, iterations, damping), id_col, ratio)
 
 
 def keywords(df: DataFrame, id_col: str, text_col: str, ratio: float = R.KEYWORD_RATIO,
-             iterations: int = ITERATIONS, damping: float = R.TEXTRANK_DAMPING) -> DataFrame:
+             iterations: int = ITERATIONS, damping: float = R.TEXTRANK_DAMPING,
+             stems: bool = False) -> DataFrame:
     """(id, keywords): TextRank keyword string per text, phrases joined by a
-    space (J1, H19); empty when the text has no edges.
-
-    Short texts carry their kept words in the same row as their tokens, so
-    the phrase merge needs no join; long texts join their relational
-    result back by id.
-    """
-    words = text_words(text_col)
-    local = df.filter(_is_local(F.col(text_col))).select(
-        F.col(id_col).cast("bigint").alias("_id"), words.alias("_tokens")).withColumn(
-        "_kept", _local_kept(F.col("_tokens"), iterations, damping, ratio))
-    big = df.filter(~_is_local(F.col(text_col)))
-    kept = top_keywords(textrank_scores(textrank_edges(big, id_col, text_col), id_col,
-                                        iterations, damping), id_col, ratio)
-    per_doc = kept.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("k"), "word", "score")))
-        .alias("_kept"))
-    dist = (big.select(F.col(id_col), words.alias("_tokens"))
-            .join(per_doc, id_col, "left")
-            .select(F.col(id_col).cast("bigint").alias("_id"), "_tokens",
-                    F.transform("_kept", lambda x: F.struct(x["word"].alias("word"),
-                                                            x["score"].alias("score"))).alias("_kept")))
-    out = local.unionByName(dist).mapInPandas(_merge_batches, "_id bigint, keywords string")
-    return out.withColumnRenamed("_id", id_col)
+    space (J1, H19); empty when the text has no edges. With ``stems`` a word
+    is kept when its stem is."""
+    kept = textrank_top(df, id_col, text_col, ratio, iterations, damping, stems)
+    if stems:
+        kept = kept.withColumnRenamed("word", "stem").join(_stem_table(df, text_col), "stem")
+    places = df.select(F.col(id_col), text_words(text_col).alias("_w")).select(
+        id_col, F.size("_w").alias("_n"), F.posexplode("_w").alias("pos", "word"))
+    first = (places.join(kept.select(id_col, "word", "score"), [id_col, "word"])
+             .groupBy(id_col, "word").agg(F.min("pos").alias("pos"), F.max("score").alias("score"), F.max("_n").alias("_n")))
+    run = F.col("pos") - F.row_number().over(Window.partitionBy(id_col).orderBy("pos"))
+    inside = F.array_sort(F.collect_list(F.struct("pos", "word", "score")))
+    runs = (first.withColumn("_run", run).groupBy(id_col, "_run")
+            .agg(inside.alias("ws"), F.max("_n").alias("_n"), F.max("pos").alias("_last")))
+    open_ = F.col("_last") == F.col("_n") - 1
+    taken = F.when(open_, F.slice("ws", -1, 1)).otherwise(F.col("ws"))
+    phrases = runs.select(id_col, taken.alias("ws")).select(
+        id_col, F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("phrase"),
+        F.round(F.aggregate("ws", F.lit(0.0), lambda a, x: a + x["score"]) / F.size("ws"), 9).alias("mean"),
+        F.col("ws")[0]["pos"].alias("pos"))
+    text = F.array_sort(F.collect_list(F.struct((-F.col("mean")).alias("k"), "pos", "phrase")))
+    per_doc = phrases.groupBy(id_col).agg(
+        F.array_join(F.transform(text, lambda x: x["phrase"]), " ").alias("keywords"))
+    return df.select(id_col).join(per_doc, id_col, "left").select(
+        id_col, F.coalesce("keywords", F.lit("")).alias("keywords"))

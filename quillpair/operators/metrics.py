@@ -1,11 +1,15 @@
 """Text-generation metrics per (hypothesis, reference) row and over a corpus.
 
-Scores are row-local: hypothesis and reference sit in the same row, so no
-metric needs a shuffle; only the final per-variant averages aggregate.
-
-* BLEU-1..4 (J6) and METEOR's exact stage (J7) are JVM higher-order
-  functions. Their cost per row is O(|h| * (|h| + |r|)); hypotheses are
-  bounded by the generator's output limit, so this is linear in |r|.
+The rows to score are hashed on their keys once; tokens and n-grams are
+exploded, ranked and counted on that partitioning, linear in the text
+length, and no text is a shuffle or grouping key beyond its own tokens.
+
+* BLEU-1..4 (J6): one count per (row, order, n-gram) holds both sides;
+  clipping is ``least`` of the two.
+* METEOR (J7): the greedy alignment from the end pairs the k-th last
+  occurrence of a word in the hypothesis with its k-th last occurrence in
+  the reference, so one count per (row, token, k) holds both positions. What
+  stays single goes on to the stem stage, then to the synonym stage.
 * ROUGE-L (J5) needs a longest common subsequence, a sequential DP with no
   built-in expression; it runs as an Arrow-batched ``pandas_udf`` with the
   bit-parallel LCS of Hyyro (2004): O(|a| * |b| / wordsize) per row.
@@ -17,6 +21,7 @@ differences from those libraries in the third decimal are possible.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Sequence
 
@@ -28,8 +33,7 @@ from pyspark.sql.types import LongType
 
 from .. import resources as R
 from ..functions import text as T
-from ..functions.stem import stem_tokens
-from .joins import join_bounded
+from ..functions.stem import with_stems
 
 
 def _empty() -> Column:
@@ -83,48 +87,39 @@ def ngrams(tokens: Column, n: int) -> Column:
                   ).otherwise(_empty())
 
 
-def clipped_matches(hg: Column, rg: Column) -> Column:
-    """sum over distinct hypothesis n-grams of min(count in h, count in r)."""
-    return F.aggregate(
-        F.array_distinct(hg), F.lit(0).cast("bigint"),
-        lambda acc, g: acc + F.least(F.size(F.filter(hg, lambda x: x == g)),
-                                     F.size(F.filter(rg, lambda x: x == g))).cast("bigint"))
-
-
 SMOOTHING = ("method0", "method1", "method4")
 
 
-def bleu_columns(df: DataFrame, h: str, r: str, max_n: int = R.BLEU_MAX_N,
-                 prefix: str = "bleu", smoothing: str = "method4") -> DataFrame:
-    """Add ``bleu1..bleuN``: sentence BLEU with uniform weights 1/N, single
-    reference (J6, H24, D15), smoothing chosen by name (L4). ``h``/``r``
-    name token-array columns.
+def bleu_scores(df: DataFrame, keys: Sequence[str], h: str, r: str, max_n: int = R.BLEU_MAX_N,
+                prefix: str = "bleu", smoothing: str = "method4") -> DataFrame:
+    """(keys, bleu1..bleuN): sentence BLEU with uniform weights 1/N, single
+    reference (C7, J6, H24, D15), smoothing chosen by name (L4). ``h``/``r``
+    name token-array columns, ``keys`` columns unique per row.
 
-    n-gram matches are counted once and all N scores derived from them. An
-    order with no match gets, by ``smoothing``:
+    An order with no match gets, by ``smoothing``:
 
     * ``method0`` (none): precision = the smallest positive double, so the
       score collapses towards 0 instead of failing on log(0);
     * ``method1``: numerator 0.1 (epsilon) instead of 0;
     * ``method4`` (default, as the original): numerator ln|h| / (2^k * 5),
       k = 1 + number of lower orders already smoothed (only when |h| > 1).
-
-    Built as staged projections so each array is computed once per row.
     """
     if smoothing not in SMOOTHING:
         raise ValueError(f"smoothing must be one of {SMOOTHING}")
-    hc, rc = F.col(h), F.col(r)
-    # n-gram arrays as columns: lambdas below must only see column references
-    x = df.withColumns({**{f"_hg{n}": ngrams(hc, n) for n in range(1, max_n + 1)},
-                        **{f"_rg{n}": ngrams(rc, n) for n in range(1, max_n + 1)}})
-    x = x.withColumns({f"_num{n}": clipped_matches(F.col(f"_hg{n}"), F.col(f"_rg{n}"))
-                       for n in range(1, max_n + 1)})
-    x = x.drop(*[f"_{s}g{n}" for s in "hr" for n in range(1, max_n + 1)])
-    x = x.withColumns({"_nh": F.size(hc).cast("double"), "_nr": F.size(rc).cast("double")})
+    keys, orders = list(keys), range(1, max_n + 1)
+    grams = F.array(*[F.struct(F.lit(side).alias("side"), F.lit(n).alias("n"), ngrams(F.col(c), n).alias("gs"))
+                      for side, c in ((0, h), (1, r)) for n in orders])
+    long = (df.select(*keys, F.inline(grams)).select(*keys, "side", "n", F.explode("gs").alias("g"))
+            .groupBy(*keys, "n", "g").agg(F.count_if(F.col("side") == 0).alias("hc"),
+                                          F.count_if(F.col("side") == 1).alias("rc")))
+    nums = long.groupBy(*keys).agg(*[
+        F.sum(F.when(F.col("n") == n, F.least("hc", "rc")).otherwise(0)).alias(f"_num{n}") for n in orders])
+    x = df.select(*keys, F.size(h).cast("double").alias("_nh"), F.size(r).cast("double").alias("_nr"))
+    x = x.join(nums, keys, "left").na.fill(0, [f"_num{n}" for n in orders])
     nh, nr = F.col("_nh"), F.col("_nr")
     ps = {}
     smoothed_before = F.lit(0)
-    for n in range(1, max_n + 1):
+    for n in orders:
         num = F.col(f"_num{n}")
         den = F.greatest(nh - n + 1, F.lit(1.0))
         zero = num == 0
@@ -140,199 +135,124 @@ def bleu_columns(df: DataFrame, h: str, r: str, max_n: int = R.BLEU_MAX_N,
         smoothed_before = smoothed_before + F.when(zero & (nh > 1), 1).otherwise(0)
     ps["_bp"] = F.when(nh > nr, 1.0).when(nh == 0, 0.0).otherwise(F.exp(1 - F.try_divide(nr, nh)))
     x = x.withColumns(ps)
-    outs = {}
-    for big_n in range(1, max_n + 1):
+    outs = []
+    for big_n in orders:
         logs = sum((F.when(F.col(f"_p{i}") > 0, F.log(F.col(f"_p{i}")) / big_n).otherwise(0.0)
                     for i in range(1, big_n + 1)), F.lit(0.0))
-        outs[f"{prefix}{big_n}"] = (F.when(F.col("_num1") == 0, 0.0)
-                                    .otherwise(F.col("_bp") * F.exp(logs)))
-    tmp = [f"_num{n}" for n in range(1, max_n + 1)] + [f"_p{n}" for n in range(1, max_n + 1)]
-    return x.withColumns(outs).drop(*tmp, "_nh", "_nr", "_bp")
+        outs.append(F.when(F.col("_num1") == 0, 0.0).otherwise(F.col("_bp") * F.exp(logs)).alias(f"{prefix}{big_n}"))
+    return x.select(*keys, *outs)
 
 
 # ------------------------------------------------------------------ METEOR
 
-def _rank_keys(t: Column) -> Column:
-    """Each token tagged with how many equal tokens follow it."""
-    return F.transform(t, lambda x, i: F.concat(
-        x, F.lit("\u0001"),
-        F.size(F.filter(F.slice(t, i + 2, F.size(t) + 1), lambda y: y == x)).cast("string")))
+def _align(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Pair the sides of (keys, side, pos, token, by) rows: the k-th last ``by`` of one side with that of the other
+    (E4). One row per (keys, by, k) with positions ``i`` and ``j`` and the token; a side without partner is null."""
+    last = Window.partitionBy(*keys, "side", by).orderBy(F.desc("pos"))
+    ranked = rows.withColumn("k", F.row_number().over(last))
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    return ranked.groupBy(*keys, by, "k").agg(of(0, "pos").alias("i"), of(1, "pos").alias("j"),
+                                              of(0, "token").alias("ti"), of(1, "token").alias("tj"))
 
 
-def _greedy_pairs(hk: str, rk: str) -> Column:
-    """0-based (i, j) pairs of equal rank keys, in hypothesis order."""
-    pairs = F.transform(F.col(hk), lambda k, i: F.struct(
-        i.alias("i"), (F.array_position(F.col(rk), k) - 1).cast("int").alias("j")))
-    return F.filter(pairs, lambda s: s["j"] >= 0)
+def _pairs(aligned: DataFrame, keys: list[str]) -> DataFrame:
+    return aligned.filter("i IS NOT NULL AND j IS NOT NULL").select(*keys, "i", "j")
 
 
-def _unmatched(stems: str, taken: Column) -> Column:
-    """(position, stem) of the tokens the exact stage left unmatched."""
-    tagged = F.transform(F.col(stems), lambda s, i: F.struct(i.alias("p"), s.alias("s")))
-    return F.filter(tagged, lambda x: ~F.array_contains(taken, x["p"]))
+def _single(aligned: DataFrame, keys: list[str]) -> DataFrame:
+    """What found no partner, again as (keys, side, pos, token) rows."""
+    return aligned.filter("i IS NULL OR j IS NULL").select(
+        *keys, F.when(F.col("i").isNull(), 1).otherwise(0).alias("side"), F.coalesce("i", "j").alias("pos"),
+        F.coalesce("ti", "tj").alias("token"))
 
 
-def _with_synonyms(x: DataFrame, keys: Sequence[str], synonyms: DataFrame,
-                   synonyms_max_rows: int | None) -> DataFrame:
-    """Attach ``_syn`` = array<struct<word, synonym>>: the synonym-table rows
-    of each row's unmatched hypothesis stems.
+def meteor_scores(df: DataFrame, keys: Sequence[str], h: str, r: str, stems: bool = False,
+                  synonyms: DataFrame | None = None) -> DataFrame:
+    """(keys, matches, chunks, meteor): METEOR's exact stage, with ``stems``
+    its Porter-stem stage, and with a ``synonyms`` table (word, set_id: the
+    word, as a stem, belongs to that synonym set; of several sets the
+    smallest counts) a third stage on what the stem stage left (C8, J7).
+    ``h``/``r`` name lower-cased token-array columns, ``keys`` columns unique
+    per row.
 
-    The rows are shuffled once on ``keys`` (unique per row) before the
-    explode; the explode and the synonym join keep that partitioning, so
-    the regroup on ``keys`` needs no second exchange. The synonym table is
-    broadcast only under a stated row bound.
+    Every stage is the same lookup on (key of the stage, rank from the end).
+    Stems are made once per distinct leftover token. Chunks are runs of
+    matches adjacent on both sides (E5), found with ``lag`` in hypothesis
+    order.
     """
+    if synonyms is not None and not stems:
+        raise ValueError("the synonym stage runs after the stem stage: set stems")
     keys = list(keys)
-    others = [c for c in x.columns if c not in keys]
-    words = F.array_distinct(F.transform(F.col("_hl"), lambda u: u["s"]))
-    ex = x.repartition(*keys).select(*keys, F.struct(*others).alias("_row"),
-                                     F.explode_outer(words).alias("_word"))
-    syn = synonyms.select(F.col("word").alias("_word"), F.col("synonym").alias("_sy"))
-    hit = join_bounded(ex, syn, "_word", "left", synonyms_max_rows)
-    g = hit.groupBy(*keys).agg(
-        F.first("_row").alias("_row"),
-        F.collect_list(F.when(F.col("_sy").isNotNull(), F.struct(
-            F.col("_word").alias("word"), F.col("_sy").alias("synonym")))).alias("_syn"))
-    return g.select(*keys, "_row.*", "_syn")
-
-
-def _synonym_pairs() -> Column:
-    """Greedy synonym stage over the stem-stage leftovers ``_hl``/``_rl``:
-    each unmatched hypothesis stem, from the end, takes the last unmatched
-    reference stem in its synonym set (the stem itself plus its ``_syn``
-    entries); both leave the pool."""
-    empty = F.array().cast("array<struct<i:int,j:int>>")
-
-    def step(acc, h):
-        syns = F.concat(F.array(h["s"]), F.transform(
-            F.filter(F.col("_syn"), lambda e: e["word"] == h["s"]), lambda e: e["synonym"]))
-        idx = F.coalesce(F.array_max(F.transform(
-            acc["rem"], lambda rr, k: F.when(F.array_contains(syns, rr["s"]), k).otherwise(-1))),
-            F.lit(-1))
-        hit = idx >= 0
-        return F.struct(
-            F.when(hit, F.filter(acc["rem"], lambda rr, k: k != idx)).otherwise(acc["rem"])
-            .alias("rem"),
-            F.when(hit, F.concat(acc["m"], F.array(F.struct(
-                h["p"].alias("i"), F.get(acc["rem"], idx)["p"].alias("j"))))).otherwise(acc["m"])
-            .alias("m"))
-
-    init = F.struct(F.col("_rl").alias("rem"), empty.alias("m"))
-    return F.aggregate(F.reverse(F.col("_hl")), init, step, lambda acc: acc["m"])
-
-
-def meteor_columns(df: DataFrame, h: str, r: str,
-                   h_stems: str | None = None, r_stems: str | None = None,
-                   synonyms: DataFrame | None = None, keys: Sequence[str] | None = None,
-                   synonyms_max_rows: int | None = None) -> DataFrame:
-    """Add ``matches``, ``chunks``, ``meteor``: METEOR's exact stage and,
-    when stem columns are given, its Porter-stem stage (J7). ``h``/``r``
-    name lower-cased token-array columns; ``h_stems``/``r_stems`` the
-    aligned stem arrays. With a ``synonyms`` table (word, synonym: the
-    synonym is in the word's synonym set, e.g. WordNet lemma names of its
-    synsets) a third, synonym stage runs on what the stem stage left; as in
-    the original metric it looks up the leftover *stems*. It needs ``keys``,
-    columns unique per row.
-
-    The greedy alignment from the end pairs the k-th last occurrence of a
-    word in the hypothesis with its k-th last occurrence in the reference,
-    so it is a lookup on (token, rank from end) (C8, E4). The stem stage
-    does the same over the tokens still unmatched, and the union is ordered
-    by hypothesis position. Chunks are runs of matches adjacent on both
-    sides (E5).
-    """
-    hc, rc = F.col(h), F.col(r)
-    x = df.withColumns({"_hk": _rank_keys(hc), "_rk": _rank_keys(rc)})
-    x = x.withColumn("_m", _greedy_pairs("_hk", "_rk")).drop("_hk", "_rk")
-    if h_stems is not None and r_stems is not None:
-        x = x.withColumns({
-            "_hu": _unmatched(h_stems, F.transform(F.col("_m"), lambda s: s["i"])),
-            "_ru": _unmatched(r_stems, F.transform(F.col("_m"), lambda s: s["j"]))})
-        x = x.withColumns({"_hk": _rank_keys(F.transform(F.col("_hu"), lambda u: u["s"])),
-                           "_rk": _rank_keys(F.transform(F.col("_ru"), lambda u: u["s"]))})
-        stem_pairs = F.transform(_greedy_pairs("_hk", "_rk"), lambda s: F.struct(
-            F.element_at(F.col("_hu"), s["i"] + 1)["p"].alias("i"),
-            F.element_at(F.col("_ru"), s["j"] + 1)["p"].alias("j")))
-        x = (x.withColumn("_m", F.array_sort(F.concat(F.col("_m"), stem_pairs)))
-             .drop("_hu", "_ru", "_hk", "_rk"))
+
+    def tagged(side: int, c: str) -> Column:
+        return F.transform(F.col(c), lambda t, p: F.struct(F.lit(side).alias("side"), p.alias("pos"), t.alias("token")))
+
+    sides = [tagged(0, h), tagged(1, r)]
+    rows = df.select(*keys, F.explode(F.concat(*sides)).alias("_t")).select(*keys, "_t.side", "_t.pos", "_t.token")
+    aligned = _align(rows.withColumn("word", F.col("token")), keys, "word")
+    found = _pairs(aligned, keys)
+    if stems:
+        left = _single(aligned, keys)
+        table = with_stems(left.select("token").distinct(), "token")
+        aligned = _align(left.join(table, "token"), keys, "stem")
+        found = found.unionByName(_pairs(aligned, keys))
         if synonyms is not None:
-            if not keys:
-                raise ValueError("the synonym stage needs row keys")
-            x = x.withColumns({
-                "_hl": _unmatched(h_stems, F.transform(F.col("_m"), lambda s: s["i"])),
-                "_rl": _unmatched(r_stems, F.transform(F.col("_m"), lambda s: s["j"]))})
-            x = _with_synonyms(x, keys, synonyms, synonyms_max_rows)
-            x = (x.withColumn("_m", F.array_sort(F.concat(F.col("_m"), _synonym_pairs())))
-                 .drop("_hl", "_rl", "_syn"))
-    elif synonyms is not None:
-        raise ValueError("the synonym stage runs after the stem stage: pass stem columns")
-    m_arr = F.col("_m")
-    m = F.size(m_arr)
-    breaks = F.when(m > 1, F.size(F.filter(
-        F.sequence(F.lit(1), m - 1),
-        lambda k: ~((F.element_at(m_arr, k + 1)["i"] == F.element_at(m_arr, k)["i"] + 1)
-                    & (F.element_at(m_arr, k + 1)["j"] == F.element_at(m_arr, k)["j"] + 1))))
-                    ).otherwise(0)
-    x = x.withColumns({"matches": m.cast("bigint"),
-                       "chunks": F.when(m > 0, breaks + 1).otherwise(0).cast("bigint")})
+            left = _single(aligned, keys).join(table, "token")
+            sets = synonyms.groupBy(F.col("word").alias("stem")).agg(F.min("set_id").alias("set_id"))
+            found = found.unionByName(_pairs(_align(left.join(sets, "stem"), keys, "set_id"), keys))
+    order = Window.partitionBy(*keys).orderBy("i")
+    near = (F.col("i") == F.lag("i").over(order) + 1) & (F.col("j") == F.lag("j").over(order) + 1)
+    runs = found.withColumn("_new", F.coalesce((~near).cast("bigint"), F.lit(1)))
+    counts = runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("matches"), F.sum("_new").alias("chunks"))
+    x = df.select(*keys, F.size(h).alias("_nh"), F.size(r).alias("_nr")).join(counts, keys, "left").na.fill(
+        0, ["matches", "chunks"])
     md = F.col("matches").cast("double")
-    p = F.try_divide(md, F.size(hc))
-    rcl = F.try_divide(md, F.size(rc))
+    p, rcl = F.try_divide(md, F.col("_nh")), F.try_divide(md, F.col("_nr"))
     fmean = F.try_divide(p * rcl, R.METEOR_ALPHA * p + (1 - R.METEOR_ALPHA) * rcl)
     penalty = R.METEOR_GAMMA * F.pow(F.try_divide(F.col("chunks"), md), R.METEOR_BETA)
     score = F.when(F.col("matches") > 0, (1 - penalty) * fmean).otherwise(0.0)
-    return x.withColumn("meteor", score).drop("_m")
+    return x.select(*keys, "matches", "chunks", score.alias("meteor"))
 
 
 # ------------------------------------------------------------------ corpus level
 
-def score_rows(df: DataFrame, hyp_col: str = "generated", ref_col: str = "question",
-               stems: bool = False, synonyms: DataFrame | None = None,
-               keys: Sequence[str] | None = None,
-               synonyms_max_rows: int | None = None,
-               smoothing: str = "method4") -> DataFrame:
-    """Sentence ROUGE-L, METEOR and BLEU-1..4 next to the input columns.
-
-    METEOR uses the exact stage, plus the Porter-stem stage when ``stems``
-    is set, plus the synonym stage when a ``synonyms`` table is given (it
-    implies ``stems`` and needs ``keys`` unique per row). Token arrays are
-    computed once in their own projection and reused by every score.
-    ``smoothing`` names the BLEU smoothing (see :func:`bleu_columns`).
+def score_rows(df: DataFrame, keys: Sequence[str], hyp_col: str = "generated", ref_col: str = "question",
+               stems: bool = True, synonyms: DataFrame | None = None, smoothing: str = "method4") -> DataFrame:
+    """(keys, rouge_p, rouge_r, rouge_f, matches, chunks, meteor, bleu1..4)
+    per row; ``keys`` are unique per row.
+
+    The rows are hashed on the keys once, and the three metrics and their
+    joins work on that partitioning.
     """
-    toks = df.withColumns({
-        "_hr": T.rouge_tokens(hyp_col), "_rr": T.rouge_tokens(ref_col),
-        "_ht": T.treebank_tokens(hyp_col), "_rt": T.treebank_tokens(ref_col),
-        "_hw": T.ws_tokens(F.lower(F.col(hyp_col))), "_rw": T.ws_tokens(F.lower(F.col(ref_col))),
-    })
-    x = rouge_columns(toks, "_hr", "_rr")
-    if stems or synonyms is not None:
-        x = x.withColumns({"_hs": stem_tokens("_hw"), "_rs": stem_tokens("_rw")})
-        x = meteor_columns(x, "_hw", "_rw", "_hs", "_rs", synonyms, keys,
-                           synonyms_max_rows).drop("_hs", "_rs")
-    else:
-        x = meteor_columns(x, "_hw", "_rw")
-    x = bleu_columns(x, "_ht", "_rt", smoothing=smoothing)
-    return x.drop("_hr", "_rr", "_ht", "_rt", "_hw", "_rw")
-
-
-def leaderboard(scored: DataFrame, group_col: str = "variant", digits: int = 6) -> DataFrame:
-    """Corpus scores ×100 per variant, ranked by METEOR."""
+    keys = list(keys)
+    base = df.select(*keys, hyp_col, ref_col).repartition(*keys)
+    words = base.select(*keys, T.ws_tokens(F.lower(F.col(hyp_col))).alias("_h"),
+                        T.ws_tokens(F.lower(F.col(ref_col))).alias("_r"))
+    tree = base.select(*keys, T.treebank_tokens(hyp_col).alias("_h"), T.treebank_tokens(ref_col).alias("_r"))
+    rouge = rouge_columns(base.select(*keys, T.rouge_tokens(hyp_col).alias("_h"), T.rouge_tokens(ref_col).alias("_r")),
+                          "_h", "_r").drop("_h", "_r")
+    return (rouge.join(meteor_scores(words, keys, "_h", "_r", stems, synonyms), keys)
+            .join(bleu_scores(tree, keys, "_h", "_r", smoothing=smoothing), keys))
+
+
+def leaderboard(scored: DataFrame, id_col: str, group_col: str = "variant", digits: int = 6,
+                replicates: int = R.BOOTSTRAP_REPLICATES) -> DataFrame:
+    """Corpus scores x100 per variant, ranked by METEOR (D15-D17, D19, H23);
+    ``rouge_mid`` is the bootstrap median of ROUGE-L over ``id_col`` (D18)."""
     agg = scored.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("n"),
         (100 * F.avg("rouge_f")).alias("rouge_l"),
         (100 * F.avg("meteor")).alias("meteor"),
         *[(100 * F.avg(f"bleu{n}")).alias(f"bleu{n}") for n in range(1, R.BLEU_MAX_N + 1)])
-    cols = ["rouge_l", "meteor"] + [f"bleu{n}" for n in range(1, R.BLEU_MAX_N + 1)]
-    rounded = agg.select(group_col, "n", *[F.round(c, digits).alias(c) for c in cols])
+    f = scored.select(id_col, group_col, (100 * F.col("rouge_f")).alias("f"))
+    mid = bootstrap_mean(f, id_col, "f", group_col, replicates).select(group_col, F.col("mid").alias("rouge_mid"))
+    cols = ["rouge_l", "rouge_mid", "meteor"] + [f"bleu{n}" for n in range(1, R.BLEU_MAX_N + 1)]
+    rounded = agg.join(mid, group_col).select(group_col, "n", *[F.round(c, digits).alias(c) for c in cols])
     w = Window.orderBy(F.desc("meteor"), F.asc(group_col))  # one row per variant
     return rounded.withColumn("rank", F.rank().over(w).cast("bigint"))
 
 
-POISSON1_CDF = None  # filled below
-
-
 def _poisson1_cdf(kmax: int = 16) -> list[float]:
-    import math
     acc, out = 0.0, []
     for k in range(kmax + 1):
         acc += math.exp(-1.0) / math.factorial(k)
@@ -354,21 +274,26 @@ def poisson1_weight(u: Column) -> Column:
     return sum((F.when(u >= c, 1).otherwise(0) for c in POISSON1_CDF), F.lit(0))
 
 
-def bootstrap_mean(df: DataFrame, id_col: str, value_col: str,
+def bootstrap_mean(df: DataFrame, id_col: str, value_col: str, group_col: str,
                    replicates: int = R.BOOTSTRAP_REPLICATES,
                    percentiles=R.BOOTSTRAP_PERCENTILES, seed: int = 0) -> DataFrame:
-    """low / mid / high of the mean over a seeded Poisson bootstrap.
-
-    Each row gets an independent Poisson(1) weight per replicate from a
-    hash of (seed, id, replicate). The replicate explode feeds straight into
-    a partial aggregate, so each task ships one row per replicate; the
-    N * replicates rows are never shuffled.
+    """(group, low, mid, high) of the mean over a seeded Poisson bootstrap.
+
+    The resampled unit is the id: its rows are averaged per group first, and
+    all groups of an id share its draws, so groups are compared on the same
+    resamples. An id gets an independent Poisson(1) weight per replicate from
+    a hash of (seed, id, replicate), computed once. The replicate explode
+    feeds straight into a partial aggregate, so each task ships one row per
+    (replicate, group); the N * replicates rows are never shuffled.
     """
-    x = df.select(F.col(id_col).alias("_id"), F.col(value_col).cast("double").alias("_x"),
-                  F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    w = poisson1_weight(hash_uniform(F.lit(seed), F.col("_id"), F.col("rep")))
-    per_rep = (x.withColumn("_w", w).groupBy("rep")
+    unit = df.groupBy(id_col, group_col).agg(F.avg(F.col(value_col).cast("double")).alias("_x"))
+    unit = unit.groupBy(F.col(id_col).alias("_id")).agg(F.collect_list(F.struct(F.col(group_col).alias("_g"), "_x"))
+                                                        .alias("_gs"))  # a row per group
+    draws = unit.select("_id", "_gs", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    draws = draws.withColumn("_u", hash_uniform(F.lit(seed), F.col("_id"), F.col("rep")))
+    draws = draws.withColumn("_w", poisson1_weight(F.col("_u"))).filter("_w > 0")
+    per_rep = (draws.select("rep", "_w", F.inline("_gs")).groupBy("rep", "_g")
                .agg(F.try_divide(F.sum(F.col("_w") * F.col("_x")), F.sum("_w")).alias("mean")))
-    q = F.percentile("mean", F.array(*[F.lit(p) for p in percentiles]))
-    return per_rep.agg(q.alias("q")).select(*[F.col("q")[i].alias(n)
-                                               for i, n in enumerate(("low", "mid", "high"))])
+    q = F.percentile("mean", F.array(*[F.lit(p) for p in percentiles]))  # over the replicates
+    return per_rep.groupBy("_g").agg(q.alias("q")).select(
+        F.col("_g").alias(group_col), *[F.col("q")[i].alias(n) for i, n in enumerate(("low", "mid", "high"))])

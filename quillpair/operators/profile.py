@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import resources as R
 from ..functions import text as T
+from .numbering import quantiles
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -45,52 +46,54 @@ def null_counts(df: DataFrame) -> DataFrame:
     return _long_stats(df, {"n_null": lambda c: F.count_if(F.col(c).isNull())}, "bigint")
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None,
-                     exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """count, mean, std, min, quartiles (linear interpolation), max per numeric column.
+def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """count, mean, std, min, exact quartiles (linear interpolation), max per numeric column.
 
-    ``exact=True`` uses ``percentile`` (memory grows with distinct values per
-    column); for id-like columns at scale pass ``exact=False`` for the bounded
-    ``percentile_approx`` sketch.
+    Moments are one aggregate; quartiles come from the counted, range-sorted
+    values (:func:`numbering.quantiles`), so no task holds a column.
     """
     numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     cols = cols or [c for c, t in df.dtypes if t in numeric or t.startswith("decimal")]
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    aggs = []
-    for i, c in enumerate(cols):
+    out = None
+    for c in cols:
         x = F.col(c).cast("double")
-        q = (F.percentile(x, probs) if exact
-             else F.percentile_approx(x, probs, accuracy))
-        aggs += [F.count(x).alias(f"count__{i}"), F.avg(x).alias(f"mean__{i}"),
-                 F.stddev_samp(x).alias(f"std__{i}"), F.min(x).alias(f"min__{i}"),
-                 q.alias(f"q__{i}"), F.max(x).alias(f"max__{i}")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"),
-                     F.col(f"count__{i}").cast("bigint").alias("count"),
-                     F.col(f"mean__{i}").alias("mean"), F.col(f"std__{i}").alias("std"),
-                     F.col(f"min__{i}").alias("min"),
-                     F.col(f"q__{i}")[0].alias("p25"), F.col(f"q__{i}")[1].alias("p50"),
-                     F.col(f"q__{i}")[2].alias("p75"), F.col(f"max__{i}").alias("max"))
-            for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*rows)))
+        moments = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                         F.min(x).alias("min"), F.max(x).alias("max"))
+        row = moments.join(F.broadcast(quantiles(df, c, (0.25, 0.5, 0.75))))  # one row each
+        row = row.select(F.lit(c).alias("column"), "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
+                         F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_SPAN = "10000000000000000000"  # above any bigint
+_TWO_SPANS = "20000000000000000000"
 
 
 def describe_text(df: DataFrame, row_id: str, cols: list[str] | None = None) -> DataFrame:
-    """count, unique, top, freq per text column.
+    """count, unique, top, freq per text column (D4); ties for ``top`` go to the smallest ``row_id``.
 
-    Columns are unpivoted into one (column, value) stream so a single
-    shuffle serves all of them; ties for ``top`` go to the value seen first.
+    Columns are unpivoted into one (column, value) stream. A value travels as
+    its 128-bit digest with a count and its smallest row id; the winner of
+    each column is chosen by one number (frequency, then row id) and only the
+    winners' texts are fetched, by row id.
     """
     cols = cols or [c for c, t in df.dtypes if t == "string"]
-    stack = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])
-    long = df.select(row_id, F.inline(stack)).filter(F.col("value").isNotNull())
-    per_value = long.groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("freq"), F.min(row_id).alias("first_row"))
-    out = per_value.groupBy("column").agg(
-        F.sum("freq").alias("count"), F.count(F.lit(1)).alias("unique"),
-        F.max_by(F.struct("value", "freq"), F.struct("freq", -F.col("first_row"))).alias("top"))
-    return out.select("column", "count", "unique", F.col("top.value").alias("top"),
-                      F.col("top.freq").alias("freq"))
+    d = "decimal(38,0)"
+    stack = F.array(*[F.struct(F.lit(c).alias("column"), F.unhex(F.md5(F.col(c))).alias("value")) for c in cols])
+    long = df.select(F.col(row_id).cast("bigint").alias("_row"), F.inline(stack)).filter("value IS NOT NULL")
+    per_value = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"), F.min("_row").alias("first_row"))
+    key = F.col("freq").cast(d) * F.lit(_TWO_SPANS).cast(d) + (F.lit(_SPAN).cast(d) - F.col("first_row").cast(d))
+    best = per_value.groupBy("column").agg(
+        F.sum("freq").alias("count"), F.count(F.lit(1)).alias("unique"), F.max(key.cast(d)).alias("best"))
+    rest = F.col("best") % F.lit(_TWO_SPANS).cast(d)
+    best = best.select("column", "count", "unique", (F.lit(_SPAN).cast(d) - rest).cast("bigint").alias("_row"),
+                       ((F.col("best") - rest) / F.lit(_TWO_SPANS).cast(d)).cast("bigint").alias("freq"))
+    value = F.coalesce(*[F.when(F.col("column") == c, F.col(c)) for c in cols])
+    text = df.select(F.col(row_id).cast("bigint").alias("_row"), *cols).join(
+        F.broadcast(best), "_row")  # a row per column
+    return text.groupBy("column", "count", "unique", "freq").agg(F.min(value).alias("top")).select(
+        "column", "count", "unique", "top", "freq")
 
 
 def length_histogram(df: DataFrame, text_col: str) -> DataFrame:

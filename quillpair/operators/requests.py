@@ -1,22 +1,25 @@
 """Request handling: validation, routing and answering.
 
-A request is (request_id, context, n, model). Valid requests get up to
-``n`` distinct questions; invalid ones get an error row instead of failing
-the job. Everything is column expressions plus one shuffle on the request
-id for the two-model choice, so the same function serves batch tables and
-each streaming micro-batch.
+A request is (request_id, context, n, model). Every request gets an answer:
+up to ``n`` distinct questions, or one row with an error. Everything is
+DataFrame operations keyed by the request id, so the same function serves
+batch tables and each streaming micro-batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import resources as R
+from ..sources.tables import turn_key
 from . import ensemble as EN
+from . import features as FE
 from . import generate as G
+from . import keywords as KW
 
-REQUEST_SCHEMA = "request_id bigint, context string, n string, model string"
+REQUEST_SCHEMA = "request_id string, context string, n string, model string"
+PRIORITY = {"lead": 0, "cloze": 1}
 
 
 def validate(req: DataFrame) -> DataFrame:
@@ -36,47 +39,62 @@ def validate(req: DataFrame) -> DataFrame:
                       n_int.between(1, 5).alias("n_in_range"))
 
 
-def answer(req: DataFrame, vocab: DataFrame, vocab_max_rows: int | None = None) -> DataFrame:
+def _needs_keywords():
+    return F.col("variant").isin([v[0] for v in R.VARIANTS if v[2]])
+
+
+def request_prompts(req: DataFrame) -> DataFrame:
+    """(request_id, variant, prompt): the model input of each valid
+    single-model request; keyword variants carry the context's keywords
+    (H15-H19)."""
+    v = validate(req).filter(F.col("error").isNull() & (F.col("variant") != R.COMBINED))
+    kw = KW.keywords(v.filter(_needs_keywords()), "request_id", "context")
+    x = FE.with_keywords(v.withColumn("question", F.lit("")), kw, "request_id")
+    return (FE.prompts(x.withColumnRenamed("variant", "wanted"), id_col="request_id", carry=["wanted"])
+            .filter("variant = wanted").select("request_id", "variant", "prompt"))
+
+
+def _guided(sentences: DataFrame, valid: DataFrame) -> DataFrame:
+    """Sentences with ``hits``: how many of the context's keywords stand in
+    them, for variants that are given keywords; 0 for the others."""
+    asked = valid.filter(_needs_keywords())
+    kept = KW.textrank_top(asked, "request_id", "context").select("request_id", "word")
+    words = (sentences.filter(_needs_keywords())
+             .select("request_id", "pos", F.explode(KW.text_words(F.array_join("tokens", " "))).alias("word")).distinct())
+    hits = words.join(kept, ["request_id", "word"]).groupBy("request_id", "pos").agg(F.count(F.lit(1)).alias("hits"))
+    return sentences.join(hits, ["request_id", "pos"], "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
+
+
+def answer(req: DataFrame, vocab_by_variant: DataFrame) -> DataFrame:
     """(request_id, variant, rank, question, error) for every request.
 
-    Generators stand in for the models: sentence candidates of the context
-    (``lead`` family) or their cloze forms (``cloze`` family, T5 variants).
-    The combined path pairs both families' candidates by rank (C5) and keeps,
-    per rank, the one with fewer rare words, then fewer characters, then the
-    lead one (E1, J4).
+    Generators stand in for the models: the sentences of the context as
+    questions (BART variants) or their cloze forms (T5 variants). Variants
+    with keywords take the sentences that hold most of the context's TextRank
+    keywords first. The combined path pairs both families' candidates by rank
+    (C5) and keeps, per rank, the one with fewer rare words, then fewer
+    characters, then the lead one (E1, J4). A request that yields no question
+    (an n below 1, a context without a sentence) gets the model's message.
     """
     v = validate(req)
-    sents = G.sentence_candidates(F.col("context"))
-    n = F.greatest(F.col("n_int"), F.lit(0))
-    ok = F.col("error").isNull()
-    base = v.select("request_id", "variant", "error", n.alias("_n"),
-                    F.when(ok, F.transform(sents, lambda s: G.lead_question(s))).alias("_lead"),
-                    F.when(ok, F.transform(sents, lambda s: G.cloze_question(s))).alias("_cloze"))
-    # single-model requests and invalid ones in one pass: n ranked rows, or one error row
-    fam = F.when(F.col("variant").startswith("T5"), F.col("_cloze")).otherwise(F.col("_lead"))
-    ranked = F.transform(G.first_n_distinct(fam, F.col("_n")), lambda q, i: F.struct(
-        (i + 1).cast("bigint").alias("rank"), q.alias("question"),
-        F.lit(None).cast("string").alias("error")))
-    failed = F.array(F.struct(F.lit(None).cast("bigint").alias("rank"),
-                              F.lit(None).cast("string").alias("question"), F.col("error")))
-    direct = (base.filter(~ok | (F.col("variant") != R.COMBINED))
-              .select("request_id", "variant", F.inline(F.when(ok, ranked).otherwise(failed))))
-    both = base.filter(ok & (F.col("variant") == R.COMBINED))
-    cands = both.select("request_id", F.inline(F.array(
-        F.struct(F.lit("lead").alias("variant"),
-                 G.first_n_distinct(F.col("_lead"), F.col("_n")).alias("qs")),
-        F.struct(F.lit("cloze").alias("variant"),
-                 G.first_n_distinct(F.col("_cloze"), F.col("_n")).alias("qs")))))
-    cands = cands.select("request_id", "variant", F.posexplode("qs").alias("pos", "generated"))
-    cands = cands.select(F.struct("request_id", "pos").alias("key"), "variant", "generated")
-    chosen = EN.ensemble(cands, vocab, {"lead": 0, "cloze": 1}, id_col="key",
-                         vocab_max_rows=vocab_max_rows)
-    combined = chosen.select(F.col("key.request_id").alias("request_id"),
-                             F.lit(R.COMBINED).alias("variant"),
-                             (F.col("key.pos") + 1).cast("bigint").alias("rank"),
-                             F.col("generated").alias("question"),
-                             F.lit(None).cast("string").alias("error"))
-    return direct.unionByName(combined)
+    valid = v.filter("error IS NULL")
+    sents = _guided(G.sentences(valid, "request_id", "context", carry=["variant", "n_int"]), valid)
+    place = F.row_number().over(Window.partitionBy("request_id").orderBy(F.desc("hits"), "pos"))
+    sents = sents.withColumn("pos", place)
+    lead = F.struct(F.lit("lead").alias("variant"), G.lead_question(F.col("tokens")).alias("generated"))
+    cloze = F.struct(F.lit("cloze").alias("variant"), G.cloze_question(F.col("tokens")).alias("generated"))
+    routed = (F.when(F.col("variant") == R.COMBINED, F.array(lead, cloze))
+              .when(F.col("variant").startswith("T5"), F.array(cloze)).otherwise(F.array(lead)))
+    rows = sents.select("request_id", F.col("variant").alias("model"), "n_int", "pos", F.inline(routed))
+    ranked = G.first_distinct(rows, ["request_id", "variant"], "pos", "generated", F.col("n_int"))
+    direct = ranked.filter(F.col("model") != R.COMBINED).select("request_id", "rank", F.col("generated").alias("question"))
+    cands = ranked.filter(F.col("model") == R.COMBINED).select("request_id", "rank", "variant", "generated")
+    both = EN.ensemble(cands, vocab_by_variant, PRIORITY, ["request_id", "rank"]).select(
+        "request_id", "rank", F.col("generated").alias("question"))
+    answered = direct.unionByName(both)
+    failed = F.when(F.col("rank").isNull(), F.coalesce("error", F.lit(R.MSG_MODEL_FAILED)))
+    return v.select("request_id", "variant", "error").join(answered, "request_id", "left").select(
+        "request_id", "variant", "rank", "question", failed.alias("error"))
 
 
 def requests_from_conversations(conv: DataFrame) -> DataFrame:
@@ -86,8 +104,8 @@ def requests_from_conversations(conv: DataFrame) -> DataFrame:
     models = F.array(*[F.lit(m) for m in R.MODEL_NAMES + [R.COMBINED, "unknown"]])
     pick = F.element_at(models, (F.pmod(F.col("conv_id") + F.col("turn"), F.lit(6)) + 1).cast("int"))
     return conv.select(
-        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("request_id"),
+        turn_key("conv_id", "turn").alias("request_id"),
         F.when(F.col("role") == "system", F.lit("")).otherwise(F.col("text")).alias("context"),
         F.when(F.col("turn") == 0, F.lit("")).when(F.col("turn") == 7, F.lit("seven"))
-        .otherwise(F.col("turn").cast("string")).alias("n"),
+        .otherwise((F.col("turn") - 1).cast("string")).alias("n"),
         pick.alias("model"))

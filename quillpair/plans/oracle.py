@@ -95,7 +95,7 @@ SELECT min(row_id) AS row_id, context, question FROM t
 WHERE context IS NOT NULL AND question IS NOT NULL GROUP BY context, question""")
 
 PAIRS_SQL = """
-SELECT q.conv_id * 1000000 + q.turn AS pair_id, q.text AS question, a.text AS context
+SELECT CAST(q.conv_id AS VARCHAR) || ':' || CAST(q.turn AS VARCHAR) AS pair_id, q.text AS question, a.text AS context
 FROM conversations q JOIN conversations a
   ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
 WHERE q.role = 'user' AND a.role = 'assistant'"""
@@ -117,8 +117,7 @@ def _with(ctes: list[tuple[str, str]], final: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes) + "\n" + final
 
 
-_FIRST_TOKS = (f"coalesce(list_slice({Q.ws_tokens(Q.sentences('context') + '[1]')}, 1, "
-               f"{R.MAX_GEN_TOKENS}), []::VARCHAR[])")
+_FIRST_TOKS = f"coalesce({Q.ws_tokens(Q.sentences('context') + '[1]')}, []::VARCHAR[])"
 
 
 def _as_question(toks: str) -> str:
@@ -130,79 +129,71 @@ _CLOZE_TOKS = ("list_transform(toks, lambda x, i: CASE WHEN i = "
                "list_position(list_transform(toks, lambda y: length(y)), "
                "list_max(list_transform(toks, lambda y: length(y)))) THEN 'what' ELSE x END)")
 
-GEN_CTES = [
-    ("p", PAIRS_SQL),
-    ("ft", f"SELECT pair_id, {_FIRST_TOKS} AS toks FROM p"),
-    ("cands", f"SELECT pair_id, 'lead' AS variant, {_as_question('toks')} AS generated FROM ft "
-              f"UNION ALL SELECT pair_id, 'cloze' AS variant, {_as_question(_CLOZE_TOKS)} "
-              f"AS generated FROM ft"),
+
+def _sentence_ctes(src: str, key: str, text: str, name: str = "") -> list[tuple[str, str]]:
+    """Sentences of a text with their token lists: (key, pos, toks)."""
+    return [
+        (f"ss{name}", f"SELECT {key}, {Q.sentences(text)} AS sl FROM {src}"),
+        (f"se{name}", f"SELECT {key}, unnest(sl) AS s, unnest(range(1, len(sl) + 1)) AS pos FROM ss{name}"),
+        (f"st{name}", f"SELECT {key}, pos, {Q.ws_tokens('s')} AS toks FROM se{name}"),
+    ]
+
+
+#: Every distinct question of both generators, ranked by its first sentence.
+GEN_CTES = [("p", PAIRS_SQL)] + _sentence_ctes("p", "pair_id", "context") + [
+    ("qe", f"SELECT pair_id, pos, 'lead' AS variant, {_as_question('toks')} AS generated FROM st UNION ALL "
+           f"SELECT pair_id, pos, 'cloze' AS variant, {_as_question(_CLOZE_TOKS)} AS generated FROM st"),
+    ("qf", "SELECT pair_id, variant, generated, min(pos) AS first_pos FROM qe GROUP BY pair_id, variant, generated"),
+    ("cands", "SELECT pair_id, variant, generated, row_number() OVER "
+              "(PARTITION BY pair_id, variant ORDER BY first_pos) AS rank FROM qf"),
 ]
 
 _SPECIALS = " UNION ALL ".join(f"SELECT {Q.q(t)} AS token, {i} AS id"
                                for i, t in enumerate(R.SPECIAL_TOKENS))
-VOCAB_CTES = [
-    ("vt", f"SELECT unnest({Q.ws_tokens('text')}) AS token FROM documents"),
-    ("vc", f"SELECT token, count(*) AS n FROM vt WHERE token NOT IN "
-           f"({', '.join(Q.q(t) for t in R.SPECIAL_TOKENS)}) GROUP BY token "
-           f"ORDER BY n DESC, token LIMIT 32000"),
-    ("v0", f"SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + "
-           f"{len(R.SPECIAL_TOKENS) - 1} AS INTEGER) AS id FROM vc UNION ALL "
-           f"SELECT token, CAST(id AS INTEGER) FROM ({_SPECIALS})"),
-    ("vocab", f"SELECT token, id FROM v0 UNION ALL SELECT {Q.q(R.SEP_TOKEN)}, "
-              f"CAST((SELECT max(id) + 1 FROM v0) AS INTEGER) WHERE NOT EXISTS "
-              f"(SELECT 1 FROM v0 WHERE token = {Q.q(R.SEP_TOKEN)})"),
-]
 
-RATED_CTES = GEN_CTES + VOCAB_CTES + [
-    ("cw", f"SELECT pair_id, variant, unnest({Q.ws_tokens('generated')}) AS token FROM cands"),
-    ("rc", "SELECT pair_id, variant, count(*) AS rare FROM cw "
-           "WHERE token NOT IN (SELECT token FROM vocab) GROUP BY pair_id, variant"),
-    ("rated", "SELECT c.pair_id, c.variant, c.generated, coalesce(rc.rare, 0) AS rare_words "
-              "FROM cands c LEFT JOIN rc ON rc.pair_id = c.pair_id AND rc.variant = c.variant"),
-    ("ens", "SELECT pair_id, 'combined' AS variant, "
-            "arg_min(generated, (rare_words, length(generated), "
-            "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS generated, "
-            "arg_min(variant, (rare_words, length(generated), "
-            "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS chosen FROM rated GROUP BY pair_id"),
-]
+
+def _vocab_ctes(table: str, name: str) -> list[tuple[str, str]]:
+    return [
+        (f"{name}_t", f"SELECT unnest({Q.ws_tokens('text')}) AS token FROM {table}"),
+        (f"{name}_c", f"SELECT token, count(*) AS n FROM {name}_t WHERE token NOT IN "
+                      f"({', '.join(Q.q(t) for t in R.SPECIAL_TOKENS)}) GROUP BY token"),
+        (f"{name}_0", f"SELECT token, row_number() OVER (ORDER BY n DESC, token) + {len(R.SPECIAL_TOKENS) - 1} AS id "
+                      f"FROM {name}_c UNION ALL SELECT token, id FROM ({_SPECIALS})"),
+        (name, f"SELECT token, id FROM {name}_0 UNION ALL SELECT {Q.q(R.SEP_TOKEN)}, "
+               f"(SELECT max(id) + 1 FROM {name}_0) WHERE NOT EXISTS "
+               f"(SELECT 1 FROM {name}_0 WHERE token = {Q.q(R.SEP_TOKEN)})"),
+    ]
+
+
+VOCAB_CTES = _vocab_ctes("documents", "vocab")
+VV_CTES = VOCAB_CTES + _vocab_ctes("conversations", "vocab_conv") + [
+    ("vv", "SELECT 'lead' AS variant, token FROM vocab UNION ALL SELECT 'cloze', token FROM vocab_conv")]
+
+
+def _rated_ctes(cands: str, key: str) -> list[tuple[str, str]]:
+    """Rare words per candidate, and the best candidate per (key, rank)."""
+    best = "(rare_words, length(generated), CASE variant WHEN 'lead' THEN 0 ELSE 1 END)"
+    return [
+        ("cw", f"SELECT {key}, rank, variant, unnest({Q.ws_tokens('generated')}) AS token FROM {cands}"),
+        ("rc", f"SELECT {key}, rank, variant, count(*) AS rare FROM cw ANTI JOIN vv USING (variant, token) "
+               f"GROUP BY {key}, rank, variant"),
+        ("rated", f"SELECT c.{key}, c.rank, c.variant, c.generated, coalesce(rc.rare, 0) AS rare_words "
+                  f"FROM {cands} c LEFT JOIN rc USING ({key}, rank, variant)"),
+        ("ens", f"SELECT {key}, rank, 'combined' AS variant, arg_min(generated, {best}) AS generated, "
+                f"arg_min(variant, {best}) AS chosen FROM rated GROUP BY {key}, rank"),
+    ]
+
+
+RATED_CTES = GEN_CTES + VV_CTES + _rated_ctes("cands", "pair_id")
 
 oracle("pairs", PAIRS_SQL)
-oracle("generate_lead", _with(GEN_CTES, "SELECT * FROM cands WHERE variant = 'lead'"))
+oracle("generate_lead", _with([("p", PAIRS_SQL), ("ft", f"SELECT pair_id, {_FIRST_TOKS} AS toks FROM p")],
+                              f"SELECT pair_id, 'lead' AS variant, {_as_question('toks')} AS generated FROM ft"))
 oracle("generate_cloze", _with(GEN_CTES, "SELECT * FROM cands WHERE variant = 'cloze'"))
 oracle("vocab", _with(VOCAB_CTES, "SELECT * FROM vocab"))
 oracle("rare_words", _with(RATED_CTES, "SELECT * FROM rated"))
 oracle("ensemble_select", _with(RATED_CTES, "SELECT * FROM ens"))
-
-_SENT_TOKS = (f"list_transform({Q.sentences('context')}, lambda s: "
-              f"list_slice({Q.ws_tokens('s')}, 1, {R.MAX_GEN_TOKENS}))")
-RANKED_CTES = [
-    ("p", PAIRS_SQL),
-    ("st", f"SELECT pair_id, {_SENT_TOKS} AS sl FROM p"),
-    ("qs", f"SELECT pair_id, 'lead' AS variant, "
-           f"list_transform(sl, lambda toks: {_as_question('toks')}) AS q FROM st UNION ALL "
-           f"SELECT pair_id, 'cloze' AS variant, "
-           f"list_transform(sl, lambda toks: {_as_question(_CLOZE_TOKS)}) AS q FROM st"),
-    ("qe", "SELECT pair_id, variant, unnest(q) AS generated, unnest(range(1, len(q) + 1)) AS pos "
-           "FROM qs"),
-    ("qf", "SELECT pair_id, variant, generated, min(pos) AS first_pos FROM qe "
-           "GROUP BY pair_id, variant, generated"),
-    ("cands", "SELECT pair_id, variant, generated, row_number() OVER "
-              "(PARTITION BY pair_id, variant ORDER BY first_pos) AS rank FROM qf"),
-] + VOCAB_CTES + [
-    ("rc", "SELECT pair_id, variant, rank, generated, unnest(" + Q.ws_tokens("generated") +
-           ") AS token FROM cands WHERE rank <= 5"),
-    ("rated", "SELECT c.pair_id, c.variant, c.rank, c.generated, "
-              "count(*) FILTER (WHERE r.token IS NOT NULL AND r.token NOT IN "
-              "(SELECT token FROM vocab)) AS rare_words FROM cands c LEFT JOIN rc r "
-              "ON r.pair_id = c.pair_id AND r.variant = c.variant AND r.rank = c.rank "
-              "WHERE c.rank <= 5 GROUP BY c.pair_id, c.variant, c.rank, c.generated"),
-]
-oracle("ensemble_ranked", _with(RANKED_CTES, (
-    "SELECT pair_id, CAST(rank AS BIGINT) AS rank, 'combined' AS variant, "
-    "arg_min(generated, (rare_words, length(generated), "
-    "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS generated, "
-    "arg_min(variant, (rare_words, length(generated), "
-    "CASE variant WHEN 'lead' THEN 0 ELSE 1 END)) AS chosen FROM rated GROUP BY pair_id, rank")))
+oracle("ensemble_ranked", _with(RATED_CTES, "SELECT * FROM ens WHERE rank <= 5"))
 
 _SENTS = f"list_transform({Q.sentences('text')}, lambda s: array_to_string({Q.ws_tokens('s')}, ' '))"
 oracle("n_distinct_candidates", _with([
@@ -226,62 +217,79 @@ def _lcs(h: str, r: str) -> str:
     return f"list_reduce({h}, {step}, {init})[len({r}) + 1]"
 
 
-def _metric_ctes(cands: str) -> list[tuple[str, str]]:
-    """Per (pair_id, variant): rouge_p/r/f, matches/chunks/meteor, bleu1..4."""
+_ROW = "pair_id, rank, variant"
+
+
+def _meteor_stage(name: str, left: str, by: str) -> list[tuple[str, str]]:
+    """Pairs of the k-th last equal values of both sides among rows (row, side, pos, t, by)."""
+    return [
+        (f"{name}k", f"SELECT *, row_number() OVER (PARTITION BY {_ROW}, side, {by} ORDER BY pos DESC) AS k FROM {left}"),
+        (f"{name}m", f"SELECT {_ROW}, a.pos AS i, b.pos AS j FROM (SELECT * FROM {name}k WHERE side = 'h') a "
+                     f"JOIN (SELECT * FROM {name}k WHERE side = 'r') b USING ({_ROW}, {by}, k)"),
+        (f"{name}l", f"SELECT {_ROW}, side, pos, t FROM {left} WHERE side = 'h' AND ({_ROW}, pos) NOT IN "
+                     f"(SELECT ({_ROW}, i) FROM {name}m) UNION ALL SELECT {_ROW}, side, pos, t FROM {left} "
+                     f"WHERE side = 'r' AND ({_ROW}, pos) NOT IN (SELECT ({_ROW}, j) FROM {name}m)"),
+    ]
+
+
+def _metric_ctes(cands: str, stems: bool = True, synonyms: bool = False) -> list[tuple[str, str]]:
+    """Per (pair_id, rank, variant): rouge_p/r/f, matches/chunks/meteor, bleu1..4."""
     tb_h, tb_r = Q.treebank_tokens("generated"), Q.treebank_tokens("question")
     ctes = [
-        ("sc", f"SELECT c.pair_id, c.variant, c.generated, p.question FROM {cands} c "
-               f"JOIN p ON p.pair_id = c.pair_id"),
-        ("tk", f"SELECT pair_id, variant, {Q.rouge_tokens('generated')} AS hr, "
+        ("sc", f"SELECT {_ROW}, c.generated, p.question FROM {cands} c JOIN p USING (pair_id)"),
+        ("tk", f"SELECT {_ROW}, {Q.rouge_tokens('generated')} AS hr, "
                f"{Q.rouge_tokens('question')} AS rr, {tb_h} AS ht, {tb_r} AS rt, "
                f"{Q.ws_tokens('lower(generated)')} AS hw, {Q.ws_tokens('lower(question)')} AS rw "
                f"FROM sc"),
         # ROUGE-L
-        ("rl", f"SELECT pair_id, variant, len(hr) AS nh, len(rr) AS nr, {_lcs('hr', 'rr')} AS lcs "
-               f"FROM tk"),
-        ("rouge", "SELECT pair_id, variant, "
-                  "CASE WHEN nh > 0 THEN lcs / nh ELSE 0.0 END AS rouge_p, "
+        ("rl", f"SELECT {_ROW}, len(hr) AS nh, len(rr) AS nr, {_lcs('hr', 'rr')} AS lcs FROM tk"),
+        ("rouge", f"SELECT {_ROW}, CASE WHEN nh > 0 THEN lcs / nh ELSE 0.0 END AS rouge_p, "
                   "CASE WHEN nr > 0 THEN lcs / nr ELSE 0.0 END AS rouge_r FROM rl"),
         ("rouge2", "SELECT *, CASE WHEN rouge_p + rouge_r > 0 THEN 2 * rouge_p * rouge_r / "
                    "(rouge_p + rouge_r) ELSE 0.0 END AS rouge_f FROM rouge"),
-        # METEOR, exact stage: rank from the end, equi-join, chunks by lag
-        ("mh", "SELECT pair_id, variant, unnest(hw) AS t, unnest(range(1, len(hw) + 1)) AS pos FROM tk"),
-        ("mr", "SELECT pair_id, variant, unnest(rw) AS t, unnest(range(1, len(rw) + 1)) AS pos FROM tk"),
-        ("mhk", "SELECT *, row_number() OVER (PARTITION BY pair_id, variant, t ORDER BY pos DESC) "
-                "AS k FROM mh"),
-        ("mrk", "SELECT *, row_number() OVER (PARTITION BY pair_id, variant, t ORDER BY pos DESC) "
-                "AS k FROM mr"),
-        ("mm", "SELECT a.pair_id, a.variant, a.pos AS i, b.pos AS j FROM mhk a JOIN mrk b "
-               "ON a.pair_id = b.pair_id AND a.variant = b.variant AND a.t = b.t AND a.k = b.k"),
-        ("ml", "SELECT *, lag(i) OVER w AS pi, lag(j) OVER w AS pj FROM mm "
-               "WINDOW w AS (PARTITION BY pair_id, variant ORDER BY i)"),
-        ("mc", "SELECT pair_id, variant, count(*) AS matches, "
+        # METEOR: stages by rank from the end, chunks by lag
+        ("m0", f"SELECT {_ROW}, 'h' AS side, unnest(hw) AS t, unnest(range(1, len(hw) + 1)) AS pos FROM tk UNION ALL "
+               f"SELECT {_ROW}, 'r', unnest(rw), unnest(range(1, len(rw) + 1)) FROM tk"),
+    ] + _meteor_stage("x", "m0", "t")
+    found = ["xm"]
+    if stems:
+        ctes += Q.stem_ctes("stems", "SELECT DISTINCT t FROM xl")
+        ctes += [("y0", "SELECT xl.*, stems.stem FROM xl JOIN stems USING (t)")] + _meteor_stage("y", "y0", "stem")
+        found.append("ym")
+    if synonyms:
+        ctes += Q.stem_ctes("cstems", f"SELECT DISTINCT unnest({Q.ws_tokens('lower(text)')}) AS t FROM conversations")
+        ctes += [("syn", "SELECT stem, min(regexp_replace(stem, '[^a-z]', '', 'g')) AS set_id FROM cstems "
+                         "WHERE regexp_replace(stem, '[^a-z]', '', 'g') <> '' GROUP BY stem"),
+                 ("z0", "SELECT yl.*, syn.set_id FROM yl JOIN stems USING (t) JOIN syn USING (stem)")]
+        ctes += _meteor_stage("z", "z0", "set_id")
+        found.append("zm")
+    ctes += [
+        ("mm", " UNION ALL ".join(f"SELECT * FROM {f}" for f in found)),
+        ("ml", f"SELECT *, lag(i) OVER w AS pi, lag(j) OVER w AS pj FROM mm WINDOW w AS (PARTITION BY {_ROW} ORDER BY i)"),
+        ("mc", f"SELECT {_ROW}, count(*) AS matches, "
                "sum(CASE WHEN pi IS NOT NULL AND i = pi + 1 AND j = pj + 1 THEN 0 ELSE 1 END) "
-               "AS chunks FROM ml GROUP BY pair_id, variant"),
-        ("met", f"SELECT t.pair_id, t.variant, coalesce(mc.matches, 0) AS matches, "
-                f"coalesce(mc.chunks, 0) AS chunks, len(t.hw) AS nh, len(t.rw) AS nr "
-                f"FROM tk t LEFT JOIN mc ON mc.pair_id = t.pair_id AND mc.variant = t.variant"),
-        ("met2", f"SELECT pair_id, variant, CAST(matches AS BIGINT) AS matches, "
+               f"AS chunks FROM ml GROUP BY {_ROW}"),
+        ("met", f"SELECT {_ROW}, coalesce(mc.matches, 0) AS matches, coalesce(mc.chunks, 0) AS chunks, "
+                f"len(t.hw) AS nh, len(t.rw) AS nr FROM tk t LEFT JOIN mc USING ({_ROW})"),
+        ("met2", f"SELECT {_ROW}, CAST(matches AS BIGINT) AS matches, "
                  f"CAST(chunks AS BIGINT) AS chunks, CASE WHEN matches = 0 THEN 0.0 ELSE "
                  f"(1 - {R.METEOR_GAMMA} * pow(chunks / matches, {R.METEOR_BETA})) * "
                  f"((matches / nh) * (matches / nr) / ({R.METEOR_ALPHA} * (matches / nh) + "
                  f"{1 - R.METEOR_ALPHA} * (matches / nr))) END AS meteor FROM met"),
         # BLEU: n-gram counts on both sides, clipped by a left join
         ("orders", "SELECT unnest(range(1, 5)) AS n"),
-        ("bh", "SELECT pair_id, variant, n, unnest(list_transform(range(1, len(ht) - n + 2), "
+        ("bh", f"SELECT {_ROW}, n, unnest(list_transform(range(1, len(ht) - n + 2), "
                "lambda i: array_to_string(ht[i:i + n - 1], ' '))) AS g FROM tk, orders"),
-        ("br", "SELECT pair_id, variant, n, unnest(list_transform(range(1, len(rt) - n + 2), "
+        ("br", f"SELECT {_ROW}, n, unnest(list_transform(range(1, len(rt) - n + 2), "
                "lambda i: array_to_string(rt[i:i + n - 1], ' '))) AS g FROM tk, orders"),
-        ("bhc", "SELECT pair_id, variant, n, g, count(*) AS c FROM bh GROUP BY ALL"),
-        ("brc", "SELECT pair_id, variant, n, g, count(*) AS c FROM br GROUP BY ALL"),
-        ("bclip", "SELECT a.pair_id, a.variant, a.n, sum(least(a.c, coalesce(b.c, 0))) AS num "
-                  "FROM bhc a LEFT JOIN brc b ON a.pair_id = b.pair_id AND a.variant = b.variant "
-                  "AND a.n = b.n AND a.g = b.g GROUP BY ALL"),
-        ("bn", "SELECT t.pair_id, t.variant, len(t.ht)::DOUBLE AS nh, len(t.rt)::DOUBLE AS nr, "
+        ("bhc", f"SELECT {_ROW}, n, g, count(*) AS c FROM bh GROUP BY ALL"),
+        ("brc", f"SELECT {_ROW}, n, g, count(*) AS c FROM br GROUP BY ALL"),
+        ("bclip", f"SELECT {_ROW}, n, sum(least(a.c, coalesce(b.c, 0))) AS num "
+                  f"FROM bhc a LEFT JOIN brc b USING ({_ROW}, n, g) GROUP BY ALL"),
+        ("bn", f"SELECT {_ROW}, len(t.ht)::DOUBLE AS nh, len(t.rt)::DOUBLE AS nr, "
                + ", ".join(f"coalesce(sum(CASE WHEN c.n = {n} THEN c.num END), 0) AS num{n}"
                            for n in range(1, 5))
-               + " FROM tk t LEFT JOIN bclip c ON c.pair_id = t.pair_id AND c.variant = t.variant "
-                 "GROUP BY ALL"),
+               + f" FROM tk t LEFT JOIN bclip c USING ({_ROW}) GROUP BY ALL"),
     ]
     z = {n: f"(CASE WHEN num{n} = 0 AND nh > 1 THEN 1 ELSE 0 END)" for n in range(1, 5)}
     ps = []
@@ -296,23 +304,26 @@ def _metric_ctes(cands: str) -> list[tuple[str, str]]:
     for big in range(1, 5):
         s = " + ".join(f"CASE WHEN p{i} > 0 THEN ln(p{i}) / {big} ELSE 0.0 END" for i in range(1, big + 1))
         bl.append(f"CASE WHEN num1 = 0 THEN 0.0 ELSE bpen * exp({s}) END AS bleu{big}")
-    ctes.append(("bleu", "SELECT pair_id, variant, " + ", ".join(bl) + " FROM bp"))
-    ctes.append(("scored", "SELECT r.pair_id, r.variant, r.rouge_p, r.rouge_r, r.rouge_f, "
-                           "m.matches, m.chunks, m.meteor, b.bleu1, b.bleu2, b.bleu3, b.bleu4 "
-                           "FROM rouge2 r JOIN met2 m USING (pair_id, variant) "
-                           "JOIN bleu b USING (pair_id, variant)"))
+    ctes.append(("bleu", f"SELECT {_ROW}, " + ", ".join(bl) + " FROM bp"))
+    ctes.append(("scored", f"SELECT {_ROW}, rouge_p, rouge_r, rouge_f, matches, chunks, meteor, bleu1, bleu2, bleu3, "
+                           f"bleu4 FROM rouge2 JOIN met2 USING ({_ROW}) JOIN bleu USING ({_ROW})"))
     return ctes
 
 
 METRIC_CTES = GEN_CTES + _metric_ctes("cands")
+_METEOR = f"SELECT {_ROW}, matches, chunks, round(meteor, 6) AS meteor FROM scored"
 
-oracle("rouge_l", _with(METRIC_CTES, "SELECT pair_id, variant, round(rouge_p, 6) AS precision, "
+oracle("rouge_l", _with(METRIC_CTES, f"SELECT {_ROW}, round(rouge_p, 6) AS precision, "
                                      "round(rouge_r, 6) AS recall, round(rouge_f, 6) AS fmeasure "
                                      "FROM scored"))
-oracle("bleu", _with(METRIC_CTES, "SELECT pair_id, variant, " + ", ".join(
+oracle("bleu", _with(METRIC_CTES, f"SELECT {_ROW}, " + ", ".join(
     f"round(bleu{n}, 6) AS bleu{n}" for n in range(1, 5)) + " FROM scored"))
-oracle("meteor_exact", _with(METRIC_CTES, "SELECT pair_id, variant, matches, chunks, "
-                                          "round(meteor, 6) AS meteor FROM scored"))
+oracle("meteor_exact", _with(GEN_CTES + _metric_ctes("cands", stems=False), _METEOR))
+oracle("meteor_stem", _with(METRIC_CTES, _METEOR))
+oracle("meteor_synonym", _with(GEN_CTES + _metric_ctes("cands", synonyms=True), _METEOR))
+oracle("predictions_scored", _with(
+    GEN_CTES + [("first", "SELECT * FROM cands WHERE rank = 1")] + _metric_ctes("first"),
+    f"SELECT {_ROW}, round(rouge_f, 6) AS fmeasure, round(meteor, 6) AS meteor, round(bleu4, 6) AS bleu4 FROM scored"))
 
 
 def _poisson_weight(u: str) -> str:
@@ -326,22 +337,26 @@ def _poisson_weight(u: str) -> str:
 
 _U = ("(('0x' || substr(md5('0:' || CAST(pair_id AS VARCHAR) || ':' || CAST(rep AS VARCHAR)), "
       "1, 8))::BIGINT / 4294967296.0)")
-oracle("bootstrap_rouge", _with(METRIC_CTES + [
-    ("bx", "SELECT pair_id, 100 * rouge_f AS x FROM scored WHERE variant = 'lead'"),
+BOOT_CTES = [
+    ("bx", "SELECT pair_id, variant, avg(100 * rouge_f) AS x FROM scored GROUP BY pair_id, variant"),
     ("reps", f"SELECT unnest(range(1, {R.BOOTSTRAP_REPLICATES} + 1)) AS rep"),
-    ("bw", f"SELECT rep, x, {_poisson_weight(_U)} AS w FROM bx, reps"),
-    ("bm", "SELECT rep, sum(w * x) / sum(w) AS mean FROM bw GROUP BY rep"),
-], "SELECT round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.5), 6) AS mid, "
-   "round(quantile_cont(mean, 0.975), 6) AS high FROM bm"))
-
-LB_CTES = RATED_CTES + [("allc", "SELECT pair_id, variant, generated FROM cands UNION ALL "
-                                 "SELECT pair_id, variant, generated FROM ens")] + _metric_ctes("allc")
-oracle("leaderboard", _with(LB_CTES + [
+    ("bw", f"SELECT rep, variant, x, {_poisson_weight(_U)} AS w FROM bx, reps"),
+    ("bm", "SELECT rep, variant, sum(w * x) / sum(w) AS mean FROM bw GROUP BY rep, variant HAVING sum(w) > 0"),
+]
+oracle("bootstrap_rouge", _with(
+    METRIC_CTES + BOOT_CTES,
+    "SELECT variant, round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.5), 6) AS mid, "
+    "round(quantile_cont(mean, 0.975), 6) AS high FROM bm GROUP BY variant"))
+
+LB_CTES = RATED_CTES + [("allc", "SELECT pair_id, rank, variant, generated FROM cands UNION ALL "
+                                 "SELECT pair_id, rank, variant, generated FROM ens")] + _metric_ctes("allc")
+oracle("leaderboard", _with(LB_CTES + BOOT_CTES + [
     ("lb", "SELECT variant, count(*) AS n, round(100 * avg(rouge_f), 6) AS rouge_l, "
            "round(100 * avg(meteor), 6) AS meteor, " + ", ".join(
                f"round(100 * avg(bleu{n}), 6) AS bleu{n}" for n in range(1, 5))
            + " FROM scored GROUP BY variant"),
-], "SELECT *, CAST(rank() OVER (ORDER BY meteor DESC, variant) AS BIGINT) AS rank FROM lb"))
+    ("md", "SELECT variant, round(quantile_cont(mean, 0.5), 6) AS rouge_mid FROM bm GROUP BY variant"),
+], "SELECT *, CAST(rank() OVER (ORDER BY meteor DESC, variant) AS BIGINT) AS rank FROM lb JOIN md USING (variant)"))
 
 # ---------------------------------------------------------------- features (M3)
 
@@ -372,7 +387,7 @@ _FEAT_CTES = _PROMPT_CTES + VOCAB_CTES + [
            "FROM (SELECT pair_id, variant, 0 AS side, " + Q.ws_tokens("prompt") + " AS toks FROM pr "
            "UNION ALL SELECT pair_id, variant, 1 AS side, " + Q.ws_tokens("target") + " AS toks "
            "FROM pr)"),
-    ("el", f"SELECT et.pair_id, et.variant, et.side, et.pos, coalesce(v.id, {R.UNK_ID}) AS id "
+    ("el", f"SELECT et.pair_id, et.variant, et.side, et.pos, coalesce(v.id, {R.UNK_ID})::INTEGER AS id "
            f"FROM et LEFT JOIN vocab v ON v.token = et.token"),
     ("ids", "SELECT pr.pair_id, pr.variant, "
             "coalesce(list(el.id ORDER BY el.pos) FILTER (WHERE el.side = 0), []) AS src, "
@@ -392,41 +407,93 @@ oracle("labels_masked", _with(_FEAT_CTES, "SELECT pair_id, variant, array_to_str
                               f"THEN {R.LABEL_IGNORE} ELSE x END), ',') AS labels, "
                               "CAST(list_sum(attention_mask) AS BIGINT) AS n_input FROM feat"))
 
+oracle("features_stored", _with(_FEAT_CTES, "SELECT pair_id, variant, 'train' AS split, " + ", ".join(
+    f"array_to_string({c}, ',') AS {c}" for c in
+    ("input_ids", "attention_mask", "decoder_input_ids", "decoder_attention_mask")) + " FROM feat"))
+
+# ---------------------------------------------------------------- sources and sinks (A, C2, E3, G)
+
+oracle("csv_projected", _with([("p", PAIRS_SQL)], "SELECT context, question FROM p"))
+oracle("csv_all_columns", PAIRS_SQL)
+oracle("csv_row_index", _with([("p", PAIRS_SQL)], "SELECT row_number() OVER (ORDER BY pair_id) - 1 AS row_id, "
+                                                  "pair_id, context, question FROM p"))
+
+oracle("csv_splits", _with([("p", PAIRS_SQL)], """
+SELECT pair_id, context, question, CASE length(question) % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'valid' ELSE 'train' END
+       AS split FROM p"""))
+
 # ---------------------------------------------------------------- keywords (M5)
 
 _CONTENT = (lambda v: f"(regexp_full_match({v}, '\\p{{L}}{{2,}}') AND {v} NOT IN "
                       f"({Q.stop_words_list()}))")
-TR_EDGE_CTES = [
-    ("ew", f"SELECT doc_id, regexp_extract_all(lower(text), {Q.q(T.WORD_RUN)}) AS w FROM documents"),
-    ("adj", "SELECT doc_id, unnest(list_transform(range(1, len(w)), "
-            "lambda i: {'a': w[i], 'b': w[i + 1]})) AS p FROM ew"),
-    ("und", f"SELECT DISTINCT doc_id, least(p.a, p.b) AS a, greatest(p.a, p.b) AS b FROM adj "
-            f"WHERE {_CONTENT('p.a')} AND {_CONTENT('p.b')} AND p.a <> p.b"),
-    ("edges", "SELECT doc_id, a AS src, b AS dst FROM und UNION ALL "
-              "SELECT doc_id, b AS src, a AS dst FROM und"),
-]
 
 
-def _textrank_ctes(iterations: int = 10, d: float = R.TEXTRANK_DAMPING) -> list[tuple[str, str]]:
-    ctes = TR_EDGE_CTES + [
-        ("deg", "SELECT doc_id, src, count(*) AS deg FROM edges GROUP BY doc_id, src"),
-        ("we", "SELECT e.doc_id, e.src, e.dst, 1.0 / deg.deg AS w FROM edges e "
-               "JOIN deg ON deg.doc_id = e.doc_id AND deg.src = e.src"),
-        ("r0", "SELECT doc_id, src AS word, 1.0 AS score FROM deg"),
+def _edge_ctes(src: str, key: str, text: str, stems: bool = False) -> list[tuple[str, str]]:
+    words = f"regexp_extract_all(lower({text}), {Q.q(T.WORD_RUN)})"
+    ctes = [
+        ("ew", f"SELECT {key}, {words} AS w FROM {src}"),
+        ("adj", f"SELECT {key}, unnest(list_transform(range(1, len(w)), "
+                "lambda i: {'a': w[i], 'b': w[i + 1]})) AS p FROM ew"),
+        ("con", f"SELECT {key}, p.a AS a, p.b AS b FROM adj WHERE {_CONTENT('p.a')} AND {_CONTENT('p.b')}"),
+    ]
+    nodes = "con"
+    if stems:
+        ctes += Q.stem_ctes("nstems", "SELECT a AS t FROM con UNION SELECT b FROM con")
+        ctes.append(("ncon", f"SELECT con.{key}, x.stem AS a, y.stem AS b FROM con JOIN nstems x ON x.t = con.a "
+                             f"JOIN nstems y ON y.t = con.b"))
+        nodes = "ncon"
+    return ctes + [
+        ("und", f"SELECT DISTINCT {key}, least(a, b) AS a, greatest(a, b) AS b FROM {nodes} WHERE a <> b"),
+        ("edges", f"SELECT {key}, a AS src, b AS dst FROM und UNION ALL SELECT {key}, b AS src, a AS dst FROM und"),
+    ]
+
+
+def _textrank_ctes(src: str, key: str, text: str, stems: bool = False, iterations: int = 20,
+                   d: float = R.TEXTRANK_DAMPING) -> list[tuple[str, str]]:
+    ctes = _edge_ctes(src, key, text, stems) + [
+        ("deg", f"SELECT {key}, src, count(*) AS deg FROM edges GROUP BY {key}, src"),
+        ("we", f"SELECT {key}, src, dst, 1.0 / deg AS w FROM edges JOIN deg USING ({key}, src)"),
+        ("r0", f"SELECT {key}, src AS word, 1.0 AS score FROM deg"),
     ]
     for t in range(1, iterations + 1):
-        ctes.append((f"r{t}", f"SELECT we.doc_id, we.dst AS word, {1 - d} + {d} * sum(we.w * r.score) "
-                              f"AS score FROM we JOIN r{t - 1} r ON r.doc_id = we.doc_id AND "
-                              f"r.word = we.src GROUP BY we.doc_id, we.dst"))
-    ctes.append(("ranked", f"SELECT doc_id, word, round(score, 6) AS score, row_number() OVER "
-                           f"(PARTITION BY doc_id ORDER BY round(score, 6) DESC, word) AS rank, "
-                           f"count(*) OVER (PARTITION BY doc_id) AS n FROM r{iterations}"))
-    return ctes
+        ctes.append((f"r{t}", f"SELECT we.{key}, we.dst AS word, {1 - d} + {d} * sum(we.w * r.score) "
+                              f"AS score FROM we JOIN r{t - 1} r ON r.{key} = we.{key} AND "
+                              f"r.word = we.src GROUP BY we.{key}, we.dst"))
+    return ctes + [
+        ("ranked", f"SELECT {key}, word, round(score, 6) AS score, row_number() OVER "
+                   f"(PARTITION BY {key} ORDER BY round(score, 6) DESC, word) AS rank, "
+                   f"count(*) OVER (PARTITION BY {key}) AS n FROM r{iterations}"),
+        ("kept", f"SELECT {key}, CAST(rank AS BIGINT) AS rank, word, score FROM ranked WHERE rank <= floor(0.2 * n)"),
+    ]
+
+
+def _phrase_ctes(src: str, key: str) -> list[tuple[str, str]]:
+    """Keyword strings from kept words and the words' first places."""
+    return [
+        ("kw0", f"SELECT {key}, len(w) AS n, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM ew"),
+        ("kw1", f"SELECT {key}, word, min(pos) AS pos, any_value(n) AS n, any_value(score) AS score "
+                f"FROM kw0 JOIN kept USING ({key}, word) GROUP BY {key}, word"),
+        ("kw2", f"SELECT *, pos - row_number() OVER (PARTITION BY {key} ORDER BY pos) AS run FROM kw1"),
+        ("kw3", f"SELECT *, max(pos) OVER (PARTITION BY {key}, run) = n - 1 AS open FROM kw2"),
+        ("kw4", f"SELECT {key}, string_agg(word, ' ' ORDER BY pos) AS phrase, round(avg(score), 9) AS mean, "
+                f"min(pos) AS pos FROM kw3 WHERE NOT open OR pos = n - 1 GROUP BY {key}, run"),
+        ("kw5", f"SELECT {key}, string_agg(phrase, ' ' ORDER BY mean DESC, pos) AS keywords FROM kw4 GROUP BY {key}"),
+        ("kws", f"SELECT {key}, coalesce(keywords, '') AS keywords FROM {src} LEFT JOIN kw5 USING ({key})"),
+    ]
 
 
-oracle("textrank_edges", _with(TR_EDGE_CTES, "SELECT * FROM edges"))
-oracle("textrank_keywords", _with(_textrank_ctes(), "SELECT doc_id, CAST(rank AS BIGINT) AS rank, "
-                                  "word, score FROM ranked WHERE rank <= floor(0.2 * n)"))
+oracle("textrank_edges", _with(_edge_ctes("documents", "doc_id", "text"), "SELECT * FROM edges"))
+oracle("textrank_keywords", _with(_textrank_ctes("documents", "doc_id", "text"), "SELECT * FROM kept"))
+oracle("textrank_stems", _with([("p", PAIRS_SQL)] + _textrank_ctes("p", "pair_id", "context", stems=True),
+                               "SELECT * FROM kept"))
+oracle("keywords_text", _with(_textrank_ctes("documents", "doc_id", "text") + _phrase_ctes("documents", "doc_id"),
+                              "SELECT * FROM kws"))
+_KW_CFG = ("kcfg", "SELECT * FROM (VALUES ('BART with keywords', '', ' '), ('T5 with keywords', 'ask question: ', "
+                   "'<sep>')) AS t(variant, prefix, joiner)")
+oracle("prompts_keywords", _with(
+    [("p", PAIRS_SQL)] + _textrank_ctes("p", "pair_id", "context") + _phrase_ctes("p", "pair_id") + [_KW_CFG],
+    "SELECT pair_id, variant, prefix || context || joiner || keywords || ' </s>' AS prompt, "
+    "replace(question, '{sep_token}', '<sep>') || ' </s>' AS target FROM p JOIN kws USING (pair_id), kcfg"))
 
 # ---------------------------------------------------------------- grid, requests (M6, M7)
 
@@ -446,9 +513,9 @@ oracle("grid_best", _with([("x", _GRID_X), ("runs", _GRID_RUNS)],
                           "WHERE NOT isnan(loss) ORDER BY loss, ordinal LIMIT 1"))
 
 _MODELS = ", ".join(Q.q(m) for m in R.MODEL_NAMES + [R.COMBINED, "unknown"])
-_REQ = (f"SELECT conv_id * 1000000 + turn AS request_id, "
+_REQ = (f"SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS request_id, "
         f"CASE WHEN role = 'system' THEN '' ELSE text END AS context, "
-        f"CASE WHEN turn = 0 THEN '' WHEN turn = 7 THEN 'seven' ELSE CAST(turn AS VARCHAR) END AS n, "
+        f"CASE WHEN turn = 0 THEN '' WHEN turn = 7 THEN 'seven' ELSE CAST(turn - 1 AS VARCHAR) END AS n, "
         f"([{_MODELS}])[CAST(((conv_id + turn) % 6 + 6) % 6 + 1 AS INTEGER)] AS model "
         f"FROM conversations")
 _NAMES = ", ".join(Q.q(m) for m in R.MODEL_NAMES)
@@ -463,61 +530,48 @@ SELECT request_id,
 FROM req"""))
 
 
-def _first_n_distinct(arr: str, n: str) -> str:
-    """Order-preserving distinct, first ``n`` (DuckDB's list_distinct does not keep order)."""
-    return f"list_slice(list_filter({arr}, lambda x, i: list_position({arr}, x) = i), 1, {n})"
-
-
-def _lead_of_sentence(s: str) -> str:
-    return (f"coalesce(list_slice({Q.ws_tokens(Q.sentences(s) + '[1]')}, 1, "
-            f"{R.MAX_GEN_TOKENS}), []::VARCHAR[])")
-
-
-_REQ_SENTS = (f"list_transform({Q.sentences('context')}, "
-              f"lambda s: array_to_string({Q.ws_tokens('s')}, ' '))")
-_ANSWER_CTES = [
+_VALID_CTES = [
     ("req", _REQ),
     ("v", f"""SELECT request_id, context,
        CASE WHEN model IN ({_NAMES}) THEN model ELSE 'combined' END AS variant,
-       greatest(TRY_CAST(n AS INTEGER), 0) AS nn,
+       TRY_CAST(n AS INTEGER) AS n,
        CASE WHEN coalesce(context, '') = '' THEN {Q.q(R.MSG_EMPTY_CONTEXT)}
             WHEN coalesce(n, '') = '' THEN {Q.q(R.MSG_EMPTY_N)}
             WHEN TRY_CAST(n AS INTEGER) IS NULL THEN {Q.q(R.MSG_BAD_N)} END AS error
        FROM req"""),
-    ("st", f"SELECT request_id, variant, nn, list_transform({_REQ_SENTS}, "
-           f"lambda s: {_lead_of_sentence('s')}) AS sl FROM v WHERE error IS NULL"),
-    ("fam", f"SELECT request_id, variant, nn, "
-            f"list_transform(sl, lambda toks: {_as_question('toks')}) AS lq, "
-            f"list_transform(sl, lambda toks: {_as_question(_CLOZE_TOKS)}) AS cq FROM st"),
-    ("sq", f"SELECT request_id, variant, {_first_n_distinct('CASE WHEN variant LIKE ' + Q.q('T5%') + ' THEN cq ELSE lq END', 'nn')} AS q "
-           f"FROM fam WHERE variant <> 'combined'"),
-    ("single", "SELECT request_id, variant, unnest(q) AS question, "
-               "unnest(range(1, len(q) + 1)) AS rank FROM sq"),
-    ("cq2", f"SELECT request_id, {_first_n_distinct('lq', 'nn')} AS l, "
-            f"{_first_n_distinct('cq', 'nn')} AS c FROM fam WHERE variant = 'combined'"),
-    ("cc", "SELECT request_id, 'lead' AS cv, unnest(l) AS generated, "
-           "unnest(range(1, len(l) + 1)) AS rank FROM cq2 UNION ALL "
-           "SELECT request_id, 'cloze' AS cv, unnest(c) AS generated, "
-           "unnest(range(1, len(c) + 1)) AS rank FROM cq2"),
-] + VOCAB_CTES + [
-    ("rw", f"SELECT request_id, rank, cv, unnest({Q.ws_tokens('generated')}) AS token FROM cc"),
-    ("rated", "SELECT c.request_id, c.rank, c.cv, c.generated, "
-              "count(*) FILTER (WHERE r.token IS NOT NULL AND r.token NOT IN "
-              "(SELECT token FROM vocab)) AS rare_words FROM cc c LEFT JOIN rw r "
-              "ON r.request_id = c.request_id AND r.rank = c.rank AND r.cv = c.cv "
-              "GROUP BY c.request_id, c.rank, c.cv, c.generated"),
+    ("ok", "SELECT * FROM v WHERE error IS NULL"),
+    ("asked", "SELECT * FROM ok WHERE variant LIKE '%with keywords'"),
+]
+_KEPT_CTES = _VALID_CTES + _textrank_ctes("asked", "request_id", "context")
+_ALL_CFG = ("kcfg", "SELECT * FROM (VALUES " + ", ".join(
+    f"({Q.q(n)}, {Q.q(p)}, {str(k).lower()}, {Q.q(j)})" for n, p, k, j, _ in R.VARIANTS)
+    + ") AS t(variant, prefix, use_keywords, joiner)")
+oracle("request_prompts", _with(
+    _KEPT_CTES + _phrase_ctes("asked", "request_id") + [_ALL_CFG],
+    "SELECT request_id, variant, prefix || context || CASE WHEN use_keywords THEN joiner || coalesce(keywords, '') "
+    "ELSE '' END || ' </s>' AS prompt FROM ok JOIN kcfg USING (variant) LEFT JOIN kws USING (request_id)"))
+
+_ANSWER_CTES = _KEPT_CTES + _sentence_ctes("ok", "request_id", "context") + [
+    ("sw", f"SELECT request_id, pos, unnest(regexp_extract_all(lower(array_to_string(toks, ' ')), {Q.q(T.WORD_RUN)})) "
+           "AS word FROM st"),
+    ("hit", "SELECT request_id, pos, count(DISTINCT word) AS hits FROM sw JOIN kept USING (request_id, word) "
+            "GROUP BY request_id, pos"),
+    ("sg", "SELECT request_id, toks, variant AS model, n, row_number() OVER (PARTITION BY request_id ORDER BY "
+           "coalesce(hits, 0) DESC, pos) AS pos FROM st JOIN ok USING (request_id) LEFT JOIN hit USING (request_id, pos)"),
+    ("qe", f"SELECT request_id, model, n, pos, 'lead' AS variant, {_as_question('toks')} AS generated FROM sg "
+           f"WHERE model NOT LIKE 'T5%' UNION ALL SELECT request_id, model, n, pos, 'cloze', "
+           f"{_as_question(_CLOZE_TOKS)} FROM sg WHERE model LIKE 'T5%' OR model = 'combined'"),
+    ("qf", "SELECT request_id, model, n, variant, generated, min(pos) AS first_pos FROM qe GROUP BY ALL"),
+    ("qr", "SELECT *, row_number() OVER (PARTITION BY request_id, variant ORDER BY first_pos) AS rank FROM qf"),
+    ("qn", "SELECT * FROM qr WHERE rank <= n"),
+    ("cc", "SELECT request_id, rank, variant, generated FROM qn WHERE model = 'combined'"),
+] + VV_CTES + _rated_ctes("cc", "request_id") + [
+    ("answered", "SELECT request_id, rank, generated AS question FROM qn WHERE model <> 'combined' UNION ALL "
+                 "SELECT request_id, rank, generated FROM ens"),
 ]
-oracle("answer_requests", _with(_ANSWER_CTES, """
-SELECT request_id, variant, CAST(rank AS BIGINT) AS rank, question, CAST(NULL AS VARCHAR) AS error
-FROM single
-UNION ALL
-SELECT request_id, 'combined' AS variant, CAST(rank AS BIGINT) AS rank,
-       arg_min(generated, (rare_words, length(generated),
-               CASE cv WHEN 'lead' THEN 0 ELSE 1 END)) AS question,
-       CAST(NULL AS VARCHAR) AS error
-FROM rated GROUP BY request_id, rank
-UNION ALL
-SELECT request_id, variant, CAST(NULL AS BIGINT) AS rank, CAST(NULL AS VARCHAR) AS question, error
-FROM v WHERE error IS NOT NULL"""))
+oracle("answer_requests", _with(_ANSWER_CTES, f"""
+SELECT request_id, variant, CAST(rank AS BIGINT) AS rank, question,
+       CASE WHEN rank IS NULL THEN coalesce(error, {Q.q(R.MSG_MODEL_FAILED)}) END AS error
+FROM v LEFT JOIN answered USING (request_id)"""))
 # the streaming path answers the same requests micro-batch by micro-batch
 oracle("request_stream", ORACLE["answer_requests"])

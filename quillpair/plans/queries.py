@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.stem import with_stems
 from ..operators import ensemble as EN
 from ..operators import features as FE
 from ..operators import generate as G
@@ -22,6 +23,8 @@ from ..operators import keywords as KW
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import textprep as TP
+from ..session import materialise, shared_path
+from ..sources import csv as C
 from ..sources import tables as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -54,27 +57,27 @@ def q_top_phrases(spark, sf):
 
 @query("profile_shape")
 def q_profile_shape(spark, sf):
-    return P.shape(S.documents(spark, sf))
+    return P.shape(S.read_table(spark, sf, "documents"))
 
 
 @query("profile_info")
 def q_profile_info(spark, sf):
-    return P.info(S.documents(spark, sf))
+    return P.info(S.read_table(spark, sf, "documents"))
 
 
 @query("profile_nulls")
 def q_profile_nulls(spark, sf):
-    return P.null_counts(S.documents(spark, sf))
+    return P.null_counts(S.read_table(spark, sf, "documents"))
 
 
 @query("describe_text")
 def q_describe_text(spark, sf):
-    return P.describe_text(S.documents(spark, sf), "doc_id", ["text", "lang", "source"])
+    return P.describe_text(S.read_table(spark, sf, "documents"), "doc_id", ["text", "lang", "source"])
 
 
 @query("describe_numeric")
 def q_describe_numeric(spark, sf):
-    out = P.describe_numeric(S.documents(spark, sf), ["doc_id", "n_chars"])
+    out = P.describe_numeric(S.read_table(spark, sf, "documents"), ["doc_id", "n_chars"])
     return out.select("column", "count", *[F.round(c, 6).alias(c) for c in
                                            ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
@@ -126,33 +129,28 @@ def q_clean_pairs(spark, sf):
 
 # ---------------------------------------------------------------- generation, ensemble (M6)
 
-PRIORITY = {"lead": 0, "cloze": 1}  # tie -> first variant, like BART in the original
+PRIORITY = RQ.PRIORITY  # tie -> first variant, like BART in the original
+RANKED = ["pair_id", "rank"]
+SCORED = ["pair_id", "rank", "variant"]
 
 
 def _pairs(spark, sf):
     return S.pairs(spark, sf)
 
 
-def _candidates(spark, sf):
-    return G.predictions(_pairs(spark, sf), "pair_id", "context")
-
-
-VOCAB_ROWS = EN.vocab_bound()  # proven row bound of _vocab (learn_vocab limit + specials + <sep>)
+def _candidates(spark, sf, n=None, generators=None):
+    """Every distinct question of each generator, one per sentence of the context."""
+    return G.ranked_predictions(_pairs(spark, sf), "pair_id", "context", n, generators)
 
 
 def _vocab(spark, sf):
     return EN.add_token(EN.learn_vocab(S.documents(spark, sf), "text"))
 
 
-def _scored_candidates(spark, sf, generators=None):
-    """Candidates with their reference question carried along (no join back)."""
-    return G.predictions(_pairs(spark, sf), "pair_id", "context", generators, carry=["question"])
-
-
-def _with_combined(spark, sf):
-    """Every generator's candidate plus the ensemble's pick, from one pass."""
-    return EN.with_ensemble(_scored_candidates(spark, sf), _vocab(spark, sf), PRIORITY,
-                            carry=["question"], vocab_max_rows=VOCAB_ROWS)
+def _vocabs(spark, sf):
+    """Each variant counts rare words in its own vocabulary."""
+    return EN.variant_vocab({"lead": _vocab(spark, sf),
+                             "cloze": EN.add_token(EN.learn_vocab(S.conversations(spark, sf), "text"))})
 
 
 @query("pairs")
@@ -162,12 +160,12 @@ def q_pairs(spark, sf):
 
 @query("generate_lead")
 def q_generate_lead(spark, sf):
-    return G.predictions(_pairs(spark, sf), "pair_id", "context", {"lead": G.lead_question})
+    return G.lead_of_context(_pairs(spark, sf), "pair_id", "context")
 
 
 @query("generate_cloze")
 def q_generate_cloze(spark, sf):
-    return G.predictions(_pairs(spark, sf), "pair_id", "context", {"cloze": G.cloze_question})
+    return _candidates(spark, sf, generators={"cloze": G.cloze_question})
 
 
 @query("vocab")
@@ -177,77 +175,81 @@ def q_vocab(spark, sf):
 
 @query("rare_words")
 def q_rare_words(spark, sf):
-    vv = EN.variant_vocab(_vocab(spark, sf), list(PRIORITY))
-    return EN.rare_word_counts(_candidates(spark, sf), vv,
-                               vocab_max_rows=VOCAB_ROWS * len(PRIORITY))
+    return EN.rare_word_counts(_candidates(spark, sf), _vocabs(spark, sf), RANKED)
 
 
 @query("ensemble_select")
 def q_ensemble_select(spark, sf):
-    return EN.ensemble(_candidates(spark, sf), _vocab(spark, sf), PRIORITY,
-                       vocab_max_rows=VOCAB_ROWS)
+    return EN.ensemble(_candidates(spark, sf), _vocabs(spark, sf), PRIORITY, RANKED)
 
 
 @query("ensemble_ranked")
 def q_ensemble_ranked(spark, sf):
-    cands = G.ranked_predictions(_pairs(spark, sf), "pair_id", "context", 5)
-    return EN.ensemble_ranked(cands, _vocab(spark, sf), PRIORITY, vocab_max_rows=VOCAB_ROWS)
+    return EN.ensemble(_candidates(spark, sf, 5), _vocabs(spark, sf), PRIORITY, RANKED)
 
 
 @query("n_distinct_candidates")
 def q_n_distinct_candidates(spark, sf):
-    d = S.documents(spark, sf)
-    picked = G.first_n_distinct(G.sentence_candidates("text"), 5)
-    return d.select("doc_id", F.posexplode(picked).alias("rank", "candidate")).select(
-        "doc_id", (F.col("rank") + 1).cast("bigint").alias("rank"), "candidate")
+    s = G.sentences(S.documents(spark, sf), "doc_id", "text").repartition("doc_id")
+    s = s.select("doc_id", "pos", F.array_join("tokens", " ").alias("candidate"))
+    return G.first_distinct(s, ["doc_id"], "pos", "candidate", 5).select("doc_id", "rank", "candidate")
 
 
 # ---------------------------------------------------------------- metrics (M4)
 
-def _scored_pairs(spark, sf, generators=None, stems=False):
-    return M.score_rows(_scored_candidates(spark, sf, generators), stems=stems)
+def _with_truth(cands, spark, sf):
+    return cands.join(_pairs(spark, sf).select("pair_id", "question"), "pair_id")
 
 
+def _scored(spark, sf, stems=True, synonyms=None):
+    return M.score_rows(_with_truth(_candidates(spark, sf), spark, sf), SCORED, stems=stems, synonyms=synonyms)
+
+
+def _rounded(*cols):
+    return [F.round(c, 6).alias(c) for c in cols]
+
 
 @query("rouge_l")
 def q_rouge_l(spark, sf):
-    s = _scored_pairs(spark, sf)
-    return s.select("pair_id", "variant", *[F.round(f"rouge_{c[0]}", 6).alias(c)
-                                            for c in ("precision", "recall", "fmeasure")])
+    s = _scored(spark, sf)
+    return s.select(*SCORED, *[F.round(f"rouge_{c[0]}", 6).alias(c) for c in ("precision", "recall", "fmeasure")])
 
 
 @query("bleu")
 def q_bleu(spark, sf):
-    s = _scored_pairs(spark, sf)
-    return s.select("pair_id", "variant", *[F.round(f"bleu{n}", 6).alias(f"bleu{n}")
-                                            for n in range(1, 5)])
+    return _scored(spark, sf).select(*SCORED, *_rounded("bleu1", "bleu2", "bleu3", "bleu4"))
 
 
 @query("meteor_exact")
 def q_meteor_exact(spark, sf):
-    s = _scored_pairs(spark, sf)
-    return s.select("pair_id", "variant", "matches", "chunks",
-                    F.round("meteor", 6).alias("meteor"))
+    return _scored(spark, sf, stems=False).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
 
 
 @query("meteor_stem")
 def q_meteor_stem(spark, sf):
-    s = _scored_pairs(spark, sf, stems=True)
-    return s.select("pair_id", "variant", "matches", "chunks",
-                    F.round("meteor", 6).alias("meteor"))
+    return _scored(spark, sf).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
+
+
+@query("meteor_synonym")
+def q_meteor_synonym(spark, sf):
+    """Synonym sets derived from the data: stems with the same letters belong together."""
+    words = (S.conversations(spark, sf).select(F.explode(T.ws_tokens(F.lower("text"))).alias("token")).distinct())
+    stems = with_stems(words, "token").select(F.col("stem").alias("word")).distinct()
+    sets = stems.select("word", F.regexp_replace("word", "[^a-z]", "").alias("set_id")).filter("set_id <> ''")
+    return _scored(spark, sf, synonyms=sets).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
 
 
 @query("bootstrap_rouge")
 def q_bootstrap_rouge(spark, sf):
-    s = _scored_pairs(spark, sf, {"lead": G.lead_question}).select(
-        "pair_id", (100 * F.col("rouge_f")).alias("f"))
-    out = M.bootstrap_mean(s, "pair_id", "f")
-    return out.select(*[F.round(c, 6).alias(c) for c in ("low", "mid", "high")])
+    s = _scored(spark, sf).select("pair_id", "variant", (100 * F.col("rouge_f")).alias("f"))
+    return M.bootstrap_mean(s, "pair_id", "f", "variant").select("variant", *_rounded("low", "mid", "high"))
 
 
 @query("leaderboard")
 def q_leaderboard(spark, sf):
-    return M.leaderboard(M.score_rows(_with_combined(spark, sf)))
+    cands = EN.with_ensemble(_candidates(spark, sf), _vocabs(spark, sf), PRIORITY, RANKED)
+    scored = materialise(M.score_rows(_with_truth(cands, spark, sf), SCORED), "scored")
+    return M.leaderboard(scored, "pair_id")
 
 
 # ---------------------------------------------------------------- features (M3)
@@ -257,6 +259,14 @@ def _ids_text(c):
     return F.array_join(F.col(c).cast("array<string>"), ",")
 
 
+FEATURES = ("input_ids", "attention_mask", "decoder_input_ids", "decoder_attention_mask")
+
+
+def _features(spark, sf):
+    p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
+    return FE.features(p, _vocab(spark, sf))
+
+
 @query("prompts")
 def q_prompts(spark, sf):
     return FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
@@ -264,21 +274,15 @@ def q_prompts(spark, sf):
 
 @query("encode_features")
 def q_encode_features(spark, sf):
-    p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
-    f = FE.features(p, _vocab(spark, sf), vocab_max_rows=VOCAB_ROWS)
-    return f.select("pair_id", "variant", *[_ids_text(c).alias(c) for c in
-                                            ("input_ids", "attention_mask", "decoder_input_ids",
-                                             "decoder_attention_mask")])
+    return _features(spark, sf).select("pair_id", "variant", *[_ids_text(c).alias(c) for c in FEATURES])
 
 
 @query("labels_masked")
 def q_labels_masked(spark, sf):
-    p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
-    f = FE.features(p, _vocab(spark, sf), vocab_max_rows=VOCAB_ROWS)
     lab = FE.masked_labels(F.col("decoder_input_ids"))
-    return f.select("pair_id", "variant", F.array_join(lab.cast("array<string>"), ",").alias("labels"),
-                    F.aggregate("attention_mask", F.lit(0).cast("bigint"),
-                                lambda a, x: a + x).alias("n_input"))
+    return _features(spark, sf).select(
+        "pair_id", "variant", F.array_join(lab.cast("array<string>"), ",").alias("labels"),
+        F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_input"))
 
 
 # ---------------------------------------------------------------- keywords (M5)
@@ -293,6 +297,11 @@ def q_textrank_keywords(spark, sf):
     return KW.textrank_top(S.documents(spark, sf), "doc_id", "text")
 
 
+@query("textrank_stems")
+def q_textrank_stems(spark, sf):
+    return KW.textrank_top(_pairs(spark, sf), "pair_id", "context", stems=True)
+
+
 @query("keywords_text")
 def q_keywords_text(spark, sf):
     return KW.keywords(S.documents(spark, sf), "doc_id", "text")
@@ -300,11 +309,63 @@ def q_keywords_text(spark, sf):
 
 @query("prompts_keywords")
 def q_prompts_keywords(spark, sf):
-    p = _pairs(spark, sf)
+    p = materialise(_pairs(spark, sf), "pairs")
     kw = KW.keywords(p, "pair_id", "context")
     return FE.prompts(FE.with_keywords(p, kw), names=["BART with keywords", "T5 with keywords"])
 
 
+# ---------------------------------------------------------------- sources and sinks (A, C2, E3, G)
+
+def _csv(spark, sf):
+    """The pairs as CSV in the shared folder: several files, rows in key order."""
+    path = shared_path(spark, "pairs-csv")
+    C.write_csv(_pairs(spark, sf).repartitionByRange(4, "pair_id").sortWithinPartitions("pair_id"), path)
+    return path
+
+
+@query("csv_projected")
+def q_csv_projected(spark, sf):
+    return C.read_projected(spark, _csv(spark, sf))
+
+
+@query("csv_all_columns")
+def q_csv_all_columns(spark, sf):
+    return C.read_all(spark, _csv(spark, sf))
+
+
+@query("csv_row_index")
+def q_csv_row_index(spark, sf):
+    return C.read_indexed(spark, _csv(spark, sf), ("pair_id", "context", "question"))
+
+
+@query("csv_splits")
+def q_csv_splits(spark, sf):
+    """Clean splits written by split, one folder read back per split."""
+    part = F.length("question") % 10
+    split = F.when(part == 0, "test").when(part == 1, "valid").otherwise("train")
+    path = shared_path(spark, "splits")
+    C.write_splits(_pairs(spark, sf).withColumn("split", split), path, fmt="csv")
+    return C.read_splits(spark, {s: f"{path}/split={s}" for s in ("train", "valid", "test")},
+                         ("pair_id", "context", "question")).drop("row_id")
+
+
+@query("predictions_scored")
+def q_predictions_scored(spark, sf):
+    """Predictions written per variant, read back, joined to the truth and scored."""
+    path = shared_path(spark, "predictions")
+    C.write_predictions(_candidates(spark, sf, 1), path)
+    s = M.score_rows(_with_truth(C.read_predictions(spark, path), spark, sf), SCORED)
+    return s.select(*SCORED, F.round("rouge_f", 6).alias("fmeasure"), *_rounded("meteor", "bleu4"))
+
+
+@query("features_stored")
+def q_features_stored(spark, sf):
+    path = shared_path(spark, "features")
+    C.write_features(_features(spark, sf).withColumn("split", F.lit("train")), path)
+    f = spark.read.parquet(path)
+    return f.select("pair_id", "variant", "split", *[_ids_text(c).alias(c) for c in FEATURES])
+
+
 # ---------------------------------------------------------------- grid, requests (M6, M7)
 
 GRID = {"min_chars": [200.0, 1000.0], "max_non_ascii": [0.02, 0.1]}
@@ -346,14 +407,17 @@ def q_validate_requests(spark, sf):
         "request_id", "variant", "n_int", "error", "n_in_range")
 
 
+@query("request_prompts")
+def q_request_prompts(spark, sf):
+    return RQ.request_prompts(_requests(spark, sf))
+
+
 @query("answer_requests")
 def q_answer_requests(spark, sf):
-    return RQ.answer(_requests(spark, sf), _vocab(spark, sf), VOCAB_ROWS)
+    return RQ.answer(_requests(spark, sf), _vocabs(spark, sf))
 
 
 @query("request_stream")
 def q_request_stream(spark, sf):
     from ..streaming.requests import run_requests_once
-    out = run_requests_once(spark, _requests(spark, sf), _vocab(spark, sf),
-                            vocab_max_rows=VOCAB_ROWS)
-    return out.drop("batch_id")
+    return run_requests_once(spark, _requests(spark, sf), _vocabs(spark, sf)).drop("batch_id")

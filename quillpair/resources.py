@@ -94,7 +94,6 @@ MODEL_NAMES = [v[0] for v in VARIANTS]
 # --- FIXED VALUES: feature lengths and generation limits ---
 MAX_INPUT_LEN = 512
 MAX_TARGET_LEN = 64
-MAX_GEN_TOKENS = 256
 KEYWORD_RATIO = 0.2
 TOP_K = 10
 LABEL_IGNORE = -100

@@ -45,28 +45,30 @@ def read_all(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(F.col(EXTRA).isNull()).drop(EXTRA)
 
 
-def with_row_index(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """0-based file-order row index, like the pandas index.
-
-    One counting pass gives the row count of each input partition (one
-    small row per partition); the offsets table is broadcast (its size is
-    the partition count) and added to the position inside the partition.
-    No single-partition window, no Python rows.
+def read_indexed(spark: SparkSession, path: str, columns: Sequence[str] = ("context", "question"),
+                 name: str = "row_id") -> DataFrame:
+    """Projected read with a 0-based row index in file order, like the pandas index.
+
+    Files are ordered by name, rows by their place in the file. A multi-line
+    CSV file is one split, so numbering within a file adds no wider task; the
+    offset of a file is the number of rows in the files before it (one small
+    row per file). Spark's packing of files into tasks has no influence.
     """
-    tagged = df.select("*", F.spark_partition_id().alias("_pid"),
-                       F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    inner = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .select((F.col("_off") + inner).alias(name), *df.columns))
+    src = _reader(spark).csv(path)
+    rows = src.select(*columns, F.col("_metadata.file_path").alias("_file"),
+                      F.monotonically_increasing_id().alias("_at"))
+    counts = src.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("_file").orderBy("_at")) - 1
+    return (rows.withColumn("_place", place).join(offsets, "_file")
+            .select((F.col("_off") + F.col("_place")).cast("bigint").alias(name), *columns))
 
 
 def read_split(spark: SparkSession, path: str, split: str,
                columns: Sequence[str] = ("context", "question")) -> DataFrame:
     """One split as (row_id, context, question, split) (A1 + E3 + G1)."""
-    return with_row_index(read_projected(spark, path, columns)).withColumn("split", F.lit(split))
+    return read_indexed(spark, path, columns).withColumn("split", F.lit(split))
 
 
 def read_splits(spark: SparkSession, paths: dict[str, str],
@@ -88,6 +90,16 @@ def write_splits(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         w.parquet(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A table as CSV with a header; line breaks and quotes survive (A1-A2 input)."""
+    df.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Stored predictions (A4) as written by :func:`write_predictions`."""
+    return spark.read.parquet(path)
+
+
 def write_predictions(df: DataFrame, path: str) -> None:
     """Generated rows, one folder per variant (A7); a distributed write."""
     df.write.mode("overwrite").partitionBy("variant").parquet(path)

@@ -6,52 +6,46 @@ exactly what a query uses.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table_path
-
-# A pair id packs (conv_id, turn of the question); turns stay below this.
-TURN_SPAN = 1_000_000
+from ..session import SCAN_PARTITIONS_CONF, table_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread an under-split scan over the cluster's cores.
-
-    Text work here is CPU-heavy per row. A scan split into fewer tasks than
-    the session has cores (a small table in one row group) is repartitioned
-    on its unique row key (no hot key possible); at scale the scan already
-    has many splits and this is a no-op. Filters and column pruning still
-    reach the scan (both are pushed below a repartition).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(2 * cores, *keys)
+def _text_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table whose rows are CPU-heavy text. The caller's session may ask
+    for a number of tasks (a file in one row group is one split); unset, as
+    on a cluster, the scan's own splits stand and nothing is shuffled."""
+    df = read_table(spark, sf_dir, name)
+    n = spark.conf.get(SCAN_PARTITIONS_CONF, None)
+    return df.repartition(int(n), *keys) if n else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents"), "doc_id")
+    return _text_table(spark, sf_dir, "documents", "doc_id")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "pages"), "page_id")
+    return _text_table(spark, sf_dir, "pages", "page_id")
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    return _text_table(spark, sf_dir, "conversations", "conv_id", "turn")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "labels")
 
 
-def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "benchmark")
+def turn_key(conv: str | Column, turn: str | Column) -> Column:
+    """The key (conversation, turn) as one text value, "conv:turn": any two
+    different pairs of integers give different values."""
+    return F.concat_ws(":", F.col(conv) if isinstance(conv, str) else conv,
+                       F.col(turn) if isinstance(turn, str) else turn)
 
 
 def question_context_pairs(conv: DataFrame) -> DataFrame:
@@ -66,8 +60,7 @@ def question_context_pairs(conv: DataFrame) -> DataFrame:
     a = (conv.filter(F.col("role") == "assistant")
          .select("conv_id", (F.col("turn") - 1).alias("q_turn"), F.col("text").alias("context")))
     return (q.join(a, ["conv_id", "q_turn"], "inner")
-            .select((F.col("conv_id") * TURN_SPAN + F.col("q_turn")).alias("pair_id"),
-                    "question", "context"))
+            .select(turn_key("conv_id", "q_turn").alias("pair_id"), "question", "context"))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

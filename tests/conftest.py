@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from quillpair.session import local_session
-    s = local_session("4", shuffle_partitions=4, app="quillpair-tests")
+    s = local_session("4", shuffle_partitions=4, app="quillpair-tests", scan_partitions=4,
+                      shared_dir=tempfile.mkdtemp(prefix="quillpair-tests-"))
     yield s
 
 

@@ -4,7 +4,7 @@ from quillpair.operators import ensemble as EN
 
 
 def _vocab(spark, rows):
-    return spark.createDataFrame(rows, "token string, id int")
+    return spark.createDataFrame(rows, "token string, id bigint")
 
 
 def test_add_token_absent_gets_next_id(spark):
@@ -22,43 +22,46 @@ def test_add_token_empty_vocab(spark):
     assert EN.add_token(_vocab(spark, []), "<sep>").collect() == [("<sep>", 0)]
 
 
+def _vv(spark, **tokens):
+    return spark.createDataFrame([(v, t) for v, ts in tokens.items() for t in ts], "variant string, token string")
+
+
 def test_ensemble_rules(spark):
-    vocab = _vocab(spark, [("a", 0), ("b", 1), ("c", 2)])
+    vv = _vv(spark, lead="abc", cloze="abc")
     cands = spark.createDataFrame([
         (1, "lead", "a x y"), (1, "cloze", "a b x"),      # fewer rare words wins
         (2, "lead", "a b c x"), (2, "cloze", "a x"),      # equal rare, shorter wins
         (3, "lead", "a x"), (3, "cloze", "b y"),          # full tie -> first variant
     ], "pair_id int, variant string, generated string")
     out = {r["pair_id"]: (r["generated"], r["chosen"])
-           for r in EN.ensemble(cands, vocab, {"lead": 0, "cloze": 1}).collect()}
+           for r in EN.ensemble(cands, vv, {"lead": 0, "cloze": 1}).collect()}
     assert out == {1: ("a b x", "cloze"), 2: ("a x", "cloze"), 3: ("a x", "lead")}
 
 
+def test_each_variant_has_its_own_vocabulary(spark):
+    cands = spark.createDataFrame([(1, "lead", "a b"), (1, "cloze", "a b")], "pair_id int, variant string, generated string")
+    got = {r.variant: r.rare_words for r in EN.rare_word_counts(cands, _vv(spark, lead="ab", cloze="a")).collect()}
+    assert got == {"lead": 0, "cloze": 1}
+
+
 def test_with_ensemble_matches_ensemble(spark):
-    vocab = _vocab(spark, [("a", 0), ("b", 1), ("c", 2)])
+    vv = _vv(spark, lead="abc", cloze="abc")
     cands = spark.createDataFrame([
         (1, "lead", "a x y", "q1"), (1, "cloze", "a b x", "q1"),
         (2, "lead", "a b c x", "q2"), (2, "cloze", "a x", "q2"),
         (3, "lead", "a x", "q3"), (3, "cloze", "b y", "q3"), (4, "lead", "", "q4"),
     ], "pair_id int, variant string, generated string, question string")
     prio = {"lead": 0, "cloze": 1}
-    both = EN.with_ensemble(cands, vocab, prio, carry=["question"])
-    picked = EN.ensemble(cands, vocab, prio, carry=["question"]).drop("chosen")
-    cols = ["pair_id", "question", "generated", "variant"]
+    both = EN.with_ensemble(cands, vv, prio)
+    picked = EN.ensemble(cands, vv, prio).drop("chosen")
+    cols = ["pair_id", "generated", "variant"]
     assert (sorted(both.filter("variant = 'combined'").select(cols).collect())
             == sorted(picked.select(cols).collect()))
     assert (sorted(both.filter("variant <> 'combined'").select(cols).collect())
             == sorted(cands.select(cols).collect()))
 
 
-def test_learn_vocab_same_with_spread_top_k(spark):
-    from quillpair.sources import tables as S
-    docs = S.documents(spark, "/root/testdata/sf0.001")
-    narrow = sorted(EN.learn_vocab(docs, "text", size=500).collect())
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "20000")  # > lanes: counts are spread
-        wide = sorted(EN.learn_vocab(docs, "text", size=500).collect())
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert len(narrow) == 503 and narrow == wide
+def test_vocabulary_is_whole_and_ordered(spark):
+    df = spark.createDataFrame([("b a c a",), ("a b </s>",), (None,)], "text string")
+    got = sorted((r.id, r.token) for r in EN.learn_vocab(df.repartition(3), "text").collect())
+    assert got == [(0, "<pad>"), (1, "</s>"), (2, "<unk>"), (3, "a"), (4, "b"), (5, "c")]

@@ -1,32 +1,45 @@
-"""TextRank: the row-local and the relational path give the same keywords."""
+"""TextRank on hand-made texts."""
+
+import pytest
 
 from quillpair.operators import keywords as KW
-from quillpair.sources import tables as S
 
-SF = "/root/testdata/sf0.001"
+SCHEMA = "id string, t string, word int"
+
+
+def _rank(edges, steps=20, d=0.85):
+    nodes = sorted({x for e in edges for x in e})
+    near = {x: [y for e in edges for y in e if x in e and y != x] for x in nodes}
+    r = {x: 1.0 for x in nodes}
+    for _ in range(steps):
+        r = {x: (1 - d) + d * sum(r[y] / len(near[y]) for y in near[x]) for x in nodes}
+    return r
 
 
-def _both(spark, fn, monkeypatch):
-    d = S.documents(spark, SF)
-    local = sorted(tuple(r) for r in fn(d).collect())
-    monkeypatch.setattr(KW, "LOCAL_MAX_CHARS", -1)  # every text takes the relational path
-    dist = sorted(tuple(r) for r in fn(d).collect())
-    return local, dist
+def test_scores_of_a_small_graph(spark):
+    df = spark.createDataFrame([("k", "Red fox red dog. The fox fox, hen", 0), ("empty", "", 0), ("null", None, 0)], SCHEMA)
+    got = {r.word: r.score for r in KW.textrank_scores(KW.textrank_edges(df, "id", "t"), "id").collect()}
+    assert got == pytest.approx(_rank([("red", "fox"), ("red", "dog"), ("fox", "hen")]))
 
 
-def test_top_words_paths_agree(spark, monkeypatch):
-    local, dist = _both(spark, lambda d: KW.textrank_top(d, "doc_id", "text"), monkeypatch)
-    assert local and local == dist
+def test_stems_join_word_forms(spark):
+    df = spark.createDataFrame([("k", "running dogs run dog", 0)], SCHEMA)
+    edges = {(r.src, r.dst) for r in KW.textrank_edges(df, "id", "t", stems=True).collect()}
+    assert edges == {("run", "dog"), ("dog", "run")}
+    (r,) = KW.keywords(df, "id", "t", ratio=0.5, stems=True).collect()
+    assert r.keywords == "dogs dog"  # of two equal stems the first by name; both its words are kept
 
 
-def test_keyword_strings_paths_agree(spark, monkeypatch):
-    local, dist = _both(spark, lambda d: KW.keywords(d, "doc_id", "text"), monkeypatch)
-    assert len(local) == S.documents(spark, SF).count() and local == dist
+def test_phrases_use_each_word_once(spark):
+    # all words kept: first places 0-2 are one phrase; cat stands alone; the text's last word is a repeat
+    df = spark.createDataFrame([("k", "big red dog the red cat big", 0), ("end", "one two", 0), ("none", "the of", 0)], SCHEMA)
+    got = {r.id: r.keywords for r in KW.keywords(df, "id", "t", ratio=1.0).collect()}
+    assert sorted(got["k"].split()) == ["big", "cat", "dog", "red"] and "big red dog" in got["k"]
+    assert got["end"] == "two"  # a phrase that reaches the end of the text gives its last word
+    assert got["none"] == ""
 
 
-def test_merge_phrases():
-    toks = ["big", "red", "dog", "the", "red", "cat", "big"]
-    scores = {"big": 1.0, "red": 2.0, "dog": 0.5, "cat": 3.0}
-    # "big red dog" closes at "the" and uses its words up; "cat" then meets
-    # the used "big" and stands alone; order is by mean score (3.0 > 1.17)
-    assert KW.merge_phrases(toks, scores) == ["cat", "big red dog"]
+def test_one_very_long_text(spark):
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q" for i in range(676)]
+    df = spark.createDataFrame([("k", " ".join(words * 30), 0)], SCHEMA)
+    assert KW.textrank_top(df, "id", "t", iterations=3).count() == int(0.2 * 676)

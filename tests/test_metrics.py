@@ -55,7 +55,7 @@ def greedy_meteor(h, r, alpha=0.9, beta=3.0, gamma=0.5):
 def _scored(spark, pairs):
     df = spark.createDataFrame([(i, h, r) for i, (h, r) in enumerate(pairs)],
                                "id bigint, generated string, question string")
-    return {r.id: r for r in M.score_rows(df).collect()}
+    return {r.id: r for r in M.score_rows(df, ["id"], stems=False).collect()}
 
 
 def test_meteor_matches_greedy_alignment(spark):
@@ -95,23 +95,54 @@ def test_bleu_smoothing_method4(spark):
 
 def test_bootstrap_is_seeded_and_brackets_mean(spark):
     df = spark.range(200).select(F.col("id"), (F.col("id") % 10).cast("double").alias("x"))
-    a = M.bootstrap_mean(df, "id", "x", replicates=200).collect()[0]
-    b = M.bootstrap_mean(df, "id", "x", replicates=200).collect()[0]
-    assert a == b
+    df = df.withColumn("g", F.lit("a")).unionByName(df.select("id", (F.col("x") + 1).alias("x"), F.lit("b").alias("g")))
+    first, again = ({r.g: r for r in M.bootstrap_mean(df, "id", "x", "g", replicates=200).collect()} for _ in range(2))
+    assert first == again
+    a, b = first["a"], first["b"]
     assert a.low < 4.5 < a.high and a.low <= a.mid <= a.high
+    assert b.mid == pytest.approx(a.mid + 1)  # groups share the resamples
 
 
 def test_bleu_smoothing_methods_0_and_1(spark):
     import sys
-    df = spark.createDataFrame([(["a", "b", "c"], ["c", "b", "a"])], "h array<string>, r array<string>")
-    m1 = M.bleu_columns(df, "h", "r", smoothing="method1").first()
+    df = spark.createDataFrame([(1, ["a", "b", "c"], ["c", "b", "a"])], "id int, h array<string>, r array<string>")
+    m1 = M.bleu_scores(df, ["id"], "h", "r", smoothing="method1").first()
     # unigrams all match; orders 2..4 have no match: 0.1 / (number of hypothesis n-grams)
     p = [1.0, 0.1 / 2, 0.1 / 1, 0.1 / 1]
     for n in range(1, 5):
         want = math.exp(sum(math.log(x) for x in p[:n]) / n)
         assert abs(getattr(m1, f"bleu{n}") - want) < 1e-12
-    m0 = M.bleu_columns(df, "h", "r", smoothing="method0").first()
+    m0 = M.bleu_scores(df, ["id"], "h", "r", smoothing="method0").first()
     assert m0.bleu1 == 1.0
     assert abs(m0.bleu2 - math.exp(math.log(sys.float_info.min) / 2)) < 1e-160
     with pytest.raises(ValueError):
-        M.bleu_columns(df, "h", "r", smoothing="method9")
+        M.bleu_scores(df, ["id"], "h", "r", smoothing="method9")
+
+
+def test_meteor_stem_and_synonym_stages(spark):
+    rows = [(1, "the cats run".split(), "a cat runs".split()), (2, ["big", "car"], ["large", "auto"]), (3, ["x"], ["y"])]
+    df = spark.createDataFrame(rows, "id int, h array<string>, r array<string>")
+    exact = {r.id: r.matches for r in M.meteor_scores(df, ["id"], "h", "r").collect()}
+    stems = {r.id: r for r in M.meteor_scores(df, ["id"], "h", "r", stems=True).collect()}
+    assert exact == {1: 0, 2: 0, 3: 0}
+    assert (stems[1].matches, stems[1].chunks, stems[2].matches) == (2, 1, 0)
+    sets = spark.createDataFrame([("big", "s1"), ("larg", "s1"), ("car", "s2"), ("auto", "s2"), ("auto", "s9")],
+                                 "word string, set_id string")
+    syn = {r.id: (r.matches, r.chunks) for r in M.meteor_scores(df, ["id"], "h", "r", True, sets).collect()}
+    assert syn == {1: (2, 1), 2: (2, 1), 3: (0, 0)}
+    with pytest.raises(ValueError):
+        M.meteor_scores(df, ["id"], "h", "r", synonyms=sets)
+
+
+def test_long_texts_are_linear(spark):
+    import time
+    took = []
+    for n in (2000, 8000):
+        words = [f"w{i % 700}" for i in range(n)]
+        df = spark.createDataFrame([(i, words[:5], words) for i in range(8)], "id int, h array<string>, r array<string>")
+        M.meteor_scores(df, ["id"], "h", "r").collect()
+        t = time.time()
+        got = M.meteor_scores(df, ["id"], "h", "r").collect()
+        took.append(time.time() - t)
+        assert all(r.matches == 5 for r in got)
+    assert took[1] < 10 * took[0] + 5

@@ -43,10 +43,14 @@ def test_na_tokens_then_dropna_keep_row_index_gaps(spark, tmp_path):
     assert kept.select("split").distinct().collect()[0][0] == "train"
 
 
-def test_row_index_is_file_order_over_many_partitions(spark):
-    df = spark.range(0, 1000, 1, 7).select(F.col("id").alias("v"))
-    out = C.with_row_index(df).collect()
-    assert sorted((r.row_id, r.v) for r in out) == [(i, i) for i in range(1000)]
+def test_row_index_is_file_order_over_files_of_any_size(spark, tmp_path):
+    rows = []
+    for name, n, width in (("a", 3, 1), ("b", 30, 500), ("c", 1, 1), ("d", 200, 50)):
+        lines = [f"{name}{i}{'x' * width},q{i}" for i in range(n)]
+        (tmp_path / f"{name}.csv").write_text("context,question\n" + "\n".join(lines) + "\n")
+        rows += [x.split(",")[0] for x in lines]
+    got = {r.row_id: r.context for r in C.read_indexed(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(rows))
 
 
 def test_sinks_round_trip(spark, tmp_path):
