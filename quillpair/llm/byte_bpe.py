@@ -32,7 +32,7 @@ PASS_CHARS = 1 << 20
 #: Steps of one column of the scan.
 STEPS = 128
 #: Slices kept per worker; when full, the store starts anew.
-KEEP = 1 << 19
+KEEP = 1 << 18
 #: From this many bytes on pairs are merged through a heap.
 LONG = 96
 
@@ -233,7 +233,7 @@ class ByteBpe:
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
         """The text's bytes: each token's bytes are put at its offset."""
-        size = self.size[ids]
+        size, offsets = self.size[ids], offsets.astype(np.int64)
         total = int(offsets[-1] + size[-1]) if len(ids) else 0
         out = np.empty(total, np.uint8)
         source = np.arange(total) + np.repeat(self.place[ids] - offsets, size)
@@ -256,7 +256,7 @@ def _passes(column: pa.Array) -> Iterator[list[str]]:
 
 
 def bpe_encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids, offsets): ids as little-endian 32-bit, offsets as little-endian 64-bit integers, in binary."""
+    """(doc_id, ids, offsets): ids as little-endian 32-bit integers, offsets in bytes alike, in binary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe.of(ranks)
         for batch in batches:
@@ -265,7 +265,7 @@ def bpe_encode(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text
                 ids = bpe.encode(docs)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(docs)), pa.array([x.tobytes() for x in ids], pa.binary()),
-                     pa.array([bpe.offsets(x).astype("<i8").tobytes() for x in ids], pa.binary())],
+                     pa.array([bpe.offsets(x).astype("<u4").tobytes() for x in ids], pa.binary())],
                     names=["doc_id", "ids", "offsets"])
                 at += len(docs)
     return texts(df, key, text).mapInArrow(run, "doc_id bigint, ids binary, offsets binary")
@@ -278,7 +278,7 @@ def bpe_decode(encoded: DataFrame, ranks: str) -> DataFrame:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                out = [bpe.decode(np.frombuffer(i.as_buffer(), "<u4"), np.frombuffer(o.as_buffer(), "<i8"))
+                out = [bpe.decode(np.frombuffer(i.as_buffer(), "<u4"), np.frombuffer(o.as_buffer(), "<u4"))
                        for i, o in zip(part.column(1), part.column(2))]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())],
                                                  names=["doc_id", "ids", "decoded"])
