@@ -143,7 +143,7 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
     total = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     most = max(width, total // (4 * parts))
     splits = cells.groupBy("cell").agg(F.ceil(F.sum("n") / F.lit(most)).cast("int").alias("splits"))
-    part = F.pmod(F.xxhash64("doc_id", "row"), F.col("splits")).cast("int").alias("part")
+    part = F.pmod(F.xxhash64("doc_id"), F.col("splits")).cast("int").alias("part")
     # At most 2**CELL_BITS + 4 * parts rows, so the window below and the broadcasts have a bound.
     ranges = (cells.join(F.broadcast(splits), "cell").groupBy("cell", "splits", part).agg(F.sum("n").alias("n")))
     before = Window.orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1)
