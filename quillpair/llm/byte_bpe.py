@@ -194,7 +194,7 @@ class ByteBpe:
     @classmethod
     def of(cls, path: str) -> "ByteBpe":
         """One per Python worker and path."""
-        return kept(("bpe", path), lambda: cls(path))
+        return kept(("bpe", path), lambda: cls(path), large=True)
 
     def _ids(self, pieces: list[bytes]) -> bytes:
         known = self.known

@@ -45,7 +45,7 @@ BAND_ROWS = 5
 SLOTS = BANDS * BAND_ROWS
 MIN_AGREE = 0.69
 #: Shingles in one block, about; a pair of blocks is compared at a time.
-BLOCK_SHINGLES = 300_000
+BLOCK_SHINGLES = 150_000
 #: Shingles signed at a time; bounds the permutation state.
 CHUNK = 100_000
 
@@ -114,8 +114,8 @@ def super_minhash(sets: list[np.ndarray]) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _SKETCH.split(", ")]
     for whole in batches:
-        for a in range(0, whole.num_rows, 1000):
-            batch = whole.slice(a, 1000)
+        for a in range(0, whole.num_rows, 500):
+            batch = whole.slice(a, 500)
             sets = [shingles(t.as_buffer().to_pybytes()) for t in batch.column(1)]
             full = [i for i, s in enumerate(sets) if len(s)]
             sig = super_minhash([sets[i] for i in full])

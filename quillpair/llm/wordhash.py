@@ -8,13 +8,13 @@ import xxhash
 from .worker import kept
 
 #: Words kept per worker; when full, the store starts anew. Bounds memory and changes no result.
-KEEP = 1 << 18
+KEEP = 1 << 17
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
     """Hashes of the words [^\\x20\\x09-\\x0D]+ of a text in UTF-8, A-Z lowered."""
     words = raw.lower().split()
-    known: dict[bytes, int] = kept("word-hashes", dict)
+    known: dict[bytes, int] = kept("word-hashes", dict, large=True)
     try:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     except KeyError:

@@ -15,7 +15,7 @@ import numpy as np
 from .worker import kept
 
 #: Words kept per worker; when full, the store starts anew. Bounds memory and changes no result.
-KEEP = 1 << 20
+KEEP = 800_000
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
@@ -36,7 +36,7 @@ class WordTokens:
     @classmethod
     def of(cls, path: str) -> "WordTokens":
         """One per Python worker and path."""
-        return kept(("word-tokens", path), lambda: cls(path))
+        return kept(("word-tokens", path), lambda: cls(path), large=True)
 
     def encode(self, raw: bytes) -> bytes:
         if b"<|" not in raw:  # special tokens are matched as they are written
