@@ -6,11 +6,11 @@
   word or number in between breaks adjacency).
 * Scores: PageRank with damping 0.85 in the original TextRank form
   ``r = (1 - d) + d * sum(r_j / deg_j)``, a fixed number of iterations.
-  Each iteration is one join of the (doc, source)-keyed edges with the ranks
-  and one aggregate on (doc, target), so one enormous text spreads over many
-  tasks. Nodes travel as 64-bit hashes; within a segment the edges are
-  shuffled once (their exchange is reused), and after each segment the ranks
-  are written to the shared folder, which cuts the lineage.
+  Each iteration is one join of the (doc, node)-keyed neighbour lists with the
+  ranks and one aggregate on (doc, neighbour), so one enormous text spreads
+  over many tasks. Nodes travel as 64-bit hashes; within a segment the lists
+  are shuffled once (their exchange is reused), and after each segment the
+  ranks are written to the shared folder, which cuts the lineage.
 * Selection: the top ``floor(ratio * nodes)`` words per document by score
   (rounded to 6 digits), ties by word.
 * Phrases: a kept word counts where it first stands in the text. First
@@ -79,16 +79,19 @@ def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
                     damping: float = R.TEXTRANK_DAMPING, segment: int = SEGMENT) -> DataFrame:
     """(id, word, score) after ``iterations`` PageRank steps from r = 1."""
     edges = materialise(edges, "textrank-edges")
-    hashed = edges.select(id_col, F.xxhash64("src").alias("s"), F.xxhash64("dst").alias("d"))
-    degree = hashed.groupBy(id_col, "s").agg((1.0 / F.count(F.lit(1))).alias("w"))
-    weighted = hashed.join(degree, [id_col, "s"])
+    # One row per node with its neighbours: a join per iteration meets nodes, not edges.
+    near = materialise(edges.groupBy(id_col, F.xxhash64("src").alias("s"))
+                       .agg(F.collect_list(F.xxhash64("dst")).alias("ds")), "textrank-nodes")
     step = ((1 - damping) + damping * F.sum("c")).alias("r")
-    ranks = weighted.select(id_col, F.col("d").alias("s"), F.col("w").alias("c")).groupBy(id_col, "s").agg(step)
+
+    def spread(nodes: DataFrame, rank: Column) -> DataFrame:
+        share = nodes.select(id_col, F.explode("ds").alias("s"), (rank / F.size("ds")).alias("c"))
+        return share.groupBy(id_col, "s").agg(step)
+
+    ranks = spread(near, F.lit(1.0))
     for t in range(2, iterations + 1):
-        # weighted is the same subplan each time: its exchanges are reused within a segment
-        ranks = (weighted.join(ranks, [id_col, "s"])
-                 .select(id_col, F.col("d").alias("s"), (F.col("w") * F.col("r")).alias("c"))
-                 .groupBy(id_col, "s").agg(step))
+        # near is the same subplan each time: its exchange is reused within a segment
+        ranks = spread(near.join(ranks, [id_col, "s"]), F.col("r"))
         if t % segment == 0:
             ranks = materialise(ranks, "textrank-ranks")
     words = edges.select(id_col, F.col("src").alias("word"), F.xxhash64("src").alias("s")).distinct()
