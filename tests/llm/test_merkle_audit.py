@@ -10,7 +10,7 @@ SCHEMA = "page_id long, url string, html string, idx int, file string"
 
 def _pages():
     r = random.Random(7)
-    rows = [(i, f"http://h/{i}", "é" * r.randrange(200), 0, "f") for i in range(0, 20_000, 3)]
+    rows = [(i, f"http://h/{i}", "é" * r.randrange(200), 0, "f") for i in range(0, 9_000, 3)]
     return rows + [(None, None, None, 0, "f"), (-5, "u", "neg", 0, "f"), (3, "again", "copy", 0, "f"), (9, "big", "z" * 500_000, 0, "f")]
 
 
