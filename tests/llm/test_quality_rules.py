@@ -46,6 +46,29 @@ def test_against_brute_force(spark):
     assert got[4].kept and not got[6].kept and not got[7].kept and not got[9].kept
 
 
+def _noise(r, alphabet, size):
+    words = []
+    while sum(map(len, words)) + len(words) < size:
+        words.append("".join(r.choice(alphabet) for _ in range(r.randint(3, 8))))
+    return " ".join(words)[:size]
+
+
+def test_planted_noise(spark):
+    r = random.Random(11)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    base64 = lower + lower.upper() + digits + "+/"
+    sizes = {lower: (2_100, 3_500, 5_000, 12_000, 40_000), lower + digits: (1_600, 2_500, 5_000, 12_000, 40_000),
+             base64: (340, 400, 600, 900, 1_500, 3_000, 9_000, 40_000), digits + "abcdef": (8_500, 12_000, 40_000)}
+    noise = [_noise(r, alphabet, n) for alphabet, ns in sizes.items() for n in ns]
+    got = Q.quality_rules(spark.createDataFrame(list(enumerate(noise)), "doc_id long, text string")).collect()
+    assert [(r.doc_id, len(noise[r.doc_id])) for r in got if r.base_failed or r.kept] == []
+
+
+def test_given_prose_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert Q.quality_rules(docs).filter("NOT base_failed AND NOT kept").count() == 0
+
+
 def test_many_distinct_words():
     words = [b"%d" % i for i in range(5000)]
     assert Q.repeat_words(words) == 0
