@@ -10,7 +10,8 @@
    element belongs to the template if its token is in a valid class and its parent belongs to it.
 3. On each page the elements of the template delimit slots; text blocks that are themselves template (the same notice
    on every page) are dropped. Slots in menus, headers, footers, sidebars, notices, adverts, forms and comments, told
-   by element, role, id or class, are dropped as well. If the page marks articles, the slots in them are the main
+   by element, role, id or class, are dropped as well, but never by a name or form that wraps the page's articles or
+   most of its text. If the page marks articles, the slots in them are the main
    text, in full; else all slots that are left.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by "\\n" in page order.
@@ -50,6 +51,8 @@ _CLOSES_P = _BLOCK - {"html", "head", "body"}
 _MAIN = {"article", "main"}
 _DROP_TAG = set("head script style noscript template nav header footer aside form menu dialog search button select "
                 "textarea title iframe object svg canvas audio video xmp noembed noframes".split())
+#: A tag that may also wrap a whole page.
+_WRAPS = {"form"}
 _DROP_ROLE = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar "
                  "toolbar status tooltip".split())
 #: Words of ids and classes ("top-menu", "menu_2") that name what is not main text.
@@ -59,6 +62,8 @@ _DROP_WORD = set("ad ads adv advert adverts advertisement advertising banner bre
 #: Whole ids and classes; as parts of longer names they may stand in an article.
 _DROP_NAME = set("alert aside footer form header login masthead modal nav navigation notification pager pagination "
                  "related replies search share sharing site-footer site-header skip-link social toolbar widget".split())
+#: Words that make a name tell a state of what it stands on ("has-sidebar", "comments-open") and not what it is.
+_STATE = set("has have no not non with without open opened closed enabled disabled free".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 _STATS = "host string, token bigint, text boolean, pages bigint, total bigint, vector bigint"
@@ -69,26 +74,75 @@ def _hash(x: str) -> int:
 
 
 class Element:
-    __slots__ = ("name", "token", "parent", "dropped", "main")
+    """`hard`: dropped by tag, role or being hidden; `weak`: the nearest element that a name or a form would drop.
+    A weak element counts the text (`size`) and articles (`mains`) below it; `part`: only a part of a name tells."""
 
-    def __init__(self, name: str, attrs: str, parent: "Element | None"):
+    __slots__ = ("name", "token", "parent", "dropped", "main", "hard", "weak", "part", "marked", "size", "mains")
+
+    def __init__(self, name: str, attrs: str, parent: "Element | None", spared: bool):
         self.name, self.parent = name, parent
         found = {}
         for key, value, bare in _ATTR.findall(attrs) if attrs else ():
             found.setdefault((key or bare).lower(), html.unescape(value.strip("\"'")))
         names = (found.get("id", "") + " " + found.get("class", "")).lower().split()
-        words = {w for n in names for w in re.split(r"[-_]+", n)}
-        drop = (name in _DROP_TAG or found.get("role", "").lower() in _DROP_ROLE or not words.isdisjoint(_DROP_WORD)
-                or not _DROP_NAME.isdisjoint(names) or "hidden" in found or _HIDDEN.search(found.get("style", "")))
-        self.dropped = bool(drop) and name not in ("html", "body") or (parent is not None and parent.dropped)
-        self.main = not self.dropped and (
-            name in _MAIN or found.get("role", "").lower() in _MAIN or (parent is not None and parent.main))
+        role = found.get("role", "").lower()
+        root = name in ("html", "body")
+        self.hard = parent is not None and parent.hard or not root and bool(
+            name in _DROP_TAG and name not in _WRAPS or role in _DROP_ROLE or "hidden" in found
+            or _HIDDEN.search(found.get("style", "")))
+        whole = name in _WRAPS or not _DROP_NAME.isdisjoint(names) or not _DROP_WORD.isdisjoint(names)
+        self.part = not whole and any(
+            not _DROP_WORD.isdisjoint(w) and _STATE.isdisjoint(w) for w in (re.split(r"[-_]+", n) for n in names))
+        self.weak = parent.weak if parent is not None else None
+        self.size = self.mains = 0
+        if (whole or self.part) and not root and not self.hard:
+            self.weak = self
+        self.marked = not self.hard and (name in _MAIN or role in _MAIN)  # and below, while no hard element comes between
+        if self.marked and self.weak is not None:
+            self.weak.mains += 1
+        self.dropped = self.hard or self.weak is self and not spared or (parent is not None and parent.dropped)
+        self.main = not self.dropped and (self.marked or (parent is not None and parent.main))
         self.token = _hash(f"{parent.token if parent else 0}>{name}.{'.'.join(sorted(set(names)))}")
 
+    def in_main(self) -> bool:
+        e = self.parent
+        while e is not None and not e.marked:
+            e = e.parent
+        return e is not None
+
 
 def parse(page: str) -> tuple[list[Element], list[tuple[Element | None, str]]]:
-    """Containers of a page in order, and its text blocks outside dropped containers, each with its container."""
+    """Containers of a page in order, and its text blocks outside dropped containers, each with its container.
+
+    Names alone never drop what a page is about. An element named by a part of a name stays if it is an article or
+    main element, or holds most of the page's text; any element that its name or form tag would drop stays if it holds
+    the page's articles, or most of its text, and no article text is left without it.
+    """
+    elements, blocks, weak = _parse(page, frozenset())
+    if not weak:
+        return elements, blocks
+    clean = sum(len(t) for e, t in blocks if e is not None and e.main)
+    total = sum(len(t) for _, t in blocks)
+    for e in reversed(weak):
+        above = e.parent.weak if e.parent is not None else None
+        if above is None:
+            total += e.size
+        else:
+            above.size += e.size
+            above.mains += e.mains
+    spared = frozenset(i for i, e in enumerate(weak) if _spared(e, clean, total))
+    return _parse(page, spared)[:2] if spared else (elements, blocks)
+
+
+def _spared(e: Element, clean: int, total: int) -> bool:
+    big = 2 * e.size > total
+    return e.part and (big or e.marked) or not clean and (big or e.mains > 0 and not e.in_main())
+
+
+def _parse(page: str, spared: frozenset[int]) -> tuple[list, list, list[Element]]:
+    """Containers, text blocks, and the elements that names or forms would drop, of which `spared` (by place) stay."""
     elements: list[Element] = []
+    weak: list[Element] = []
     blocks: list[tuple[Element | None, str]] = []
     stack: list[Element] = []
     held: list[str] = []
@@ -106,8 +160,12 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element | None, str]]]:
             pass
 
     def text(a: int, b: int) -> None:
-        if a < b and raw is None and not (stack and stack[-1].dropped):
-            held.append(page[a:b])
+        if a < b and raw is None:
+            e = stack[-1] if stack else None
+            if e is None or not e.dropped:
+                held.append(page[a:b])
+            if e is not None and e.weak is not None and not e.hard:
+                e.weak.size += len(page[a:b].strip())
 
     for m in _TAG.finditer(page):
         if m.start() < at:
@@ -154,8 +212,10 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element | None, str]]]:
                 if inner == "tr":
                     pop("tr")
         closed_at_once = m[3].rstrip().endswith("/") and name in ("svg", "iframe", "object", "canvas")
-        e = Element(name, m[3], stack[-1] if stack else None)
-        if (block or e.dropped and not (stack and stack[-1].dropped) or name in _RAW) and not closed_at_once:
+        e = Element(name, m[3], stack[-1] if stack else None, len(weak) in spared)
+        if e.weak is e:
+            weak.append(e)
+        if (block or e.weak is e or e.dropped and not (stack and stack[-1].dropped) or name in _RAW) and not closed_at_once:
             stack.append(e)  # other inline elements are no containers: they need not be closed
             if block:
                 elements.append(e)
@@ -163,7 +223,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[Element | None, str]]]:
             raw = name
     text(at, len(page))
     flush()
-    return elements, blocks
+    return elements, blocks, weak
 
 
 def _page_tokens(page: str) -> dict[tuple[int, bool], int]:

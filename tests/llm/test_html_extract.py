@@ -22,6 +22,17 @@ def test_one_page():
     assert H.main_text("<article></article><p>x</p>", set()) == ""
 
 
+def test_names_do_not_drop_what_a_page_is_about():
+    for page in ('<div class="content has-sidebar"><p>A</p></div>', '<main class="no-sidebar"><p>A</p></main>',
+                 '<article class="post comments-open"><p>A</p></article>',
+                 '<form><div><article><p>A</p></article><nav>n</nav></div></form>',
+                 '<form><p>A</p><div class="menu"></div></form>', '<div class="sidebar"><article>A</article></div>',
+                 '<div class="page-sidebar-left"><main><p>A</p></main><div class="sidebar">S</div></div>',
+                 '<article><div class="ad-supported"><p>A</p></div><div class="ad"></div></article>',
+                 '<article><p>A</p></article><div id="comments"><article>Says more than the article</article></div>'):
+        assert H.main_text(page, set()) == "A", page
+
+
 def _run(spark, rows):
     df = spark.createDataFrame([(i, u, h, "x", 1) for i, (u, h) in enumerate(rows)],
                                "page_id long, url string, html string, host string, row int")
