@@ -1,18 +1,20 @@
 """Main text of web pages by equivalence-class template deduction.
 
-1. A page's tokens are its container elements, each named by its path of tags, ids and classes, and those text blocks
-   that stand outside every article. A token's occurrence vector says how often it stands on each page of a host.
-   Pages are not brought together for it: a vector is known by the number of its pages, its total and the exclusive
-   or of a hash of (page, count), which partial aggregates build in any order. A host with a third of all pages thus
-   sends one row per token and task.
+1. A page's tokens are its container elements, each named by its path of tags, ids and classes, and its text blocks
+   (in articles only those that fill every element of their path on the page). A token's occurrence vector says how
+   often it stands on each page of a host. Pages are not brought together for it: a vector is known by the number of
+   its pages, its total and the exclusive or of a hash of (page, count), which partial aggregates build in any order.
+   A host with a third of all pages thus sends one row per token, layout and task.
 2. Tokens of one host with equal vectors form an equivalence class. A class is valid if it has at least two tokens
-   and stands on at least half of the host's pages (for text: on three or more). Classes nest by their paths: an
-   element belongs to the template if its token is in a valid class and its parent belongs to it.
-3. On each page the elements of the template delimit slots; text blocks that are themselves template (the same notice
-   on every page) are dropped. Slots in menus, headers, footers, sidebars, notices, adverts, forms and comments, told
-   by element, role, id or class, are dropped as well, but never by a name or form that wraps the page's articles or
-   most of its text. If the page marks articles, the slots in them are the main
-   text, in full; else all slots that are left.
+   and stands on at least half of the pages of the host or of one layout (for text: on three or more). A layout is the
+   pages of a host, five or more, with one language and one set of elements at the top of the body. Classes nest by
+   their paths: an element belongs to the template if its token is in a valid class and its parent belongs to it.
+3. On each page, marked or not, the innermost element of the template around a block is its slot. A slot whose text is
+   template (the same notice on every page) is dropped; in articles only if the text is in the class of its element
+   and other text of the articles varies, and never a part of a slot. Slots in menus, headers, footers, sidebars,
+   notices, adverts, forms and comments, told by element, role, id or class, are dropped as well, but never by a name
+   or form that wraps the page's articles or most of its text. Of the slots that are left, those in articles, if the
+   page marks any, are the main text; else all are.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by "\\n" in page order.
 Null html gives an empty text; a null URL or one without "://" belongs to the host "". Pages with equal ids count as
@@ -37,6 +39,7 @@ from .url_filters import split_url
 #: Host tokens a task holds before it sends its partial counts.
 HELD_TOKENS = 200_000
 MIN_TEXT_PAGES = 3
+MIN_LAYOUT_PAGES = 5
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
@@ -66,7 +69,9 @@ _DROP_NAME = set("alert aside footer form header login masthead modal nav naviga
 _STATE = set("has have no not non with without open opened closed enabled disabled free".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
-_STATS = "host string, token bigint, text boolean, pages bigint, total bigint, vector bigint"
+_STATS = ("host string, layout bigint, token bigint, text boolean, within bigint, pages bigint, total bigint, "
+          "vector bigint")
+_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([\w-]+)""", re.I)
 
 
 def _hash(x: str) -> int:
@@ -226,33 +231,42 @@ def _parse(page: str, spared: frozenset[int]) -> tuple[list, list, list[Element]
     return elements, blocks, weak
 
 
-def _page_tokens(page: str) -> dict[tuple[int, bool], int]:
-    """Occurrences of each token: (hash, whether it is text)."""
-    out: dict[tuple[int, bool], int] = {}
+def _page_tokens(page: str) -> tuple[int, dict[tuple[int, bool, int], int]]:
+    """Layout, and occurrences of each token: (hash, whether it is text, for text in articles its element's token)."""
+    out: dict[tuple[int, bool, int], int] = {}
     elements, blocks = parse(page)
+    top = set()
     for e in elements:
-        out[e.token, False] = out.get((e.token, False), 0) + 1
+        out[e.token, False, 0] = out.get((e.token, False, 0), 0) + 1
+        if e.parent is None or e.parent.name in ("html", "body"):
+            top.add(e.token)
+    marked: dict[tuple[int, bool, int], int] = {}
     for e, t in blocks:
-        if e is None or not e.main:
-            k = (_hash(f"{e.token if e else 0}:{t}"), True)
-            out[k] = out.get(k, 0) + 1
-    return out
+        inside = e is not None and e.main
+        k = (_hash(f"{e.token if e else 0}:{t}"), True, e.token if inside else 0)
+        part = marked if inside else out
+        part[k] = part.get(k, 0) + 1
+    # A text block with fewer places than its element can't be in the element's class.
+    out.update((k, n) for k, n in marked.items() if n == out.get((k[2], False, 0)))
+    lang = _LANG.search(page)
+    return _hash(f"{lang[1].lower() if lang else ''} {sorted(top)}"), out
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, int, bool], list[int]] = {}
+    held: dict[tuple[str, int, int, bool, int], list[int]] = {}
 
     def send() -> pa.RecordBatch:
         keys, values = list(zip(*held)), list(zip(*held.values()))
-        types = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
+        types = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4)
         cols = [pa.array(c, t) for c, t in zip([*keys, *values], types)]
         held.clear()
         return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _STATS.split(", ")])
 
     for batch in batches:
         for host, page, row in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "row"))):
-            for (token, is_text), n in [*_page_tokens(page).items(), ((0, False), 1)]:
-                x = held.setdefault((host, token, is_text), [0, 0, 0])
+            layout, tokens = _page_tokens(page)
+            for (token, is_text, within), n in [*tokens.items(), ((0, False, 0), 1)]:
+                x = held.setdefault((host, layout, token, is_text, within), [0, 0, 0])
                 x[0] += 1
                 x[1] += n
                 x[2] ^= _hash(f"{row},{n}")
@@ -264,14 +278,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(rows: DataFrame) -> DataFrame:
     """(host, tokens): tokens of the host's valid equivalence classes; rows have (row, host, html)."""
-    stats = written(rows.mapInArrow(_count, _STATS).groupBy("host", "token", "text").agg(
-        F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.expr("bit_xor(vector)").alias("vector"))
-        .filter(f"token = 0 OR pages >= IF(text, {MIN_TEXT_PAGES}, 1)"), "html-tokens")
-    hosts = stats.filter("token = 0 AND NOT text").select("host", F.col("pages").alias("host_pages"))
-    frequent = stats.filter("token <> 0").join(hosts, "host").filter("2 * pages >= host_pages")
+    key = ["host", "token", "text", "within"]
+    sums = (F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.expr("bit_xor(vector)").alias("vector"))
+    parts = written(rows.mapInArrow(_count, _STATS).groupBy(*key, "layout").agg(*sums), "html-tokens")
+    layouts = (parts.filter("token = 0 AND NOT text").filter(F.col("pages") >= MIN_LAYOUT_PAGES)
+               .select("host", "layout", F.col("pages").alias("layout_pages")))
+    in_layout = (parts.filter(f"token <> 0 AND 2 * pages >= {MIN_LAYOUT_PAGES}").join(layouts, ["host", "layout"])
+                 .filter("2 * pages >= layout_pages").select(*key).distinct().withColumn("of_layout", F.lit(True)))
+    stats = parts.groupBy(*key).agg(*sums).filter(f"token = 0 OR pages >= IF(text, {MIN_TEXT_PAGES}, 1)")
+    hosts = (parts.filter("token = 0 AND NOT text").groupBy("host").agg(F.sum("pages").alias("host_pages")))
+    frequent = (stats.filter("token <> 0").join(hosts, "host").join(in_layout, key, "left")
+                .filter("2 * pages >= host_pages OR of_layout"))
     vector = ["host", "pages", "total", "vector"]
     valid = frequent.groupBy(*vector).agg(F.count("*").alias("size")).filter("size >= 2").drop("size")
-    return frequent.join(valid, vector).groupBy("host").agg(F.collect_set("token").alias("tokens"))
+    chosen = written(frequent.join(valid, vector).select(*key, *vector[1:]), "html-classes")
+    own = chosen.filter("NOT text").select(F.col("token").alias("within"), *vector)
+    kept = (chosen.filter("within = 0").select("host", "token")
+            .union(chosen.filter("within <> 0").join(own, ["within", *vector], "left_semi").select("host", "token")))
+    return kept.groupBy("host").agg(F.collect_set("token").alias("tokens"))
 
 
 def main_text(page: str, tokens: set[int]) -> str:
@@ -284,14 +308,17 @@ def main_text(page: str, tokens: set[int]) -> str:
             up = up.parent  # an inline element is no token
         template[id(e)] = e.token in tokens and (up is None or template[id(up)])
     articles = any(e.main for e in elements)
-    out = []
+    found: list[tuple[int, str, bool]] = []
     for e, t in blocks:
-        if articles:
-            if e is not None and e.main:
-                out.append(t)
-        elif _hash(f"{e.token if e else 0}:{t}") not in tokens or not (e is None or template.get(id(e), False)):
-            out.append(t)
-    return "\n".join(out)
+        if not articles or e is not None and e.main:
+            slot = e
+            while slot is not None and not template.get(id(slot), False):
+                slot = slot.parent
+            found.append((id(slot), t, slot is e and _hash(f"{e.token if e else 0}:{t}") in tokens))
+    if articles:  # slots are kept whole, and articles in which no text varies too
+        varies = {slot for slot, _, fixed in found if not fixed}
+        return "\n".join(t for slot, t, _ in found if slot in varies or not varies)
+    return "\n".join(t for _, t, fixed in found if not fixed)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

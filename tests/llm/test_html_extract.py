@@ -59,6 +59,27 @@ def test_shared_passages_of_articles_stay(spark):
     assert all("Shared by all." in t for _, t, _ in _run(spark, rows).values())
 
 
+def test_template_decides_in_articles(spark):
+    page = ("<nav>n</nav><article><h1>%s</h1><div class=x1>Tell your friends</div><p>Own %d</p>%s"
+            "<div class=x2>Rate this</div></article>")
+    rows = [(f"http://a/{i}", page % (f"Title {i}", i, "<p>More</p>" * (i % 3))) for i in range(12)]
+    rows += [(f"http://copies/{i}", page % ("Same", 1, "")) for i in range(6)]  # nothing varies: kept whole
+    rows += [(f"http://b/{i}", page % ("Same" if i < 9 else f"T {i}", i, "")) for i in range(12)]
+    out = _run(spark, rows)
+    for i in range(12):
+        assert out[i][1] == "\n".join([f"Title {i}", f"Own {i}"] + ["More"] * (i % 3))
+        assert out[18 + i][1] == ("Same" if i < 9 else f"T {i}") + f"\nOwn {i}"
+    assert all(out[i][1] == "Same\nTell your friends\nOwn 1\nRate this" for i in range(12, 18))
+
+
+def test_layouts_below_half_of_a_host(spark):
+    page = "<html lang=%s><body><div class=top>%s</div><div class=%s><p>Own %d</p>%s</div><div class=low>%s</div></body></html>"
+    rows = [("http://big/%s%d" % (lang, i), page % (lang, f"Always {lang}", lang, i, "<p>x</p>" * (i % 2), f"Low {lang}"))
+            for lang in ("de", "en", "fr", "es") for i in range(8)]
+    out = _run(spark, rows)
+    assert all(t == "\n".join([f"Own {k % 8}"] + ["x"] * (k % 2)) for k, (_, t, _) in out.items())
+
+
 def test_equal_vectors_make_a_class(spark):
     from quillpair.llm.html_extract import templates
     page = "<div class=a><p class=x%d>t</p></div><div class=c></div>" + "<div class=b></div>"
