@@ -1,7 +1,8 @@
 """Elias-Fano coded monotone sequences over NumPy arrays that may be memory-mapped.
 
 A value's low bits are packed; its high part h is coded by a one at place i + h of a bit vector (i: its index). A
-directory counts the ones before each 64-bit word of that vector. All queries are vectorised over many arguments.
+directory counts the ones before each 64-bit word of that vector, a second one the zeros, for sequences in which values
+are sought. All queries are vectorised over many arguments.
 """
 
 from __future__ import annotations
@@ -17,26 +18,32 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
+#: Place of the r-th one of a byte, at 8 * byte + r.
+_IN_BYTE = np.array([([p for p in range(8) if b >> p & 1] + [0] * 8)[:8] for b in range(256)], np.int64).ravel()
+_BYTES, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+
+
 def _in_word(word: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Place of the r-th (from 0) one in each 64-bit word."""
-    place = np.zeros(len(word), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        ones = _popcount(word & _U((1 << width) - 1))
-        right = r >= ones
-        r = r - np.where(right, ones, 0)
-        word = np.where(right, word >> _U(width), word)
-        place += np.where(right, width, 0)
-    return place
+    """Place of the r-th (from 0) one in each 64-bit word, which has it: by its byte, then by table."""
+    r = r.astype(_U)
+    sums = word - ((word >> _U(1)) & _U(0x5555555555555555))
+    sums = (sums & _U(0x3333333333333333)) + ((sums >> _U(2)) & _U(0x3333333333333333))
+    sums = ((sums + (sums >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _BYTES  # each byte: ones up to its end
+    at = np.bitwise_count(((r * _BYTES | _TOPS) - sums) & _TOPS).astype(_U) << _U(3)
+    at &= _U(63)
+    left = r - (((sums << _U(8)) >> at) & _U(255))
+    return at.astype(np.int64) + _IN_BYTE[((((word >> at) & _U(255)) << _U(3)) | left & _U(7)).astype(np.int64)]
 
 
 class EliasFano:
     """Non-decreasing uint64 values below `bound`."""
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
-        self.n, self.low_bits, self.low, self.high, self.ones = n, low_bits, low, high, ones
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
+        self.n, self.low_bits, self.low, self.high, self.ones, self.zeros = n, low_bits, low, high, ones, zeros
 
     @classmethod
-    def of(cls, values: np.ndarray, bound: int) -> "EliasFano":
+    def of(cls, values: np.ndarray, bound: int, sought: bool = True) -> "EliasFano":
+        """Without `sought` the sequence has get() only."""
         v = np.asarray(values, _U)
         n = len(v)
         k = max(0, min(63, (bound // max(n, 1)).bit_length() - 1))
@@ -47,28 +54,25 @@ class EliasFano:
         vector[places] = 1
         high = _words(np.packbits(vector, bitorder="little"), 1)
         ones = np.concatenate([[0], np.cumsum(_popcount(high))])
-        return cls(n, k, low, high, ones.astype("<u4") if n < 1 << 32 else ones.astype("<u8"))
+        zeros = 64 * np.arange(len(high) if sought else 0) - ones[:len(high) if sought else 0]
+        return cls(n, k, low, high, ones.astype("<u4" if n < 1 << 32 else "<u8"),
+                   zeros.astype("<u4" if 64 * len(high) < 1 << 32 else "<u8"))
 
     def arrays(self) -> list[np.ndarray]:
-        return [np.array([self.n, self.low_bits], "<i8"), self.low, self.high, self.ones]
+        return [np.array([self.n, self.low_bits], "<i8"), self.low, self.high, self.ones, self.zeros]
 
     @classmethod
-    def from_arrays(cls, head, low, high, ones) -> "EliasFano":
-        return cls(int(head[0]), int(head[1]), low, high, ones)
+    def from_arrays(cls, head, low, high, ones, zeros) -> "EliasFano":
+        return cls(int(head[0]), int(head[1]), low, high, ones, zeros)
 
     def _select1(self, i: np.ndarray) -> np.ndarray:
         w = np.searchsorted(self.ones, i.astype(self.ones.dtype), "right") - 1
         return w * 64 + _in_word(self.high[w], i - self.ones[w].astype(np.int64))
 
     def _select0(self, i: np.ndarray) -> np.ndarray:
-        """Place of the i-th (from 0) zero; binary search on the directory, whose zeros are 64 w - ones[w]."""
-        lo, hi = np.zeros(len(i), np.int64), np.full(len(i), len(self.high) - 1, np.int64)
-        for _ in range(int(len(self.high)).bit_length()):
-            mid = (lo + hi + 1) // 2
-            right = mid * 64 - self.ones[mid].astype(np.int64) <= i
-            lo, hi = np.where(right, mid, lo), np.where(right, hi, mid - 1)
-        zeros = lo * 64 - self.ones[lo].astype(np.int64)
-        return lo * 64 + _in_word(~self.high[lo], i - zeros)
+        """Place of the i-th (from 0) zero."""
+        w = np.searchsorted(self.zeros, i.astype(self.zeros.dtype), "right") - 1
+        return w * 64 + _in_word(~self.high[w], i - self.zeros[w].astype(np.int64))
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         k = self.low_bits

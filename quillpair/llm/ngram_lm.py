@@ -37,10 +37,12 @@ from .elias_fano import EliasFano, map_arrays, pack_arrays
 from .wordhash import mix64, word_hashes
 from .worker import kept
 
-ORDER = 2
+ORDER = 3
 DISCOUNT = 0.75
-#: Tokens counted, or scored, at a time.
+#: Tokens scored at a time.
 BLOCK_TOKENS = 1 << 20
+#: Tokens counted at a time: larger lists repeat fewer n-grams and take fewer bits a key.
+COUNT_TOKENS = 1 << 22
 #: log10 of relative frequencies is stored in steps of 1 / QUANTA, from 0 down to -255 / QUANTA.
 QUANTA = 32
 
@@ -60,7 +62,7 @@ def _keys(tokens: np.ndarray, held: np.ndarray, level: int) -> np.ndarray:
     return (context & _U(0xFFFFFFFF00000000)) | (mix64(tokens[held]) >> _U(32))
 
 
-def _runs(docs: Iterator[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _runs(docs: Iterator[bytes], order: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(tokens with begin marks, places of the scored tokens, scored tokens per text) of chunks of texts."""
     begin = np.full(order - 1, BEGIN, _U)
     parts, sizes, n = [], [], 0
@@ -69,7 +71,7 @@ def _runs(docs: Iterator[bytes], order: int) -> Iterator[tuple[np.ndarray, np.nd
         parts += [begin, words, np.array([END], _U)]
         sizes.append(len(words) + 1)
         n += len(words) + 1
-        if n >= BLOCK_TOKENS:
+        if n >= most:
             yield _run(parts, sizes, order)
             parts, sizes, n = [], [], 0
     if sizes:
@@ -98,16 +100,15 @@ def _unpack_counts(raw: bytes, n: int) -> np.ndarray:
 def _count(order: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs = (t.as_buffer().to_pybytes() for b in batches for t in b.column(1))
-        for tokens, held, _ in _runs(docs, order):
-            rows: list[tuple] = []
+        for tokens, held, _ in _runs(docs, order, COUNT_TOKENS):
             for level in range(1, order + 1):
                 keys, counts = np.unique(_keys(tokens, held, level), return_counts=True)
                 cuts = np.searchsorted(_shard_of(keys, shards), np.arange(shards + 1))
-                rows += [(level, s, rice_encode(keys[a:b]), _pack_counts(counts[a:b]))
-                         for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-                names=["level", "shard", "keys", "counts"])
+                rows = [(level, s, rice_encode(keys[a:b]), _pack_counts(counts[a:b]))
+                        for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
+                    names=["level", "shard", "keys", "counts"])
     return run
 
 
@@ -123,7 +124,7 @@ def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _totals(counts: np.ndarray) -> EliasFano:
     sums = np.concatenate([[0], np.cumsum(counts)])
-    return EliasFano.of(sums, int(sums[-1]) + 1)
+    return EliasFano.of(sums, int(sums[-1]) + 1, sought=False)
 
 
 def level_arrays(level: int, keys: np.ndarray, counts: np.ndarray, discount: float) -> list[np.ndarray]:
@@ -139,7 +140,8 @@ def level_arrays(level: int, keys: np.ndarray, counts: np.ndarray, discount: flo
     quantised = np.clip(np.rint(-frequency * QUANTA), 0, 255).astype(np.uint8)
     successors = (number << _U(32)) | (keys & _U(0xFFFFFFFF))
     return (EliasFano.of(context[starts], 1 << 32).arrays()
-            + EliasFano.of(np.append(starts, len(keys)), len(keys) + 1).arrays() + _totals(total).arrays()
+            + EliasFano.of(np.append(starts, len(keys)), len(keys) + 1, sought=False).arrays()
+            + _totals(total).arrays()
             + EliasFano.of(successors, len(starts) << 32).arrays() + [quantised])
 
 
@@ -190,7 +192,7 @@ class Level:
 
     def __init__(self, level: int, buffer: np.ndarray):
         a = map_arrays(buffer)
-        ef = [EliasFano.from_arrays(*a[i:i + 4]) for i in range(0, len(a) // 4 * 4, 4)]
+        ef = [EliasFano.from_arrays(*a[i:i + 5]) for i in range(0, len(a) // 5 * 5, 5)]
         if level == 1:
             self.words, self.totals = ef
         else:
@@ -284,7 +286,8 @@ def score(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -
         trie = Trie(levels, model["order"], model["shards"], model["tokens"], model["vocabulary"], model["discount"])
         for batch in batches:
             at = 0
-            for tokens, held, size in _runs((t.as_buffer().to_pybytes() for t in batch.column(1)), model["order"]):
+            for tokens, held, size in _runs((t.as_buffer().to_pybytes() for t in batch.column(1)), model["order"],
+                                             BLOCK_TOKENS):
                 count, base, p = trie.probabilities(tokens, held)
                 starts = np.cumsum(size) - size
                 yield pa.RecordBatch.from_arrays(

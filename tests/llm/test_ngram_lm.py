@@ -75,6 +75,14 @@ def test_probabilities_sum_to_about_one(spark):
     assert all(math.isfinite(x) and x < 0 for x in s.values())
 
 
+def test_default_order_uses_two_words_of_context(spark):
+    rows = [(i, "a b c") for i in range(20)] + [(20 + i, "x b d") for i in range(20)]
+    model = L.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    asked = spark.createDataFrame([(1, "a b c"), (2, "a b d")], "doc_id long, text string")
+    s = {r.doc_id: r.score for r in L.score(asked, model).collect()}
+    assert s[1] > s[2] + 1  # a model of one word of context gives both the same
+
+
 def test_held_out(spark):
     df = spark.range(200).withColumnRenamed("id", "doc_id").select("doc_id", L.held_out().alias("h"))
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2) for r in df.collect())
