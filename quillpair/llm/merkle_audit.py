@@ -42,10 +42,12 @@ def leaves(records: DataFrame) -> DataFrame:
                           F.octet_length("body").cast("bigint").alias("size"))
     one = each.groupBy("record").agg(
         F.count("*").alias("copies"), F.sum("size").alias("size"), F.min("digest").alias("low"),
-        F.max("digest").alias("high"), F.expr("bit_xor(xxhash64(digest))").alias("rest"))
-    # A single copy is its digest; several are told apart by a digest over what their set has in common.
+        F.max("digest").alias("high"), *(F.sum(F.conv(F.substring("digest", at, 16), 16, 10).cast("decimal(20,0)"))
+                                         .cast("string").alias(f"sum{at}") for at in (1, 17, 33)))
+    # A single copy is its digest; several are told apart by a digest over sums, which any order gives and in which
+    # equal copies don't cancel.
     digest = F.when(F.col("copies") == 1, F.col("low")).otherwise(
-        F.sha2(F.concat_ws(" ", "copies", "low", "high", "rest"), 256))
+        F.sha2(F.concat_ws(" ", "copies", "low", "high", "sum1", "sum17", "sum33"), 256))
     file = F.floor(F.col("record") / F.lit(FILE_RECORDS)).cast("bigint")
     before = Window.partitionBy("file").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     return (one.select(file.alias("file"), (F.col("record") - file * FILE_RECORDS).alias("idx"), "copies", "size",

@@ -49,3 +49,13 @@ def test_equal_and_empty(spark):
     assert M.audit(a, a).collect() == []
     assert M.audit(a.limit(0), a.limit(0)).collect() == []
     assert {x.kind for x in M.audit(a, a.limit(0)).collect()} == {"missing"}
+
+
+def test_equal_copies_do_not_cancel(spark):
+    bodies = [f"body {i}" for i in range(100, 108)]
+    df = spark.createDataFrame([(1, "u", h, 0, "f") for h in bodies], SCHEMA)
+    found = {r.body: hashlib.sha256(r.body.encode()).hexdigest() for r in M.warc_records(df).collect()}
+    low, x, y, *_, high = sorted(found, key=found.get)
+    a, b = ([(1, t) for t in (low, z, z, high)] for z in (x, y))
+    (r,) = M.audit(*(spark.createDataFrame(t, "record long, body string") for t in (a, b))).collect()
+    assert (r.record, r.kind, r.size_a) == (1, "changed", r.size_b)
