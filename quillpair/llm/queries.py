@@ -15,8 +15,11 @@ from . import merkle_audit as MA
 from . import near_dedup as ND
 from . import ngram_lm as LM
 from . import packing as PK
+from . import periodic_runs as PR
 from . import preference_format as PF
 from . import quality_rules as QR
+from . import source_mixing as SM
+from . import spelling_variants as SV
 from . import url_filters as UF
 from .common import read
 
@@ -156,3 +159,20 @@ def op9_byte_bpe(spark, sf, ranks=None):
     SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1""")
 def op10_url_filters(spark, sf):
     return UF.url_verdicts(read(spark, sf, "pages", "page_id", "url"), UF.rules_table(spark))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf):
+    return PR.run_digests(PR.periodic_runs(PR.with_planted_periods(read(spark, sf, "documents", "doc_id", "text"))))
+
+
+@query("op12_cube_mixing")
+def op12_cube_mixing(spark, sf):
+    mixed = SM.mix(read(spark, sf, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, sf):
+    words = SV.word_counts(read(spark, sf, "documents", "doc_id", "text"), slip=199)
+    return SV.spelling_variants(words)
