@@ -7,13 +7,13 @@
 3. Variable grams: at each place of a word the shortest gram that is not frequent (at most MAX_GRAM characters, or the
    word's end). An edit changes the grams over its place and no other, so a word has a bound on its affected grams:
    the most grams over one letter. All words have more grams than that, so two near words share one.
-4. List merging: grams have one order, infrequent first. Of the grams that an edit leaves alone, the first one is
+4. List merging: grams have one order, infrequent first, then longer ones first. Of the grams that an edit leaves alone, the first one is
    preceded by affected grams only, so it is among a word's first (bound + 1) grams, in both words. Only those enter the
    lists. Left of a shared gram or right of it the words are equal, so a list is named by the gram with all that
    stands before it, or with all that stands after it, and by the length of the shorter word.
-5. Words of one list are compared by edit distance. The lists that hold more than LIST_WORDS words (a pattern that very
-   many words share) are not compared word by word: their words are listed by what is left when one letter is deleted;
-   such a list holds words that differ in one letter, at most one for each letter of the alphabet. No pair is lost.
+5. Words of one list are compared by edit distance. A list of over LIST_WORDS words is divided first: the edit stands
+   before or behind the middle of the open letters, so each of its words goes to the list that shares the other half, in
+   both ways, until the lists are small or one letter is open. No pair is lost.
 6. A word's form is its near word of largest count, if that is at least `ratio` times its own. Counts grow along
    forms, so following them ends; roots are found by doubling.
 
@@ -29,7 +29,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -37,13 +37,13 @@ from .common import written
 MIN_CHARS = 6
 MIN_COUNT = 5
 RATIO = 5
-MIN_GRAM, MAX_GRAM = 2, 6
+MIN_GRAM, MAX_GRAM = 2, 5
 #: Frequent grams of one length, at most; bounds what is sent to the tasks.
 MAX_FREQUENT = 1 << 15
 #: Words in which a gram is never frequent.
 MIN_FREQUENCY = 16
-#: Words of a list that are compared with each other.
-LIST_WORDS = 256
+#: A list of more words is divided before its words are compared.
+LIST_WORDS = 64
 #: Distinct words that a task holds before it hands their counts on.
 HOLD = 200_000
 
@@ -125,60 +125,74 @@ def most_affected(grams: list[tuple[int, int]], length: int) -> int:
     return best
 
 
-def probes(word: str, frequent: frozenset[str]) -> list[tuple[str, str]]:
-    """(side, context) of the grams of a word that can be the first shared one."""
+def probes(word: str, frequent: frozenset[str]) -> set[tuple[int, int]]:
+    """(left, right): letters at the word's ends that it shares with a near word, for each gram that can be the first
+    shared one: all up to the gram's end, or all from its begin."""
     w = f"{_BEGIN}{word}{_END}"
     grams = variable_grams(w, frequent)
     first = most_affected(grams, len(w)) + 1
-    ranked = sorted((w[i:j] in frequent, zlib.crc32(w[i:j].encode()), w[i:j], i, j) for i, j in grams)
-    last = ranked[min(first, len(ranked)) - 1][:3]
-    return [p for *order, i, j in ranked if tuple(order) <= last for p in (("l", w[:j]), ("r", w[i:]))]
+    ranked = sorted((w[i:j] in frequent, i - j, zlib.crc32(w[i:j].encode()), w[i:j], i, j) for i, j in grams)
+    last = ranked[min(first, len(ranked)) - 1][:4]
+    places = [(i, j) for *order, i, j in ranked if tuple(order) <= last]
+    # Nothing stands right of a gram with the end mark, nor left of one with the first.
+    return {(j - 1, 0) for i, j in places if j < len(w)} | {(0, len(word) + 1 - i) for i, j in places if i}
 
 
-def _list_names(frequent):
+def _ends(frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(f"{side}{len(word) - longer}{context}", longer, word) for word in batch.column(0).to_pylist()
-                    for side, context in set(probes(word, frequent.value)) for longer in (0, 1)]
+            rows = [(word, *ends) for word in batch.column(0).to_pylist() for ends in probes(word, frequent.value)]
             if rows:
-                name, longer, word = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(longer, pa.int32()), pa.array(word)],
-                                                 names=["name", "longer", "word"])
+                word, left, right = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(left, pa.int32()), pa.array(right, pa.int32())],
+                                                 names=["word", "left", "right"])
     return run
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """Name the list of (word, longer, left, right): the letters shared at both ends and the shorter word's length."""
+    length = F.length("word")
+    name = F.xxhash64(length - F.col("longer"), "left", "right", F.substr("word", F.lit(1), F.col("left")),
+                      F.substr("word", length - F.col("right") + 1, F.col("right")))
+    return rows.select("word", "longer", "left", "right", name.alias("list")).distinct()
+
+
+def _divided(rows: DataFrame) -> DataFrame:
+    """Each row in both of the lists that its list is divided into."""
+    open_ = F.length("word") - F.col("longer") - F.col("left") - F.col("right")
+    half = F.floor(open_ / 2).cast("int")
+    halves = F.array(F.struct((F.col("left") + half).alias("left"), F.col("right").alias("right")),
+                     F.struct(F.col("left").alias("left"), (F.col("right") + open_ - half).alias("right")))
+    return _named(rows.select("word", "longer", F.inline(halves)))
+
+
 def _compared(members: DataFrame) -> DataFrame:
-    """(a, b) of the near words of each list (list, longer, word); a pair may come from several lists."""
+    """(a, b) of the near words of each list; a pair may come from several lists."""
     a = members.filter("longer = 0").select("list", F.col("word").alias("a"))
     b = members.select("list", "longer", F.col("word").alias("b"))
     near = F.levenshtein("a", "b", 1) == 1
     return a.join(b, (a["list"] == b["list"]) & ((b["longer"] == 1) | (a["a"] < b["b"])) & near).select("a", "b")
 
 
-def _one_deleted(words: DataFrame) -> DataFrame:
-    """(list, longer, word): lists of words by what one deletion leaves, with its place for words of one length."""
-    def without(i: Column) -> Column:
-        return F.concat(F.substr("word", F.lit(1), i - 1), F.substr("word", i + 1, F.length("word")))
-
-    places = F.sequence(F.lit(1), F.length("word"))
-    rows = F.concat(
-        F.array(F.struct(F.xxhash64(F.lit(0), "word").alias("list"), F.lit(0).alias("longer"))),
-        F.transform(places, lambda i: F.struct(F.xxhash64(i, without(i)).alias("list"), F.lit(0).alias("longer"))),
-        F.transform(places, lambda i: F.struct(F.xxhash64(F.lit(0), without(i)).alias("list"), F.lit(1).alias("longer"))))
-    return words.select("word", F.inline(rows)).distinct()
-
-
 def near_words(words: DataFrame, min_frequency: int = MIN_FREQUENCY, list_words: int = LIST_WORDS) -> DataFrame:
     """(a, b): each pair of words that differ by one inserted, deleted or replaced character, once."""
     sc = words.sparkSession.sparkContext
     frequent = sc.broadcast(frequent_grams(words, min_frequency))  # MAX_FREQUENT grams of each length at most
-    members = written(words.select("word").mapInArrow(_list_names(frequent), "name string, longer int, word string")
-                      .select(F.xxhash64("name").alias("list"), "longer", "word").distinct(), "spelling-lists")
-    sizes = members.groupBy("list").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    open_ = written(members.join(sizes, "list"), "spelling-open")
-    short = _compared(open_.filter(F.col("size") <= list_words).drop("size"))
-    many = open_.filter(F.col("size") > list_words).select("word").distinct()
-    return written(short.unionByName(_compared(_one_deleted(many))).distinct(), "spelling-near")
+    ends = words.select("word").mapInArrow(_ends(frequent), "word string, left int, right int")
+    rows = ends.withColumn("longer", F.explode(F.array(F.lit(0), F.lit(1)))).filter(
+        "left + right <= length(word) - longer")
+    members, pairs = written(_named(rows), "spelling-lists"), None
+    while True:  # as often as the longest word's open letters can be halved
+        sizes = members.groupBy("list").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        one = F.length("word") - F.col("longer") - F.col("left") - F.col("right") <= 1
+        open_ = written(members.join(sizes, "list").withColumn("done", (F.col("size") <= list_words) | one),
+                        "spelling-open")
+        found = written(_compared(open_.filter("done")).distinct(), "spelling-near")
+        pairs = found if pairs is None else pairs.unionByName(found)
+        rest = open_.filter("NOT done")
+        if rest.isEmpty():
+            return written(pairs.distinct(), "spelling-near")
+        members = written(_divided(rest), "spelling-lists")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
