@@ -190,6 +190,65 @@ oracle("pairs", PAIRS_SQL)
 oracle("generate_lead", _with([("p", PAIRS_SQL), ("ft", f"SELECT pair_id, {_FIRST_TOKS} AS toks FROM p")],
                               f"SELECT pair_id, 'lead' AS variant, {_as_question('toks')} AS generated FROM ft"))
 oracle("generate_cloze", _with(GEN_CTES, "SELECT * FROM cands WHERE variant = 'cloze'"))
+
+
+def _chain_ctes(name: str, table: str, keys: str, text: str) -> list[tuple[str, str]]:
+    """Adjacent words (a, b) of every sentence between the marks."""
+    words = Q.ws_tokens("lower(regexp_replace(s, '[.!?]+$', ''))")
+    return [(f"{name}s", f"SELECT {keys}unnest({Q.sentences(text)}) AS s FROM {table}"),
+            (f"{name}w", f"SELECT {keys}{words} AS w FROM {name}s"),
+            (f"{name}c", f"SELECT {keys}['<s>'] || w || ['</s>'] AS w FROM {name}w WHERE len(w) > 0"),
+            (name, f"SELECT {keys}w[i] AS a, w[i + 1] AS b FROM "
+                   f"(SELECT {keys}w, unnest(range(1, len(w))) AS i FROM {name}c)")]
+
+
+#: Smoothed transitions of each context in micro units.
+LP_CTES = [("p", PAIRS_SQL)] + _chain_ctes("qc", "p", "", "question") + _chain_ctes("cc", "p", "pair_id, ", "context") + [
+    ("qn", "SELECT a, b, count(*) AS n FROM qc GROUP BY a, b"),
+    ("qa", "SELECT a, count(*) AS n_a FROM qc GROUP BY a"),
+    ("own", "SELECT *, sum(c) OVER (PARTITION BY pair_id, a) AS t FROM "
+            "(SELECT pair_id, a, b, count(*) AS c FROM cc GROUP BY pair_id, a, b)"),
+    ("lps", "SELECT pair_id, a, b, CAST(round(1000000 * ln((coalesce(n, 0) + c / t) / (coalesce(n_a, 0) + 1.0))) AS BIGINT) "
+            "AS lp FROM own LEFT JOIN qn USING (a, b) LEFT JOIN qa USING (a)"),
+]
+
+
+def _beam(beams: int, penalty: float, n: int, steps: int = 256) -> str:
+    """Beam search as a recursive query: a step is one join, the ended continuations among the first ``beams`` are
+    results and the best others go on until ``beams`` have ended."""
+    score = f"round(s / 1000000.0 / pow(len(w) + 1, {penalty}), 9)"
+    return "WITH RECURSIVE " + ", ".join(f"{k} AS ({v})" for k, v in LP_CTES) + f""", beam AS (
+        SELECT DISTINCT pair_id, 0 AS step, CAST(0 AS BIGINT) AS s, ['<s>'] AS w, [''] AS grams, false AS ended,
+               CAST(0 AS BIGINT) AS n_ended FROM cc
+        UNION ALL
+        SELECT pair_id, step, s, w, grams, ended, n_ended FROM (
+            SELECT *, row_number() OVER (PARTITION BY pair_id, ended ORDER BY s DESC, w) AS of_kind,
+                   n_before + count(*) FILTER (WHERE ended AND place <= {beams}) OVER (PARTITION BY pair_id) AS n_ended
+            FROM (
+                SELECT beam.pair_id, beam.step + 1 AS step, beam.s + lp AS s, beam.w || [b] AS w,
+                       beam.grams || [a || ' ' || b] AS grams, b = '</s>' AS ended, beam.n_ended AS n_before,
+                       row_number() OVER (PARTITION BY beam.pair_id ORDER BY beam.s + lp DESC, beam.w || [b]) AS place
+                FROM beam JOIN lps ON lps.pair_id = beam.pair_id AND lps.a = beam.w[-1]
+                WHERE NOT beam.ended AND beam.n_ended < {beams} AND beam.step < {steps}
+                      AND NOT list_contains(beam.grams, a || ' ' || b))
+            WHERE place <= {2 * beams})
+        WHERE CASE WHEN ended THEN place <= {beams} ELSE of_kind <= {beams} END),
+    fin AS (
+        SELECT pair_id, s, w[2:-2] AS w FROM beam WHERE ended
+        UNION ALL SELECT pair_id, s, w[2:] FROM beam WHERE NOT ended AND step = {steps} AND n_ended < {beams}),
+    ranked AS (SELECT pair_id, array_to_string(w, ' ') || '?' AS generated, {score} AS score,
+                      row_number() OVER (PARTITION BY pair_id ORDER BY {score} DESC, w) AS rank FROM fin)
+    SELECT pair_id, rank, generated, score FROM ranked WHERE rank <= {n}"""
+
+
+oracle("generate_beam", _beam(10, 1.5, 1))
+oracle("generate_nbest", _beam(10, 1.0, 5))
+_FIRST_LAST = Q.ws_tokens("regexp_replace(prompt, ' </s>$', '')")
+oracle("generate_plugin", f"""
+SELECT pair_id, variant, CASE WHEN len(w) > 0 THEN w[1] || ' ' || w[-1] || '?' ELSE '' END AS generated
+FROM (SELECT pair_id, variant, {_FIRST_LAST} AS w FROM
+      (SELECT pair_id, variant, prefix || context || ' </s>' AS prompt FROM ({PAIRS_SQL}),
+       (VALUES ('BART', ''), ('T5', '{R.T5_PREFIX}')) AS c(variant, prefix)))""")
 oracle("vocab", _with(VOCAB_CTES, "SELECT * FROM vocab"))
 oracle("rare_words", _with(RATED_CTES, "SELECT * FROM rated"))
 oracle("ensemble_select", _with(RATED_CTES, "SELECT * FROM ens"))

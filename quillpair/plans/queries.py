@@ -12,8 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import resources as R
 from ..functions import text as T
 from ..functions.stem import with_stems
+from ..operators import beam as BM
 from ..operators import ensemble as EN
 from ..operators import features as FE
 from ..operators import generate as G
@@ -168,6 +170,34 @@ def q_generate_cloze(spark, sf):
     return _candidates(spark, sf, generators={"cloze": G.cloze_question})
 
 
+@query("generate_beam")
+def q_generate_beam(spark, sf):
+    """One question per context, decoded as the original's batch inference."""
+    p = materialise(_pairs(spark, sf), "pairs")
+    out = BM.generate_beam(p, "pair_id", "context", BM.learn_transitions(p), length_penalty=1.5)
+    return out.select("pair_id", "rank", "generated", "score")
+
+
+@query("generate_nbest")
+def q_generate_nbest(spark, sf):
+    """Five questions per context, decoded as the original's request form."""
+    p = materialise(_pairs(spark, sf), "pairs")
+    out = BM.generate_beam(p, "pair_id", "context", BM.learn_transitions(p), n=5)
+    return out.select("pair_id", "rank", "generated", "score")
+
+
+@query("generate_plugin")
+def q_generate_plugin(spark, sf):
+    """A caller's own function over the prompts, batch by batch: the first and the last word as a question."""
+    def factory():
+        def model(prompts):
+            words = [p.removesuffix(R.EOS_TEXT).split() for p in prompts]
+            return [f"{w[0]} {w[-1]}?" if w else "" for w in words]
+        return model
+    p = FE.prompts(_pairs(spark, sf), names=["BART", "T5"])
+    return G.generate_with(p, "prompt", factory).select("pair_id", "variant", "generated")
+
+
 @query("vocab")
 def q_vocab(spark, sf):
     return _vocab(spark, sf)

@@ -33,9 +33,11 @@ def test_dedup_after_cleaning(spark):
 
 def test_every_request_is_answered(spark):
     text = "The fox runs. A red fox and a red hen sleep. Nothing else."
+    later = "It was so. The quick fox likes red apples. Grey fox hunts. Old fox rests."
     rows = [("a", text, "2", "BART"), ("b", text, "2", "T5"), ("c", text, "1", "BART with keywords"), ("d", text, "9", "x"),
             ("e", text, "0", "BART"), ("f", " ", "2", "T5"), ("g", "", "2", "T5"), ("h", text, "", "T5"), ("i", text, "2.5", "T5"),
-            ("j", text, "-3", "x"), ("k", None, "1", "x")]
+            ("j", text, "-3", "x"), ("k", None, "1", "x"),
+            ("l", later, "1", "BART with keywords"), ("m", later, "1", "BART")]
     req = spark.createDataFrame(rows, RQ.REQUEST_SCHEMA)
     vv = spark.createDataFrame([("lead", "The"), ("cloze", "what")], "variant string, token string")
     out = {}
@@ -44,7 +46,9 @@ def test_every_request_is_answered(spark):
     assert set(out) == {r[0] for r in rows}
     assert sorted(out["a"]) == [(1, "The fox runs?", None), (2, "A red fox and a red hen sleep?", None)]
     assert sorted(out["b"])[0] == (1, "The fox what?", None)
-    assert out["c"] != [sorted(out["a"])[0]]  # the keywords choose another sentence
+    assert out["c"] == [sorted(out["a"])[0]]  # "fox" wins a tie by name and stands in the first sentence
+    assert out["l"] == [(1, "The quick fox likes red apples?", None)]  # the best keyword stands in a later one only
+    assert sorted(out["m"])[0] == (1, "It was so?", None)
     assert len(out["d"]) == 3
     for i in "efj":
         assert out[i] == [(None, None, R.MSG_MODEL_FAILED)]
