@@ -147,23 +147,28 @@ def bleu_scores(df: DataFrame, keys: Sequence[str], h: str, r: str, max_n: int =
 
 def _align(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
     """Pair the sides of (keys, side, pos, token, by) rows: the k-th last ``by`` of one side with that of the other
-    (E4). One row per (keys, by, k) with positions ``i`` and ``j`` and the token; a side without partner is null."""
-    last = Window.partitionBy(*keys, "side", by).orderBy(F.desc("pos"))
-    ranked = rows.withColumn("k", F.row_number().over(last))
-    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
-    return ranked.groupBy(*keys, by, "k").agg(of(0, "pos").alias("i"), of(1, "pos").alias("j"),
-                                              of(0, "token").alias("ti"), of(1, "token").alias("tj"))
+    (E4). One row per (keys, by): the pairs, and the items without partner. Places of one text's word are one small
+    array, so nothing is sorted but these."""
+    of = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "token"))))
+    both = rows.groupBy(*keys, by).agg(of(0).alias("h"), of(1).alias("r"))
+    k = F.least(F.size("h"), F.size("r"))
+    both = both.withColumn("k", k)
+    last = lambda c: F.slice(c, F.size(c) - F.col("k") + 1, F.col("k"))
+    first = lambda c: F.slice(c, F.lit(1), F.size(c) - F.col("k"))
+    return both.select(*keys, F.arrays_zip(last("h").alias("h"), last("r").alias("r")).alias("pairs"),
+                       first("h").alias("h"), first("r").alias("r"))
 
 
 def _pairs(aligned: DataFrame, keys: list[str]) -> DataFrame:
-    return aligned.filter("i IS NOT NULL AND j IS NOT NULL").select(*keys, "i", "j")
+    pairs = aligned.select(*keys, F.explode("pairs").alias("p"))
+    return pairs.select(*keys, F.col("p.h.pos").alias("i"), F.col("p.r.pos").alias("j"))
 
 
 def _single(aligned: DataFrame, keys: list[str]) -> DataFrame:
     """What found no partner, again as (keys, side, pos, token) rows."""
-    return aligned.filter("i IS NULL OR j IS NULL").select(
-        *keys, F.when(F.col("i").isNull(), 1).otherwise(0).alias("side"), F.coalesce("i", "j").alias("pos"),
-        F.coalesce("ti", "tj").alias("token"))
+    tagged = lambda side, c: F.transform(
+        c, lambda x: F.struct(F.lit(side).alias("side"), x["pos"].alias("pos"), x["token"].alias("token")))
+    return aligned.select(*keys, F.inline(F.concat(tagged(0, "h"), tagged(1, "r"))))
 
 
 def meteor_scores(df: DataFrame, keys: Sequence[str], h: str, r: str, stems: bool = False,
@@ -216,23 +221,38 @@ def meteor_scores(df: DataFrame, keys: Sequence[str], h: str, r: str, stems: boo
 
 # ------------------------------------------------------------------ corpus level
 
+METRICS = ("rouge", "meteor", "bleu")
+
+
 def score_rows(df: DataFrame, keys: Sequence[str], hyp_col: str = "generated", ref_col: str = "question",
-               stems: bool = True, synonyms: DataFrame | None = None, smoothing: str = "method4") -> DataFrame:
-    """(keys, rouge_p, rouge_r, rouge_f, matches, chunks, meteor, bleu1..4)
+               stems: bool = True, synonyms: DataFrame | None = None, smoothing: str = "method4",
+               metrics: Sequence[str] = METRICS) -> DataFrame:
+    """(keys, and per asked metric rouge_p, rouge_r, rouge_f | matches, chunks, meteor | bleu1..4)
     per row; ``keys`` are unique per row.
 
-    The rows are hashed on the keys once, and the three metrics and their
-    joins work on that partitioning.
+    Only the asked ``metrics`` are computed. The rows are hashed on the keys
+    once, and the metrics and their joins work on that partitioning.
     """
+    if not metrics or set(metrics) - set(METRICS):
+        raise ValueError(f"metrics must be some of {METRICS}")
     keys = list(keys)
     base = df.select(*keys, hyp_col, ref_col).repartition(*keys)
-    words = base.select(*keys, T.ws_tokens(F.lower(F.col(hyp_col))).alias("_h"),
-                        T.ws_tokens(F.lower(F.col(ref_col))).alias("_r"))
-    tree = base.select(*keys, T.treebank_tokens(hyp_col).alias("_h"), T.treebank_tokens(ref_col).alias("_r"))
-    rouge = rouge_columns(base.select(*keys, T.rouge_tokens(hyp_col).alias("_h"), T.rouge_tokens(ref_col).alias("_r")),
-                          "_h", "_r").drop("_h", "_r")
-    return (rouge.join(meteor_scores(words, keys, "_h", "_r", stems, synonyms), keys)
-            .join(bleu_scores(tree, keys, "_h", "_r", smoothing=smoothing), keys))
+
+    def tokens(of) -> DataFrame:
+        return base.select(*keys, of(F.col(hyp_col)).alias("_h"), of(F.col(ref_col)).alias("_r"))
+
+    parts = []
+    if "rouge" in metrics:
+        parts.append(rouge_columns(tokens(T.rouge_tokens), "_h", "_r").drop("_h", "_r"))
+    if "meteor" in metrics:
+        words = tokens(lambda c: T.ws_tokens(F.lower(c)))
+        parts.append(meteor_scores(words, keys, "_h", "_r", stems, synonyms))
+    if "bleu" in metrics:
+        parts.append(bleu_scores(tokens(T.treebank_tokens), keys, "_h", "_r", smoothing=smoothing))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part, keys)
+    return out
 
 
 def leaderboard(scored: DataFrame, id_col: str, group_col: str = "variant", digits: int = 6,
@@ -263,15 +283,22 @@ def _poisson1_cdf(kmax: int = 16) -> list[float]:
 POISSON1_CDF = _poisson1_cdf()
 
 
-def hash_uniform(*parts: Column) -> Column:
-    """Deterministic uniform in [0, 1) from the md5 of the joined parts."""
-    h = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / 4294967296.0
+#: The cumulative Poisson(1) distribution as 32-bit hex thresholds; a draw is compared as text, without conversion.
+POISSON1_HEX = [f"{math.ceil(c * 2 ** 32):08x}" for c in POISSON1_CDF if c * 2 ** 32 <= 2 ** 32 - 1]
+DRAWS_PER_HASH = 4
+
+
+def hashed_draws(seed: int, unit: Column, block: Column) -> Column:
+    """The four 32-bit draws, as hex text, of a unit and a block of replicates."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), unit.cast("string"), block.cast("string")).cast("binary"))
 
 
-def poisson1_weight(u: Column) -> Column:
-    """Poisson(1) draw by inverse CDF of a uniform."""
-    return sum((F.when(u >= c, 1).otherwise(0) for c in POISSON1_CDF), F.lit(0))
+def poisson1_weight(draw: Column) -> Column:
+    """Poisson(1) draw by inverse CDF of a 32-bit draw in hex."""
+    out = F.when(draw < POISSON1_HEX[0], 0)
+    for k, c in enumerate(POISSON1_HEX[1:], 1):
+        out = out.when(draw < c, k)
+    return out.otherwise(len(POISSON1_HEX))
 
 
 def bootstrap_mean(df: DataFrame, id_col: str, value_col: str, group_col: str,
@@ -282,16 +309,20 @@ def bootstrap_mean(df: DataFrame, id_col: str, value_col: str, group_col: str,
     The resampled unit is the id: its rows are averaged per group first, and
     all groups of an id share its draws, so groups are compared on the same
     resamples. An id gets an independent Poisson(1) weight per replicate from
-    a hash of (seed, id, replicate), computed once. The replicate explode
+    a hash of (seed, id, block of four replicates), computed once. The replicate explode
     feeds straight into a partial aggregate, so each task ships one row per
     (replicate, group); the N * replicates rows are never shuffled.
     """
     unit = df.groupBy(id_col, group_col).agg(F.avg(F.col(value_col).cast("double")).alias("_x"))
     unit = unit.groupBy(F.col(id_col).alias("_id")).agg(F.collect_list(F.struct(F.col(group_col).alias("_g"), "_x"))
                                                         .alias("_gs"))  # a row per group
-    draws = unit.select("_id", "_gs", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    draws = draws.withColumn("_u", hash_uniform(F.lit(seed), F.col("_id"), F.col("rep")))
-    draws = draws.withColumn("_w", poisson1_weight(F.col("_u"))).filter("_w > 0")
+    blocks = F.sequence(F.lit(0), F.lit((replicates - 1) // DRAWS_PER_HASH))
+    hashed = unit.select("_id", "_gs", F.explode(blocks).alias("_block"))
+    hashed = hashed.withColumn("_hash", hashed_draws(seed, F.col("_id"), F.col("_block")))
+    draws = hashed.select("_gs", F.inline(F.array(*[
+        F.struct((F.col("_block") * DRAWS_PER_HASH + j + 1).alias("rep"),
+                 F.substring("_hash", 8 * j + 1, 8).alias("_draw")) for j in range(DRAWS_PER_HASH)])))
+    draws = draws.filter(F.col("rep") <= replicates).withColumn("_w", poisson1_weight(F.col("_draw"))).filter("_w > 0")
     per_rep = (draws.select("rep", "_w", F.inline("_gs")).groupBy("rep", "_g")
                .agg(F.try_divide(F.sum(F.col("_w") * F.col("_x")), F.sum("_w")).alias("mean")))
     q = F.percentile("mean", F.array(*[F.lit(p) for p in percentiles]))  # over the replicates

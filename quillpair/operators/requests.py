@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import resources as R
+from ..session import materialise
 from ..sources.tables import turn_key
 from . import ensemble as EN
 from . import features as FE
 from . import generate as G
 from . import keywords as KW
+from . import textrank_batches as TB
 
 REQUEST_SCHEMA = "request_id string, context string, n string, model string"
 PRIORITY = {"lead": 0, "cloze": 1}
@@ -48,7 +50,7 @@ def request_prompts(req: DataFrame) -> DataFrame:
     single-model request; keyword variants carry the context's keywords
     (H15-H19)."""
     v = validate(req).filter(F.col("error").isNull() & (F.col("variant") != R.COMBINED))
-    kw = KW.keywords(v.filter(_needs_keywords()), "request_id", "context")
+    kw = TB.keywords(v.filter(_needs_keywords()), "request_id", "context")
     x = FE.with_keywords(v.withColumn("question", F.lit("")), kw, "request_id")
     return (FE.prompts(x.withColumnRenamed("variant", "wanted"), id_col="request_id", carry=["wanted"])
             .filter("variant = wanted").select("request_id", "variant", "prompt"))
@@ -58,7 +60,7 @@ def _guided(sentences: DataFrame, valid: DataFrame) -> DataFrame:
     """Sentences with ``hits``: how many of the context's keywords stand in
     them, for variants that are given keywords; 0 for the others."""
     asked = valid.filter(_needs_keywords())
-    kept = KW.textrank_top(asked, "request_id", "context").select("request_id", "word")
+    kept = TB.textrank_top(asked, "request_id", "context").select("request_id", "word")
     words = (sentences.filter(_needs_keywords())
              .select("request_id", "pos", F.explode(KW.text_words(F.array_join("tokens", " "))).alias("word")).distinct())
     hits = words.join(kept, ["request_id", "word"]).groupBy("request_id", "pos").agg(F.count(F.lit(1)).alias("hits"))
@@ -80,7 +82,8 @@ def answer(req: DataFrame, vocab_by_variant: DataFrame) -> DataFrame:
     valid = v.filter("error IS NULL")
     sents = _guided(G.sentences(valid, "request_id", "context", carry=["variant", "n_int"]), valid)
     place = F.row_number().over(Window.partitionBy("request_id").orderBy(F.desc("hits"), "pos"))
-    sents = sents.withColumn("pos", place)
+    # Written once: the sentences feed both the direct and the combined answers.
+    sents = materialise(sents.withColumn("pos", place), "request-sentences")
     lead = F.struct(F.lit("lead").alias("variant"), G.lead_question(F.col("tokens")).alias("generated"))
     cloze = F.struct(F.lit("cloze").alias("variant"), G.cloze_question(F.col("tokens")).alias("generated"))
     routed = (F.when(F.col("variant") == R.COMBINED, F.array(lead, cloze))

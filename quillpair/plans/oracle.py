@@ -394,8 +394,8 @@ def _poisson_weight(u: str) -> str:
     return "(" + " + ".join(terms) + ")"
 
 
-_U = ("(('0x' || substr(md5('0:' || CAST(pair_id AS VARCHAR) || ':' || CAST(rep AS VARCHAR)), "
-      "1, 8))::BIGINT / 4294967296.0)")
+_U = ("(('0x' || substr(md5('0:' || CAST(pair_id AS VARCHAR) || ':' || CAST((rep - 1) // 4 AS VARCHAR)), "
+      "CAST(8 * ((rep - 1) % 4) + 1 AS BIGINT), 8))::BIGINT / 4294967296.0)")
 BOOT_CTES = [
     ("bx", "SELECT pair_id, variant, avg(100 * rouge_f) AS x FROM scored GROUP BY pair_id, variant"),
     ("reps", f"SELECT unnest(range(1, {R.BOOTSTRAP_REPLICATES} + 1)) AS rep"),
@@ -543,6 +543,30 @@ def _phrase_ctes(src: str, key: str) -> list[tuple[str, str]]:
 
 oracle("textrank_edges", _with(_edge_ctes("documents", "doc_id", "text"), "SELECT * FROM edges"))
 oracle("textrank_keywords", _with(_textrank_ctes("documents", "doc_id", "text"), "SELECT * FROM kept"))
+
+
+def _converged() -> str:
+    """Each text goes on until its largest change is below the tolerance; a loop of weight 0 carries the old rank."""
+    d = R.TEXTRANK_DAMPING
+    ctes = _edge_ctes("documents", "doc_id", "text") + [
+        ("deg", "SELECT doc_id, src, count(*) AS deg FROM edges GROUP BY doc_id, src"),
+        ("we", "SELECT doc_id, src, dst, 1.0 / deg AS w, false AS own FROM edges JOIN deg USING (doc_id, src) "
+               "UNION ALL SELECT doc_id, src, src, 0.0, true FROM deg"),
+        ("it", f"""SELECT doc_id, src AS word, CAST(1.0 AS DOUBLE) AS score, 0 AS step, false AS done FROM deg
+            UNION ALL
+            SELECT doc_id, word, score, step, max(abs(score - old)) OVER (PARTITION BY doc_id) < 0.0001 OR step >= 100
+            FROM (SELECT we.doc_id, we.dst AS word, {1 - d} + {d} * sum(we.w * it.score) AS score,
+                         max(it.score) FILTER (WHERE own) AS old, max(it.step) + 1 AS step
+                  FROM we JOIN it ON it.doc_id = we.doc_id AND it.word = we.src AND NOT it.done
+                  GROUP BY we.doc_id, we.dst)"""),
+        ("ranked", "SELECT doc_id, word, round(score, 6) AS score, row_number() OVER "
+                   "(PARTITION BY doc_id ORDER BY round(score, 6) DESC, word) AS rank, "
+                   "count(*) OVER (PARTITION BY doc_id) AS n FROM it WHERE done")]
+    return ("WITH RECURSIVE " + ", ".join(f"{k} AS ({v})" for k, v in ctes)
+            + " SELECT doc_id, CAST(rank AS BIGINT) AS rank, word, score FROM ranked WHERE rank <= floor(0.2 * n)")
+
+
+oracle("textrank_converged", _converged())
 oracle("textrank_stems", _with([("p", PAIRS_SQL)] + _textrank_ctes("p", "pair_id", "context", stems=True),
                                "SELECT * FROM kept"))
 oracle("keywords_text", _with(_textrank_ctes("documents", "doc_id", "text") + _phrase_ctes("documents", "doc_id"),

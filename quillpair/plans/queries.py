@@ -25,6 +25,7 @@ from ..operators import keywords as KW
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import textprep as TP
+from ..operators import textrank_batches as TB
 from ..session import materialise, shared_path
 from ..sources import csv as C
 from ..sources import tables as S
@@ -231,8 +232,9 @@ def _with_truth(cands, spark, sf):
     return cands.join(_pairs(spark, sf).select("pair_id", "question"), "pair_id")
 
 
-def _scored(spark, sf, stems=True, synonyms=None):
-    return M.score_rows(_with_truth(_candidates(spark, sf), spark, sf), SCORED, stems=stems, synonyms=synonyms)
+def _scored(spark, sf, *metrics, stems=True, synonyms=None):
+    cands = _with_truth(_candidates(spark, sf), spark, sf)
+    return M.score_rows(cands, SCORED, stems=stems, synonyms=synonyms, metrics=metrics)
 
 
 def _rounded(*cols):
@@ -241,23 +243,23 @@ def _rounded(*cols):
 
 @query("rouge_l")
 def q_rouge_l(spark, sf):
-    s = _scored(spark, sf)
+    s = _scored(spark, sf, "rouge")
     return s.select(*SCORED, *[F.round(f"rouge_{c[0]}", 6).alias(c) for c in ("precision", "recall", "fmeasure")])
 
 
 @query("bleu")
 def q_bleu(spark, sf):
-    return _scored(spark, sf).select(*SCORED, *_rounded("bleu1", "bleu2", "bleu3", "bleu4"))
+    return _scored(spark, sf, "bleu").select(*SCORED, *_rounded("bleu1", "bleu2", "bleu3", "bleu4"))
 
 
 @query("meteor_exact")
 def q_meteor_exact(spark, sf):
-    return _scored(spark, sf, stems=False).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
+    return _scored(spark, sf, "meteor", stems=False).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
 
 
 @query("meteor_stem")
 def q_meteor_stem(spark, sf):
-    return _scored(spark, sf).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
+    return _scored(spark, sf, "meteor").select(*SCORED, "matches", "chunks", *_rounded("meteor"))
 
 
 @query("meteor_synonym")
@@ -266,12 +268,12 @@ def q_meteor_synonym(spark, sf):
     words = (S.conversations(spark, sf).select(F.explode(T.ws_tokens(F.lower("text"))).alias("token")).distinct())
     stems = with_stems(words, "token").select(F.col("stem").alias("word")).distinct()
     sets = stems.select("word", F.regexp_replace("word", "[^a-z]", "").alias("set_id")).filter("set_id <> ''")
-    return _scored(spark, sf, synonyms=sets).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
+    return _scored(spark, sf, "meteor", synonyms=sets).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
 
 
 @query("bootstrap_rouge")
 def q_bootstrap_rouge(spark, sf):
-    s = _scored(spark, sf).select("pair_id", "variant", (100 * F.col("rouge_f")).alias("f"))
+    s = _scored(spark, sf, "rouge").select("pair_id", "variant", (100 * F.col("rouge_f")).alias("f"))
     return M.bootstrap_mean(s, "pair_id", "f", "variant").select("variant", *_rounded("low", "mid", "high"))
 
 
@@ -324,7 +326,13 @@ def q_textrank_edges(spark, sf):
 
 @query("textrank_keywords")
 def q_textrank_keywords(spark, sf):
-    return KW.textrank_top(S.documents(spark, sf), "doc_id", "text")
+    return TB.textrank_top(S.documents(spark, sf), "doc_id", "text")
+
+
+@query("textrank_converged")
+def q_textrank_converged(spark, sf):
+    """Ranks until no rank of the text moves by the tolerance."""
+    return TB.textrank_top(S.documents(spark, sf), "doc_id", "text", steps=TB.MOST_STEPS, tolerance=TB.TOLERANCE)
 
 
 @query("textrank_stems")
@@ -334,13 +342,13 @@ def q_textrank_stems(spark, sf):
 
 @query("keywords_text")
 def q_keywords_text(spark, sf):
-    return KW.keywords(S.documents(spark, sf), "doc_id", "text")
+    return TB.keywords(S.documents(spark, sf), "doc_id", "text")
 
 
 @query("prompts_keywords")
 def q_prompts_keywords(spark, sf):
     p = materialise(_pairs(spark, sf), "pairs")
-    kw = KW.keywords(p, "pair_id", "context")
+    kw = TB.keywords(p, "pair_id", "context")
     return FE.prompts(FE.with_keywords(p, kw), names=["BART with keywords", "T5 with keywords"])
 
 
