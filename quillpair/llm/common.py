@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+#: Stands for a null id inside operators: smaller than every id in use.
+NO_ID = -(1 << 63)
 #: Words of 64 bits in a membership sketch: at most this many rows are broadcast, whatever the key count.
 SKETCH_WORDS = 1 << 17
 #: ASCII white space, as in the word pattern [^\x20\x09-\x0D]+; bytes.split() without arguments cuts at the same bytes.
@@ -25,6 +27,17 @@ def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return df.select(F.coalesce(F.col(key).cast("bigint"), F.lit(-1)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def keyed_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text) where ids are compared: null text is the empty text, a null id is NO_ID until with_null_ids."""
+    return df.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
+                     F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def with_null_ids(df: DataFrame, *cols: str) -> DataFrame:
+    """An operator's rows with NO_ID as null again."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit(NO_ID)) for c in cols})
+
+
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder below spark.checkpoint.dir, the one place driver and executors share."""
     return f"{ensure_checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"

@@ -9,8 +9,9 @@
 4. Only suspects' texts are shuffled: grouped by the whole text, which compares bytes, with a partial aggregate that
    collapses hot copies in each task first. A fingerprint collision ends here as two groups.
 
-Of equal texts the row with the largest id stays. A null id counts as -1, null text as empty; the empty text is a text like any
-other. Repeated ids are kept as rows: each is reported, and group_size counts them. An empty table gives no rows.
+Of equal texts one row stays, with the largest id; a null id is smaller than all others, stays null, and of rows with
+equal ids one is taken. Null text counts as empty; the empty text is a text like any other. Repeated ids are kept as
+rows: each is reported, and group_size counts them. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .coding import rice_decode, rice_encode
-from .common import maybe_in, shuffle_partitions, texts, written
+from .common import keyed_texts, maybe_in, shuffle_partitions, with_null_ids, written
 
 #: Bits of a fingerprint: with n rows a unique row is a needless suspect with probability n / 2**48.
 FP_BITS = 48
@@ -33,7 +34,7 @@ BLOCK_ROWS = 1 << 16
 OWNER_ROWS = 500_000
 
 _MAIL = "block bigint, owner int, codes binary, runs binary, ids binary, digests binary"
-_ROWS = "doc_id bigint, fp bigint, digest binary, suspect boolean"
+_ROWS = "doc_id bigint, row bigint, fp bigint, digest binary, suspect boolean"
 
 
 def _pack(owners: int):
@@ -91,6 +92,8 @@ def _answer(table: pa.Table) -> pa.Table:
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+    row = TaskContext.get().partitionId() << 40
     for batch in batches:
         for runs, ids, digests, codes, bitmap in zip(*(batch.column(c).to_pylist() for c in
                                                        ("runs", "ids", "digests", "codes", "bitmap"))):
@@ -99,10 +102,11 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(digests) // 32,
                                                           [None, pa.py_buffer(digests)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(ids, "<i8")),
+                [pa.array(np.frombuffer(ids, "<i8")), pa.array(np.arange(row, row + len(ids) // 8)),
                  pa.array(np.repeat(rice_decode(codes).astype(np.int64), runs)),
                  digest.cast(pa.binary()), pa.array(np.repeat(flag, runs))],
-                names=["doc_id", "fp", "digest", "suspect"])
+                names=["doc_id", "row", "fp", "digest", "suspect"])
+            row += len(ids) // 8
 
 
 def _fingerprint():
@@ -111,20 +115,24 @@ def _fingerprint():
 
 def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
-    spark, docs = df.sparkSession, texts(df, key, text)
+    spark, docs = df.sparkSession, keyed_texts(df, key, text)
     owners = max(shuffle_partitions(spark), -(-docs.count() // OWNER_ROWS))
     sent = docs.select("doc_id", _fingerprint().alias("fp"), F.unhex(F.sha2("text", 256)).alias("digest"))
     mail = written(sent.mapInArrow(_pack(owners), _MAIL), "dedup-mail")
     answers = (mail.select("block", "owner", "codes").groupBy("owner")
                .applyInArrow(_answer, "block bigint, owner int, bitmap binary"))
     rows = written(mail.join(answers, ["block", "owner"]).mapInArrow(_unpack, _ROWS), "dedup-rows")
-    suspects = rows.filter("suspect").select("doc_id", "fp", "digest")
+    suspects = rows.filter("suspect").select("doc_id", "row", "fp", "digest")
+    stays = suspects.groupBy("fp", "digest").agg(F.max(F.struct("doc_id", "row"))["row"].alias("stays"))
     groups = (maybe_in(docs.withColumn("fp", _fingerprint()), F.col("fp"), suspects, "fp")
               .groupBy("fp", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
               .select("fp", F.unhex(F.sha2("text", 256)).alias("digest"), "keep_id", "group_size"))
-    copies = suspects.join(groups, ["fp", "digest"]).select("doc_id", "keep_id", "group_size", "digest")
+    groups = groups.join(stays, ["fp", "digest"])
+    copies = suspects.join(groups, ["fp", "digest"]).select("doc_id", "keep_id", "group_size", "digest",
+                                                            (F.col("row") == F.col("stays")).alias("kept"))
     unique = rows.filter("NOT suspect").select("doc_id", F.col("doc_id").alias("keep_id"),
-                                               F.lit(1).cast("bigint").alias("group_size"), "digest")
-    return unique.unionByName(copies).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"))
+                                               F.lit(1).cast("bigint").alias("group_size"), "digest",
+                                               F.lit(True).alias("kept"))
+    out = unique.unionByName(copies).select("doc_id", "keep_id", "group_size", "kept",
+                                            F.lower(F.hex("digest")).alias("text_sha256"))
+    return with_null_ids(out, "doc_id", "keep_id")

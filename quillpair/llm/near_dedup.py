@@ -19,7 +19,8 @@
    the whole texts.
 7. Links go through partition-local union-find and alternating stars.
 
-A null id counts as -1, null text as empty. Repeated ids are rows of one document. An empty table gives no rows.
+Null text counts as empty. Rows with one id are one document: it is linked by any of its texts, and a text without words
+reports the id itself. A null id stays null and is smaller than all others. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_in, texts, written
+from .common import keyed_texts, maybe_in, with_null_ids, written
 from .components import connected_components
 from .wordhash import mix64, word_hashes
 
@@ -236,12 +237,13 @@ def _joining_links(percent: int):
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, x = None, np.empty(0, np.uint64)
+        last, x = None, np.empty(0, np.uint64)  # the leader's text and its set
         for batch in batches:
             keep = []
-            for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != last:  # rows come sorted by a from the join, so a leader's set is made once
-                    last, x = a, shingles(text_a.as_buffer().to_pybytes())
+            for text_a, text_b in zip(batch.column(2), batch.column(3)):
+                raw = text_a.as_buffer().to_pybytes()
+                if raw != last:  # rows come sorted by a from the join, so a leader's set is made once a text
+                    last, x = raw, shingles(raw)
                 y = shingles(text_b.as_buffer().to_pybytes())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -251,10 +253,16 @@ def _verify(percent: int):
 
 def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
-    docs = texts(df, key, text)
+    docs = keyed_texts(df, key, text)
     sketch = written(docs.mapInArrow(_sketch, _SKETCH), "near-sketch")
     same = ["set_hi", "set_lo"]
     classes = sketch.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    again = written(sketch.filter("n > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+                    .select("doc_id"), "near-again")
+    held = (sketch.filter("n > 0").select("doc_id", *same).join(again, "doc_id", "left_semi").distinct()
+            .join(classes, same).select("doc_id", "rep").distinct())
+    first = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("reps")).filter("reps > 1")
+    one_id = written(held.join(first, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b")), "near-ids")
     reps = sketch.filter("n > 0").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     member = (reps.select(F.col("doc_id").alias("rep"), "n", F.posexplode("bands").alias("band", "hash"))
               .select(F.xxhash64("band", "hash").alias("bucket"), "rep", "n"))
@@ -262,7 +270,7 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
               .filter("size > 1"))
     open_ = written(member.join(shared, "bucket"), "near-buckets")
 
-    slots = sketch.select("doc_id", "slots", "n")
+    slots = sketch.filter("n > 0").select("doc_id", "slots", "n")
 
     def signed(side: str) -> DataFrame:
         return slots.select(F.col("doc_id").alias(side), F.col("slots").alias(f"slots_{side}"), F.col("n").alias(f"n_{side}"))
@@ -277,6 +285,7 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
             .join(body.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
     links = written(both.select("a", "b", "text_a", "text_b")
                     .mapInArrow(_verify(percent), "a bigint, b bigint"), "near-links")
+    links = links.unionByName(one_id)
     grouped = written(connected_components(links), "near-components")
     # Members but the leader, in buckets that hold more than one component.
     rest = (open_.filter("size > 2 AND rep > lead").select("bucket", "rep", "n")
@@ -306,9 +315,10 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     rest = dealt(tasks.join(asked, ["task", "rep"], "left_semi").join(body, "rep"))
     links = links.unionByName(rest.mapInArrow(_joining_links(percent), "a bigint, b bigint"))
     grouped = written(connected_components(links), "near-components")
-    rows = sketch.select("doc_id", "n", *same).join(classes, same, "left")
-    return (rows.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
-                    .alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+    rows = sketch.select("doc_id", "n", *same)
+    linked = (rows.filter("n > 0").join(classes, same).join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("doc_id", "n", F.coalesce("component", "rep").alias("component_id")))
+    empty = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))  # no empty text is joined
+    out = linked.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id").withColumn(
+        "kept", F.col("doc_id") == F.col("component_id"))
+    return with_null_ids(out, "doc_id", "component_id")

@@ -7,10 +7,10 @@ are cut from the run every `width` tokens, so a sequence holds documents that be
 padding. The rest of the run that doesn't fill a sequence is cut into sequences whose lengths are powers of two.
 
 The run's order is (cell, part, key, id). A cell is a prefix of the key; a cell with too many tokens (many copies of
-one text have one key) is split into parts by a hash of the id. The token totals of cells and parts, a table of
+one text have one key) is split into parts by a hash of the id, of the row where the id is null. The token totals of cells and parts, a table of
 bounded size, give each range its place in the run, so every task lays out its ranges by itself.
 
-A null id counts as -1, null text as empty; an empty text has one token, its end. Repeated ids are laid out as separate documents.
+A null id stays null, null text counts as empty; an empty text has one token, its end. Repeated ids are laid out as separate documents.
 An empty table gives no rows.
 """
 
@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, texts, written
-from .wordtokens import WordTokens
+from .common import NO_ID, keyed_texts, shuffle_partitions, with_null_ids, written
+from .wordtokens import WordTokens, word_table
 
 WIDTH = 4096
 END_ID = 2
@@ -35,6 +35,9 @@ BITS = 12
 #: The key's first CELL_BITS bits name the cell: at most 2**CELL_BITS rows in the table of totals, before splits.
 CELL_BITS = 12
 
+#: Tokens that one task lays out, on average; sets the number of tasks for large inputs.
+TASK_TOKENS = 8_000_000
+
 _TOKENS = "doc_id bigint, row bigint, key bigint, n bigint, ids binary"
 _PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
            "offset bigint")
@@ -80,10 +83,10 @@ def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
     return hilbert_key(np.clip(((v + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1), BITS)
 
 
-def _tokenise(path: str):
+def _tokenise(path: str, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        words, row = WordTokens.of(path), TaskContext.get().partitionId() << 40
+        words, row = WordTokens.of(path, table), TaskContext.get().partitionId() << 40
         end = np.array([END_ID], words.dtype).tobytes()
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
@@ -137,13 +140,17 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
     """One row per piece of a document in a sequence. tokenizer: file of the tokenizers library."""
     spark = df.sparkSession
     parts = shuffle_partitions(spark)
-    tokens = written(texts(df, key, text).mapInArrow(_tokenise(tokenizer), _TOKENS), "pack-tokens")
+    docs = keyed_texts(df, key, text)
+    table = word_table(docs.select("text"), tokenizer)
+    tokens = written(docs.mapInArrow(_tokenise(tokenizer, table), _TOKENS), "pack-tokens")
     cells = tokens.select("doc_id", "row", "n", "key",
                           F.shiftright("key", BITS * DIMS - CELL_BITS).cast("int").alias("cell"))
     total = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(parts, -(-total // TASK_TOKENS))
     most = max(width, total // (4 * parts))
     splits = cells.groupBy("cell").agg(F.ceil(F.sum("n") / F.lit(most)).cast("int").alias("splits"))
-    part = F.pmod(F.xxhash64("doc_id"), F.col("splits")).cast("int").alias("part")
+    who = F.when(F.col("doc_id") == NO_ID, F.col("row")).otherwise(F.col("doc_id"))
+    part = F.pmod(F.xxhash64(who), F.col("splits")).cast("int").alias("part")
     # At most 2**CELL_BITS + 4 * parts rows, so the window below and the broadcasts have a bound.
     ranges = (cells.join(F.broadcast(splits), "cell").groupBy("cell", "splits", part).agg(F.sum("n").alias("n")))
     before = Window.orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1)
@@ -153,4 +160,5 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
               .join(F.broadcast(ranges.drop("splits")), ["cell", "part"])
               .repartition(parts, "base")
               .sortWithinPartitions("base", "key", "doc_id", "row"))
-    return placed.select("base", "doc_id", "ids").mapInArrow(_lay_out(total, width, WordTokens.dtype), _PIECES)
+    pieces = placed.select("base", "doc_id", "ids").mapInArrow(_lay_out(total, width, WordTokens.dtype), _PIECES)
+    return with_null_ids(pieces, "doc_id")

@@ -108,6 +108,18 @@ def _judge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=names)
 
 
+def keep_quality(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of df, all columns, that quality_rules keeps; a decision is its own row's, whatever its id."""
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = zstandard.ZstdCompressor(level=LEVEL)
+        for batch in batches:
+            kept = [t.is_valid and judge(zstd, t.as_buffer().to_pybytes())[6] for t in batch.column(at)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+    return df.mapInArrow(run, df.schema)
+
+
 def quality_rules(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: the statistics, base_failed, kept, and the ratio behind the verdict."""
     return texts(df, key, text).mapInArrow(_judge_batches, SCHEMA)

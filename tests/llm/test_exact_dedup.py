@@ -19,6 +19,23 @@ def test_against_brute_force(spark):
     assert got == _brute(rows)
 
 
+def test_one_row_of_a_group_stays(spark):
+    rows = [(1, "a b"), (1, "a b"), (1, "c"), (2, "a b"), (2, "a b"), (None, "a b"), (None, "d"), (None, "d"), (None, ""),
+            (-1, ""), (None, None), (3, "e"), (3, "e"), (3, "f")] + [(None, "hot")] * 50
+    got = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.text_sha256, []).append(r)
+    assert len(got) == len(rows) and len(groups) == len({t or "" for _, t in rows})
+    for i, t in rows:
+        g = groups[hashlib.sha256((t or "").encode()).hexdigest()]
+        ids = [x for x, y in rows if (y or "") == (t or "")]
+        best = max((x for x in ids if x is not None), default=None)
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in g) == sorted((x is None, x or 0) for x in ids)
+        assert {(r.keep_id, r.group_size) for r in g} == {(best, len(ids))}
+        assert [r.doc_id for r in g if r.kept] == [best]
+
+
 def test_empty_table(spark):
     assert exact_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

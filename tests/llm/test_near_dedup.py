@@ -97,3 +97,34 @@ def test_components(spark):
     got = {r.node: r.component for r in
            connected_components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 0, 200: 200, 201: 200}
+
+
+def _brute_rows(rows):
+    """Rows of one id are one document; None is smaller than all ids."""
+    key = lambda i: float("-inf") if i is None else i
+    sets = [(key(i), i, _set(t)) for i, t in rows]
+    up = {k: k for k, _, _ in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for x, (a, _, s) in enumerate(sets):
+        for b, _, t in sets[x + 1:]:
+            if s & t and 100 * len(s & t) >= 85 * len(s | t):
+                ra, rb = root(a), root(b)
+                up[max(ra, rb)] = min(ra, rb)
+    names = {key(i): i for i, _ in rows}
+    return [(i, len(s), names[root(k)] if s else i, not s or root(k) == k) for k, i, s in sets]
+
+
+def test_repeated_and_null_ids(spark):
+    r = random.Random(7)
+    a, b, c, d = ([f"{x}{r.randrange(999)}" for _ in range(60)] for x in "abcd")
+    text = lambda w, *more: " ".join([*w, *more])
+    rows = [(5, text(a)), (5, text(b)), (5, text(c)), (10, text(a, "tail")), (20, text(b, "tail")), (30, text(c, "tail")),
+            (3, text(b)), (7, text(d)), (7, text(d)), (8, text(d, "x")), (7, ""), (8, None), (None, text(a, "null")),
+            (None, "alone in the world"), (None, ""), (-1, "alone in the world of five")]
+    got = N.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda t: tuple((x is not None, x) for x in t)
+    assert sorted(map(tuple, got), key=key) == sorted(_brute_rows(rows), key=key)

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as C
 import pytest
 from pyspark.sql import functions as F
@@ -32,3 +34,30 @@ def test_empty_and_null(spark, name, stage):
     assert stage(spark, none, SF).collect() == []
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0)], schema)
     assert stage(spark, odd, SF).count() <= 3
+
+
+def _prose(seed, n=120):
+    r = random.Random(seed)
+    syllables = "ba ce di fo gu ka le mi no pu ra se ti vo zu".split()
+    return " ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(n))
+
+
+def test_decisions_are_made_by_row(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _kept_doc_id int, _sha string"
+    good, other, third = _prose(1), _prose(2), _prose(3)
+    rows = [(1, good), (1, "junk"), (2, other), (2, other), (None, third), (None, "junk"), (3, good), (None, good),
+            (4, _prose(4, 200_000)), (5, third), (None, _prose(5))]
+    docs = spark.createDataFrame([(i, t, "en", None, 1, 7, "s") for i, t in rows], schema)
+    kept = C.quality_stage(spark, docs, SF)
+    key = lambda r: (r[0] is None, r[0] or 0, len(r[1]), r[1])
+    want = [r for r in rows if r[1] != "junk"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(want, key=key)
+    assert kept.columns == docs.columns
+    exact = C.exact_stage(spark, kept, SF)
+    want = [(2, other), (3, good), (4, rows[8][1]), (5, third), (None, _prose(5))]
+    assert sorted(((r.doc_id, r.text) for r in exact.collect()), key=key) == sorted(want, key=key)
+    assert exact.columns == docs.columns
+    near = C.near_stage(spark, exact, SF)
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=key) == sorted(want, key=key)
+    pieces = C.packing_stage(spark, near, SF).collect()
+    assert {r.doc_id for r in pieces} == {2, 3, 4, 5, None}
