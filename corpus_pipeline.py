@@ -1,45 +1,65 @@
 """Corpus pipeline: quality rules, exact dedup, near-duplicate groups, packing.
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame that is written as
-Parquet and read again as the next stage's docs. All but the last return the columns of documents. Null ids and null
-texts pass as in each operator: rows without an id can't be told apart by a decision, so they are left out with the
-first stage; null text counts as empty and fails the quality rules.
+Parquet and read again as the next stage's docs. All but the last return the columns of documents. Decisions are made by
+row: the quality rules filter rows, the exact stage keeps one row of each text, whatever ids repeat or are null. To the
+near-duplicate stage rows with one id (or without any) are one document: all its texts stay or go together. It takes
+85 percent, as the operator does. Null text counts as empty and fails the quality rules.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillpair.llm.common import read, written
 from quillpair.llm.exact_dedup import exact_dedup
 from quillpair.llm.near_dedup import near_dedup
 from quillpair.llm.packing import pack
-from quillpair.llm.quality_rules import quality_rules
+from quillpair.llm.quality_rules import keep_quality
 
 TOKENIZER = "word_bpe_49k.json"
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of docs whose id has a kept verdict."""
-    ids = verdicts.filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(ids, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+def _prefix(docs: DataFrame) -> str:
+    """A prefix that no column of docs begins with."""
+    p = "_"
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p += "_"
+    return p
+
+
+def _keep(docs: DataFrame, kept: DataFrame, *keys: tuple[Column, str]) -> DataFrame:
+    """Rows of docs whose keys stand in kept; nulls are equal."""
+    p = _prefix(docs)
+    kept = kept.select(*[F.col(name).alias(p + name) for _, name in keys])
+    same = [key.eqNullSafe(F.col(p + name)) for key, name in keys]
+    return docs.join(kept, same, "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _keep(docs, quality_rules(docs))
+    return keep_quality(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the one with the largest id."""
-    return _keep(docs, exact_dedup(docs))
+    """One row of each group of equal texts, one with the largest id."""
+    verdicts = written(exact_dedup(docs), "pipeline-verdicts")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    left = _keep(docs, verdicts.filter("kept"), (F.col("doc_id"), "doc_id"), (digest, "text_sha256"))
+    # Equal rows of one id are left together; where such are, one row of each is taken.
+    p = _prefix(docs)
+    twice = verdicts.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    twice = written(twice.select(F.col("doc_id").alias(p + "id"), F.col("text_sha256").alias(p + "sha")), "pipeline-twice")
+    many = left.join(twice, F.col("doc_id").eqNullSafe(F.col(p + "id")) & (digest == F.col(p + "sha")), "left")
+    one = many.filter(F.col(p + "sha").isNotNull()).dropDuplicates(["doc_id", p + "sha"])
+    return many.filter(F.col(p + "sha").isNull()).unionByName(one).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id."""
-    return _keep(docs, near_dedup(docs))
+    return _keep(docs, near_dedup(docs).filter("kept"), (F.col("doc_id"), "doc_id"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
