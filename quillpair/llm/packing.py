@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NO_ID, keyed_texts, shuffle_partitions, with_null_ids, written
-from .wordtokens import WordTokens, word_table
+from .wordtokens import WordTokens
 
 WIDTH = 4096
 END_ID = 2
@@ -83,10 +83,10 @@ def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
     return hilbert_key(np.clip(((v + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1), BITS)
 
 
-def _tokenise(path: str, table):
+def _tokenise(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        words, row = WordTokens.of(path, table), TaskContext.get().partitionId() << 40
+        words, row = WordTokens.of(path), TaskContext.get().partitionId() << 40
         end = np.array([END_ID], words.dtype).tobytes()
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
@@ -141,8 +141,7 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
     spark = df.sparkSession
     parts = shuffle_partitions(spark)
     docs = keyed_texts(df, key, text)
-    table = word_table(docs.select("text"), tokenizer)
-    tokens = written(docs.mapInArrow(_tokenise(tokenizer, table), _TOKENS), "pack-tokens")
+    tokens = written(docs.mapInArrow(_tokenise(tokenizer), _TOKENS), "pack-tokens")
     cells = tokens.select("doc_id", "row", "n", "key",
                           F.shiftright("key", BITS * DIMS - CELL_BITS).cast("int").alias("cell"))
     total = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -1,42 +1,23 @@
-"""Token ids of whole texts by a tokenizer that drops white space: frequent words are encoded once for all tasks.
+"""Token ids of whole texts by a tokenizer that drops white space: words are encoded once and kept.
 
 For such a tokenizer (its pre-tokenizer keeps no white space and looks at none) the ids of a text are the ids of its
-words one after another. Spark counts the words; the most frequent ones, WORD_TABLE at most, are encoded once and sent to
-all tasks as one sorted table, so its size is bounded whatever the input. Each worker keeps the words it met last by
-their bytes; other words come from the table, and those that are not in it from the library. Two more facts of the
-pre-tokenizer keep the stores small: it lowers case, and it always cuts between a letter or digit and ASCII
-punctuation, so "word", "Word" and "word," share one entry for their letters.
+words one after another, so a text costs one look-up per word and the library is called for new words only. Two
+more facts of its pre-tokenizer keep the store small: it lowers case, and it always cuts between a letter or digit
+and ASCII punctuation, so "word", "Word" and "word," share one entry for their letters.
 """
 
 from __future__ import annotations
 
 import os
-from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import written
 from .worker import kept
 
-#: Words in the shared table, at most. Bounds what is sent to the tasks and changes no result.
-WORD_TABLE = 400_000
-#: Words kept per worker by their bytes; when full, the store starts anew. Bounds memory and changes no result.
-KEEP = 100_000
-#: Distinct words that a counting task holds before it hands them on.
-HOLD = 200_000
+#: Words kept per worker; when full, the store starts anew. Bounds memory and changes no result.
+KEEP = 800_000
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
-_TABLE = "word_lo binary, word_hi binary, lengths binary, ids binary"
-
-
-def lowered(raw: bytes) -> bytes:
-    """The text as the tokenizer sees it; special tokens are matched as they are written."""
-    return raw if b"<|" in raw else raw.lower()
 
 
 def cut(word: bytes) -> bytes:
@@ -45,73 +26,39 @@ def cut(word: bytes) -> bytes:
     return stem if len(stem) < len(word) and stem and stem[-1] in _ALNUM and b"<|" not in word else word
 
 
-def _digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Both halves of the words' 128-bit hashes."""
-    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2).astype(np.uint64)
-    return both[:, 1], both[:, 0]
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
-
-    def handed() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())],
-                                          names=["word", "n"])
-
-    for batch in batches:
-        for text in batch.column(0):
-            for word, n in Counter(lowered(text.as_buffer().to_pybytes()).split()).items():
-                held[cut(word)] += n
-            if len(held) > HOLD:
-                yield handed()
-                held.clear()
-    if held:
-        yield handed()
-
-
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
-
-
-def _ids(tokenizer, words: list[bytes], dtype: str) -> list[bytes]:
-    out: list[bytes] = []
-    for a in range(0, len(words), 1000):
-        coded = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words[a:a + 1000]],
-                                            add_special_tokens=False)
-        out += [np.array(e.ids, dtype).tobytes() for e in coded]
-    return out
-
-
-def word_table(texts: DataFrame, path: str):
-    """The most frequent words' ids, as a broadcast (sorted hash half, other half, starts, lengths, ids)."""
-    counts = written(texts.mapInArrow(_count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-                     .filter("n > 1"), "word-counts")
-    step = F.floor(4 * F.log2("n")).cast("int")
-    left, least = WORD_TABLE, None
-    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):  # 4 rows a power of two
-        if r["count"] > left:
-            break
-        left, least = left - r["count"], r["step"]
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            if words:
-                lo, hi = _digests(words)
-                ids = _ids(tokenizer, words, WordTokens.dtype)
-                row = (lo.tobytes(), hi.tobytes(), np.array([len(x) for x in ids], "<u4").tobytes(), b"".join(ids))
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row],
-                                                 names=[c.split()[0] for c in _TABLE.split(", ")])
-
-    rows = [] if least is None else counts.filter(step >= least).select("word").mapInArrow(encode, _TABLE).collect()
-    lo, hi, size = (np.concatenate([np.frombuffer(r[i], t) for r in rows] or [np.empty(0, t)])
-                    for i, t in enumerate(("<u8", "<u8", "<u4")))
-    start, order = np.cumsum(size, dtype=np.int64) - size, np.argsort(lo)
-    table = lo[order], hi[order], start[order], size[order], b"".join(bytes(r[3]) for r in rows)
-    return texts.sparkSession.sparkContext.broadcast(table)  # WORD_TABLE words at most
+class Library:
+    """The tokenizer. Words of letters only are asked for in one text: each is one piece of the pre-tokenizer, and the
+    last id of a piece is one of those with the word-end mark, so the ids are cut there. Where the number of ends isn't
+    that of the words, and for all other words, each word is asked for alone."""
+
+    def __init__(self, path: str, dtype: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
+        self.size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def _coded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype)
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out, alone = {}, []
+        for a in range(0, len(words), 1000):
+            part = [(w, w.decode("utf-8", "replace")) for w in words[a:a + 1000]]
+            letters = [(w, t) for w, t in part if t.isalpha()]
+            if letters:
+                coded = self._coded([" ".join(t for _, t in letters)])[0]
+                cuts = (np.flatnonzero(self.ends[coded]) + 1).tolist()
+                if len(cuts) == len(letters):
+                    raw, k = coded.tobytes(), self.dtype.itemsize
+                    out.update((w, raw[x * k:y * k]) for (w, _), x, y in zip(letters, [0, *cuts], cuts))
+            alone += [(w, t) for w, t in part if w not in out]
+        for a in range(0, len(alone), 1000):
+            part = alone[a:a + 1000]
+            out.update((w, x.tobytes()) for (w, _), x in zip(part, self._coded([t for _, t in part])))
+        return out
 
 
 class WordTokens:
@@ -119,21 +66,21 @@ class WordTokens:
 
     dtype = "<u2"
 
-    def __init__(self, path: str, table=None):
-        self.tokenizer = _tokenizer(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+    def __init__(self, path: str):
+        self.library = Library(path, self.dtype)
+        if self.library.size > 1 << 16:
             raise ValueError("the vocabulary needs more than two bytes an id")
         self.known: dict[bytes, bytes] = {}
-        self.table = table.value if table is not None else None
 
     @classmethod
-    def of(cls, path: str, table=None) -> "WordTokens":
-        """One per Python worker, path and table."""
-        # A worker's broadcast is one object as long as it is kept, so its table names it.
-        return kept(("word-tokens", path, id(table.value) if table else 0), lambda: cls(path, table), large=True)
+    def of(cls, path: str) -> "WordTokens":
+        """One per Python worker and path."""
+        return kept(("word-tokens", path), lambda: cls(path), large=True)
 
     def encode(self, raw: bytes) -> bytes:
-        words = lowered(raw).split()
+        if b"<|" not in raw:  # special tokens are matched as they are written
+            raw = raw.lower()
+        words = raw.split()
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
@@ -149,14 +96,5 @@ class WordTokens:
         stems = {w: cut(w) for w in new}
         parts = set(stems.values())
         parts.update(w[len(s):] for w, s in stems.items() if len(s) < len(w))
-        ask = [p for p in parts if p not in known]
-        if self.table is not None and ask and len(self.table[0]):
-            lo, hi = _digests(ask)
-            hashes, check, start, size, ids = self.table
-            at = np.minimum(np.searchsorted(hashes, lo), len(hashes) - 1)
-            found = (hashes[at] == lo) & (check[at] == hi)
-            for i, a, n in zip(np.flatnonzero(found).tolist(), start[at[found]].tolist(), size[at[found]].tolist()):
-                known[ask[i]] = ids[a:a + n]
-            ask = [ask[i] for i in np.flatnonzero(~found).tolist()]
-        known.update(zip(ask, _ids(self.tokenizer, ask, self.dtype)))
+        known.update(self.library.ids([p for p in parts if p not in known]))
         known.update((w, known[s] + known[w[len(s):]]) for w, s in stems.items() if len(s) < len(w))

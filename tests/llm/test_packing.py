@@ -70,3 +70,11 @@ def test_pieces(spark):
 
 def test_empty_table(spark):
     assert K.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_words_of_letters_are_cut_at_their_ends():
+    from quillpair.llm.wordtokens import WordTokens
+    words = WordTokens(P.path("word_bpe_49k.json"))
+    text = " ".join(f"{chr(c)}a b{chr(c)}" for c in range(0x21, 0x3000) if chr(c).isalpha())
+    for t in (text, "İstanbul ﬁne ǅ ſ ß ʰa éá 日本 ªº x²", "a‍b it's 3d a1b don't", "<|endoftext|> Ab ab"):
+        assert np.frombuffer(words.encode(t.encode()), words.dtype).tolist() == _ids(t)[:-1]
