@@ -5,6 +5,9 @@ Parquet and read again as the next stage's docs. All but the last return the col
 row: the quality rules filter rows, the exact stage keeps one row of each text, whatever ids repeat or are null. To the
 near-duplicate stage rows with one id (or without any) are one document: all its texts stay or go together. It takes
 85 percent, as the operator does. Null text counts as empty and fails the quality rules.
+
+Every stage sends whole texts to Python workers, so the stages lower the session's bound on the bytes of an Arrow batch
+to BATCH_BYTES: what an executor holds of them besides its heap is a few batches a task, whatever the texts' lengths.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from quillpair.llm.packing import pack
 from quillpair.llm.quality_rules import keep_quality
 
 TOKENIZER = "word_bpe_49k.json"
+BATCH_BYTES = 8 << 20
 
 
 def _prefix(docs: DataFrame) -> str:
@@ -38,13 +42,29 @@ def _keep(docs: DataFrame, kept: DataFrame, *keys: tuple[Column, str]) -> DataFr
     return docs.join(kept, same, "left_semi")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by BATCH_BYTES; a smaller bound of the caller's stays."""
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < _bytes(spark, conf) <= BATCH_BYTES:
+        spark.conf.set(conf, f"{BATCH_BYTES}b")
+
+
+def _bytes(spark: SparkSession, conf: str) -> int:
+    """A size setting in bytes, whatever its unit."""
+    text = spark.conf.get(conf).strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
+    return int(text[:-1] if unit else text) << unit
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    _small_batches(spark)
     return keep_quality(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts, one with the largest id."""
+    _small_batches(spark)
     verdicts = written(exact_dedup(docs), "pipeline-verdicts")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     left = _keep(docs, verdicts.filter("kept"), (F.col("doc_id"), "doc_id"), (digest, "text_sha256"))
@@ -59,11 +79,13 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id."""
+    _small_batches(spark)
     return _keep(docs, near_dedup(docs).filter("kept"), (F.col("doc_id"), "doc_id"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents in sequences."""
+    _small_batches(spark)
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
 

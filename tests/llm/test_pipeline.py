@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline as C
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_near_dedup import _brute
@@ -36,6 +37,25 @@ def test_empty_and_null(spark, name, stage):
     assert stage(spark, odd, SF).count() <= 3
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(conf)
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 20000)").alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["doc_id"])
+    try:
+        C.quality_stage(spark, docs, SF)
+        most = max(r.doc_id for r in docs.mapInArrow(sizes, "doc_id long").collect())
+        assert most * 100_000 <= C.BATCH_BYTES + 100_000  # the row that passes the bound is the last
+        spark.conf.set(conf, "64k")
+        C.quality_stage(spark, docs, SF)
+        assert spark.conf.get(conf) == "64k"
+    finally:
+        spark.conf.set(conf, before)
+
+
 def _prose(seed, n=120):
     r = random.Random(seed)
     syllables = "ba ce di fo gu ka le mi no pu ra se ti vo zu".split()
