@@ -313,7 +313,9 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     asked = written(dealt(tasks).mapInArrow(_with_partner(percent), "task bigint, rep bigint"), "near-asked")
     body = maybe_in(docs, F.col("doc_id"), asked, "rep").select(F.col("doc_id").alias("rep"), "text")
     rest = dealt(tasks.join(asked, ["task", "rep"], "left_semi").join(body, "rep"))
-    links = links.unionByName(rest.mapInArrow(_joining_links(percent), "a bigint, b bigint"))
+    # Written first: read by the next Python step in one stage, each task would hold two workers.
+    joining = written(rest.mapInArrow(_joining_links(percent), "a bigint, b bigint"), "near-links")
+    links = links.unionByName(joining)
     grouped = written(connected_components(links), "near-components")
     rows = sketch.select("doc_id", "n", *same)
     linked = (rows.filter("n > 0").join(classes, same).join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
