@@ -34,6 +34,10 @@ oracle("top_phrases", " UNION ALL ".join(
         "SELECT doc_id, text FROM documents", "doc_id", Q.anchored_phrases(LC_TEXT, a), "phrase")
     for a in ("what", "the")))
 
+oracle("top_phrases_joined", "SELECT * FROM " + Q.top_terms(
+    f"SELECT 0 AS z, string_agg(t, ' ' ORDER BY doc_id) AS text FROM (SELECT doc_id, {LC_TEXT} AS t FROM documents)",
+    "z", Q.anchored_phrases("text", "the"), "phrase"))
+
 oracle("profile_shape", """
 SELECT count(*) AS n_rows, CAST((SELECT count(*) FROM (DESCRIBE documents)) AS BIGINT) AS n_cols
 FROM documents""")

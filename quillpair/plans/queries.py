@@ -21,6 +21,7 @@ from ..operators import features as FE
 from ..operators import generate as G
 from ..operators import grid as GR
 from ..operators import requests as RQ
+from ..operators import joined as J
 from ..operators import keywords as KW
 from ..operators import metrics as M
 from ..operators import profile as P
@@ -58,6 +59,11 @@ def q_top_phrases(spark, sf):
     return P.top_phrases(S.documents(spark, sf), "doc_id", "text", anchors=("what", "the"))
 
 
+@query("top_phrases_joined")
+def q_top_phrases_joined(spark, sf):
+    return J.top_phrases_joined(S.documents(spark, sf), "doc_id", "text", "the")
+
+
 @query("profile_shape")
 def q_profile_shape(spark, sf):
     return P.shape(S.read_table(spark, sf, "documents"))
