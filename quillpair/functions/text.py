@@ -148,14 +148,17 @@ def rouge_tokens(c: Column | str) -> Column:
 
 
 # --- FIXED VALUES: Treebank-style word tokenizer rules (Java replacement syntax) ---
-# Applied in order to lower-cased text; the result is split on whitespace.
+# Applied in order to lower-cased text; the result is split on whitespace. Of a sentence
+# alone only the last period is split off.
+TREEBANK_PERIOD = r"([^.])\.([\])}>\"'»”’]*)([\x09-\x0d ]|$)"
+TREEBANK_LAST_PERIOD = r"([^.])\.([\])}>\"'»”’]*)$"
 TREEBANK_RULES = [
     (r"([«“‘„]|`+)", " $1 "),
     (r'^"', "``"),
     (r"(``)", " $1 "),
     (r'([ (\[{<])("|\'\')', "$1 `` "),
     (r"\.\.\.", " ... "),
-    (r"([^.])\.([\])}>\"'»”’]*)([\x09-\x0d ]|$)", "$1 .$2 "),
+    (TREEBANK_PERIOD, "$1 .$2 "),
     (r"([:,])([^\d])", " $1 $2"),
     (r"([:,])$", " $1 "),
     (r"[;@#$%&]", " $0 "),
@@ -184,14 +187,18 @@ TREEBANK_PADDED_RULES = [
 ]
 
 
-def treebank_tokens(c: Column | str) -> Column:
+TREEBANK_SENTENCE_RULES = [(TREEBANK_LAST_PERIOD if p == TREEBANK_PERIOD else p, r) for p, r in TREEBANK_RULES]
+
+
+def treebank_tokens(c: Column | str, one_sentence: bool = False) -> Column:
     """Lower-cased Treebank-style word tokens.
 
-    Sentence-final periods are split off at every period followed by
-    whitespace or the end (abbreviation lists are not modelled).
+    A period is split off where whitespace or the end follows; with
+    ``one_sentence`` only at the end, so abbreviations inside keep theirs
+    (``operators.sentences`` finds the sentences).
     """
     x = F.lower(_c(c))
-    for pat, rep in TREEBANK_RULES:
+    for pat, rep in TREEBANK_SENTENCE_RULES if one_sentence else TREEBANK_RULES:
         x = F.regexp_replace(x, pat, rep)
     x = F.concat(F.lit(" "), x, F.lit(" "))
     for pat, rep in TREEBANK_PADDED_RULES:

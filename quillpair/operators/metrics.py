@@ -9,7 +9,8 @@ length, and no text is a shuffle or grouping key beyond its own tokens.
 * METEOR (J7): the greedy alignment from the end pairs the k-th last
   occurrence of a word in the hypothesis with its k-th last occurrence in
   the reference, so one count per (row, token, k) holds both positions. What
-  stays single goes on to the stem stage, then to the synonym stage.
+  stays single goes on to the stem stage, then to the synonym stage, where a
+  word may belong to several sets.
 * ROUGE-L (J5) needs a longest common subsequence, a sequential DP with no
   built-in expression; it runs as an Arrow-batched ``pandas_udf`` with the
   bit-parallel LCS of Hyyro (2004): O(|a| * |b| / wordsize) per row.
@@ -29,11 +30,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from .. import resources as R
 from ..functions import text as T
 from ..functions.stem import with_stems
+from .sentences import SentenceModel, sentence_arrays
 
 
 def _empty() -> Column:
@@ -171,17 +173,55 @@ def _single(aligned: DataFrame, keys: list[str]) -> DataFrame:
     return aligned.select(*keys, F.inline(F.concat(tagged(0, "h"), tagged(1, "r"))))
 
 
+def greedy_pairs(h_at, h_set, r_at, r_set) -> list[list[int]]:
+    """The walk from both ends: the last hypothesis word takes the last free reference word that shares a set with it,
+    then the word before it, and so on. Places ascend, one entry per place and set; time is linear in the entries."""
+    free: dict = {}
+    for place, s in zip(r_at, r_set):
+        free.setdefault(s, []).append(place)
+    used, out, at = set(), [], len(h_at) - 1
+    while at >= 0:
+        place, best = h_at[at], -1
+        while at >= 0 and h_at[at] == place:
+            stack = free.get(h_set[at], ())
+            while stack and stack[-1] in used:
+                stack.pop()
+            if stack:
+                best = max(best, stack[-1])
+            at -= 1
+        if best >= 0:
+            used.add(best)
+            out.append([int(place), int(best)])
+    return out
+
+
+@F.pandas_udf(ArrayType(ArrayType(IntegerType())))
+def synonym_pairs(h_at: pd.Series, h_set: pd.Series, r_at: pd.Series, r_set: pd.Series) -> pd.Series:
+    return pd.Series([greedy_pairs(*row) for row in zip(h_at, h_set, r_at, r_set)], dtype=object)
+
+
+def _by_sets(left: DataFrame, sets: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs (i, j) of the synonym stage: one row of place and set lists per text pair, no pairs of words."""
+    rows = left.join(sets, "stem").groupBy(*keys).agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "set_id")))).alias(name)
+        for side, name in ((0, "h"), (1, "r"))]).filter((F.size("h") > 0) & (F.size("r") > 0))
+    found = rows.select(*keys, F.explode(synonym_pairs("h.pos", "h.set_id", "r.pos", "r.set_id")).alias("p"))
+    return found.select(*keys, F.col("p")[0].alias("i"), F.col("p")[1].alias("j"))
+
+
 def meteor_scores(df: DataFrame, keys: Sequence[str], h: str, r: str, stems: bool = False,
                   synonyms: DataFrame | None = None) -> DataFrame:
     """(keys, matches, chunks, meteor): METEOR's exact stage, with ``stems``
     its Porter-stem stage, and with a ``synonyms`` table (word, set_id: the
-    word, as a stem, belongs to that synonym set; of several sets the
-    smallest counts) a third stage on what the stem stage left (C8, J7).
+    word, as a stem, belongs to that synonym set, and to any number of sets)
+    a third stage on what the stem stage left (C8, J7): from the end, each
+    hypothesis word takes the last free reference word of any of its sets.
     ``h``/``r`` name lower-cased token-array columns, ``keys`` columns unique
     per row.
 
-    Every stage is the same lookup on (key of the stage, rank from the end).
-    Stems are made once per distinct leftover token. Chunks are runs of
+    The first two stages are one lookup on (key of the stage, rank from the
+    end); with several sets per word the order of the walk decides, so the
+    third runs it on each text pair's lists. Stems are made once per distinct leftover token. Chunks are runs of
     matches adjacent on both sides (E5), found with ``lag`` in hypothesis
     order.
     """
@@ -203,8 +243,8 @@ def meteor_scores(df: DataFrame, keys: Sequence[str], h: str, r: str, stems: boo
         found = found.unionByName(_pairs(aligned, keys))
         if synonyms is not None:
             left = _single(aligned, keys).join(table, "token")
-            sets = synonyms.groupBy(F.col("word").alias("stem")).agg(F.min("set_id").alias("set_id"))
-            found = found.unionByName(_pairs(_align(left.join(sets, "stem"), keys, "set_id"), keys))
+            sets = synonyms.select(F.col("word").alias("stem"), "set_id").filter("set_id IS NOT NULL").distinct()
+            found = found.unionByName(_by_sets(left, sets, keys))
     order = Window.partitionBy(*keys).orderBy("i")
     near = (F.col("i") == F.lag("i").over(order) + 1) & (F.col("j") == F.lag("j").over(order) + 1)
     runs = found.withColumn("_new", F.coalesce((~near).cast("bigint"), F.lit(1)))
@@ -226,10 +266,12 @@ METRICS = ("rouge", "meteor", "bleu")
 
 def score_rows(df: DataFrame, keys: Sequence[str], hyp_col: str = "generated", ref_col: str = "question",
                stems: bool = True, synonyms: DataFrame | None = None, smoothing: str = "method4",
-               metrics: Sequence[str] = METRICS) -> DataFrame:
+               metrics: Sequence[str] = METRICS, sentences: SentenceModel | None = None) -> DataFrame:
     """(keys, and per asked metric rouge_p, rouge_r, rouge_f | matches, chunks, meteor | bleu1..4)
     per row; ``keys`` are unique per row.
 
+    With a model of ``sentences`` BLEU's words are those of each sentence, so
+    abbreviations keep their period (H21).
     Only the asked ``metrics`` are computed. The rows are hashed on the keys
     once, and the metrics and their joins work on that partitioning.
     """
@@ -248,13 +290,25 @@ def score_rows(df: DataFrame, keys: Sequence[str], hyp_col: str = "generated", r
         words = tokens(lambda c: T.ws_tokens(F.lower(c)))
         parts.append(meteor_scores(words, keys, "_h", "_r", stems, synonyms))
     if "bleu" in metrics:
-        parts.append(bleu_scores(tokens(T.treebank_tokens), keys, "_h", "_r", smoothing=smoothing))
+        words = tokens(T.treebank_tokens) if sentences is None else _sentence_words(base, keys, hyp_col, ref_col, sentences)
+        parts.append(bleu_scores(words, keys, "_h", "_r", smoothing=smoothing))
     out = parts[0]
     for part in parts[1:]:
         out = out.join(part, keys)
     return out
 
 
+def _sentence_words(df: DataFrame, keys: list[str], hyp_col: str, ref_col: str, model: SentenceModel) -> DataFrame:
+    """(keys, _h, _r): Treebank tokens of each lower-cased sentence, in order."""
+    out = df.select(*keys)
+    for name, col in (("_h", hyp_col), ("_r", ref_col)):
+        lower = df.select(*keys, F.lower(col).alias(name))
+        words = sentence_arrays(lower, keys, name, model, name).select(
+            *keys, F.flatten(F.transform(name, lambda s: T.treebank_tokens(s, one_sentence=True))).alias(name))
+        out = out.join(words, keys, "left").withColumn(name, F.coalesce(name, _empty()))
+    return out
+
+
 def leaderboard(scored: DataFrame, id_col: str, group_col: str = "variant", digits: int = 6,
                 replicates: int = R.BOOTSTRAP_REPLICATES) -> DataFrame:
     """Corpus scores x100 per variant, ranked by METEOR (D15-D17, D19, H23);

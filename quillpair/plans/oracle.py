@@ -10,6 +10,7 @@ from __future__ import annotations
 from .. import resources as R
 from . import sqltext as Q
 from ..functions import text as T
+from ..operators import sentences as SE
 
 ORACLE: dict[str, str] = {}
 
@@ -295,7 +296,28 @@ def _meteor_stage(name: str, left: str, by: str) -> list[tuple[str, str]]:
     ]
 
 
-def _metric_ctes(cands: str, stems: bool = True, synonyms: bool = False) -> list[tuple[str, str]]:
+def _synonym_walk() -> list[tuple[str, str]]:
+    """Several sets per word: the walk from the end as a recursive query, a hypothesis word a step."""
+    bare = "regexp_replace(stem, '[^a-z]', '', 'g')"
+    return [
+        ("syn", f"SELECT DISTINCT stem, unnest(['a:' || left({bare}, 3), 'b:' || right({bare}, 3)]) AS set_id "
+                f"FROM cstems WHERE length({bare}) >= 3"),
+        ("z0", "SELECT yl.*, syn.set_id FROM yl JOIN stems USING (t) JOIN syn USING (stem)"),
+        ("ze", f"SELECT DISTINCT {_ROW}, a.pos AS i, b.pos AS j FROM (SELECT * FROM z0 WHERE side = 'h') a "
+               f"JOIN (SELECT * FROM z0 WHERE side = 'r') b USING ({_ROW}, set_id)"),
+        ("zc", f"SELECT {_ROW}, i, list(j ORDER BY j DESC) AS js, row_number() OVER (PARTITION BY {_ROW} ORDER BY i DESC) AS k "
+               f"FROM ze GROUP BY {_ROW}, i"),
+        ("zw", f"""SELECT DISTINCT {_ROW}, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS i, CAST(NULL AS BIGINT) AS j,
+                          []::BIGINT[] AS used FROM zc
+                   UNION ALL
+                   SELECT {_ROW}, k, i, j, CASE WHEN j IS NULL THEN used ELSE list_append(used, j) END FROM
+                   (SELECT {_ROW}, zc.k, zc.i, list_filter(zc.js, lambda x: NOT list_contains(zw.used, x))[1] AS j, zw.used
+                    FROM zw JOIN zc USING ({_ROW}) WHERE zc.k = zw.k + 1)"""),
+        ("zm", f"SELECT {_ROW}, i, j FROM zw WHERE j IS NOT NULL"),
+    ]
+
+
+def _metric_ctes(cands: str, stems: bool = True, synonyms: bool | str = False) -> list[tuple[str, str]]:
     """Per (pair_id, rank, variant): rouge_p/r/f, matches/chunks/meteor, bleu1..4."""
     tb_h, tb_r = Q.treebank_tokens("generated"), Q.treebank_tokens("question")
     ctes = [
@@ -321,6 +343,10 @@ def _metric_ctes(cands: str, stems: bool = True, synonyms: bool = False) -> list
         found.append("ym")
     if synonyms:
         ctes += Q.stem_ctes("cstems", f"SELECT DISTINCT unnest({Q.ws_tokens('lower(text)')}) AS t FROM conversations")
+    if synonyms == "sets":
+        ctes += _synonym_walk()
+        found.append("zm")
+    elif synonyms:
         ctes += [("syn", "SELECT stem, min(regexp_replace(stem, '[^a-z]', '', 'g')) AS set_id FROM cstems "
                          "WHERE regexp_replace(stem, '[^a-z]', '', 'g') <> '' GROUP BY stem"),
                  ("z0", "SELECT yl.*, syn.set_id FROM yl JOIN stems USING (t) JOIN syn USING (stem)")]
@@ -384,6 +410,129 @@ oracle("bleu", _with(METRIC_CTES, f"SELECT {_ROW}, " + ", ".join(
 oracle("meteor_exact", _with(GEN_CTES + _metric_ctes("cands", stems=False), _METEOR))
 oracle("meteor_stem", _with(METRIC_CTES, _METEOR))
 oracle("meteor_synonym", _with(GEN_CTES + _metric_ctes("cands", synonyms=True), _METEOR))
+oracle("meteor_synonym_sets", _with(GEN_CTES + _metric_ctes("cands", synonyms="sets"), _METEOR)
+       .replace("WITH ", "WITH RECURSIVE ", 1))
+
+
+def _abbreviated(e: str) -> str:
+    for words, new in (("by|de", "cf."), ("with|la", "Dr. Anea"), ("is|der", "e.g."), ("was|que", "J. Thor"),
+                       ("on|et", "No. 7.")):
+        e = f"regexp_replace({e}, ' ({words}) ', ' {new} ', 'g')"
+    return e
+
+
+def _type_ctes(name: str, src: str, keys: str, text: str) -> list[tuple[str, str]]:
+    """``name``: (keys, pos, t, word, period, stop, kase) and the type and mark before and after."""
+    core = f"regexp_replace(regexp_replace(t, {Q.q(SE.OPENING)}, ''), {Q.q(SE.CLOSING)}, '')"
+    w = f"PARTITION BY {keys} ORDER BY pos"
+    return [
+        (f"{name}0", f"SELECT {keys}, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS pos FROM "
+                     f"(SELECT {keys}, {Q.ws_tokens(text)} AS w FROM {src})"),
+        (f"{name}1", f"SELECT *, {core} AS core, lower(regexp_replace({core}, '[.!?]+$', '')) AS bare FROM {name}0"),
+        (f"{name}2", f"SELECT {keys}, pos, t, CASE WHEN regexp_matches(bare, {Q.q(SE.NUMBER)}) THEN '#' ELSE bare END AS word, "
+                     "ends_with(core, '.') AND NOT ends_with(core, '..') AS period, "
+                     f"CASE WHEN regexp_matches(t, {Q.q(SE.SOFT)}) THEN '' WHEN ends_with(core, '..') THEN '..' "
+                     "WHEN ends_with(core, '.') THEN '.' WHEN ends_with(core, '!') OR ends_with(core, '?') THEN '!' "
+                     "ELSE '' END AS stop, CASE WHEN regexp_matches(core, '^\\p{Lu}') THEN 'U' "
+                     f"WHEN regexp_matches(core, '^\\p{{Ll}}') THEN 'L' ELSE 'N' END AS kase FROM {name}1"),
+        (name, f"SELECT *, coalesce(lag(stop) OVER ({w}), 'start') AS pstop, CASE WHEN lag(stop) OVER ({w}) = '.' "
+               f"THEN lag(word) OVER ({w}) END AS pword, lead(word) OVER ({w}) AS nword, lead(kase) OVER ({w}) AS nkase "
+               f"FROM {name}2"),
+    ]
+
+
+def _xlog(k: str, n: str, p: str) -> str:
+    return (f"((CASE WHEN {k} > 0 THEN {k} * ln({p}) ELSE 0 END) + "
+            f"(CASE WHEN {n} - {k} > 0 THEN ({n} - {k}) * ln(1 - {p}) ELSE 0 END))")
+
+
+def _dunning(c1: str, c2: str, c12: str) -> str:
+    rest = f"({c2} - {c12})"
+    p, p1, p2 = f"({c2} / n0)", f"({c12} / {c1})", f"({rest} / (n0 - {c1}))"
+    return (f"2 * ({_xlog(c12, c1, p1)} + {_xlog(rest, f'(n0 - {c1})', p2)} - {_xlog(c12, c1, p)} - "
+            f"{_xlog(rest, f'(n0 - {c1})', p)})")
+
+
+_TYPE_N = "length(word) - (length(replace(word, '.', '')))"
+_LETTERS = "length(replace(word, '.', ''))"
+SENTENCE_CTES = [("doc", f"SELECT doc_id, {_abbreviated('text')} AS text FROM documents")] + _type_ctes(
+    "ty", "doc", "doc_id", "text") + [
+    ("tot", "SELECT count(*)::DOUBLE AS n0, count(*) FILTER (period)::DOUBLE AS k0 FROM ty"),
+    ("abc", "SELECT word, count(*) AS n, count(*) FILTER (period) AS n_period, n0, k0 FROM ty, tot GROUP BY word, n0, k0"),
+    ("abs", f"SELECT word, n, n_period, 2 * ({_xlog('n_period', 'n', '0.99::DOUBLE')} - {_xlog('n_period', 'n', '(k0 / n0)')}) "
+            f"* exp(-{_LETTERS}) * ({_TYPE_N} + 1) * pow({_LETTERS}::DOUBLE, n_period - n) AS score "
+            "FROM abc WHERE n_period > 0 AND k0 < n0 AND regexp_matches(word, '\\p{L}')"),
+    ("ab", f"SELECT * FROM abs WHERE score >= {SE.ABBREVIATION_SCORE}"),
+    ("pl", "SELECT *, CASE WHEN pstop = 'start' THEN 'first' WHEN pstop = '..' OR special THEN 'maybe' WHEN pstop = '' "
+           "THEN 'mid' ELSE 'start' END AS place FROM (SELECT *, pstop = '.' AND (pword IN (SELECT word FROM ab) OR "
+           "pword = '#' OR regexp_matches(pword, '^\\p{L}$')) AS special FROM ty)"),
+    ("wd0", "SELECT word, count(*) AS n, count(*) FILTER (kase = 'L') AS lo, "
+            "count(*) FILTER (kase = 'U' AND place = 'mid') AS um, "
+            "count(*) FILTER (kase = 'U' AND place IN ('first', 'start')) AS us, "
+            "count(*) FILTER (kase = 'L' AND place IN ('first', 'start')) AS ls, "
+            "count(*) FILTER (place = 'start') AS ns FROM pl GROUP BY word"),
+    ("brk", "SELECT count(*) FILTER (place = 'start')::DOUBLE AS b FROM pl"),
+    ("wd1", f"SELECT wd0.*, n0, b, {_dunning('b', 'n', 'ns')} AS score FROM wd0, tot, brk"),
+    ("wd", f"SELECT *, score >= {SE.STARTER_SCORE} AND regexp_matches(word, '\\p{{L}}') AND ns / b > n / n0 AS starter FROM wd1"),
+    ("co0", "SELECT pword, word, count(*) AS n FROM pl WHERE special GROUP BY pword, word"),
+    ("co1", "SELECT co0.*, sum(n) OVER (PARTITION BY pword) AS c1 FROM co0"),
+    ("co2", "SELECT co1.pword, co1.word, co1.n, co1.c1::DOUBLE AS c1, wd.n::DOUBLE AS c2, tot.n0 FROM co1 JOIN wd USING (word), tot "
+            "WHERE NOT starter"),
+    ("co", f"SELECT * FROM (SELECT *, {_dunning('c1', 'c2', 'n')} AS score FROM co2) WHERE score >= {SE.COLLOCATION_SCORE} "
+           "AND regexp_matches(word, '\\p{L}|#') AND n / c1 > c2 / n0"),
+]
+
+
+def _ends(ty: str) -> str:
+    """Whether each token of ``ty`` ends a sentence."""
+    kind = ("CASE WHEN stop = '..' OR word IN (SELECT word FROM ab) THEN 'a' WHEN word = '#' THEN 'n' "
+            "WHEN regexp_matches(word, '^\\p{L}$') THEN 'i' END")
+    return f"""SELECT x.*, nword IS NULL OR stop = '!' OR (stop IN ('.', '..') AND NOT coalesce(
+        (kind IS NOT NULL AND stop = '.' AND (x.word, x.nword) IN (SELECT (pword, word) FROM co)) OR
+        CASE kind WHEN 'a' THEN NOT (nkase = 'U' AND ((coalesce(lo, 0) > 0 AND coalesce(um, 0) = 0) OR coalesce(starter, false)))
+                  WHEN 'n' THEN nkase = 'L' AND (coalesce(us + um, 0) > 0 OR coalesce(ls, 0) = 0)
+                  WHEN 'i' THEN (nkase = 'L' AND (coalesce(us + um, 0) > 0 OR coalesce(ls, 0) = 0))
+                                OR (nkase = 'U' AND coalesce(lo, 0) = 0) END, false)) AS ends
+        FROM (SELECT *, {kind} AS kind FROM {ty}) x
+        LEFT JOIN (SELECT word AS nword, lo, um, us, ls, starter FROM wd) USING (nword)"""
+
+
+def _split_ctes(name: str, ty: str, keys: str) -> list[tuple[str, str]]:
+    return [(f"{name}e", _ends(ty)),
+            (f"{name}n", f"SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY {keys} ORDER BY pos ROWS BETWEEN "
+                         f"UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS sent FROM {name}e"),
+            (name, f"SELECT {keys}, sent, string_agg(t, ' ' ORDER BY pos) AS sentence FROM {name}n GROUP BY {keys}, sent")]
+
+
+oracle("sentence_model", _with(SENTENCE_CTES, """
+SELECT 'abbreviation' AS kind, word, NULL::VARCHAR AS next, n, round(score, 4) AS score FROM ab
+UNION ALL SELECT 'starter', word, NULL, ns, round(score, 4) FROM wd WHERE starter
+UNION ALL SELECT 'collocation', pword, word, n, round(score, 4) FROM co"""))
+oracle("split_sentences", _with(SENTENCE_CTES + _split_ctes("ss", "ty", "doc_id"),
+                                "SELECT doc_id, CAST(sent AS BIGINT) AS pos, sentence FROM ss"))
+
+
+def _sentence_words() -> list[tuple[str, str]]:
+    """``ht`` and ``rt`` of the candidates as the Treebank tokens of their sentences."""
+    out = [("sca", f"SELECT {_ROW}, lower({_abbreviated('generated')}) AS g, lower({_abbreviated('question')}) AS q FROM sc")]
+    for side, col in (("h", "g"), ("r", "q")):
+        out += _type_ctes(f"b{side}t", "sca", _ROW, col) + _split_ctes(f"b{side}s", f"b{side}t", _ROW)
+        out.append((f"b{side}w", f"SELECT {_ROW}, flatten(list({Q.treebank_tokens('sentence', True)} ORDER BY sent)) AS w "
+                                 f"FROM b{side}s GROUP BY {_ROW}"))
+    out.append(("tks", f"SELECT tk.* EXCLUDE (ht, rt), coalesce(bhw.w, []) AS ht, coalesce(brw.w, []) AS rt FROM tk "
+                       f"LEFT JOIN bhw USING ({_ROW}) LEFT JOIN brw USING ({_ROW})"))
+    return out
+
+
+def _bleu_sentences() -> str:
+    ctes = _metric_ctes("cands", stems=False)
+    cut = [n for n, _ in ctes].index("orders")
+    bleu = [(n, b.replace("FROM tk", "FROM tks")) for n, b in ctes[cut:] if n != "scored"]
+    return _with(SENTENCE_CTES + GEN_CTES + ctes[:2] + _sentence_words() + bleu, f"SELECT {_ROW}, " + ", ".join(
+        f"round(bleu{n}, 6) AS bleu{n}" for n in range(1, 5)) + " FROM bleu")
+
+
+oracle("bleu_sentences", _bleu_sentences())
 oracle("predictions_scored", _with(
     GEN_CTES + [("first", "SELECT * FROM cands WHERE rank = 1")] + _metric_ctes("first"),
     f"SELECT {_ROW}, round(rouge_f, 6) AS fmeasure, round(meteor, 6) AS meteor, round(bleu4, 6) AS bleu4 FROM scored"))

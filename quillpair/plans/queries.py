@@ -25,6 +25,7 @@ from ..operators import joined as J
 from ..operators import keywords as KW
 from ..operators import metrics as M
 from ..operators import profile as P
+from ..operators import sentences as SE
 from ..operators import textprep as TP
 from ..operators import textrank_batches as TB
 from ..session import materialise, shared_path
@@ -277,6 +278,51 @@ def q_meteor_synonym(spark, sf):
     return _scored(spark, sf, "meteor", synonyms=sets).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
 
 
+@query("meteor_synonym_sets")
+def q_meteor_synonym_sets(spark, sf):
+    """Several sets per word, derived from the data: the first three and the last three letters of a stem."""
+    words = (S.conversations(spark, sf).select(F.explode(T.ws_tokens(F.lower("text"))).alias("token")).distinct())
+    stems = with_stems(words, "token").select(F.col("stem").alias("word")).distinct()
+    bare = F.regexp_replace("word", "[^a-z]", "")
+    sets = stems.filter(F.length(bare) >= 3).select("word", F.explode(F.array(
+        F.concat(F.lit("a:"), F.left(bare, F.lit(3))), F.concat(F.lit("b:"), F.right(bare, F.lit(3))))).alias("set_id"))
+    return _scored(spark, sf, "meteor", synonyms=sets).select(*SCORED, "matches", "chunks", *_rounded("meteor"))
+
+
+def _with_abbreviations(text):
+    """Derived input: abbreviations before names, before small letters and within sentences, initials, numbers."""
+    x = F.regexp_replace(text, " (by|de) ", " cf. ")
+    x = F.regexp_replace(x, " (with|la) ", " Dr. Anea ")
+    x = F.regexp_replace(x, " (is|der) ", " e.g. ")
+    x = F.regexp_replace(x, " (was|que) ", " J. Thor ")
+    return F.regexp_replace(x, " (on|et) ", " No. 7. ")
+
+
+def _abbreviated(spark, sf):
+    return S.documents(spark, sf).select("doc_id", _with_abbreviations(F.col("text")).alias("text"))
+
+
+@query("sentence_model")
+def q_sentence_model(spark, sf):
+    return SE.model_rows(SE.learn_sentences(_abbreviated(spark, sf), "text")).withColumn("score", F.round("score", 4))
+
+
+@query("split_sentences")
+def q_split_sentences(spark, sf):
+    d = _abbreviated(spark, sf)
+    return SE.split_sentences(d, ["doc_id"], "text", SE.learn_sentences(d, "text"))
+
+
+@query("bleu_sentences")
+def q_bleu_sentences(spark, sf):
+    """BLEU on words of sentences, of which the corpus has learned the abbreviations."""
+    model = SE.learn_sentences(_abbreviated(spark, sf), "text")
+    c = _with_truth(_candidates(spark, sf), spark, sf).withColumns(
+        {col: _with_abbreviations(F.col(col)) for col in ("generated", "question")})
+    return M.score_rows(c, SCORED, metrics=("bleu",), sentences=model).select(
+        *SCORED, *_rounded("bleu1", "bleu2", "bleu3", "bleu4"))
+
+
 @query("bootstrap_rouge")
 def q_bootstrap_rouge(spark, sf):
     s = _scored(spark, sf, "rouge").select("pair_id", "variant", (100 * F.col("rouge_f")).alias("f"))

@@ -91,9 +91,9 @@ def rouge_tokens(e: str) -> str:
     return f"list_filter(regexp_split_to_array(lower({e}), {q(T.ROUGE_SPLIT)}), lambda x: x <> '')"
 
 
-def treebank_tokens(e: str) -> str:
+def treebank_tokens(e: str, one_sentence: bool = False) -> str:
     x = f"lower({e})"
-    for pat, r in T.TREEBANK_RULES:
+    for pat, r in T.TREEBANK_SENTENCE_RULES if one_sentence else T.TREEBANK_RULES:
         x = f"regexp_replace({x}, {q(pat)}, {q(rep(r))}, 'g')"
     x = f"(' ' || {x} || ' ')"
     for pat, r in T.TREEBANK_PADDED_RULES:
