@@ -407,9 +407,9 @@ def q_prompts_keywords(spark, sf):
 # ---------------------------------------------------------------- sources and sinks (A, C2, E3, G)
 
 def _csv(spark, sf):
-    """The pairs as CSV in the shared folder: several files, rows in key order."""
+    """The pairs as CSV in the shared folder, rows in key order; the number of files grows with the pairs."""
     path = shared_path(spark, "pairs-csv")
-    C.write_csv(_pairs(spark, sf).repartitionByRange(4, "pair_id").sortWithinPartitions("pair_id"), path)
+    C.write_csv(_pairs(spark, sf).repartitionByRange("pair_id").sortWithinPartitions("pair_id"), path)
     return path
 
 
