@@ -7,6 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from quillpair.functions import text as T
 from quillpair.operators import metrics as M
 
 
@@ -146,3 +147,54 @@ def test_long_texts_are_linear(spark):
         took.append(time.time() - t)
         assert all(r.matches == 5 for r in got)
     assert took[1] < 10 * took[0] + 5
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("metric", ["bleu", "meteor"])
+def test_words_of_a_row_stay_in_it(spark, metric):
+    """No token and no n-gram becomes a row: only the grouped rows are shuffled."""
+    df = spark.createDataFrame([(1, "a b c", "a c b")], "id int, generated string, question string")
+    plan = _plan(M.score_rows(df, ["id"], stems=False, metrics=(metric,)))
+    assert "explode" not in plan and "Window" not in plan and "Join" not in plan
+
+
+def test_rows_of_one_key_are_scored_together(spark):
+    rows = [(1, "a b", "a c"), (1, "a b", "a c"), (2, "a b", "a b"), (3, None, "a"), (4, "a", None)]
+    df = spark.createDataFrame(rows, "id int, generated string, question string")
+    meteor = [(r.id, r.matches, r.chunks) for r in M.score_rows(df, ["id"], metrics=("meteor",)).collect()]
+    assert sorted(meteor) == [(1, 2, 2), (1, 2, 2), (2, 2, 1), (3, 0, 0), (4, 0, 0)]
+    bleu = sorted((r.id, round(r.bleu1, 9)) for r in M.score_rows(df, ["id"], metrics=("bleu",)).collect())
+    assert bleu == [(1, 1.0), (1, 1.0), (2, 1.0), (3, 0.0), (4, 0.0)]
+    assert M.score_rows(df, ["id"]).filter("id = 1").count() == 8  # as a join of three metrics by key
+
+
+def test_blocks_look_up_stems_and_sets(spark, monkeypatch):
+    """Blocks of one row, of two and of all give the same matches."""
+    df = spark.createDataFrame([(i, f"big cats run{'s' * (i % 2)} w{i}", f"a cat runs w{i} large") for i in range(20)],
+                               "id int, generated string, question string")
+    sets = spark.createDataFrame([("big", "s"), ("larg", "s")], "word string, set_id string")
+    got = []
+    for bits in (0, 1, 9):
+        monkeypatch.setattr(M, "BLOCK_BITS", bits)
+        scored = M.score_rows(df, ["id"], synonyms=sets, metrics=("meteor",))
+        got.append(sorted((r.id, r.matches, r.chunks) for r in scored.collect()))
+    assert got[0] == got[1] == got[2] == [(i, 4, 2) for i in range(20)]
+
+
+def test_treebank_texts_without_marks_take_the_same_rules(spark):
+    texts = ["plain words here.", "a, b: c?", "3,5 and 4:30, ok", "wait... no", "i cannot go. gonna", "x (y) z", "", None, "e.g. it",
+             'say "hi"', "it's", "a.b. c!", "ends:", "ends,", "...", "."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    marked = df.select("id", F.concat("t", F.lit(" @")).alias("t"))  # a mark: every rule is applied
+    for one in (False,):
+        fast = {r.id: r.w for r in df.select("id", T.treebank_tokens("t", one).alias("w")).collect()}
+        full = {r.id: r.w for r in marked.select("id", T.treebank_tokens("t", one).alias("w")).collect()}
+        for i, t in enumerate(texts):
+            if t is None:
+                assert fast[i] is None
+            elif not t.endswith((":", ",")):
+                assert fast[i] == full[i][:-1]
+    assert fast[12] == ["ends", ":"] and fast[13] == ["ends", ","]
