@@ -46,28 +46,53 @@ def text_words(text: Column | str) -> Column:
 def textrank_edges(df: DataFrame, id_col: str, text_col: str, stems: bool = False) -> DataFrame:
     """Directed edge table (id, src, dst), both directions, no duplicates.
 
-    Adjacent word pairs come from zipping each text's word array with itself
-    shifted by one (no lambdas: the explode and filters are code-generated).
-    Duplicate pairs are removed by an aggregate keyed by (id, pair), which
-    partial-aggregates per task and spreads one long text over many tasks.
+    A text's pairs are made distinct inside its row. Only texts whose id stands
+    in several rows meet once more, by (id, pair).
     With ``stems`` the nodes are Porter stems, made once per distinct word.
     """
+    if stems:
+        und = _stem_pairs(df, id_col, text_col)
+    else:
+        rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+        many = (rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+                .select(F.col("_id").alias("_same"), F.lit(True).alias("_many")))
+        rows = rows.join(many, F.col("_id").eqNullSafe(F.col("_same")), "left").select("_id", "_text", "_many")
+        pairs = lambda x: x.select("_id", _nodes("_text").alias("_w")).select("_id", F.explode(_row_pairs("_w")).alias("_p"))
+        pairs = pairs(rows.filter("_many IS NULL")).unionByName(pairs(rows.filter("_many")).distinct())
+        both_words = pairs.select("_id", F.split("_p", " ").alias("_p"))
+        und = both_words.select(F.col("_id").alias(id_col), F.col("_p")[0].alias("a"), F.col("_p")[1].alias("b"))
+    both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
+                   F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
+    return und.select(id_col, F.inline(both))
+
+
+def _nodes(text_col: str) -> Column:
+    """The text's words, null for those that are no nodes."""
+    return F.transform(text_words(text_col), lambda x: F.when(_is_content(x), x))
+
+
+def _row_pairs(words: str) -> Column:
+    """The distinct pairs of different neighbouring words, the lesser first, joined by a space."""
+    after = F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1)))
+    pair = F.transform(F.arrays_zip(F.col(words).alias("a"), after.alias("b")),
+                       lambda p: F.when(p["a"] != p["b"], F.concat_ws(
+                           " ", F.least(p["a"], p["b"]), F.greatest(p["a"], p["b"]))))
+    return F.array_distinct(F.filter(pair, lambda p: p.isNotNull()))
+
+
+def _stem_pairs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Distinct (id, a, b) of neighbouring stems, a before b: the words of all pairs are joined to their stems."""
     words = df.select(F.col(id_col), text_words(text_col).alias("_w"))
     n = F.size("_w")
     zipped = F.when(n >= 2, F.arrays_zip(F.slice("_w", 1, n - 1).alias("a"),
                                          F.slice("_w", 2, n - 1).alias("b")))
     pairs = words.select(id_col, F.explode(zipped).alias("p")).select(id_col, "p.a", "p.b")
     pairs = pairs.filter(_is_content(F.col("a")) & _is_content(F.col("b")))
-    if stems:
-        table = _stem_table(df, text_col)
-        for c in ("a", "b"):
-            pairs = pairs.join(table.select(F.col("word").alias(c), F.col("stem").alias(f"_{c}")), c)
-        pairs = pairs.select(id_col, F.col("_a").alias("a"), F.col("_b").alias("b"))
-    pairs = pairs.filter("a <> b")
-    und = pairs.select(id_col, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
-                   F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
-    return und.select(id_col, F.inline(both))
+    table = _stem_table(df, text_col)
+    for c in ("a", "b"):
+        pairs = pairs.join(table.select(F.col("word").alias(c), F.col("stem").alias(f"_{c}")), c)
+    pairs = pairs.select(id_col, F.col("_a").alias("a"), F.col("_b").alias("b")).filter("a <> b")
+    return pairs.select(id_col, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _stem_table(df: DataFrame, text_col: str) -> DataFrame:

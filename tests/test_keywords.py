@@ -43,3 +43,19 @@ def test_one_very_long_text(spark):
     words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q" for i in range(676)]
     df = spark.createDataFrame([("k", " ".join(words * 30), 0)], SCHEMA)
     assert KW.textrank_top(df, "id", "t", iterations=3).count() == int(0.2 * 676)
+
+
+def test_edges_of_repeated_and_null_ids_are_distinct(spark):
+    rows = [(1, "red fox red fox"), (1, "fox red hen"), (None, "red fox"), (None, "fox red"), (2, None), (3, ""), (4, "red the fox"),
+            (5, "red")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    edges = sorted(((r.id or 0, r.src, r.dst) for r in KW.textrank_edges(df, "id", "t").collect()))
+    want = {(1, "red", "fox"), (1, "red", "hen"), (0, "red", "fox")}
+    assert edges == sorted(want | {(i, b, a) for i, a, b in want})
+
+
+def test_pairs_of_single_ids_are_not_shuffled(spark):
+    """Once texts meet their ids' numbers, only the union's branch of repeated ids is aggregated by pair."""
+    df = spark.createDataFrame([(1, "red fox red fox")], "id int, t string")
+    plan = KW.textrank_edges(df, "id", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.index("Union") < plan.index("Aggregate [_id")
