@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import resources as R
 from .keywords import ITERATIONS, _is_content, text_words
 
-SLICE_WORDS = 1_000_000
+SLICE_WORDS = 200_000
 #: Limits of a search to convergence.
 TOLERANCE, MOST_STEPS = 1e-4, 100
 
