@@ -143,3 +143,19 @@ def test_synonyms_of_several_sets(spark):
                                "id bigint, generated string, question string")
     got = {r.id: (r.matches, r.chunks) for r in M.score_rows(df, ["id"], synonyms=sets, metrics=("meteor",)).collect()}
     assert got == {1: (2, 2), 2: (2, 1), 3: (0, 0), 4: (0, 0)}
+
+
+def test_bare_tokens_equal_the_patterns(spark):
+    """Only tokens with a quote, a bracket or one of ,;: at an end need the patterns."""
+    import re
+    tokens = ["word", "a.b.", "(x)", '"Hi,"', "end;", ",", "»«", "x,y", "it's", "'t", "Éa", "¡no", "3,5", "a):", "...", "“q”.", "\"", "["]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    got = {r.t: (r.b.core, r.b.soft) for r in df.select("t", SE._bare(F.col("t")).alias("b")).collect()}
+    for t in tokens:
+        assert got[t] == (re.sub(SE.CLOSING, "", re.sub(SE.OPENING, "", t)), bool(re.search(SE.SOFT, t))), t
+
+
+def test_join_of_held_places_takes_texts_not_arrays(spark):
+    df = spark.createDataFrame([(1, "He saw Mr. Fox. It ran.")], "id int, t string")
+    plan = SE.sentence_arrays(df, ["id"], "t", SE.learn_sentences(df, "t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_joined" in plan
