@@ -6,11 +6,13 @@
   word or number in between breaks adjacency).
 * Scores: PageRank with damping 0.85 in the original TextRank form
   ``r = (1 - d) + d * sum(r_j / deg_j)``, a fixed number of iterations.
-  Each iteration is one join of the (doc, node)-keyed neighbour lists with the
-  ranks and one aggregate on (doc, neighbour), so one enormous text spreads
-  over many tasks. Nodes travel as 64-bit hashes; within a segment the lists
-  are shuffled once (their exchange is reused), and after each segment the
-  ranks are written to the shared folder, which cuts the lineage.
+  The edges are shuffled by document once and ranked in slices of whole
+  documents. For a document with more than MOST_EDGES an iteration is one join
+  of the (doc, node)-keyed neighbour lists with the ranks and one aggregate on
+  (doc, neighbour), so one enormous text spreads over many tasks. There nodes
+  travel as 64-bit hashes; within a segment the lists are shuffled once (their
+  exchange is reused), and after each segment the ranks are written to the
+  shared folder, which cuts the lineage.
 * Selection: the top ``floor(ratio * nodes)`` words per document by score
   (rounded to 6 digits), ties by word.
 * Phrases: a kept word counts where it first stands in the text. First
@@ -21,6 +23,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +39,10 @@ from ..session import materialise
 CONTENT_WORD = r"^\p{L}{2,}$"
 ITERATIONS = 20
 SEGMENT = 5  # iterations between written ranks
+#: Rows (two to this power) whose distinct words are looked up together.
+BLOCK_BITS = 9
+#: Directed edges a worker ranks at a time, and the most of one id that it holds.
+SLICE_EDGES, MOST_EDGES = 200_000, 1_000_000
 
 
 def _is_content(x: Column) -> Column:
@@ -51,16 +62,16 @@ def textrank_edges(df: DataFrame, id_col: str, text_col: str, stems: bool = Fals
     With ``stems`` the nodes are Porter stems, made once per distinct word.
     """
     if stems:
-        und = _stem_pairs(df, id_col, text_col)
+        rows, nodes = _stem_rows(df, id_col, text_col), F.col("_text")
     else:
-        rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        many = (rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-                .select(F.col("_id").alias("_same"), F.lit(True).alias("_many")))
-        rows = rows.join(many, F.col("_id").eqNullSafe(F.col("_same")), "left").select("_id", "_text", "_many")
-        pairs = lambda x: x.select("_id", _nodes("_text").alias("_w")).select("_id", F.explode(_row_pairs("_w")).alias("_p"))
-        pairs = pairs(rows.filter("_many IS NULL")).unionByName(pairs(rows.filter("_many")).distinct())
-        both_words = pairs.select("_id", F.split("_p", " ").alias("_p"))
-        und = both_words.select(F.col("_id").alias(id_col), F.col("_p")[0].alias("a"), F.col("_p")[1].alias("b"))
+        rows, nodes = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), _nodes("_text")
+    many = (rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+            .select(F.col("_id").alias("_same"), F.lit(True).alias("_many")))
+    rows = rows.join(many, F.col("_id").eqNullSafe(F.col("_same")), "left").select("_id", "_text", "_many")
+    pairs = lambda x: x.select("_id", nodes.alias("_w")).select("_id", F.explode(_row_pairs("_w")).alias("_p"))
+    pairs = pairs(rows.filter("_many IS NULL")).unionByName(pairs(rows.filter("_many")).distinct())
+    both_words = pairs.select("_id", F.split("_p", " ").alias("_p"))
+    und = both_words.select(F.col("_id").alias(id_col), F.col("_p")[0].alias("a"), F.col("_p")[1].alias("b"))
     both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
                    F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
     return und.select(id_col, F.inline(both))
@@ -80,19 +91,31 @@ def _row_pairs(words: str) -> Column:
     return F.array_distinct(F.filter(pair, lambda p: p.isNotNull()))
 
 
-def _stem_pairs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Distinct (id, a, b) of neighbouring stems, a before b: the words of all pairs are joined to their stems."""
-    words = df.select(F.col(id_col), text_words(text_col).alias("_w"))
-    n = F.size("_w")
-    zipped = F.when(n >= 2, F.arrays_zip(F.slice("_w", 1, n - 1).alias("a"),
-                                         F.slice("_w", 2, n - 1).alias("b")))
-    pairs = words.select(id_col, F.explode(zipped).alias("p")).select(id_col, "p.a", "p.b")
-    pairs = pairs.filter(_is_content(F.col("a")) & _is_content(F.col("b")))
-    table = _stem_table(df, text_col)
-    for c in ("a", "b"):
-        pairs = pairs.join(table.select(F.col("word").alias(c), F.col("stem").alias(f"_{c}")), c)
-    pairs = pairs.select(id_col, F.col("_a").alias("a"), F.col("_b").alias("b")).filter("a <> b")
-    return pairs.select(id_col, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _stem_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _text): each text's nodes as stems, in order, null for words that are no nodes. The rows are written once
+    in blocks; a block's distinct words meet their stems, and go back to it."""
+    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
+    rows = materialise(df.select(F.col(id_col).alias("_id"), _nodes(text_col).alias("_text"), block.alias("_block")),
+                       "textrank-rows")
+    words = materialise(rows.select("_block", F.explode(F.array_distinct("_text")).alias("word"))
+                        .filter("word IS NOT NULL").distinct(), "block-words")
+    table = with_stems(words.select("word").distinct(), "word").filter("stem <> word")
+    known = words.join(table, "word").select("_block", "word", "stem")
+
+    def stemmed(block_rows: pa.Table, block_words: pa.Table) -> pa.Table:
+        stems = dict(zip(block_words["word"].to_pylist(), block_words["stem"].to_pylist()))
+        texts = block_rows["_text"].combine_chunks()
+        coded = texts.flatten().dictionary_encode()
+        names = pa.array([stems.get(w, w) for w in coded.dictionary.to_pylist()], pa.string())
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        return pa.table({"_id": block_rows["_id"], "_text": pa.ListArray.from_arrays(ends, names.take(coded.indices))})
+
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, known = (x.repartition(tasks, "_block") for x in (rows, known))
+    kind = dict(df.dtypes)[id_col]
+    return materialise(rows.groupBy("_block").cogroup(known.groupBy("_block"))
+                       .applyInArrow(stemmed, f"_id {kind}, _text array<string>"), "textrank-stems")
 
 
 def _stem_table(df: DataFrame, text_col: str) -> DataFrame:
@@ -102,8 +125,92 @@ def _stem_table(df: DataFrame, text_col: str) -> DataFrame:
 
 def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
                     damping: float = R.TEXTRANK_DAMPING, segment: int = SEGMENT) -> DataFrame:
-    """(id, word, score) after ``iterations`` PageRank steps from r = 1."""
-    edges = materialise(edges, "textrank-edges")
+    """(id, word, score) after ``iterations`` PageRank steps from r = 1. The
+    edges of an id meet once; an id with more than MOST_EDGES is ranked by
+    joins, spread over many tasks."""
+    edges = materialise(edges.filter(F.col(id_col).isNotNull()), "textrank-edges")
+    large = (edges.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > MOST_EDGES)
+             .select(id_col))
+    large = materialise(large, "textrank-large")
+    if large.isEmpty():
+        return _scores_by_id(edges, id_col, iterations, damping)
+    small = _scores_by_id(edges.join(large, id_col, "left_anti"), id_col, iterations, damping)
+    return small.unionByName(_scores_by_joins(edges.join(large, id_col, "left_semi"), id_col, iterations, damping, segment))
+
+
+def _scores_by_id(edges: DataFrame, id_col: str, iterations: int, damping: float) -> DataFrame:
+    """Ranks of whole ids: sorted edges are read in slices of about SLICE_EDGES, an id's edges in one slice."""
+    def ranked(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        ids, src, dst = t[id_col].combine_chunks(), t["src"].combine_chunks(), t["dst"].combine_chunks()
+        group = _runs(ids)
+        names = pa.concat_arrays([src, dst]).dictionary_encode()
+        code = names.indices.to_numpy().astype(np.int64)
+        key = np.tile(group, 2) * max(len(names.dictionary), 1) + code
+        nodes, place = np.unique(key, return_inverse=True)
+        of = nodes // max(len(names.dictionary), 1)
+        rank = power_iteration(place[:len(src)], place[len(src):], of, int(group[-1]) + 1, iterations, damping)
+        first = np.searchsorted(group, of)
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(first)), names.dictionary.take(pa.array(nodes % len(names.dictionary))), pa.array(rank)],
+            names=[id_col, "word", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= SLICE_EDGES:
+                group = _runs(batch.column(0))
+                last = int(np.searchsorted(group, group[-1]))  # the last id may go on
+                if last or held[:-1] and held[-2].column(0)[-1] != batch.column(0)[0]:
+                    whole = [*held[:-1], batch.slice(0, last)]
+                    held = [batch.slice(last)]
+                    yield ranked(whole)
+        if held:
+            yield ranked(held)
+
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = dict(edges.dtypes)[id_col]
+    return edges.select(id_col, "src", "dst").repartition(tasks, id_col).sortWithinPartitions(id_col).mapInArrow(
+        run, f"{id_col} {kind}, word string, score double")
+
+
+def _runs(ids: pa.Array) -> np.ndarray:
+    """The number of each row's id among sorted ids, from 0."""
+    new = pc.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(new)]).astype(np.int64)
+
+
+def power_iteration(src: np.ndarray, dst: np.ndarray, group: np.ndarray, groups: int, steps: int,
+                    damping: float = R.TEXTRANK_DAMPING, tolerance: float | None = None) -> np.ndarray:
+    """Ranks of nodes (``group``: each node's text) after ``steps``, or until no rank of a text changes by
+    ``tolerance`` or more. Every node has an edge, and edges stand in both directions."""
+    n = len(group)
+    rank, degree = np.ones(n), np.bincount(src, minlength=n)
+    live = np.ones(groups, bool)
+    for _ in range(steps):
+        new = (1 - damping) + damping * np.bincount(dst, weights=(rank / degree)[src], minlength=n)
+        moving = live[group]
+        if tolerance is None:
+            rank = new
+            continue
+        change = np.zeros(groups)
+        np.maximum.at(change, group[moving], np.abs(new - rank)[moving])
+        rank = np.where(moving, new, rank)
+        live &= change >= tolerance
+        if not live.any():
+            break
+        going = live[group[src]]
+        if 2 * going.sum() < len(src):
+            src, dst = src[going], dst[going]
+    return rank
+
+
+def _scores_by_joins(edges: DataFrame, id_col: str, iterations: int, damping: float, segment: int) -> DataFrame:
+    """Ranks by one join and one aggregate an iteration, keyed by (id, node)."""
+    edges = materialise(edges, "textrank-large-edges")
     # One row per node with its neighbours: a join per iteration meets nodes, not edges.
     near = materialise(edges.groupBy(id_col, F.xxhash64("src").alias("s"))
                        .agg(F.collect_list(F.xxhash64("dst")).alias("ds")), "textrank-nodes")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import resources as R
-from .keywords import ITERATIONS, _is_content, text_words
+from .keywords import ITERATIONS, _is_content, power_iteration, text_words
 
 SLICE_WORDS = 200_000
 #: Limits of a search to convergence.
@@ -35,31 +35,6 @@ def _content_words(text: Column | str) -> Column:
     return F.transform(text_words(text), lambda x: F.when(_is_content(x), x).otherwise(F.lit("")))
 
 
-def power_iteration(src: np.ndarray, dst: np.ndarray, group: np.ndarray, groups: int, steps: int,
-                    damping: float = R.TEXTRANK_DAMPING, tolerance: float | None = None) -> np.ndarray:
-    """Ranks of nodes (``group``: each node's text) after ``steps``, or until no rank of a text changes by
-    ``tolerance`` or more. Every node has an edge, and edges stand in both directions."""
-    n = len(group)
-    rank, degree = np.ones(n), np.bincount(src, minlength=n)
-    live = np.ones(groups, bool)
-    for _ in range(steps):
-        new = (1 - damping) + damping * np.bincount(dst, weights=(rank / degree)[src], minlength=n)
-        moving = live[group]
-        if tolerance is None:
-            rank = new
-            continue
-        change = np.zeros(groups)
-        np.maximum.at(change, group[moving], np.abs(new - rank)[moving])
-        rank = np.where(moving, new, rank)
-        live &= change >= tolerance
-        if not live.any():
-            break
-        going = live[group[src]]
-        if 2 * going.sum() < len(src):
-            src, dst = src[going], dst[going]
-    return rank
-
-
 class _Slice:
     """Nodes, ranks and kept words of some texts given as a list array of words."""
 

@@ -59,3 +59,34 @@ def test_pairs_of_single_ids_are_not_shuffled(spark):
     df = spark.createDataFrame([(1, "red fox red fox")], "id int, t string")
     plan = KW.textrank_edges(df, "id", "t")._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and plan.index("Union") < plan.index("Aggregate [_id")
+
+
+def test_stems_of_repeated_ids_null_texts_and_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(KW, "BLOCK_BITS", 0)
+    rows = [(1, "Running dogs run the dog"), (1, "dogs running hopes"), (2, None), (3, ""), (4, "hoping, dog 5 dogs dog hopes"),
+            (None, "hoping dogs")] + [(i, "foxes sleeping") for i in range(10, 30)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = sorted((r.id or 0, r.src, r.dst) for r in KW.textrank_edges(df, "id", "t", stems=True).collect())
+    und = {(1, "run", "dog"), (1, "run", "hope"), (4, "hope", "dog"), (0, "hope", "dog")} | {(i, "fox", "sleep") for i in range(10, 30)}
+    assert got == sorted(und | {(i, b, a) for i, a, b in und})
+
+
+@pytest.mark.parametrize("slice_edges,most", [(1, 10**6), (7, 10**6), (10**6, 10), (3, 10)])
+def test_ranks_of_slices_and_of_large_ids(spark, monkeypatch, slice_edges, most):
+    monkeypatch.setattr(KW, "SLICE_EDGES", slice_edges)
+    monkeypatch.setattr(KW, "MOST_EDGES", most)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        graphs = {i: [(f"a{i}", f"b{k}") for k in range(1 + i)] + [("b0", "c")] for i in range(12)}
+        edges = [(i, x, y) for i, es in graphs.items() for a, b in es for x, y in ((a, b), (b, a))]
+        df = spark.createDataFrame(edges + [(None, "x", "y"), (None, "y", "x")], "id int, src string, dst string")
+        got = {(r.id, r.word): r.score for r in KW.textrank_scores(df, "id").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == pytest.approx({(i, w): s for i, es in graphs.items() for w, s in _rank(es).items()})
+
+
+def test_ranks_and_stems_take_no_join_by_word_of_a_text(spark):
+    df = spark.createDataFrame([("k", "running dogs run dog", 0)], SCHEMA)
+    plan = KW.textrank_scores(KW.textrank_edges(df, "id", "t", stems=True), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
