@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ CELL_BITS = 12
 
 #: Tokens that one task lays out, on average; sets the number of tasks for large inputs.
 TASK_TOKENS = 8_000_000
+#: Texts encoded together.
+PART_ROWS, PART_BYTES = 100, 2_000_000
 
 _TOKENS = "doc_id bigint, row bigint, key bigint, n bigint, ids binary"
 _PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -83,15 +86,26 @@ def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
     return hilbert_key(np.clip(((v + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1), BITS)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of PART_ROWS rows and PART_BYTES bytes of text at most, or one row."""
+    first, held = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+        if i > first and (i - first == PART_ROWS or held + n > PART_BYTES):
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += n
+    if batch.num_rows > first:
+        yield batch.slice(first)
+
+
 def _tokenise(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         words, row = WordTokens.of(path), TaskContext.get().partitionId() << 40
         end = np.array([END_ID], words.dtype).tobytes()
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                raw = [words.encode(t.as_buffer().to_pybytes()) + end for t in part.column(1)]
+            for part in _parts(batch):
+                raw = [x + end for x in words.encode_all([t.as_buffer().to_pybytes() for t in part.column(1)])]
                 ids = [np.frombuffer(x, words.dtype) for x in raw]
                 n = len(raw)
                 yield pa.RecordBatch.from_arrays(

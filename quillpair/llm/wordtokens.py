@@ -9,6 +9,8 @@ and ASCII punctuation, so "word", "Word" and "word," share one entry for their l
 from __future__ import annotations
 
 import os
+from array import array
+from collections.abc import Sequence
 
 import numpy as np
 
@@ -27,9 +29,10 @@ def cut(word: bytes) -> bytes:
 
 
 class Library:
-    """The tokenizer. Words of letters only are asked for in one text: each is one piece of the pre-tokenizer, and the
-    last id of a piece is one of those with the word-end mark, so the ids are cut there. Where the number of ends isn't
-    that of the words, and for all other words, each word is asked for alone."""
+    """The tokenizer. A word of letters only is one piece of the pre-tokenizer. Normaliser and pre-tokenizer leave a-z as
+    they are, so words of these are given to the tokenizer's model itself. Other words of letters are asked for in one
+    text: the last id of a piece is one of those with the word-end mark, so the ids are cut there. Where the number of
+    ends isn't that of the words, and for all other words, each word is asked for alone."""
 
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,9 +47,14 @@ class Library:
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out, alone = {}, []
-        for a in range(0, len(words), 1000):
-            part = [(w, w.decode("utf-8", "replace")) for w in words[a:a + 1000]]
+        out, alone, plain, model = {}, [], [], self.tokenizer.model
+        for w in words:
+            if w.isalpha() and w.islower():
+                out[w] = array(self.dtype.char, [t.id for t in model.tokenize(w.decode())]).tobytes()
+            else:
+                plain.append(w)
+        for a in range(0, len(plain), 1000):
+            part = [(w, w.decode("utf-8", "replace")) for w in plain[a:a + 1000]]
             letters = [(w, t) for w, t in part if t.isalpha()]
             if letters:
                 coded = self._coded([" ".join(t for _, t in letters)])[0]
@@ -78,21 +86,20 @@ class WordTokens:
         return kept(("word-tokens", path), lambda: cls(path), large=True)
 
     def encode(self, raw: bytes) -> bytes:
-        if b"<|" not in raw:  # special tokens are matched as they are written
-            raw = raw.lower()
-        words = raw.split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self.known.__getitem__, words))
-
-    def _learn(self, words: list[bytes]) -> None:
+        return self.encode_all([raw])[0]
+
+    def encode_all(self, texts: Sequence[bytes]) -> list[bytes]:
+        """The ids of each text. The new words of all are learned at once, as every call of the library has its price."""
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]  # special tokens are matched as written
+        self._learn(set().union(*split))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+    def _learn(self, words: set[bytes]) -> None:
         known = self.known
-        new = set(words).difference(known)
+        new = words.difference(known)
         if len(known) + 2 * len(new) > KEEP:
             known.clear()
-            new = set(words)
+            new = words
         stems = {w: cut(w) for w in new}
         parts = set(stems.values())
         parts.update(w[len(s):] for w, s in stems.items() if len(s) < len(w))

@@ -78,3 +78,28 @@ def test_words_of_letters_are_cut_at_their_ends():
     text = " ".join(f"{chr(c)}a b{chr(c)}" for c in range(0x21, 0x3000) if chr(c).isalpha())
     for t in (text, "İstanbul ﬁne ǅ ſ ß ʰa éá 日本 ªº x²", "a‍b it's 3d a1b don't", "<|endoftext|> Ab ab"):
         assert np.frombuffer(words.encode(t.encode()), words.dtype).tolist() == _ids(t)[:-1]
+
+
+def test_new_words_of_texts_are_learned_together(monkeypatch):
+    words, calls = WordTokens(PATH), []
+    ask = words.library.ids
+    monkeypatch.setattr(words.library, "ids", lambda parts: calls.append(len(parts)) or ask(parts))
+    texts = [t or "" for t in TEXTS] + [f"{a}{b}word {a}é{b}, {a}-{b} it's {a}{b}'s" for a in "abcdefgh" for b in "klmnopqr"]
+    got = words.encode_all([t.encode() for t in texts])
+    assert [np.frombuffer(x, words.dtype).tolist() for x in got] == [_ids(t)[:-1] for t in texts]
+    assert len(calls) == 1
+
+
+def test_words_of_a_to_z_have_the_ids_of_the_whole_tokenizer():
+    words, r = WordTokens(PATH), random.Random(5)
+    text = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(1, 14))) for _ in range(5000))
+    assert np.frombuffer(words.encode(text.encode()), words.dtype).tolist() == _ids(text)[:-1]
+
+
+def test_parts_of_a_batch_are_bounded(monkeypatch):
+    monkeypatch.setattr(K, "PART_ROWS", 3)
+    monkeypatch.setattr(K, "PART_BYTES", 10)
+    texts = ["a", "b", "c", "d", "e" * 30, "", "f" * 6, "g" * 6]
+    batch = K.pa.RecordBatch.from_arrays([K.pa.array(range(8)), K.pa.array(texts)], names=["doc_id", "text"])
+    assert [p.column(1).to_pylist() for p in K._parts(batch)] == [["a", "b", "c"], ["d"], ["e" * 30], ["", "f" * 6], ["g" * 6]]
+    assert list(K._parts(batch.slice(0, 0))) == []
