@@ -6,13 +6,13 @@
   word or number in between breaks adjacency).
 * Scores: PageRank with damping 0.85 in the original TextRank form
   ``r = (1 - d) + d * sum(r_j / deg_j)``, a fixed number of iterations.
-  The edges are shuffled by document once and ranked in slices of whole
-  documents. For a document with more than MOST_EDGES an iteration is one join
-  of the (doc, node)-keyed neighbour lists with the ranks and one aggregate on
-  (doc, neighbour), so one enormous text spreads over many tasks. There nodes
-  travel as 64-bit hashes; within a segment the lists are shuffled once (their
-  exchange is reused), and after each segment the ranks are written to the
-  shared folder, which cuts the lineage.
+  Each iteration is one join of the (doc, node)-keyed neighbour lists with the
+  ranks and one aggregate on (doc, neighbour), so one enormous text spreads
+  over many tasks. Nodes travel as 64-bit hashes; within a segment the lists
+  are shuffled once (their exchange is reused), and after each segment the
+  ranks are written to the shared folder, which cuts the lineage. Graphs of
+  stems are shuffled by document once and ranked in slices of whole documents;
+  only documents with more than MOST_EDGES take the joins.
 * Selection: the top ``floor(ratio * nodes)`` words per document by score
   (rounded to 6 digits), ties by word.
 * Phrases: a kept word counts where it first stands in the text. First
@@ -124,10 +124,13 @@ def _stem_table(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def textrank_scores(edges: DataFrame, id_col: str, iterations: int = ITERATIONS,
-                    damping: float = R.TEXTRANK_DAMPING, segment: int = SEGMENT) -> DataFrame:
-    """(id, word, score) after ``iterations`` PageRank steps from r = 1. The
-    edges of an id meet once; an id with more than MOST_EDGES is ranked by
-    joins, spread over many tasks."""
+                    damping: float = R.TEXTRANK_DAMPING, segment: int = SEGMENT, whole_ids: bool = False) -> DataFrame:
+    """(id, word, score) after ``iterations`` PageRank steps from r = 1. With
+    ``whole_ids`` the edges of an id meet once, in a worker; an id with more
+    than MOST_EDGES is ranked by joins, spread over many tasks, as all are
+    without it."""
+    if not whole_ids:
+        return _scores_by_joins(edges, id_col, iterations, damping, segment)
     edges = materialise(edges.filter(F.col(id_col).isNotNull()), "textrank-edges")
     large = (edges.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > MOST_EDGES)
              .select(id_col))
@@ -210,7 +213,7 @@ def power_iteration(src: np.ndarray, dst: np.ndarray, group: np.ndarray, groups:
 
 def _scores_by_joins(edges: DataFrame, id_col: str, iterations: int, damping: float, segment: int) -> DataFrame:
     """Ranks by one join and one aggregate an iteration, keyed by (id, node)."""
-    edges = materialise(edges, "textrank-large-edges")
+    edges = materialise(edges, "textrank-edges")
     # One row per node with its neighbours: a join per iteration meets nodes, not edges.
     near = materialise(edges.groupBy(id_col, F.xxhash64("src").alias("s"))
                        .agg(F.collect_list(F.xxhash64("dst")).alias("ds")), "textrank-nodes")
@@ -248,7 +251,7 @@ def textrank_top(df: DataFrame, id_col: str, text_col: str, ratio: float = R.KEY
                  stems: bool = False) -> DataFrame:
     """(id, rank, word, score): TextRank's kept words (or stems) per text."""
     edges = textrank_edges(df, id_col, text_col, stems)
-    return top_keywords(textrank_scores(edges, id_col, iterations, damping), id_col, ratio)
+    return top_keywords(textrank_scores(edges, id_col, iterations, damping, whole_ids=stems), id_col, ratio)
 
 
 def keywords(df: DataFrame, id_col: str, text_col: str, ratio: float = R.KEYWORD_RATIO,

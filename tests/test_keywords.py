@@ -80,7 +80,7 @@ def test_ranks_of_slices_and_of_large_ids(spark, monkeypatch, slice_edges, most)
         graphs = {i: [(f"a{i}", f"b{k}") for k in range(1 + i)] + [("b0", "c")] for i in range(12)}
         edges = [(i, x, y) for i, es in graphs.items() for a, b in es for x, y in ((a, b), (b, a))]
         df = spark.createDataFrame(edges + [(None, "x", "y"), (None, "y", "x")], "id int, src string, dst string")
-        got = {(r.id, r.word): r.score for r in KW.textrank_scores(df, "id").collect()}
+        got = {(r.id, r.word): r.score for r in KW.textrank_scores(df, "id", whole_ids=True).collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == pytest.approx({(i, w): s for i, es in graphs.items() for w, s in _rank(es).items()})
@@ -88,5 +88,5 @@ def test_ranks_of_slices_and_of_large_ids(spark, monkeypatch, slice_edges, most)
 
 def test_ranks_and_stems_take_no_join_by_word_of_a_text(spark):
     df = spark.createDataFrame([("k", "running dogs run dog", 0)], SCHEMA)
-    plan = KW.textrank_scores(KW.textrank_edges(df, "id", "t", stems=True), "id")._jdf.queryExecution().optimizedPlan().toString()
+    plan = KW.textrank_top(df, "id", "t", stems=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "Join" not in plan
