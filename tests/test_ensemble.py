@@ -65,3 +65,10 @@ def test_vocabulary_is_whole_and_ordered(spark):
     df = spark.createDataFrame([("b a c a",), ("a b </s>",), (None,)], "text string")
     got = sorted((r.id, r.token) for r in EN.learn_vocab(df.repartition(3), "text").collect())
     assert got == [(0, "<pad>"), (1, "</s>"), (2, "<unk>"), (3, "a"), (4, "b"), (5, "c")]
+
+
+def test_corpus_tokens_leave_no_empty_string_and_take_no_lambda(spark):
+    rows = [(1, "  red\tfox\n"), (2, ""), (3, None), (4, " red\xa0hen "), (5, " \n")]
+    out = EN._corpus_tokens(spark.createDataFrame(rows, "id int, t string"), "t")
+    assert sorted(r.token for r in out.collect()) == ["fox", "hen", "red", "red"]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
