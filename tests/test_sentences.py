@@ -159,3 +159,40 @@ def test_join_of_held_places_takes_texts_not_arrays(spark):
     df = spark.createDataFrame([(1, "He saw Mr. Fox. It ran.")], "id int, t string")
     plan = SE.sentence_arrays(df, ["id"], "t", SE.learn_sentences(df, "t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "_joined" in plan
+
+
+def test_tokens_are_typed_once_per_distinct_one(spark, model):
+    """No expression walks the tokens of a text: they are counted and cut in batches, and distinct ones get a type."""
+    df = spark.createDataFrame([(1, "He saw Mr. Fox. It ran.")], "id int, t string")
+    for x in (SE.adjacent_types(df, "t"), SE.split_sentences(df, ["id"], "t", model)):
+        plan = x._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan and "split(" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 40, 10**7])
+def test_adjacent_counts_equal_a_walk(monkeypatch, size):
+    import pyarrow as pa
+    from collections import Counter
+    rng = random.Random(size)
+    parts = ["a", "b.", "c..", "D!", "e,", 'f."', " ", " ", "\n", "\x85", "é.", ",", ".", "(", "ß?"]
+    texts = [None if rng.random() < 0.1 else "".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    want, got = Counter(), Counter()
+    for t in texts:
+        stop, before = "start", None
+        for w in (t or "").split():
+            want[before if stop == "." else None, stop, w] += 1
+            stop, before = SE.token_stop(w), w
+    monkeypatch.setattr(SE, "SLICE_BYTES", size)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i:i + 37], pa.string())], names=["t"]) for i in range(0, 200, 37)]
+    for b in SE._count_adjacent(iter(batches)):
+        for p, stop, w, n in zip(*(c.to_pylist() for c in b.columns)):
+            got[p, stop, w] += n
+    assert got == want
+
+
+def test_marks_equal_the_typed_ones(spark):
+    tokens = ["a.", "a..", "a!", "a?)", 'a."', "a,", 'a,"', "(", ")", '"', ".", "..", "...", "a.)", "a.),", "(.", "«a.»", "a;.", "é.’", "a"]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", SE._bare(F.col("t")).alias("b"))
+    for r in df.select("t", SE._typed(F.col("b"))["stop"].alias("s")).collect():
+        assert SE.token_stop(r.t) == r.s, r.t
+        assert SE.marks_of([r.t]) == ([(1, r.s)] if r.s else []), r.t
