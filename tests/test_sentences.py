@@ -196,3 +196,21 @@ def test_marks_equal_the_typed_ones(spark):
     for r in df.select("t", SE._typed(F.col("b"))["stop"].alias("s")).collect():
         assert SE.token_stop(r.t) == r.s, r.t
         assert SE.marks_of([r.t]) == ([(1, r.s)] if r.s else []), r.t
+
+
+@pytest.mark.parametrize("one", [False, True])
+def test_treebank_in_python_equals_the_expressions(spark, one):
+    rng = random.Random(4)
+    parts = ["a", "can", "not", "cannot", "gonna", "d", "'ye", "'t", "is", "n't", "'s", '"', "''", "``", "“", "’", "»", ".", "...",
+             ",", ":", "3", "٣", "½", "é", "Σ", "İ", "_", "--", "(", "]", "?", "$", "&", " ", " ", "\n", "\r", "\r\n", "\x85", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.lower("t").alias("l"), T.treebank_tokens("t", one).alias("w"))
+    words = T.Treebank(one)
+    for r in df.collect():
+        assert words(r.l) == r.w, r.l
+
+
+def test_words_of_sentences_are_cut_in_batches(spark, model):
+    df = spark.createDataFrame([(1, "we met dr. brown .", "x")], "id bigint, generated string, question string")
+    plan = M._sentence_words(df, ["id"], "generated", "question", model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "regexp_replace(_joined" not in plan
