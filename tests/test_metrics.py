@@ -198,3 +198,42 @@ def test_treebank_texts_without_marks_take_the_same_rules(spark):
             elif not t.endswith((":", ",")):
                 assert fast[i] == full[i][:-1]
     assert fast[12] == ["ends", ":"] and fast[13] == ["ends", ","]
+
+
+def test_rows_of_a_pair_are_measured_in_one_step(spark):
+    """Grouping by a part of the keys gives the same scores; words are cut in that step, not by expressions on each row."""
+    rng = random.Random(6)
+    text = lambda: rng.choice([None, "", " ".join(rng.choice(["run", "runs", "cats.", "a", "(b)", "É,"]) for _ in range(rng.randint(1, 9)))])
+    rows = [(i // 6, i % 6, v, text(), text()) for i in range(60) for v in ("x", "y")] + [(0, 0, "x", "a cats.", "a")] * 2
+    df = spark.createDataFrame(rows, "id int, rank int, variant string, generated string, question string")
+    keys = ["id", "rank", "variant"]
+    one, all_ = (sorted(map(str, M.score_rows(df, keys, by=by).collect())) for by in (["id"], None))
+    assert one == all_ and len(one) == len(rows) - 3 + 27  # three metrics of a key's three rows
+    plan = _plan(M.score_rows(df, keys, stems=False, by=["id"]))
+    assert "lambda" not in plan and "regexp_replace" not in plan and plan.count("RepartitionByExpression") == 1
+
+
+def test_words_are_cut_as_by_the_expressions(spark):
+    texts = ["The cat's hat, (so) 3,5!", "a b", None, " ", "É É. x"]
+    df = spark.createDataFrame([(i, h, r) for i, (h, r) in enumerate((h, r) for h in texts for r in texts)],
+                               "id int, generated string, question string")
+    got = {r.id: r for r in M.score_rows(df, ["id"], stems=False).collect()}
+    w = df.select("id", T.rouge_tokens("generated").alias("a"), T.rouge_tokens("question").alias("b"),
+                  T.treebank_tokens("generated").alias("h"), T.treebank_tokens("question").alias("r"))
+    bleu = {r.id: r for r in M.bleu_scores(w, ["id"], "h", "r").collect()}
+    rouge = {r.id: r for r in M.rouge_columns(w, "a", "b").collect()}
+    for i, row in got.items():
+        assert row.rouge_f == pytest.approx(rouge[i].rouge_f)
+        assert [row[f"bleu{n}"] for n in range(1, 5)] == pytest.approx([bleu[i][f"bleu{n}"] for n in range(1, 5)])
+
+
+def test_bootstrap_ids_are_dealt_out(spark):
+    df = spark.range(50).select("id", F.lit("a").alias("g"), F.lit(1.0).alias("x"))
+    assert "RepartitionByExpression [id" in _plan(M.bootstrap_mean(df, "id", "x", "g"))
+
+
+def test_no_words_at_all(spark):
+    df = spark.createDataFrame([(1, "", None)], "id int, generated string, question string")
+    r = M.score_rows(df, ["id"]).first()
+    assert (r.rouge_f, r.bleu4, r.matches, r.meteor) == (0.0, 0.0, 0, 0.0)
+    assert M.score_rows(df.filter("id > 1"), ["id"]).count() == 0
